@@ -10,7 +10,9 @@ Conventions shared with the Spark side for comparison only: the run's
 "current date" is pinned to AS_OF, ``mart_updated_at`` is left out, and
 decimal columns are returned as DOUBLE. Decimal ratios are rounded
 exactly with integer arithmetic, because DuckDB divides decimals in
-floating point.
+floating point. Conditional counts are written ``count(CASE WHEN c THEN
+1 END)``: the warehouse's countif is 0 when no row is true, while
+DuckDB's ``count_if`` is NULL when every condition is NULL.
 """
 
 from __future__ import annotations
@@ -437,22 +439,22 @@ SELECT a.account_id, a.account_name, a.industry, a.country, a.account_status, a.
        ELSE 0 END AS payment_failure_rate_pct
 FROM stg_crm__accounts a
 LEFT JOIN (
-  SELECT account_id, count(subscription_id) AS n, count_if(is_active) AS n_active,
-    count_if(is_churned) AS n_churned, round(sum(mrr), 2) AS mrr, round(sum(arr), 2) AS arr,
+  SELECT account_id, count(subscription_id) AS n, count(CASE WHEN is_active THEN 1 END) AS n_active,
+    count(CASE WHEN is_churned THEN 1 END) AS n_churned, round(sum(mrr), 2) AS mrr, round(sum(arr), 2) AS arr,
     max(start_date) AS latest, min(start_date) AS earliest,
     avg(subscription_duration_days) AS avg_days
   FROM stg_erp__subscriptions WHERE NOT is_date_inverted AND account_id IS NOT NULL
   GROUP BY account_id) s ON a.account_id = s.account_id
 LEFT JOIN (
-  SELECT account_id, count(invoice_id) AS n, count_if(is_paid) AS n_paid,
-    count_if(is_overdue) AS n_overdue, round(sum(amount_due), 2) AS billed,
+  SELECT account_id, count(invoice_id) AS n, count(CASE WHEN is_paid THEN 1 END) AS n_paid,
+    count(CASE WHEN is_overdue THEN 1 END) AS n_overdue, round(sum(amount_due), 2) AS billed,
     round(sum(coalesce(amount_paid, 0)), 2) AS collected,
     round(sum(outstanding_amount), 2) AS outstanding, max(days_overdue) AS max_overdue
   FROM stg_erp__invoices WHERE account_id IS NOT NULL GROUP BY account_id) i
   ON a.account_id = i.account_id
 LEFT JOIN (
-  SELECT account_id, count(payment_id) AS n, count_if(is_successful) AS n_ok,
-    count_if(is_failed) AS n_failed, count_if(is_repeat_failure) AS n_repeat,
+  SELECT account_id, count(payment_id) AS n, count(CASE WHEN is_successful THEN 1 END) AS n_ok,
+    count(CASE WHEN is_failed THEN 1 END) AS n_failed, count(CASE WHEN is_repeat_failure THEN 1 END) AS n_repeat,
     round(sum(CASE WHEN is_successful THEN amount ELSE 0 END), 2) AS ok_amount
   FROM stg_erp__payments WHERE account_id IS NOT NULL GROUP BY account_id) p
   ON a.account_id = p.account_id"""
@@ -473,13 +475,13 @@ SELECT ph.*, lf.failure_reason AS most_recent_failure_reason,
        WHEN ph.failed_payments >= 2 THEN 'at_risk' ELSE 'healthy' END AS payment_health_band
 FROM (
   SELECT account_id, count(payment_id) AS total_payments,
-    count_if(is_successful) AS successful_payments, count_if(is_failed) AS failed_payments,
-    count_if(is_repeat_failure) AS repeat_failures,
+    count(CASE WHEN is_successful THEN 1 END) AS successful_payments, count(CASE WHEN is_failed THEN 1 END) AS failed_payments,
+    count(CASE WHEN is_repeat_failure THEN 1 END) AS repeat_failures,
     CAST(max(running_failures) AS BIGINT) AS total_cumulative_failures,
     round(sum(CASE WHEN is_successful THEN amount ELSE 0 END), 2) AS total_collected,
     {ravg('CASE WHEN is_successful THEN amount END')} AS avg_payment_amount,
     max(payment_date) AS latest_payment_date, min(payment_date) AS first_payment_date,
-    count_if(is_failed AND prev_failed) AS consecutive_failure_count
+    count(CASE WHEN is_failed AND prev_failed THEN 1 END) AS consecutive_failure_count
   FROM (
     SELECT *,
       sum(CASE WHEN is_failed THEN 1 ELSE 0 END) OVER (
@@ -496,7 +498,7 @@ LEFT JOIN (
                              ORDER BY created_at DESC, payment_id DESC) = 1) lf
   ON ph.account_id = lf.account_id
 LEFT JOIN (
-  SELECT account_id, count(invoice_id) AS total_invoices, count_if(is_overdue) AS overdue_invoices,
+  SELECT account_id, count(invoice_id) AS total_invoices, count(CASE WHEN is_overdue THEN 1 END) AS overdue_invoices,
     sum(amount_due) AS billed, sum(outstanding_amount) AS outstanding,
     max(days_overdue) AS max_days_overdue
   FROM stg_erp__invoices WHERE account_id IS NOT NULL GROUP BY account_id) inv
@@ -531,16 +533,16 @@ SELECT a.account_id, a.account_name, a.industry, a.tier, a.tier_rank, a.account_
 FROM stg_crm__accounts a
 LEFT JOIN int_accounts_with_subscriptions s ON a.account_id = s.account_id
 LEFT JOIN (
-  SELECT account_id, count(ticket_id) AS n, count_if(is_high_priority) AS n_high,
-    count_if(is_low_csat) AS n_low_csat, count_if(ticket_status = 'escalated') AS n_esc,
-    count_if(ticket_status = 'open') AS n_open, avg(csat_score) AS avg_csat,
+  SELECT account_id, count(ticket_id) AS n, count(CASE WHEN is_high_priority THEN 1 END) AS n_high,
+    count(CASE WHEN is_low_csat THEN 1 END) AS n_low_csat, count(CASE WHEN ticket_status = 'escalated' THEN 1 END) AS n_esc,
+    count(CASE WHEN ticket_status = 'open' THEN 1 END) AS n_open, avg(csat_score) AS avg_csat,
     avg(resolution_hours) AS avg_res, max(created_at) AS latest
   FROM stg_crm__support_tickets WHERE account_id IS NOT NULL GROUP BY account_id) t
   ON a.account_id = t.account_id
 LEFT JOIN (
   SELECT account_id, count(DISTINCT feature_name) AS n_features, sum(usage_count) AS usage,
-    count_if(engagement_level = 'power') AS n_power,
-    count_if(engagement_level = 'inactive') AS n_inactive,
+    count(CASE WHEN engagement_level = 'power' THEN 1 END) AS n_power,
+    count(CASE WHEN engagement_level = 'inactive' THEN 1 END) AS n_inactive,
     max(usage_date) AS latest, avg(session_duration_minutes) AS avg_minutes
   FROM stg_web__feature_usage WHERE account_id IS NOT NULL AND NOT is_date_missing
   GROUP BY account_id) u ON a.account_id = u.account_id)"""
@@ -568,22 +570,22 @@ SELECT o.opportunity_id, o.account_id, o.stage, round(o.amount, 2) AS amount,
     AS engagement_quality
 FROM stg_crm__opportunities o
 LEFT JOIN (
-  SELECT account_id, count(activity_id) AS n, count_if(is_high_touch) AS n_high,
+  SELECT account_id, count(activity_id) AS n, count(CASE WHEN is_high_touch THEN 1 END) AS n_high,
     max(activity_date) AS latest, count(DISTINCT assigned_rep) AS n_reps
   FROM stg_crm__activities WHERE NOT is_date_missing AND account_id IS NOT NULL
   GROUP BY account_id) aa ON o.account_id = aa.account_id
 LEFT JOIN (
   SELECT opportunity_id, account_id AS activity_account_id,
-    count(activity_id) AS total_activities, count_if(is_high_touch) AS high_touch_activities,
-    count_if(is_positive_outcome) AS positive_outcomes,
-    count_if(activity_type = 'call') AS total_calls,
-    count_if(activity_type = 'meeting') AS total_meetings,
-    count_if(activity_type = 'demo') AS total_demos,
-    count_if(activity_type = 'email') AS total_emails,
+    count(activity_id) AS total_activities, count(CASE WHEN is_high_touch THEN 1 END) AS high_touch_activities,
+    count(CASE WHEN is_positive_outcome THEN 1 END) AS positive_outcomes,
+    count(CASE WHEN activity_type = 'call' THEN 1 END) AS total_calls,
+    count(CASE WHEN activity_type = 'meeting' THEN 1 END) AS total_meetings,
+    count(CASE WHEN activity_type = 'demo' THEN 1 END) AS total_demos,
+    count(CASE WHEN activity_type = 'email' THEN 1 END) AS total_emails,
     count(DISTINCT assigned_rep) AS reps_involved,
     avg(duration_minutes) AS avg_activity_duration,
     max(activity_date) AS latest_activity_date, min(activity_date) AS first_activity_date,
-    round(count_if(is_positive_outcome) / nullif(count(activity_id), 0) * 100, 2)
+    round(count(CASE WHEN is_positive_outcome THEN 1 END) / nullif(count(activity_id), 0) * 100, 2)
       AS positive_outcome_rate
   FROM stg_crm__activities
   WHERE NOT is_date_missing AND account_id IS NOT NULL AND opportunity_id IS NOT NULL

@@ -74,6 +74,17 @@ def round2(c: Column) -> Column:
     return F.round(c, 2)
 
 
+def money_pct(num: Column, den: Column) -> Column:
+    """round(num / den * 100, 2) for money, with one rounding only.
+
+    Both sides are brought to decimal(20,9) and multiplied before the
+    division, so the quotient keeps 14 fractional digits. Dividing two
+    wide decimals first would leave Spark only 7, and rounding 0.61554997
+    to 0.6155500 and then to 61.56 is a double-rounding error.
+    """
+    return round2(num.cast(MONEY) * dec(100) / den.cast(MONEY))
+
+
 def count_when(cond: Column) -> Column:
     """countif: counts rows where cond is true (NULL is not counted)."""
     return F.count_if(cond)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    MONEY, as_of_date, count_when, dec, least_strict, round2,
+    MONEY, as_of_date, count_when, dec, least_strict, money_pct, round2,
 )
 from tidemark.operators.sequence import adjacent_flag_pairs
 
@@ -121,7 +121,7 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
         _zero("total_outstanding", MONEY), _zero("max_days_overdue", "long"),
         _zero("total_payments"), _zero("successful_payments"), _zero("failed_payments"),
         _zero("repeat_failures"), _zero("total_payment_amount", MONEY),
-        F.when(billed > 0, round2(collected / F.col("total_billed") * 100))
+        F.when(billed > 0, money_pct(collected, F.col("total_billed")))
          .otherwise(F.lit(0)).alias("collection_rate_pct"),
         F.when(F.coalesce(F.col("total_payments"), F.lit(0)) > 0,
                round2(F.coalesce(F.col("failed_payments"), F.lit(0))

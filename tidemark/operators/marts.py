@@ -13,7 +13,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import MONEY, as_of_date, dec, flag, round2, run_timestamp
+from tidemark.functions.expr import (
+    MONEY, as_of_date, dec, flag, money_pct, round2, run_timestamp,
+)
 
 # Recommended next action per churn risk band.
 RECOMMENDED_ACTION = {
@@ -129,7 +131,7 @@ def mart_revenue(account_subscriptions: DataFrame, payment_health: DataFrame,
          .when(rate < 90, round2(arr * dec("0.20"))).otherwise(F.lit(0).cast(MONEY))
          .alias("arr_at_risk"),
         round2(F.col("total_collected") - outstanding).alias("net_revenue"),
-        F.when(billed > 0, round2(outstanding / F.nullif(billed, F.lit(0)) * 100))
+        F.when(billed > 0, money_pct(outstanding, billed))
          .otherwise(F.lit(0)).alias("outstanding_pct"),
         # NUMERIC * FLOAT64 is FLOAT64.
         F.when(avg_days > 0, round2(F.col("total_mrr").cast("double") * (avg_days / 30.0)))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    MONEY, as_of_date, clean, elapsed, flag, money, round2,
+    MONEY, as_of_date, clean, elapsed, flag, money, money_pct, round2,
 )
 
 # Category lists the flags test against.
@@ -124,7 +124,7 @@ def stg_crm__campaigns(raw: DataFrame, as_of: dt.date | None = None) -> DataFram
         _date("end_date").alias("end_date"),
         flag(F.col("actual_spend").isNull()).alias("is_spend_missing"),
         F.when(F.col("actual_spend").isNotNull() & (budget > 0),
-               round2(spend / budget * 100)).alias("budget_utilisation_pct"),
+               money_pct(spend, budget)).alias("budget_utilisation_pct"),
         flag(_date("end_date") < as_of_date(as_of)).alias("is_completed"),
     )
 
