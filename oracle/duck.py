@@ -7,7 +7,8 @@ to the 14 raw tables, then staging, intermediate and mart CTEs follow.
 needs (found by scanning each CTE body for other CTE names).
 
 Conventions shared with the Spark side for comparison only: the run's
-"current date" is pinned to AS_OF, ``mart_updated_at`` is left out, and
+"current date" is pinned to AS_OF and the run timestamp to RUN_TS,
+``mart_updated_at`` is left out of compared model output, and
 decimal columns are returned as DOUBLE. Decimal ratios are rounded
 exactly with integer arithmetic, because DuckDB divides decimals in
 floating point. Conditional counts are written ``count(CASE WHEN c THEN
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 
 AS_OF = "DATE '2002-01-01'"
+RUN_TS = "TIMESTAMP '2002-01-01 00:00:00'"
 M = "DECIMAL(20,9)"
 RAWM = "DECIMAL(18,2)"
 
@@ -650,7 +652,8 @@ SELECT ch.account_id, ch.account_name, ch.industry, ch.tier, ch.tier_rank, ch.ac
        WHEN 'critical' THEN 'Immediate intervention — assign CSM, escalate to leadership'
        WHEN 'high' THEN 'Urgent outreach — schedule executive business review'
        WHEN 'medium' THEN 'Proactive check-in — review feature adoption and resolve tickets'
-       ELSE 'Monitor — maintain regular cadence' END AS recommended_action
+       ELSE 'Monitor — maintain regular cadence' END AS recommended_action,
+  {RUN_TS} AS mart_updated_at
 FROM int_customer_health ch
 LEFT JOIN int_payment_health ph ON ch.account_id = ph.account_id
 LEFT JOIN int_accounts_with_subscriptions s ON ch.account_id = s.account_id"""
@@ -688,7 +691,8 @@ SELECT mr.account_id, mr.account_name, mr.industry, mr.country, mr.tier, mr.tier
   date_diff('day', mr.latest_subscription_start, {AS_OF}) AS days_since_latest_subscription,
   {b('mr.total_subscriptions > 1 AND mr.earliest_subscription_start != mr.latest_subscription_start')}
     AS has_expanded,
-  {b('mr.churned_subscriptions > 0 AND mr.active_subscriptions > 0')} AS has_contracted
+  {b('mr.churned_subscriptions > 0 AND mr.active_subscriptions > 0')} AS has_contracted,
+  {RUN_TS} AS mart_updated_at
 FROM int_accounts_with_subscriptions mr
 LEFT JOIN int_payment_health ph ON mr.account_id = ph.account_id"""
 
@@ -721,7 +725,8 @@ SELECT acc.account_name, acc.tier, acc.tier_rank, acc.industry,
     AS days_convert_to_close,
   CASE WHEN ls.actual_spend > 0 THEN round(ls.actual_spend, 2) END AS campaign_spend,
   CASE WHEN ls.actual_spend > 0 AND ls.is_won
-       THEN {rdiv('ls.opportunity_amount', 'ls.actual_spend')} END AS revenue_per_spend
+       THEN {rdiv('ls.opportunity_amount', 'ls.actual_spend')} END AS revenue_per_spend,
+  {RUN_TS} AS mart_updated_at
 FROM int_leads_with_campaigns ls
 LEFT JOIN int_sales_activity oa ON ls.opportunity_id = oa.opportunity_id
 LEFT JOIN stg_crm__accounts acc ON ls.account_id = acc.account_id"""
@@ -787,10 +792,11 @@ def with_ctes(body: str) -> str:
 
 def model_select(name: str) -> str:
     cols = MONEY_COLUMNS.get(name, [])
+    star = "* EXCLUDE (mart_updated_at)" if name.startswith("mart_") else "*"
     if cols:
         repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
-        return f"SELECT * REPLACE ({repl}) FROM {name}"
-    return f"SELECT * FROM {name}"
+        return f"SELECT {star} REPLACE ({repl}) FROM {name}"
+    return f"SELECT {star} FROM {name}"
 
 
 def sql_for(name: str) -> str:

@@ -1,0 +1,219 @@
+"""DuckDB SQL for the curated queries, dashboard rollups and check suite.
+
+Each statement reads the oracle's own mart CTEs (see ``oracle.duck``).
+Decimal results are cast to DOUBLE, as on the Spark side; ratios of
+money are rounded exactly with ``rdiv`` and averages of 2-decimal values
+with ``ravg``. Top-k lists order like the Spark side: the sort column
+with NULLs last on DESC (first on ASC), then the key.
+"""
+
+from __future__ import annotations
+
+from oracle.duck import FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
+from tidemark.operators.quality import CHECKS
+
+D = "AS DOUBLE)"
+
+# Parameters of the registered curated queries.
+LOOKUP_ACCOUNT = "A7"
+RISK_BAND = "high"
+HEALTH_BAND = "at_risk"
+LEAD_OUTCOME = "closed_won"
+ATTRIBUTION = "campaign"
+ROW_LIMIT = 20
+
+REPORTS: dict[str, str] = {}
+
+# ------------------------------------------------------------ curated
+REPORTS["q1_get_account_churn_risk"] = f"""
+SELECT account_id, account_name, tier, churn_risk_score, churn_risk_band, payment_health_band,
+  CAST(mrr_at_risk {D} AS mrr_at_risk, CAST(arr_at_risk {D} AS arr_at_risk, recommended_action
+FROM mart_customer_churn WHERE account_id = '{LOOKUP_ACCOUNT}'"""
+
+REPORTS["q2_list_high_risk_accounts"] = f"""
+SELECT account_id, account_name, tier, churn_risk_score, churn_risk_band,
+  CAST(mrr_at_risk {D} AS mrr_at_risk, CAST(arr_at_risk {D} AS arr_at_risk, recommended_action
+FROM mart_customer_churn WHERE churn_risk_band = '{RISK_BAND}'
+ORDER BY mrr_at_risk DESC NULLS LAST, account_id LIMIT {ROW_LIMIT}"""
+
+REPORTS["q3_get_account_revenue_health"] = f"""
+SELECT account_id, account_name, tier, revenue_health_band,
+  CAST(total_mrr {D} AS total_mrr, CAST(total_arr {D} AS total_arr,
+  CAST(collection_rate_pct {D} AS collection_rate_pct,
+  CAST(outstanding_pct {D} AS outstanding_pct, CAST(net_revenue {D} AS net_revenue,
+  CAST(estimated_clv {D} AS estimated_clv
+FROM mart_revenue WHERE account_id = '{LOOKUP_ACCOUNT}'"""
+
+REPORTS["q4_list_accounts_by_revenue_health"] = f"""
+SELECT account_id, account_name, tier, revenue_health_band,
+  CAST(total_mrr {D} AS total_mrr, CAST(total_arr {D} AS total_arr,
+  CAST(arr_at_risk {D} AS arr_at_risk, CAST(collection_rate_pct {D} AS collection_rate_pct
+FROM mart_revenue WHERE revenue_health_band = '{HEALTH_BAND}'
+ORDER BY arr_at_risk DESC NULLS LAST, account_id LIMIT {ROW_LIMIT}"""
+
+REPORTS["q5_get_funnel_summary_by_stage"] = f"""
+SELECT funnel_stage, count(*) AS lead_count,
+  CAST(sum(opportunity_amount) {D} AS total_opportunity_amount,
+  CAST(sum(weighted_amount) {D} AS total_weighted_amount
+FROM mart_sales_funnel GROUP BY funnel_stage ORDER BY funnel_stage"""
+
+REPORTS["q6_list_leads_by_outcome"] = f"""
+SELECT lead_id, account_name, tier, lead_source, attribution_type, lead_outcome,
+  CAST(opportunity_amount {D} AS opportunity_amount, CAST(weighted_amount {D} AS weighted_amount,
+  days_lead_to_close
+FROM mart_sales_funnel
+WHERE lead_outcome = '{LEAD_OUTCOME}' AND ('{ATTRIBUTION}' = 'all' OR attribution_type = '{ATTRIBUTION}')
+ORDER BY opportunity_amount DESC NULLS LAST, lead_id LIMIT {ROW_LIMIT}"""
+
+REPORTS["q7_average_churn_risk_by_tier"] = f"""
+SELECT tier, count(*) AS accounts, {ravg('churn_risk_score')} AS avg_churn_risk_score,
+  CAST(sum(mrr_at_risk) {D} AS mrr_at_risk
+FROM mart_customer_churn GROUP BY tier"""
+
+# ------------------------------------------------------------ rollups
+REPORTS["r1_churn_kpis"] = f"""
+SELECT count(*) AS accounts, count(CASE WHEN churn_risk_band <> 'low' THEN 1 END)
+    AS accounts_at_risk,
+  CAST(sum(total_mrr) {D} AS total_mrr, CAST(sum(mrr_at_risk) {D} AS mrr_at_risk,
+  CAST(sum(arr_at_risk) {D} AS arr_at_risk
+FROM mart_customer_churn"""
+
+REPORTS["r2_churn_by_band"] = f"""
+SELECT churn_risk_band, count(*) AS accounts, CAST(sum(total_mrr) {D} AS total_mrr,
+  CAST(sum(mrr_at_risk) {D} AS mrr_at_risk, CAST(sum(arr_at_risk) {D} AS arr_at_risk
+FROM mart_customer_churn GROUP BY churn_risk_band"""
+
+REPORTS["r3_highest_risk_accounts"] = f"""
+SELECT account_id, account_name, tier, churn_risk_score, churn_risk_band,
+  CAST(mrr_at_risk {D} AS mrr_at_risk, recommended_action
+FROM mart_customer_churn
+ORDER BY churn_risk_score DESC NULLS LAST, mrr_at_risk DESC NULLS LAST, account_id
+LIMIT {ROW_LIMIT}"""
+
+REPORTS["r3_risk_bubble"] = f"""
+SELECT account_id, account_name, total_usage_count, churn_risk_score,
+  CAST(total_mrr {D} AS total_mrr, churn_risk_band
+FROM mart_customer_churn"""
+
+REPORTS["r4_revenue_kpis"] = f"""
+SELECT CAST(sum(total_mrr) {D} AS total_mrr, CAST(sum(total_arr) {D} AS total_arr,
+  count(*) AS accounts,
+  CASE WHEN sum(total_billed) > 0
+       THEN {rdiv('sum(total_collected)', 'sum(total_billed)', 100)} END AS collection_rate_pct,
+  CAST(sum(total_outstanding) {D} AS total_outstanding
+FROM mart_revenue"""
+
+REPORTS["r5_revenue_by_health_band"] = f"""
+SELECT revenue_health_band, count(*) AS accounts, CAST(sum(total_arr) {D} AS total_arr,
+  CAST(sum(arr_at_risk) {D} AS arr_at_risk
+FROM mart_revenue GROUP BY revenue_health_band"""
+
+REPORTS["r6_poor_collection_accounts"] = f"""
+SELECT account_id, account_name, tier, CAST(collection_rate_pct {D} AS collection_rate_pct,
+  CAST(total_billed {D} AS total_billed, CAST(total_outstanding {D} AS total_outstanding,
+  revenue_health_band
+FROM mart_revenue WHERE total_billed > 0
+ORDER BY collection_rate_pct ASC NULLS FIRST, total_outstanding DESC NULLS LAST, account_id
+LIMIT {ROW_LIMIT}"""
+
+REPORTS["r7_funnel_kpis"] = f"""
+SELECT l.leads, l.won_deals, CAST(l.won_revenue {D} AS won_revenue,
+  l.avg_days_lead_to_close, CAST(s.total_spend {D} AS total_spend,
+  CASE WHEN s.total_spend > 0
+       THEN {rdiv('l.campaign_won_revenue', 's.total_spend')} END AS revenue_per_spend
+FROM (
+  SELECT count(*) AS leads, count(CASE WHEN is_won THEN 1 END) AS won_deals,
+    sum(CASE WHEN is_won THEN opportunity_amount END) AS won_revenue,
+    CAST(sum(days_lead_to_close) AS DOUBLE) / CAST(count(days_lead_to_close) AS DOUBLE)
+      AS avg_days_lead_to_close,
+    sum(CASE WHEN is_won AND campaign_id IS NOT NULL THEN opportunity_amount END)
+      AS campaign_won_revenue
+  FROM mart_sales_funnel) l,
+  (SELECT sum(spend) AS total_spend FROM (
+     SELECT DISTINCT campaign_id, campaign_spend AS spend FROM mart_sales_funnel
+     WHERE campaign_id IS NOT NULL)) s"""
+
+REPORTS["r8_leads_per_month"] = """
+SELECT strftime(lead_created_at, '%Y-%m') AS lead_month, count(*) AS leads,
+  count(CASE WHEN is_converted THEN 1 END) AS converted_leads
+FROM mart_sales_funnel GROUP BY 1"""
+
+REPORTS["r9_conversion_by_source"] = """
+SELECT lead_source, count(*) AS leads,
+  CAST(count(CASE WHEN is_converted THEN 1 END) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+    AS conversion_rate,
+  CAST(count(CASE WHEN is_won THEN 1 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS win_rate
+FROM mart_sales_funnel GROUP BY lead_source"""
+
+REPORTS["r10_return_by_campaign"] = f"""
+SELECT campaign_id, campaign_name, channel, leads, won_deals,
+  CAST(won_revenue {D} AS won_revenue, CAST(total_spend {D} AS total_spend,
+  CASE WHEN total_spend > 0 THEN {rdiv('won_revenue', 'total_spend')} END
+    AS revenue_per_spend
+FROM (
+  SELECT campaign_id, max(campaign_name) AS campaign_name, max(channel) AS channel,
+    count(*) AS leads, count(CASE WHEN is_won THEN 1 END) AS won_deals,
+    sum(CASE WHEN is_won THEN opportunity_amount END) AS won_revenue,
+    max(campaign_spend) AS total_spend
+  FROM mart_sales_funnel WHERE campaign_id IS NOT NULL GROUP BY campaign_id)"""
+
+REPORTS["r10_return_by_channel"] = f"""
+SELECT l.channel, l.leads, l.won_deals, CAST(l.won_revenue {D} AS won_revenue,
+  CAST(s.total_spend {D} AS total_spend,
+  CASE WHEN s.total_spend > 0 THEN {rdiv('l.won_revenue', 's.total_spend')} END
+    AS revenue_per_spend
+FROM (
+  SELECT channel, count(*) AS leads, count(CASE WHEN is_won THEN 1 END) AS won_deals,
+    sum(CASE WHEN is_won THEN opportunity_amount END) AS won_revenue
+  FROM mart_sales_funnel WHERE campaign_id IS NOT NULL GROUP BY channel) l
+LEFT JOIN (
+  SELECT channel, sum(spend) AS total_spend FROM (
+    SELECT DISTINCT campaign_id, channel, campaign_spend AS spend FROM mart_sales_funnel
+    WHERE campaign_id IS NOT NULL) GROUP BY channel) s
+  ON l.channel IS NOT DISTINCT FROM s.channel"""
+
+REPORTS["r10_return_by_source"] = f"""
+SELECT lead_source, count(*) AS leads, count(CASE WHEN is_won THEN 1 END) AS won_deals,
+  CAST(sum(CASE WHEN is_won THEN opportunity_amount END) {D} AS won_revenue
+FROM mart_sales_funnel GROUP BY lead_source"""
+
+REPORTS["r11_top_won_deals"] = f"""
+SELECT lead_id, opportunity_id, account_name, lead_source, channel,
+  CAST(opportunity_amount {D} AS opportunity_amount, close_date, days_lead_to_close
+FROM mart_sales_funnel WHERE is_won
+ORDER BY opportunity_amount DESC NULLS LAST, lead_id LIMIT {ROW_LIMIT}"""
+
+
+# ------------------------------------------------------------- checks
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def check_sql(check) -> str:
+    m, c = check.model, check.column
+    head = f"SELECT {_q(m)} AS model, {_q(c)} AS column_name, {_q(check.test)} AS test, "
+    if check.test == "unique":
+        body = (f"count(*) AS failures FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1)")
+    elif check.test == "not_null":
+        body = f"count(*) AS failures FROM {m} WHERE {c} IS NULL"
+    elif check.test == "accepted_values":
+        vals = ", ".join(_q(v) for v in check.values)
+        body = f"count(*) AS failures FROM (SELECT DISTINCT {c} FROM {m}) WHERE {c} NOT IN ({vals})"
+    elif check.test == "relationships":
+        body = (f"count(*) AS failures FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {check.to_model} p WHERE p.{check.to_column} = ch.{c})")
+    elif check.test == "expression_is_true":
+        body = f"count(*) AS failures FROM {m} WHERE NOT ({check.expression})"
+    else:
+        raise ValueError(check.test)
+    return head + body
+
+
+REPORTS["v6_quality_suite"] = (
+    "SELECT model, column_name, test, failures, "
+    "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
+    + "\nUNION ALL\n".join(check_sql(ch) for ch in CHECKS) + "\n)"
+)
+
+FINAL.update(REPORTS)

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tidemark.operators.quality import run_checks
+from tidemark.plans import curated as Q
+from tidemark.plans import rollups as R
 from tidemark.plans.models import MODELS, Warehouse
 from tidemark.session import configure
 from tidemark.sources.fixtures import raw_tables
@@ -50,3 +53,58 @@ def _model_query(name: str) -> QueryFn:
 
 
 QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name in MODELS}
+
+
+# ------------------------------------------------ queries over the marts
+def _over(mart: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(fn(warehouse(spark, sf_dir).model(mart)))
+    return run
+
+
+# Parameters of the registered curated queries (the oracle uses the same).
+LOOKUP_ACCOUNT = "A7"
+RISK_BAND = "high"
+HEALTH_BAND = "at_risk"
+LEAD_OUTCOME = "closed_won"
+ATTRIBUTION = "campaign"
+ROW_LIMIT = 20
+
+CHURN, REVENUE, FUNNEL = "mart_customer_churn", "mart_revenue", "mart_sales_funnel"
+
+QUERIES.update({
+    "q1_get_account_churn_risk":
+        _over(CHURN, lambda m: Q.get_account_churn_risk(m, LOOKUP_ACCOUNT)),
+    "q2_list_high_risk_accounts":
+        _over(CHURN, lambda m: Q.list_high_risk_accounts(m, RISK_BAND, ROW_LIMIT)),
+    "q3_get_account_revenue_health":
+        _over(REVENUE, lambda m: Q.get_account_revenue_health(m, LOOKUP_ACCOUNT)),
+    "q4_list_accounts_by_revenue_health":
+        _over(REVENUE, lambda m: Q.list_accounts_by_revenue_health(m, HEALTH_BAND, ROW_LIMIT)),
+    "q5_get_funnel_summary_by_stage": _over(FUNNEL, Q.get_funnel_summary_by_stage),
+    "q6_list_leads_by_outcome":
+        _over(FUNNEL, lambda m: Q.list_leads_by_outcome(m, LEAD_OUTCOME, ATTRIBUTION, ROW_LIMIT)),
+    "q7_average_churn_risk_by_tier": _over(CHURN, Q.average_churn_risk_by_tier),
+    "r1_churn_kpis": _over(CHURN, R.churn_kpis),
+    "r2_churn_by_band": _over(CHURN, R.churn_by_band),
+    "r3_highest_risk_accounts": _over(CHURN, R.highest_risk_accounts),
+    "r3_risk_bubble": _over(CHURN, R.risk_bubble),
+    "r4_revenue_kpis": _over(REVENUE, R.revenue_kpis),
+    "r5_revenue_by_health_band": _over(REVENUE, R.revenue_by_health_band),
+    "r6_poor_collection_accounts": _over(REVENUE, R.poor_collection_accounts),
+    "r7_funnel_kpis": _over(FUNNEL, R.funnel_kpis),
+    "r8_leads_per_month": _over(FUNNEL, R.leads_per_month),
+    "r9_conversion_by_source": _over(FUNNEL, R.conversion_by_source),
+    "r10_return_by_campaign": _over(FUNNEL, R.return_by_campaign),
+    "r10_return_by_channel": _over(FUNNEL, R.return_by_channel),
+    "r10_return_by_source": _over(FUNNEL, R.return_by_source),
+    "r11_top_won_deals": _over(FUNNEL, R.top_won_deals),
+})
+
+
+def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 95 checks over every model built from the test data."""
+    return run_checks(warehouse(spark, sf_dir).model)
+
+
+QUERIES["v6_quality_suite"] = quality_suite
