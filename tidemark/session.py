@@ -48,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tidemark") -> SparkSession:
+                  app: str = "tidemark", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and local benchmarking (no UI, UTC, ANSI)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -58,6 +58,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
