@@ -84,7 +84,12 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- D1
 def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFrame,
-                                    invoices: DataFrame, payments: DataFrame) -> DataFrame:
+                                    invoices: DataFrame, payments: DataFrame,
+                                    invoice_totals: DataFrame | None = None,
+                                    payment_totals: DataFrame | None = None) -> DataFrame:
+    """D1. ``invoice_totals`` / ``payment_totals`` may be passed in when
+    the same rollups (``invoice_rollup``, ``payment_rollup``) are shared
+    with int_payment_health, so each fact table is aggregated once."""
     subs = (
         subscriptions.where(~F.col("is_date_inverted") & F.col("account_id").isNotNull())
         .groupBy("account_id")
@@ -99,10 +104,12 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
             F.avg("subscription_duration_days").alias("avg_subscription_duration_days"),
         )
     )
-    inv = invoice_rollup(invoices)
-    pay = payment_rollup(payments).select(
+    inv = invoice_totals if invoice_totals is not None else invoice_rollup(invoices)
+    pay = (payment_totals if payment_totals is not None else payment_rollup(payments)).select(
         "account_id", "total_payments", "successful_payments", "failed_payments",
         "repeat_failures", "total_payment_amount")
+    inv = inv.select("account_id", "total_invoices", "paid_invoices", "overdue_invoices",
+                     "total_billed", "total_collected", "total_outstanding", "max_days_overdue")
     a = accounts.select("account_id", "account_name", "industry", "country",
                         "account_status", "tier", "tier_rank", "is_churned", "created_at")
     joined = a.join(subs, "account_id", "left").join(inv, "account_id", "left") \
@@ -131,13 +138,16 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
 
 
 # ------------------------------------------------------------------- D2
-def int_payment_health(payments: DataFrame, invoices: DataFrame) -> DataFrame:
+def int_payment_health(payments: DataFrame, invoices: DataFrame,
+                       invoice_totals: DataFrame | None = None,
+                       payment_totals: DataFrame | None = None) -> DataFrame:
+    """D2; the optional rollups are shared with D1 as there."""
     paid = payments.where(F.col("account_id").isNotNull())
-    roll = payment_rollup(paid)
+    roll = payment_totals if payment_totals is not None else payment_rollup(paid)
     consecutive = adjacent_flag_pairs(
         paid, "account_id", ["created_at", "payment_id"], "is_failed",
         out="consecutive_failure_count")
-    inv = invoice_rollup(invoices).select(
+    inv = (invoice_totals if invoice_totals is not None else invoice_rollup(invoices)).select(
         "account_id", "total_invoices", "overdue_invoices", "total_billed",
         "total_outstanding", "max_days_overdue")
     j = roll.join(consecutive, "account_id", "left").join(inv, "account_id", "left")

@@ -237,17 +237,44 @@ def model_checks(df: DataFrame, checks: Sequence[Check],
     return out
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union of same-schema frames as a balanced tree.
+
+    A left-deep chain re-analyses an ever larger plan at each step; the
+    tree keeps the driver-side planning cost near-linear in the number
+    of checks. The optimizer flattens nested unions either way.
+    """
+    level = list(frames)
+    while len(level) > 1:
+        level = [level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i]
+                 for i in range(0, len(level), 2)]
+    return level[0]
+
+
 def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
-               checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """V6: one row per check: model, column_name, test, failures."""
-    resolve = models if callable(models) else models.__getitem__
+               checks: Sequence[Check] = CHECKS,
+               materialize: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """V6: one row per check: model, column_name, test, failures.
+
+    A model with checks of several shapes is read more than once (the
+    folded aggregate, a grouped count per unique column, anti joins).
+    ``materialize(name, df)`` may return a materialised copy (for example
+    a reliable checkpoint) so that an expensive model is computed once;
+    it is called once per model, including parents of relationships.
+    """
+    raw_resolve = models if callable(models) else models.__getitem__
+    cache: dict[str, DataFrame] = {}
+
+    def resolve(name: str) -> DataFrame:
+        if name not in cache:
+            df = raw_resolve(name)
+            cache[name] = materialize(name, df) if materialize else df
+        return cache[name]
+
     by_model: dict[str, list[Check]] = {}
     for ch in checks:
         by_model.setdefault(ch.model, []).append(ch)
     frames: list[DataFrame] = []
     for model, model_checks_ in by_model.items():
         frames.extend(model_checks(resolve(model), model_checks_, resolve))
-    result = frames[0]
-    for f in frames[1:]:
-        result = result.unionByName(f)
-    return result.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    return union_all(frames).withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))

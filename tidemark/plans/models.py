@@ -30,6 +30,7 @@ class Model:
     dated: bool = False  # takes as_of
     stamped: bool = False  # takes run_ts
     description: str = ""
+    shared: tuple[tuple[str, str], ...] = ()  # (keyword, helper model) passed in
 
 
 def _staging_models() -> list[Model]:
@@ -41,13 +42,23 @@ def _staging_models() -> list[Model]:
     return out
 
 
+ROLLUPS = (("invoice_totals", "account_invoice_totals"),
+           ("payment_totals", "account_payment_totals"))
+
 MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
+    # Helpers: per-account invoice and payment totals read by both D1 and
+    # D2. Not models of their own in the layer sense; sharing them lets a
+    # full build aggregate each fact table once.
+    Model("account_invoice_totals", "helper", ("helper",), ("stg_erp__invoices",),
+          I.invoice_rollup),
+    Model("account_payment_totals", "helper", ("helper",), ("stg_erp__payments",),
+          I.payment_rollup),
     Model("int_accounts_with_subscriptions", "intermediate", ("intermediate",),
           ("stg_crm__accounts", "stg_erp__subscriptions", "stg_erp__invoices",
-           "stg_erp__payments"), I.int_accounts_with_subscriptions,
+           "stg_erp__payments"), I.int_accounts_with_subscriptions, shared=ROLLUPS,
           description="One row per account: subscription, invoice and payment rollups."),
     Model("int_payment_health", "intermediate", ("intermediate",),
-          ("stg_erp__payments", "stg_erp__invoices"), I.int_payment_health,
+          ("stg_erp__payments", "stg_erp__invoices"), I.int_payment_health, shared=ROLLUPS,
           description="One row per paying account: failure pattern, score and band."),
     Model("int_customer_health", "intermediate", ("intermediate",),
           ("stg_crm__accounts", "stg_crm__support_tickets", "stg_web__feature_usage",
@@ -76,7 +87,9 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
 ]}
 
 # Models read by more than one downstream model; persisted in build_all.
-SHARED = ("int_accounts_with_subscriptions", "int_payment_health")
+# All four are one row per account, small next to the fact tables.
+SHARED = ("account_invoice_totals", "account_payment_totals",
+          "int_accounts_with_subscriptions", "int_payment_health")
 
 
 def by_tag(tag: str) -> list[str]:
@@ -88,7 +101,8 @@ def upstream(name: str) -> list[str]:
     seen: list[str] = []
 
     def visit(n: str) -> None:
-        for dep in MODELS[n].inputs:
+        deps = list(MODELS[n].inputs) + [helper for _, helper in MODELS[n].shared]
+        for dep in deps:
             if not dep.startswith("raw.") and dep not in seen:
                 visit(dep)
         if n not in seen:
@@ -110,7 +124,7 @@ class Warehouse:
             m = MODELS[name]
             args = [self.raw[d[4:]] if d.startswith("raw.") else self.model(d)
                     for d in m.inputs]
-            kwargs = {}
+            kwargs = {kw: self.model(helper) for kw, helper in m.shared}
             if m.dated:
                 kwargs["as_of"] = self.as_of
             if m.stamped:

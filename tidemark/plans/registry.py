@@ -52,7 +52,8 @@ def _model_query(name: str) -> QueryFn:
     return run
 
 
-QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name in MODELS}
+QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name, m in MODELS.items()
+                               if m.layer != "helper"}
 
 
 # ------------------------------------------------ queries over the marts
