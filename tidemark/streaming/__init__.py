@@ -1 +1,6 @@
-"""tidemark package."""
+"""Streaming: intentionally empty.
+
+The warehouse being re-expressed is batch only (full-refresh views and
+tables); it has no streams, watermarks or stateful operators, so there
+is nothing to build here.
+"""
