@@ -34,13 +34,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none
-    (local tests) is a scratch folder created and registered.
+    Read from ``spark.checkpoint.dir`` (or one already set on the
+    context). Only a local-mode session (tests) without one gets a
+    scratch folder; on a cluster a machine-local folder would not survive
+    the loss of an executor, so a missing setting is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
