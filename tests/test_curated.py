@@ -68,6 +68,7 @@ def test_marts_written_with_comments(spark):
     cols = {r.column_name: r.description
             for r in describe_table(spark, "test_marts.mart_customer_churn").collect()}
     assert "churn_risk_score" in cols and cols["churn_risk_score"]
+    assert all(cols.values()), [c for c, text in cols.items() if not text]
     written = spark.table("test_marts.mart_revenue")
     assert written.count() == wh.model("mart_revenue").count()
     lookup = Q.get_account_revenue_health(written, "A7")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.models import MODELS, SHARED, Warehouse
+from tidemark.sources.glossary import describe
 
 # Key of each mart (one row per key), used to sort rows within files.
 MART_KEYS = {
@@ -29,48 +30,6 @@ MART_KEYS = {
     "mart_sales_funnel": "lead_id",
 }
 
-# Column descriptions stored with the marts (our own wording).
-COLUMN_COMMENTS = {
-    "mart_customer_churn": {
-        "account_id": "Account key; one row per account.",
-        "churn_risk_score": "Churn risk points, 0 to 100; higher is riskier.",
-        "churn_risk_band": "critical (>= 60), high (>= 40), medium (>= 20) or low.",
-        "payment_health_score": "100 minus payment penalties; NULL when the account has "
-                                "payments but no invoices.",
-        "payment_health_band": "critical, poor, at_risk or healthy; NULL without payments.",
-        "mrr_at_risk": "Share of MRR at risk by churn band (100/75/40/0 percent).",
-        "arr_at_risk": "Share of ARR at risk by churn band (100/75/40/0 percent).",
-        "most_recent_failure_reason": "Reason on the latest failed payment (NULL if that "
-                                      "payment has no reason).",
-        "power_usage_days": "Usage rows at power level (counts rows, not days).",
-        "inactive_days": "Usage rows at inactive level (counts rows, not days).",
-        "recommended_action": "Next step for the account's churn band.",
-        "mart_updated_at": "When the mart was built.",
-    },
-    "mart_revenue": {
-        "account_id": "Account key; one row per account.",
-        "total_collected": "Amount paid on invoices (not payments).",
-        "collection_rate_pct": "Collected over billed, percent; 0 when nothing was billed.",
-        "revenue_health_band": "no_revenue, healthy, stable, at_risk or critical.",
-        "arr_at_risk": "Share of ARR at risk by collection rate (100/50/20/0 percent).",
-        "net_revenue": "Collected minus outstanding.",
-        "outstanding_pct": "Outstanding over billed, percent.",
-        "estimated_clv": "MRR times average subscription length in 30-day months.",
-        "mart_updated_at": "When the mart was built.",
-    },
-    "mart_sales_funnel": {
-        "lead_id": "Lead key; one row per lead (account columns repeat).",
-        "funnel_stage": "1_lead, 2_converted, 3_in_pipeline, 4_closed_won or 4_closed_lost.",
-        "lead_outcome": "closed_won, closed_lost, in_pipeline or not_converted.",
-        "attribution_type": "campaign when the lead has a campaign, else organic.",
-        "days_lead_to_close": "Days from lead creation to close for won deals; NULL otherwise "
-                              "or when negative.",
-        "campaign_spend": "Campaign spend when above zero; repeats on each lead row.",
-        "revenue_per_spend": "Won amount over campaign spend, for won leads.",
-        "mart_updated_at": "When the mart was built.",
-    },
-}
-
 
 def _sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -82,18 +41,22 @@ def ensure_database(spark: SparkSession, database: str) -> None:
 
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts",
                fmt: str = "parquet") -> str:
-    """S3 + S4: full-refresh ``database.name`` and store its comments."""
+    """S3 + S4: full-refresh ``database.name`` and store its comments.
+
+    Column comments travel as field metadata, so the table is created
+    with them in one write; the table comment is one catalog call.
+    """
     ensure_database(spark, database)
     table = f"{database}.{name}"
+    documented = df.select(*[
+        F.col(c).alias(c, metadata={"comment": describe(name, c)}) if describe(name, c)
+        else F.col(c) for c in df.columns])
     key = MART_KEYS.get(name)
-    out = df.sortWithinPartitions(key) if key else df
+    out = documented.sortWithinPartitions(key) if key else documented
     out.write.mode("overwrite").format(fmt).saveAsTable(table)
     description = MODELS[name].description if name in MODELS else ""
     if description:
         spark.sql(f"COMMENT ON TABLE {table} IS {_sql_str(description)}")
-    for column, text in COLUMN_COMMENTS.get(name, {}).items():
-        if column in df.columns:
-            spark.sql(f"ALTER TABLE {table} ALTER COLUMN {column} COMMENT {_sql_str(text)}")
     return table
 
 
@@ -101,9 +64,10 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "mart
                 names: tuple[str, ...] = tuple(MART_KEYS)) -> list[str]:
     """Build and write the marts; shared intermediates are computed once.
 
-    The two intermediates read by both account marts are persisted for
-    the duration of the build (recomputed from lineage if an executor is
-    lost) and released afterwards.
+    The account-grain frames read by both account marts (invoice and
+    payment totals, D1, D2) are persisted for the duration of the build
+    (recomputed from lineage if an executor is lost) and released
+    afterwards.
     """
     warehouse.persist_shared()
     try:
