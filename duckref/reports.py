@@ -1,6 +1,6 @@
 """DuckDB SQL for the curated queries, dashboard rollups and check suite.
 
-Each statement reads the oracle's own mart CTEs (see ``oracle.duck``).
+Each statement reads the oracle's own mart CTEs (see ``duckref.duck``).
 Decimal results are cast to DOUBLE, as on the Spark side; ratios of
 money are rounded exactly with ``rdiv`` and averages of 2-decimal values
 with ``ravg``. Top-k lists order like the Spark side: the sort column
@@ -9,7 +9,7 @@ with NULLs last on DESC (first on ASC), then the key.
 
 from __future__ import annotations
 
-from oracle.duck import FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
+from duckref.duck import FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
 from tidemark.operators.quality import CHECKS
 
 D = "AS DOUBLE)"
