@@ -2,7 +2,8 @@
 the 95-check suite on the test data, and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8). Timings are wall-clock seconds per step; each step ends in
+(default 8), BENCH_SHUFFLE (shuffle partitions, default 2 x CPUs; AQE
+coalesces them at run time). Timings are wall-clock seconds per step; each step ends in
 an action that runs the whole plan (writes to a parquet table or to the
 ``noop`` sink), so nothing is left lazily unexecuted.
 
@@ -40,8 +41,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="tidemark-bench-")
-    spark = (local_session(cores=cpus, shuffle_partitions=max(8, int(cpus) * 2),
-                           app="tidemark-bench", warehouse_dir=os.path.join(scratch, "wh")))
+    shuffle = int(os.environ.get("BENCH_SHUFFLE", int(cpus) * 2))
+    spark = local_session(cores=cpus, shuffle_partitions=shuffle, app="tidemark-bench",
+                          warehouse_dir=os.path.join(scratch, "wh"))
     # Warm-up (JVM, class loading, file listing); not timed.
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
 
