@@ -46,3 +46,16 @@ def test_registry_layers_and_dag():
     assert order[-1] == "mart_customer_churn"
     assert order.index("int_accounts_with_subscriptions") < order.index("int_customer_health")
     assert order.index("account_payment_totals") < order.index("int_payment_health")
+
+
+def test_run_entry_point_builds_and_checks(spark):
+    from tidemark.plans.run import main
+
+    root = os.path.join(tempfile.mkdtemp(prefix="tidemark-run-"), "raw")
+    write_parquet_tables(raw_tables(spark, SF_SMALL), root)
+    status = main(["--raw-root", root, "--database", "run_marts", "--as-of", "2002-01-01",
+                   "--checks"])
+    assert status == 0
+    assert spark.table("run_marts.quality_results").count() == 95
+    assert spark.table("run_marts.mart_revenue").count() == \
+        spark.table("run_marts.mart_customer_churn").count()

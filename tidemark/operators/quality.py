@@ -152,9 +152,6 @@ CHECKS: tuple[Check, ...] = tuple(
              "days_convert_to_close >= 0 or days_convert_to_close is null")]
 )
 
-RESULT_COLUMNS = ["model", "column_name", "test", "failures"]
-
-
 # ------------------------------------------------------- single checks
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """V1: the duplicated non-NULL values of ``column`` with their counts."""

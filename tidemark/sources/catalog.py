@@ -15,8 +15,6 @@ statistics instead of reading the whole table.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,9 +88,4 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
                     F.col("comment").alias("description")))
 
 
-def stamp() -> dt.datetime:
-    """Build time for ``mart_updated_at`` (UTC, second precision)."""
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-
-
 __all__ = ["build_marts", "describe_table", "list_tables", "write_mart", "SHARED"]
