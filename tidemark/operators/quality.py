@@ -10,13 +10,14 @@ query returns (0 passes):
 * relationships: non-NULL child rows whose key is missing in the parent;
 * expression_is_true: rows where the expression is false (NULL passes).
 
-The suite scans each model once for all its not_null, accepted_values
-and expression checks (one aggregate with a partial stage), and runs one
-grouped aggregate per unique column and one anti join per relationship.
-For the anti join the child keys are aggregated first, so a key that
-holds a large share of the rows reaches the join as one row with a count.
-Nothing is collected to the driver: per-model results are one-row
-DataFrames, exploded to one row per check and unioned.
+The suite scans each model once for all its unique, not_null,
+accepted_values and expression checks (``single_pass_checks``: one
+explode and a two-level aggregate with partial stages), and runs one
+anti join per relationship. For the anti join the child keys are
+aggregated first, so a key that holds a large share of the rows reaches
+the join as one row with a count. Nothing is collected to the driver:
+per-model results are one-row DataFrames, exploded to one row per check
+and unioned.
 """
 
 from __future__ import annotations
@@ -192,44 +193,82 @@ def _row(check: Check, failures: Column) -> Column:
                     F.lit(check.test).alias("test"), failures.cast("long").alias("failures"))
 
 
-def _folded_failures(check: Check) -> Column:
+def _witness(check: Check) -> Column:
+    """Per row, the value a check looks at, or NULL when the row cannot fail it.
+
+    unique: the key (NULL keys are ignored); accepted_values: a value
+    outside the list; not_null / expression_is_true: a marker on a
+    failing row. Values are compared in text form.
+    """
     c = F.col(check.column)
+    if check.test == "unique":
+        return c.cast("string")
     if check.test == "not_null":
-        return F.count_if(c.isNull())
+        return F.when(c.isNull(), F.lit(""))
     if check.test == "accepted_values":
-        return F.count_distinct(F.when(c.isNotNull() & ~c.isin(*check.values), c))
+        return F.when(c.isNotNull() & ~c.isin(*check.values), c.cast("string"))
     if check.test == "expression_is_true":
-        return F.count_if(~F.expr(check.expression))
+        return F.when(~F.expr(check.expression), F.lit(""))
     raise ValueError(check.test)
 
 
+# Failures of a check from its (value, rows) groups: duplicated values,
+# distinct bad values, or failing rows.
+_METRIC = {"unique": "dups", "accepted_values": "values", "not_null": "rows",
+           "expression_is_true": "rows"}
+
+
 def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -> DataFrame:
     rows = F.array(*[_row(ch, F.col(a)) for ch, a in zip(checks, aliases)])
     return one_row.select(F.explode(rows).alias("r")).select("r.*")
 
 
-FOLDED = ("not_null", "accepted_values", "expression_is_true")
+SINGLE_PASS = tuple(_METRIC)
+
+
+def single_pass_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """unique, not_null, accepted_values and expression checks of one model
+    in one scan.
+
+    Each row emits (check, value) for every check it is relevant to (its
+    key for unique, a bad value, a failure marker); rows that cannot fail
+    a check emit nothing for it. Grouping by (check, value) with a partial
+    stage collapses repeats inside each task, so only distinct keys and
+    bad values are shuffled, and a hot key travels as one row per task.
+    A second aggregate turns the groups into one failure count per check.
+    """
+    items = F.array(*[F.struct(F.lit(i).alias("i"), _witness(ch).alias("v"))
+                      for i, ch in enumerate(checks)])
+    pairs = df.select(F.explode(items).alias("p")).select("p.i", "p.v") \
+        .where(F.col("v").isNotNull())
+    per_value = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    per_check = per_value.groupBy("i").agg(
+        F.count_if(F.col("n") > 1).alias("dups"),
+        F.count(F.lit(1)).alias("values"),
+        F.sum("n").alias("rows"),
+    )
+    aliases = [f"_c{i}" for i in range(len(checks))]
+    one = per_check.agg(*[
+        F.coalesce(F.max(F.when(F.col("i") == i, F.col(_METRIC[ch.test]))), F.lit(0)).alias(a)
+        for i, (ch, a) in enumerate(zip(checks, aliases))])
+    return _explode_rows(one, list(checks), aliases)
 
 
 def model_checks(df: DataFrame, checks: Sequence[Check],
                  resolve: Callable[[str], DataFrame] | None = None) -> list[DataFrame]:
-    """One result frame per scan of ``df`` for ``checks`` (all on one model)."""
+    """Result frames for ``checks`` (all on one model): one scan for the
+    single-pass kinds, plus one anti join per relationship."""
     out = []
-    folded = [ch for ch in checks if ch.test in FOLDED]
-    if folded:
-        aliases = [f"_c{i}" for i in range(len(folded))]
-        agg = df.agg(*[_folded_failures(ch).alias(a) for ch, a in zip(folded, aliases)])
-        out.append(_explode_rows(agg, folded, aliases))
+    single = [ch for ch in checks if ch.test in SINGLE_PASS]
+    if single:
+        out.append(single_pass_checks(df, single))
     for ch in checks:
-        if ch.test == "unique":
-            n = unique_failures(df, ch.column).agg(F.count(F.lit(1)).alias("_n"))
-        elif ch.test == "relationships":
-            if resolve is None:
-                raise ValueError("relationships checks need a model resolver")
-            n = relationships_failures(df, ch.column, resolve(ch.to_model), ch.to_column) \
-                .agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-        else:
+        if ch.test != "relationships":
             continue
+        if resolve is None:
+            raise ValueError("relationships checks need a model resolver")
+        n = relationships_failures(df, ch.column, resolve(ch.to_model), ch.to_column) \
+            .agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
         out.append(_explode_rows(n, [ch], ["_n"]))
     return out
 

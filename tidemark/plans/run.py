@@ -28,7 +28,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.operators.quality import run_checks  # noqa: E402
 from tidemark.plans.models import Warehouse  # noqa: E402
 from tidemark.session import configure  # noqa: E402
-from tidemark.sources.catalog import build_marts, ensure_database  # noqa: E402
+from tidemark.sources.catalog import MART_KEYS, build_marts, ensure_database  # noqa: E402
 from tidemark.sources.raw import read_catalog_tables, read_parquet_tables  # noqa: E402
 
 
@@ -59,8 +59,18 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     ensure_database(spark, args.database)
     results = f"{args.database}.quality_results"
-    run_checks(wh.model).withColumn("checked_at", F.lit(run_ts)) \
-        .write.mode("overwrite").saveAsTable(results)
+
+    def model(name: str):
+        # Marts are checked as published (the written tables); staging and
+        # intermediate models are views, evaluated from the raw tables.
+        return spark.table(f"{args.database}.{name}") if name in MART_KEYS else wh.model(name)
+
+    wh.persist_shared()
+    try:
+        run_checks(model).withColumn("checked_at", F.lit(run_ts)) \
+            .write.mode("overwrite").saveAsTable(results)
+    finally:
+        wh.unpersist()
     failed = spark.table(results).where(F.col("failures") > 0)
     n_failed = failed.count()
     failed.orderBy("model", "column_name", "test").show(100, truncate=False)
