@@ -9,7 +9,7 @@ runs nothing until an action.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -114,7 +114,7 @@ def upstream(name: str) -> list[str]:
 
 @dataclass
 class Warehouse:
-    raw: dict[str, DataFrame]
+    raw: Mapping[str, DataFrame]
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
     _built: dict[str, DataFrame] = field(default_factory=dict)

@@ -14,12 +14,13 @@ staging layer's cleaning has something to do.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import MONEY
+from tidemark.sources.raw import LazyTables
 
 RAW_TABLES = (
     "accounts", "contacts", "leads", "opportunities", "campaigns",
@@ -67,15 +68,23 @@ def _floor_money(c: Column) -> Column:
 
 
 class TestData:
-    """Reads the generated parquet tables of one scale factor."""
+    """Reads the generated parquet tables of one scale factor.
+
+    Each source file is opened once (several raw tables derive from
+    ``orders`` and ``events``); Catalyst still prunes every scan to the
+    columns its raw table uses.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return df.select(*SOURCE_COLUMNS[name])
+        if name not in self._sources:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._sources[name] = df.select(*SOURCE_COLUMNS[name])
+        return self._sources[name]
 
     # -- crm -----------------------------------------------------------
     def accounts(self) -> DataFrame:
@@ -348,6 +357,6 @@ class TestData:
         return {name: self.raw(name) for name in RAW_TABLES}
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The 14 raw tables derived from the test data in ``sf_dir``."""
-    return TestData(spark, sf_dir).all_raw()
+def raw_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The 14 raw tables derived from the test data in ``sf_dir`` (lazy)."""
+    return LazyTables(TestData(spark, sf_dir).raw, RAW_TABLES)
