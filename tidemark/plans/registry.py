@@ -30,10 +30,28 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A fresh warehouse over the test data (lazy: nothing runs yet)."""
     configure(spark)
     return Warehouse(raw_tables(spark, sf_dir), as_of=AS_OF, run_ts=RUN_TS)
 
 
+_PLANS: dict[tuple, Warehouse] = {}
+
+
+def planned(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse for (session, sf_dir), reused across registered queries.
+
+    Only the lazy DataFrame plans are shared (building them is driver-side
+    work); no data is cached, so every query still reads its tables.
+    """
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _PLANS:
+        _PLANS.clear()
+        _PLANS[key] = warehouse(spark, sf_dir)
+    configure(spark)
+    return _PLANS[key]
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as double, without the run timestamp."""
     cols = []
@@ -47,7 +65,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _model_query(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(warehouse(spark, sf_dir).model(name))
+        return comparable(planned(spark, sf_dir).model(name))
     run.__name__ = name
     return run
 
@@ -59,7 +77,7 @@ QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name, m in MODELS.it
 # ------------------------------------------------ queries over the marts
 def _over(mart: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(fn(warehouse(spark, sf_dir).model(mart)))
+        return comparable(fn(planned(spark, sf_dir).model(mart)))
     return run
 
 
@@ -105,7 +123,7 @@ QUERIES.update({
 
 def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 95 checks over every model built from the test data."""
-    return run_checks(warehouse(spark, sf_dir).model)
+    return run_checks(planned(spark, sf_dir).model)
 
 
 QUERIES["v6_quality_suite"] = quality_suite
