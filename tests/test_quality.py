@@ -82,3 +82,26 @@ def test_suite_on_fixture_has_no_key_defects(spark):
              res.where(F.col("test").isin("unique", "relationships")
                        & (F.col("failures") > 0)).collect()}
     assert fails == set()
+
+
+def test_single_pass_matches_one_check_at_a_time(spark):
+    rng = random.Random(3)
+    vals = ["x", "y", "z", "bad", None]
+    rows = [(rng.choice(["k1", "k2", "hot", "hot", None] + [f"u{i}"]), rng.choice(vals),
+             rng.choice([None, -1, 0, 5])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, v string, n long")
+    checks = [Check("m", "k", "unique"), Check("m", "k", "not_null"),
+              Check("m", "v", "not_null"),
+              Check("m", "v", "accepted_values", values=("x", "y")),
+              Check("m", "n", "expression_is_true", expression="n >= 0 or n is null")]
+    got = {(r.column_name, r.test): r.failures
+           for r in run_checks({"m": df}, checks).collect()}
+    want = {
+        ("k", "unique"): unique_failures(df, "k").count(),
+        ("k", "not_null"): not_null_failures(df, "k").count(),
+        ("v", "not_null"): not_null_failures(df, "v").count(),
+        ("v", "accepted_values"): accepted_values_failures(df, "v", ["x", "y"]).count(),
+        ("n", "expression_is_true"): expression_failures(df, "n >= 0 or n is null").count(),
+    }
+    assert got == want
+    assert got[("k", "unique")] >= 1 and got[("v", "accepted_values")] == 2
