@@ -34,7 +34,7 @@ def clean(c: str | Column) -> Column:
 
 def flag(cond: Column) -> Column:
     """CASE WHEN cond THEN true ELSE false: a NULL condition is false."""
-    return F.when(cond, F.lit(True)).otherwise(F.lit(False))
+    return F.coalesce(cond, F.lit(False))
 
 
 def money(c: str | Column) -> Column:
