@@ -13,8 +13,9 @@ measure steady-state work rather than JVM and code-generation start-up.
 
 Steps:
   build_<mart>     each mart from the raw tables alone, written to noop
-  build_all_marts  the three marts together into parquet tables, with
-                   the shared intermediates persisted once
+  build_all_marts  the three marts together into parquet tables
+                   (build_marts: shared intermediates persisted once,
+                   three concurrent writer jobs)
   q*/r*            curated queries and rollups over the written marts
   v6_quality_suite all 95 checks: marts as written, other models as views
 """
@@ -33,7 +34,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidemark.plans.registry import AS_OF, QUERIES, RUN_TS, warehouse  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
 from tidemark.operators.quality import run_checks  # noqa: E402
-from tidemark.sources.catalog import MART_KEYS, write_mart  # noqa: E402
+from tidemark.sources.catalog import MART_KEYS, build_marts  # noqa: E402
 
 
 def _sf(path: str) -> float | str:
@@ -72,12 +73,7 @@ def main() -> None:
     wh = warehouse(spark, sf_dir)
 
     def build_all():
-        wh.persist_shared()
-        try:
-            for mart in MART_KEYS:
-                write_mart(spark, wh.model(mart), mart, database="bench_marts")
-        finally:
-            wh.unpersist()
+        build_marts(spark, wh, database="bench_marts")
 
     timed("build_all_marts", build_all)
 
