@@ -220,7 +220,7 @@ _METRIC = {"unique": "dups", "accepted_values": "values", "not_null": "rows",
 
 def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -> DataFrame:
     rows = F.array(*[_row(ch, F.col(a)) for ch, a in zip(checks, aliases)])
-    return one_row.select(F.explode(rows).alias("r")).select("r.*")
+    return one_row.select(F.inline(rows))
 
 
 SINGLE_PASS = tuple(_METRIC)
@@ -239,8 +239,7 @@ def single_pass_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """
     items = F.array(*[F.struct(F.lit(i).alias("i"), _witness(ch).alias("v"))
                       for i, ch in enumerate(checks)])
-    pairs = df.select(F.explode(items).alias("p")).select("p.i", "p.v") \
-        .where(F.col("v").isNotNull())
+    pairs = df.select(F.inline(items)).where(F.col("v").isNotNull())
     per_value = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
     per_check = per_value.groupBy("i").agg(
         F.count_if(F.col("n") > 1).alias("dups"),
