@@ -30,14 +30,20 @@ def adjacent_flag_pairs(df: DataFrame, key: str, order: Sequence[str], flag: str
               else narrow.repartitionByRange(key, *order))
     chunked = ranged.withColumn("_chunk", F.spark_partition_id())
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
-    pos = F.struct(*order)
+    # lag/lead of a constant are NULL exactly on a chunk's first/last row,
+    # so the first and last flags come out of the same window pass and the
+    # aggregate keeps fixed-width buffers (hash aggregation, no sort).
     per_chunk = (
-        chunked.withColumn("_prev", F.lag(flag).over(in_chunk))
+        chunked.select(
+            key, "_chunk", F.col(flag).alias("_f"),
+            F.lag(flag).over(in_chunk).alias("_prev"),
+            F.lag(F.lit(1)).over(in_chunk).isNull().alias("_is_first"),
+            F.lead(F.lit(1)).over(in_chunk).isNull().alias("_is_last"))
         .groupBy(key, "_chunk")
         .agg(
-            F.count_if(F.col(flag) & F.col("_prev")).alias("_inner"),
-            F.min_by(F.col(flag), pos).alias("_first"),
-            F.max_by(F.col(flag), pos).alias("_last"),
+            F.count_if(F.col("_f") & F.col("_prev")).alias("_inner"),
+            F.max(F.when(F.col("_is_first"), F.col("_f"))).alias("_first"),
+            F.max(F.when(F.col("_is_last"), F.col("_f"))).alias("_last"),
         )
     )
     across = Window.partitionBy(key).orderBy("_chunk")
