@@ -65,6 +65,14 @@ FROM mart_sales_funnel
 WHERE lead_outcome = '{LEAD_OUTCOME}' AND ('{ATTRIBUTION}' = 'all' OR attribution_type = '{ATTRIBUTION}')
 ORDER BY opportunity_amount DESC NULLS LAST, lead_id LIMIT {ROW_LIMIT}"""
 
+REPORTS["q6_list_leads_by_outcome_any_attribution"] = f"""
+SELECT lead_id, account_name, tier, lead_source, attribution_type, lead_outcome,
+  CAST(opportunity_amount {D} AS opportunity_amount, CAST(weighted_amount {D} AS weighted_amount,
+  days_lead_to_close
+FROM mart_sales_funnel
+WHERE lead_outcome = 'in_pipeline' AND ('all' = 'all' OR attribution_type = 'all')
+ORDER BY opportunity_amount DESC NULLS LAST, lead_id LIMIT 200"""
+
 REPORTS["q7_average_churn_risk_by_tier"] = f"""
 SELECT tier, count(*) AS accounts, {ravg('churn_risk_score')} AS avg_churn_risk_score,
   CAST(sum(mrr_at_risk) {D} AS mrr_at_risk

@@ -88,6 +88,7 @@ HEALTH_BAND = "at_risk"
 LEAD_OUTCOME = "closed_won"
 ATTRIBUTION = "campaign"
 ROW_LIMIT = 20
+MAX_ROWS = 200
 
 CHURN, REVENUE, FUNNEL = "mart_customer_churn", "mart_revenue", "mart_sales_funnel"
 
@@ -103,6 +104,8 @@ QUERIES.update({
     "q5_get_funnel_summary_by_stage": _over(FUNNEL, Q.get_funnel_summary_by_stage),
     "q6_list_leads_by_outcome":
         _over(FUNNEL, lambda m: Q.list_leads_by_outcome(m, LEAD_OUTCOME, ATTRIBUTION, ROW_LIMIT)),
+    "q6_list_leads_by_outcome_any_attribution":
+        _over(FUNNEL, lambda m: Q.list_leads_by_outcome(m, "in_pipeline", "all", MAX_ROWS)),
     "q7_average_churn_risk_by_tier": _over(CHURN, Q.average_churn_risk_by_tier),
     "r1_churn_kpis": _over(CHURN, R.churn_kpis),
     "r2_churn_by_band": _over(CHURN, R.churn_by_band),
