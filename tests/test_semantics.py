@@ -191,3 +191,28 @@ def test_least_strict_and_single_rounding(spark):
     assert row.n is None and row.capped == M("20")
     assert row.pct == M("61.55")  # a two-step decimal division gives 61.56
     assert row.score == 14.56  # 14.555 rounded half up in decimal
+
+
+def test_churn_mart_reading_d1_once_equals_definition(spark):
+    """The shared form of the churn mart gives the same rows as the literal
+    three-way join, including repeated account keys (which multiply rows)."""
+    from tidemark.operators.marts import mart_customer_churn
+
+    wh = warehouse(
+        spark, accounts=[account("A1"), account("A1", tier="growth"), account("A2"),
+                         account(None)],
+        subscriptions=[subscription("S1", "A1", "active", "2000-01-01", "2001-01-01"),
+                       subscription("S2", "A2", "churned", "2000-03-01", None)],
+        invoices=[invoice("I1", "A1", "overdue", "2001-01-01"),
+                  invoice("I2", "A2", "partial", "2001-01-01", amount_paid="40")],
+        payments=[payment("P1", "A1", "failed", "2001-01-01 00:00:00", reason="fraud"),
+                  payment("P2", "A2", "successful", "2001-01-02 00:00:00")])
+    literal = mart_customer_churn(wh["int_customer_health"], wh["int_payment_health"],
+                                  wh["int_accounts_with_subscriptions"], as_of=wh.as_of,
+                                  run_ts=wh.run_ts)
+    shared = wh["mart_customer_churn"]
+    assert shared.columns == literal.columns
+    assert sorted(map(tuple, shared.collect()), key=repr) == \
+        sorted(map(tuple, literal.collect()), key=repr)
+    assert shared.where(F.col("account_id") == "A1").count() == 8  # 2 x 2 x 2
+    assert shared.count() == 8 + 1 + 1

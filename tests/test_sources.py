@@ -40,11 +40,12 @@ def test_registry_layers_and_dag():
     layers = {}
     for m in MODELS.values():
         layers[m.layer] = layers.get(m.layer, 0) + 1
-    assert layers == {"staging": 14, "intermediate": 5, "marts": 3, "helper": 2}
+    assert layers == {"staging": 14, "intermediate": 5, "marts": 3, "helper": 3}
     assert set(by_tag("marts")) == {"mart_customer_churn", "mart_revenue", "mart_sales_funnel"}
     order = upstream("mart_customer_churn")
     assert order[-1] == "mart_customer_churn"
-    assert order.index("int_accounts_with_subscriptions") < order.index("int_customer_health")
+    assert order.index("int_accounts_with_subscriptions") \
+        < order.index("customer_health_with_billing")
     assert order.index("account_payment_totals") < order.index("int_payment_health")
 
 

@@ -194,8 +194,32 @@ def churn_band(score: Column) -> Column:
             .when(score >= 20, "medium").otherwise("low"))
 
 
+# Columns of int_accounts_with_subscriptions that mart_customer_churn
+# reads besides those int_customer_health already carries. All of them
+# are rollups of the account key, so they are the same on every row of
+# an account.
+BILLING_COLS = [
+    "total_subscriptions", "churned_subscriptions", "earliest_subscription_start",
+    "latest_subscription_start", "avg_subscription_duration_days", "total_billed",
+    "total_collected", "total_outstanding", "max_days_overdue",
+]
+
+
 def int_customer_health(accounts: DataFrame, support_tickets: DataFrame,
                         feature_usage: DataFrame, account_subscriptions: DataFrame) -> DataFrame:
+    """D3."""
+    return customer_health_with_billing(
+        accounts, support_tickets, feature_usage, account_subscriptions).drop(*BILLING_COLS)
+
+
+def customer_health_with_billing(accounts: DataFrame, support_tickets: DataFrame,
+                                 feature_usage: DataFrame,
+                                 account_subscriptions: DataFrame) -> DataFrame:
+    """D3 plus ``BILLING_COLS`` taken from the same join with D1.
+
+    Lets the churn mart read D1 once instead of joining it a second time
+    (see ``marts.mart_customer_churn_shared``).
+    """
     tickets = (
         support_tickets.where(F.col("account_id").isNotNull())
         .groupBy("account_id")
@@ -224,7 +248,7 @@ def int_customer_health(accounts: DataFrame, support_tickets: DataFrame,
     )
     s = account_subscriptions.select(
         "account_id", "total_mrr", "total_arr", "active_subscriptions", "collection_rate_pct",
-        "payment_failure_rate_pct", "overdue_invoices", "repeat_failures")
+        "payment_failure_rate_pct", "overdue_invoices", "repeat_failures", *BILLING_COLS)
     a = accounts.select("account_id", "account_name", "industry", "tier", "tier_rank",
                         "account_status", "is_churned")
     j = a.join(s, "account_id", "left").join(tickets, "account_id", "left") \
@@ -248,6 +272,7 @@ def int_customer_health(accounts: DataFrame, support_tickets: DataFrame,
         _zero("power_usage_days"), _zero("inactive_days"),
         "latest_usage_date", "avg_session_duration_minutes",
         score.alias("churn_risk_score"),
+        *BILLING_COLS,
     ).withColumn("churn_risk_band", churn_band(F.col("churn_risk_score")))
 
 

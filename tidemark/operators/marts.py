@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import (
     MONEY, as_of_date, dec, flag, money_pct, round2, run_timestamp,
 )
+from tidemark.operators.intermediate import BILLING_COLS
 
 # Recommended next action per churn risk band.
 RECOMMENDED_ACTION = {
@@ -33,21 +34,47 @@ def _days_since(as_of, c: str):
 
 
 # ------------------------------------------------------------------- M1
+PAYMENT_HEALTH_COLS = [
+    "account_id", "payment_health_score", "payment_health_band",
+    "consecutive_failure_count", "total_cumulative_failures",
+    "most_recent_failure_reason", "latest_payment_date", "total_payments",
+    "successful_payments", "failed_payments",
+]
+
+
 def mart_customer_churn(customer_health: DataFrame, payment_health: DataFrame,
                         account_subscriptions: DataFrame, as_of: dt.date | None = None,
                         run_ts: dt.datetime | None = None) -> DataFrame:
-    ch = customer_health
-    ph = payment_health.select(
-        "account_id", "payment_health_score", "payment_health_band",
-        "consecutive_failure_count", "total_cumulative_failures",
-        "most_recent_failure_reason", "latest_payment_date", "total_payments",
-        "successful_payments", "failed_payments")
-    s = account_subscriptions.select(
-        "account_id", "total_subscriptions", "churned_subscriptions",
-        "earliest_subscription_start", "latest_subscription_start",
-        "avg_subscription_duration_days", "total_billed", "total_collected",
-        "total_outstanding", "max_days_overdue")
-    j = ch.join(ph, "account_id", "left").join(s, "account_id", "left")
+    """M1 as defined: customer health, then payment health, then D1."""
+    s = account_subscriptions.select("account_id", *BILLING_COLS)
+    j = customer_health.join(payment_health.select(*PAYMENT_HEALTH_COLS), "account_id", "left") \
+        .join(s, "account_id", "left")
+    return _churn_columns(j, as_of, run_ts)
+
+
+def mart_customer_churn_shared(health_with_billing: DataFrame, payment_health: DataFrame,
+                               accounts: DataFrame, as_of: dt.date | None = None,
+                               run_ts: dt.datetime | None = None) -> DataFrame:
+    """M1 with D1 read once: same rows and values as ``mart_customer_churn``.
+
+    The second join with D1 contributes only ``BILLING_COLS``, which are
+    rollups of the account key (equal on every D1 row of a key), and a
+    row multiplicity: the number of D1 rows per key, which is the number
+    of account rows per key. So the billing columns come from the D1 join
+    inside customer health (``customer_health_with_billing``) and the
+    multiplicity from a left join with the account key column alone: a
+    narrow scan of a dimension instead of re-aggregating subscriptions and
+    invoices. With unique account keys (a declared check) that join is
+    one-to-one; with duplicates it repeats rows exactly as the definition.
+    """
+    keys = accounts.select("account_id")
+    j = health_with_billing.join(payment_health.select(*PAYMENT_HEALTH_COLS), "account_id",
+                                 "left") \
+        .join(keys, "account_id", "left")
+    return _churn_columns(j, as_of, run_ts)
+
+
+def _churn_columns(j: DataFrame, as_of: dt.date | None, run_ts: dt.datetime | None) -> DataFrame:
     band = F.col("churn_risk_band")
 
     def at_risk(c: str):

@@ -60,9 +60,12 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
     Model("int_payment_health", "intermediate", ("intermediate",),
           ("stg_erp__payments", "stg_erp__invoices"), I.int_payment_health, shared=ROLLUPS,
           description="One row per paying account: failure pattern, score and band."),
-    Model("int_customer_health", "intermediate", ("intermediate",),
+    Model("customer_health_with_billing", "helper", ("helper",),
           ("stg_crm__accounts", "stg_crm__support_tickets", "stg_web__feature_usage",
-           "int_accounts_with_subscriptions"), I.int_customer_health,
+           "int_accounts_with_subscriptions"), I.customer_health_with_billing),
+    Model("int_customer_health", "intermediate", ("intermediate",),
+          ("customer_health_with_billing",),
+          lambda wide: wide.drop(*I.BILLING_COLS),
           description="One row per account: support and usage signals, churn risk."),
     Model("int_sales_activity", "intermediate", ("intermediate",),
           ("stg_crm__activities", "stg_crm__opportunities", "stg_crm__accounts"),
@@ -73,8 +76,8 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
            "stg_crm__contacts"), I.int_leads_with_campaigns,
           description="One row per lead: campaign, contact and best opportunity."),
     Model("mart_customer_churn", "marts", ("core", "marts"),
-          ("int_customer_health", "int_payment_health", "int_accounts_with_subscriptions"),
-          M.mart_customer_churn, dated=True, stamped=True,
+          ("customer_health_with_billing", "int_payment_health", "stg_crm__accounts"),
+          M.mart_customer_churn_shared, dated=True, stamped=True,
           description="One row per account: churn risk score, band, revenue at risk."),
     Model("mart_revenue", "marts", ("finance", "marts"),
           ("int_accounts_with_subscriptions", "int_payment_health"),
