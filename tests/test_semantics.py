@@ -216,3 +216,52 @@ def test_churn_mart_reading_d1_once_equals_definition(spark):
         sorted(map(tuple, literal.collect()), key=repr)
     assert shared.where(F.col("account_id") == "A1").count() == 8  # 2 x 2 x 2
     assert shared.count() == 8 + 1 + 1
+
+
+def test_band_boundaries(spark):
+    from tidemark.operators.intermediate import churn_band
+    from tidemark.operators.marts import funnel_stage, revenue_band
+
+    rows = spark.createDataFrame(
+        [(60.0, 1, 90.0, "healthy"), (59.99, 1, 89.99, "healthy"), (40.0, 1, 70.0, "at_risk"),
+         (20.0, 1, 69.99, "at_risk"), (19.99, 1, 50.0, None), (0.0, 0, 10.0, "at_risk"),
+         (0.0, 1, 49.99, None)],
+        "score double, active long, rate double, band string")
+    got = rows.select(churn_band(F.col("score")).alias("c"),
+                      revenue_band(F.col("active"), F.col("rate"), F.col("band")).alias("r")
+                      ).collect()
+    assert [r.c for r in got] == ["critical", "high", "high", "medium", "low", "low", "low"]
+    assert [r.r for r in got] == ["healthy", "stable", "stable", "at_risk", "at_risk",
+                                  "no_revenue", "critical"]
+    flags = spark.createDataFrame(
+        [(True, False, False, True), (None, None, True, False), (None, None, None, True),
+         (None, None, None, False), (False, True, False, True)],
+        "w boolean, l boolean, o boolean, c boolean")
+    stages = [r.s for r in flags.select(funnel_stage(*[F.col(c) for c in "wloc"]).alias("s"))
+              .collect()]
+    assert stages == ["4_closed_won", "3_in_pipeline", "2_converted", "1_lead", "4_closed_lost"]
+
+
+def test_payment_band_order_and_campaign_ratios(spark):
+    pays = [payment(f"P{i}", "A1", "failed", f"2001-01-0{i + 1} 00:00:00") for i in range(3)]
+    pays += [payment(f"Q{i}", "A2", "failed" if i % 2 == 0 else "successful",
+                     f"2001-01-0{i + 1} 00:00:00") for i in range(9)]
+    wh = warehouse(
+        spark, payments=pays,
+        campaigns=[{"campaign_id": "M1", "budget": M("0"), "actual_spend": M("10"),
+                    "end_date": d("2001-12-31")},
+                   {"campaign_id": "M2", "budget": M("300"), "actual_spend": None,
+                    "end_date": d("2002-01-01")},
+                   {"campaign_id": "M3", "budget": M("300"), "actual_spend": M("100"),
+                    "end_date": d("2002-06-01")}])
+    ph = wh["int_payment_health"]
+    a1, a2 = one(ph, "account_id", "A1"), one(ph, "account_id", "A2")
+    assert (a1.consecutive_failure_count, a1.payment_health_band) == (2, "at_risk")
+    # 5 failures, none adjacent: poor; 3 consecutive would have been critical first
+    assert (a2.failed_payments, a2.consecutive_failure_count, a2.payment_health_band) \
+        == (5, 0, "poor")
+    c = wh["stg_crm__campaigns"]
+    m1, m2, m3 = (one(c, "campaign_id", k) for k in ("M1", "M2", "M3"))
+    assert m1.budget_utilisation_pct is None and m1.is_completed  # zero budget; ended
+    assert m2.is_spend_missing and m2.budget_utilisation_pct is None and not m2.is_completed
+    assert m3.budget_utilisation_pct == M("33.33")
