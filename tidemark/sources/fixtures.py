@@ -19,7 +19,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import MONEY
 from tidemark.sources.raw import LazyTables
 
 RAW_TABLES = (
