@@ -3,7 +3,6 @@ clean data, and the suite counts failures the way the checks define."""
 
 import random
 
-
 from tidemark.operators.quality import (
     CHECKS, Check, accepted_values_failures, expression_failures, not_null_failures,
     relationships_failures, run_checks, unique_failures,
