@@ -16,7 +16,7 @@ Steps:
   build_all_marts  the three marts together into parquet tables
                    (build_marts: shared intermediates persisted once,
                    three concurrent writer jobs)
-  q*/r*            curated queries and rollups over the written marts
+  q*/r*            every curated query and rollup over the written marts
   v6_quality_suite all 95 checks: marts as written, other models as views
 """
 
@@ -94,10 +94,13 @@ def main() -> None:
         "q5_get_funnel_summary_by_stage": lambda: Q.get_funnel_summary_by_stage(funnel),
         "q6_list_leads_by_outcome":
             lambda: Q.list_leads_by_outcome(funnel, G.LEAD_OUTCOME, G.ATTRIBUTION),
+        "q6_list_leads_by_outcome_any_attribution":
+            lambda: Q.list_leads_by_outcome(funnel, "in_pipeline", "all", G.MAX_ROWS),
         "q7_average_churn_risk_by_tier": lambda: Q.average_churn_risk_by_tier(churn),
         "r1_churn_kpis": lambda: R.churn_kpis(churn),
         "r2_churn_by_band": lambda: R.churn_by_band(churn),
         "r3_highest_risk_accounts": lambda: R.highest_risk_accounts(churn),
+        "r3_risk_bubble": lambda: R.risk_bubble(churn),
         "r4_revenue_kpis": lambda: R.revenue_kpis(revenue),
         "r5_revenue_by_health_band": lambda: R.revenue_by_health_band(revenue),
         "r6_poor_collection_accounts": lambda: R.poor_collection_accounts(revenue),
@@ -106,10 +109,12 @@ def main() -> None:
         "r9_conversion_by_source": lambda: R.conversion_by_source(funnel),
         "r10_return_by_campaign": lambda: R.return_by_campaign(funnel),
         "r10_return_by_channel": lambda: R.return_by_channel(funnel),
+        "r10_return_by_source": lambda: R.return_by_source(funnel),
         "r11_top_won_deals": lambda: R.top_won_deals(funnel),
     }
     for name, build in reports.items():
-        timed(name, lambda build=build: build().collect())
+        # noop sink: runs the whole plan without bringing rows to the driver
+        timed(name, lambda build=build: build().write.format("noop").mode("overwrite").save())
 
     suite_wh = warehouse(spark, sf_dir)
 
