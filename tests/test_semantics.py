@@ -265,3 +265,25 @@ def test_payment_band_order_and_campaign_ratios(spark):
     assert m1.budget_utilisation_pct is None and m1.is_completed  # zero budget; ended
     assert m2.is_spend_missing and m2.budget_utilisation_pct is None and not m2.is_completed
     assert m3.budget_utilisation_pct == M("33.33")
+
+
+def test_money_pct_rounds_once_like_exact_arithmetic(spark):
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(17)
+    pairs = [(M(rng.randrange(0, 10**9)) / 100, M(rng.randrange(1, 10**9)) / 100)
+             for _ in range(3000)]
+    pairs += [(M("214821.40"), M("348991.00")), (M("1"), M("8")), (M("1"), M("3"))]
+    df = spark.createDataFrame(pairs, "num decimal(18,2), den decimal(18,2)")
+    got = [r.p for r in df.select(money_pct(F.col("num"), F.col("den")).alias("p")).collect()]
+
+    want = []
+    for num, den in pairs:
+        q = Fraction(num) * 100 / Fraction(den)
+        # exact half-up rounding of the rational to 2 decimals
+        scaled = q * 100
+        floor = scaled.numerator // scaled.denominator
+        rem = scaled - floor
+        want.append(M(floor + (1 if rem >= Fraction(1, 2) else 0)) / 100)
+    assert [M(g) for g in got] == want
