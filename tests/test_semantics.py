@@ -287,3 +287,22 @@ def test_money_pct_rounds_once_like_exact_arithmetic(spark):
         rem = scaled - floor
         want.append(M(floor + (1 if rem >= Fraction(1, 2) else 0)) / 100)
     assert [M(g) for g in got] == want
+
+
+def test_exact_avg2_matches_rational_average(spark):
+    import random
+    from fractions import Fraction
+
+    from tidemark.plans.curated import exact_avg2
+
+    rng = random.Random(23)
+    rows = [(g, rng.randrange(0, 10000) / 100) for g in range(40)
+            for _ in range(rng.randrange(1, 60))]
+    df = spark.createDataFrame(rows, "g long, x double")
+    got = {r.g: r.a for r in df.groupBy("g").agg(exact_avg2(F.col("x")).alias("a")).collect()}
+    for g in got:
+        xs = [Fraction(str(x)) for gg, x in rows if gg == g]
+        scaled = sum(xs) / len(xs) * 100
+        floor = scaled.numerator // scaled.denominator
+        want = M(floor + (1 if scaled - floor >= Fraction(1, 2) else 0)) / 100
+        assert M(got[g]) == want, (g, got[g], want)
