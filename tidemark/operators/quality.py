@@ -10,14 +10,13 @@ query returns (0 passes):
 * relationships: non-NULL child rows whose key is missing in the parent;
 * expression_is_true: rows where the expression is false (NULL passes).
 
-The suite scans each model once for all its unique, not_null,
-accepted_values and expression checks (``single_pass_checks``: one
-explode and a two-level aggregate with partial stages), and runs one
-anti join per relationship. For the anti join the child keys are
-aggregated first, so a key that holds a large share of the rows reaches
-the join as one row with a count. Nothing is collected to the driver:
-per-model results are one-row DataFrames, exploded to one row per check
-and unioned.
+The suite scans each model once for all its checks (``model_checks``:
+one generator and a two-level aggregate with partial stages; the child
+keys of a relationship come out of the same grouping and are
+anti-joined with the parent's keys, so a key that holds a large share
+of the rows reaches the join as one row with a count). Nothing is
+collected to the driver: per-model results are one-row DataFrames,
+exploded to one row per check and unioned.
 """
 
 from __future__ import annotations
@@ -196,12 +195,12 @@ def _row(check: Check, failures: Column) -> Column:
 def _witness(check: Check) -> Column:
     """Per row, the value a check looks at, or NULL when the row cannot fail it.
 
-    unique: the key (NULL keys are ignored); accepted_values: a value
+    unique, relationships: the key (NULL keys are ignored); accepted_values: a value
     outside the list; not_null / expression_is_true: a marker on a
     failing row. Values are compared in text form.
     """
     c = F.col(check.column)
-    if check.test == "unique":
+    if check.test in ("unique", "relationships"):
         return c.cast("string")
     if check.test == "not_null":
         return F.when(c.isNull(), F.lit(""))
@@ -223,51 +222,49 @@ def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -
     return one_row.select(F.inline(rows))
 
 
-SINGLE_PASS = tuple(_METRIC)
-
-
-def single_pass_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """unique, not_null, accepted_values and expression checks of one model
-    in one scan.
+def model_checks(df: DataFrame, checks: Sequence[Check],
+                 resolve: Callable[[str], DataFrame] | None = None) -> list[DataFrame]:
+    """All checks of one model from one scan of it.
 
     Each row emits (check, value) for every check it is relevant to (its
-    key for unique, a bad value, a failure marker); rows that cannot fail
-    a check emit nothing for it. Grouping by (check, value) with a partial
-    stage collapses repeats inside each task, so only distinct keys and
-    bad values are shuffled, and a hot key travels as one row per task.
-    A second aggregate turns the groups into one failure count per check.
+    key for unique and relationships, a bad value, a failure marker);
+    rows that cannot fail a check emit nothing for it. Grouping by
+    (check, value) with a partial stage collapses repeats inside each
+    task, so only distinct keys and bad values are shuffled, and a hot key
+    travels as one row per task. A second aggregate turns the groups into
+    one failure count per check; for a relationship the distinct child
+    keys, with their row counts, are anti-joined with the parent's keys.
+    Both consumers read the same grouped shuffle (Spark reuses the
+    identical exchange), so the model is scanned once.
     """
+    checks = list(checks)
     items = F.array(*[F.struct(F.lit(i).alias("i"), _witness(ch).alias("v"))
                       for i, ch in enumerate(checks)])
     pairs = df.select(F.inline(items)).where(F.col("v").isNotNull())
     per_value = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    per_check = per_value.groupBy("i").agg(
-        F.count_if(F.col("n") > 1).alias("dups"),
-        F.count(F.lit(1)).alias("values"),
-        F.sum("n").alias("rows"),
-    )
-    aliases = [f"_c{i}" for i in range(len(checks))]
-    one = per_check.agg(*[
-        F.coalesce(F.max(F.when(F.col("i") == i, F.col(_METRIC[ch.test]))), F.lit(0)).alias(a)
-        for i, (ch, a) in enumerate(zip(checks, aliases))])
-    return _explode_rows(one, list(checks), aliases)
 
-
-def model_checks(df: DataFrame, checks: Sequence[Check],
-                 resolve: Callable[[str], DataFrame] | None = None) -> list[DataFrame]:
-    """Result frames for ``checks`` (all on one model): one scan for the
-    single-pass kinds, plus one anti join per relationship."""
     out = []
-    single = [ch for ch in checks if ch.test in SINGLE_PASS]
-    if single:
-        out.append(single_pass_checks(df, single))
-    for ch in checks:
+    counted = [(i, ch) for i, ch in enumerate(checks) if ch.test != "relationships"]
+    if counted:
+        per_check = per_value.groupBy("i").agg(
+            F.count_if(F.col("n") > 1).alias("dups"),
+            F.count(F.lit(1)).alias("values"),
+            F.sum("n").alias("rows"),
+        )
+        aliases = [f"_c{i}" for i, _ in counted]
+        one = per_check.agg(*[
+            F.coalesce(F.max(F.when(F.col("i") == i, F.col(_METRIC[ch.test]))),
+                       F.lit(0)).alias(a)
+            for (i, ch), a in zip(counted, aliases)])
+        out.append(_explode_rows(one, [ch for _, ch in counted], aliases))
+    for i, ch in enumerate(checks):
         if ch.test != "relationships":
             continue
         if resolve is None:
             raise ValueError("relationships checks need a model resolver")
-        n = relationships_failures(df, ch.column, resolve(ch.to_model), ch.to_column) \
-            .agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
+        parent = resolve(ch.to_model).select(F.col(ch.to_column).cast("string").alias("v"))
+        missing = per_value.where(F.col("i") == i).join(parent, "v", "left_anti")
+        n = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_n"))
         out.append(_explode_rows(n, [ch], ["_n"]))
     return out
 
