@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import bpe, mixing
 
 QUERIES = {
+    "op6_bpe": bpe.op6_bpe,
     "op10_mixing": mixing.op10_mixing,
 }
 
