@@ -28,7 +28,7 @@ def bounded_batches(spark: SparkSession) -> None:
     """Hand Python workers small Arrow batches (kept if already smaller)."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        if not 0 < _number(spark.conf.get(key, "0")) <= most:
+        if not 0 < _number(spark.conf.get(key)) <= most:
             spark.conf.set(key, str(most))
 
 
