@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, mixing
+from tidemark.llm import bpe, mixing, simhash
 
 QUERIES = {
     "op6_bpe": bpe.op6_bpe,
+    "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
 }
 
