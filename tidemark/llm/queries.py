@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, mixing, simhash
+from tidemark.llm import bpe, mixing, secrets, simhash
 
 QUERIES = {
+    "op4_secrets": secrets.op4_secrets,
     "op6_bpe": bpe.op6_bpe,
     "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
