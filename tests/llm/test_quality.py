@@ -1,0 +1,68 @@
+"""Quality: held-out accuracy, gradients, block-wise scoring, edge rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import quality
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    got = {r["doc_id"]: r for r in quality.op5_quality(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert len(got) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    held = [(got[i]["predicted"], q) for i, q in labels.items() if got[i]["held_out"]]
+    assert len(held) > 500
+    for label in (0, 1):
+        right = [p == q for p, q in held if q == label]
+        assert np.mean(right) > 0.97
+
+
+def test_gradients():
+    rnd = np.random.default_rng(0)
+    p = {"W": rnd.normal(size=(quality.N_INPUTS, 3)), "b": rnd.normal(size=3), "V": rnd.normal(size=(3, 2)),
+         "U": rnd.normal(size=(3, 2)), "w": rnd.normal(size=2), "c": rnd.normal(size=3), "d": rnd.normal(size=1)}
+    x, bag, label = rnd.random((7, quality.N_INPUTS)), np.array([0, 0, 1, 1, 1, 2, 2]), np.array([1.0, 0, 1])
+    _, grads = quality._gradients(p, x, bag, 3, label)
+    for name, g in grads.items():
+        for at in [tuple(rnd.integers(0, n) for n in p[name].shape) for _ in range(4)]:
+            kept = p[name][at]
+            losses = []
+            for e in (1e-6, -1e-6):
+                p[name][at] = kept + e
+                losses.append(quality._gradients(p, x, bag, 3, label)[0])
+            p[name][at] = kept
+            assert g[at] == pytest.approx((losses[0] - losses[1]) / 2e-6, abs=1e-5)
+
+
+def small_model():
+    rnd = np.random.default_rng(1)
+    texts = [("plain words in a row " * rnd.integers(1, 90), 1) for _ in range(60)]
+    texts += [("$$$ *** ### " * rnd.integers(1, 90), 0) for _ in range(60)]
+    return quality.fit([quality.passage_inputs(t.encode()) for t, _ in texts], np.array([y for _, y in texts]))
+
+
+def test_blocks_do_not_matter(monkeypatch):
+    model, text = small_model(), "plain words é " * 3000 + "$$$ " * 400
+    whole = model.scores([text])
+    monkeypatch.setattr(quality, "BLOCK_PASSAGES", 3)
+    assert model.scores([text]) == pytest.approx(whole, abs=1e-6)
+    bad, good = model.scores(["### $$$ " * 20, "some plain words " * 20])
+    assert bad < 0.5 < good
+
+
+def test_edge_rows(spark):
+    rows = [(1, None), (2, ""), (3, "ok words"), (3, "ok words"), (None, "x" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    out = docs.withColumn("s", quality.score_column(spark, small_model(), F.col("text"))).collect()
+    assert all(0 <= r["s"] <= 1 for r in out) and out[0]["s"] == out[1]["s"] and out[2]["s"] == out[3]["s"]
+    labels = spark.createDataFrame([(3, 1), (3, None), (None, 0), (99, 0)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert model.parameters is None and model.scores(["any", None]).tolist() == [1.0, 1.0]
+    assert quality.train(docs.limit(0), labels.limit(0)).scores([""]).tolist() == [0.5]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, mixing, secrets, simhash
+from tidemark.llm import bpe, mixing, quality, secrets, simhash
 
 QUERIES = {
     "op4_secrets": secrets.op4_secrets,
+    "op5_quality": quality.op5_quality,
     "op6_bpe": bpe.op6_bpe,
     "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
