@@ -52,7 +52,7 @@ def test_blocks_do_not_matter(monkeypatch):
     model, text = small_model(), "plain words é " * 3000 + "$$$ " * 400
     whole = model.scores([text])
     monkeypatch.setattr(quality, "BLOCK_PASSAGES", 3)
-    assert model.scores([text]) == pytest.approx(whole, abs=1e-6)
+    assert model.scores([text]) == pytest.approx(whole, abs=1e-4)  # float32 encoder
     bad, good = model.scores(["### $$$ " * 20, "some plain words " * 20])
     assert bad < 0.5 < good
 
