@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, mixing, quality, secrets, simhash
+from tidemark.llm import bpe, langid, mixing, quality, secrets, simhash
 
 QUERIES = {
+    "op2_langid": langid.op2_langid,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
     "op6_bpe": bpe.op6_bpe,
