@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, table, texts_of, written
 from tidemark.llm.components import components
+from tidemark.llm.groups import cut_hot_groups, whole_groups
 from tidemark.llm.trie_join import linked
 
 SHINGLE_WORDS = 4
@@ -109,22 +110,7 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                                     "code": raw.view(np.int64)})
 
     dealt = codes.mapInPandas(deal, "choice int, key long, code long")
-    hot = written(dealt.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") > GROUP_CODES), "hot-keys")
-    if hot.head() is None:
-        dealt = dealt.withColumn("chunks", F.lit(0).cast("long"))
-    else:  # every two chunks of a hot key meet in one group
-        n_chunks = F.ceil(F.col("n") / (GROUP_CODES // 2))
-        own = F.pmod(F.xxhash64("code"), F.col("m"))
-        dealt = (dealt.join(hot.withColumn("m", n_chunks).drop("n"), ["choice", "key"], "left")
-                 .withColumn("own", F.when(F.col("m").isNotNull(), own))
-                 .withColumn("other", F.explode(F.when(F.col("m").isNull(), F.array(F.lit(-1).cast("long")))
-                                                .otherwise(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))))
-                 .where("m is null or own != other")
-                 .withColumn("chunks", F.when(F.col("m").isNull(), F.lit(0).cast("long")).otherwise(
-                     F.least("own", "other") * F.col("m") + F.greatest("own", "other")))
-                 .select("choice", "key", "code", "chunks"))
-
+    dealt = cut_hot_groups(dealt, ["choice", "key"], "code", GROUP_CODES)
     rest = [[b for i, b in enumerate(blocks) if i not in kept] for kept in choices]
     low_bits = [sum(high - low for low, high in r) for r in rest]
 
@@ -140,27 +126,8 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             tied = root != np.arange(len(root))
             yield pd.DataFrame({"u": raw[tied].view(np.int64), "v": raw[root[tied]].view(np.int64)})
 
-    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come sorted by group: descend when the buffer is full, up to
-        # the last group's first row
-        kept, n = [], 0
-        for batch in batches:
-            kept.append(batch)
-            n += len(batch)
-            if n < BUFFER_CODES:
-                continue
-            frame = pd.concat(kept, ignore_index=True)
-            names = ["choice", "key", "chunks"]
-            last = (frame[names] == frame[names].iloc[-1]).all(axis=1).to_numpy()
-            cut = len(frame) - int(last.sum())
-            if cut:
-                yield from spanning(frame.iloc[:cut])
-            kept, n = [frame.iloc[cut:]], len(frame) - cut
-        if n:
-            yield from spanning(pd.concat(kept, ignore_index=True))
-
     return (dealt.repartition("choice", "key", "chunks").sortWithinPartitions("choice", "key", "chunks")
-            .mapInPandas(descend, "u long, v long"))
+            .mapInPandas(whole_groups(["choice", "key", "chunks"], spanning, BUFFER_CODES), "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

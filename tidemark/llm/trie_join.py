@@ -20,7 +20,7 @@ import numpy as np
 BLOCK_PAIRS = 1 << 19  # node pairs advanced at a time
 
 
-def _components(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def joined(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Labels (smallest member index) after linking a[i] with b[i]."""
     while True:
         la, lb = labels[a], labels[b]
@@ -77,10 +77,10 @@ def linked(codes: np.ndarray, groups: np.ndarray, budget: int, bits: int = 64) -
                 x, y = a0[single], b0[single]
                 near = np.bitwise_count(codes[x] ^ codes[y]) <= most
                 if near.any():
-                    labels = _components(labels, x[near], y[near])
+                    labels = joined(labels, x[near], y[near])
             rest = ~(done | single)
             if level == bits:  # all bits read within the budget
-                labels = _components(labels, a0[rest], b0[rest])
+                labels = joined(labels, a0[rest], b0[rest])
                 continue
             a0, a1, b0, b1, errors = (x[rest] for x in (a0, a1, b0, b1, errors))
             if not len(a0):
