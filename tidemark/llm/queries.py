@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, editprint, langid, mixing, quality, secrets, simhash
+from tidemark.llm import bpe, editprint, langid, lm, mixing, quality, secrets, simhash
 
 QUERIES = {
     "op2_langid": langid.op2_langid,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
     "op6_bpe": bpe.op6_bpe,
+    "op7_lm": lm.op7_lm,
     "op8_editprint": editprint.op8_editprint,
     "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
