@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, editprint, langid, lm, mixing, quality, secrets, simhash
+from tidemark.llm import bpe, editprint, langid, lm, mixing, quality, secrets, simhash, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_langid": langid.op2_langid,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc": warc.OP1_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
