@@ -300,6 +300,22 @@ def token_ids(spark: SparkSession, text: Column, path: str | None = None) -> Col
     return encode(text)
 
 
+def round_trip(spark: SparkSession, text: Column, path: str | None = None) -> Column:
+    """struct<ids, exact> of a text column: the ids, and whether they decode to the text."""
+    source = _broadcast(spark, path)
+
+    @F.pandas_udf("ids array<int>, exact boolean")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = codec_of(source.value)
+        for batch in batches:
+            texts = texts_of(batch)
+            ids = [codec.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": pd.Series([x.astype(np.int32) for x in ids], dtype=object),
+                                "exact": [codec.decode(x) == t for x, t in zip(ids, texts)]})
+
+    return encode(text)
+
+
 def texts_of_ids(spark: SparkSession, ids: Column, path: str | None = None) -> Column:
     """The texts of an array<int> column (null: null); null ids are left out."""
     source = _broadcast(spark, path)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, editprint, langid, lm, mixing, quality, secrets, simhash, warc
+import corpus_pipeline
+from tidemark.llm import ann, bpe, editprint, langid, lm, mixing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_langid": langid.op2_langid,
+    "op3_ann": ann.op3_ann,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
     "op6_bpe": bpe.op6_bpe,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_editprint": editprint.op8_editprint,
     "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
