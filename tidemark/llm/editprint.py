@@ -218,20 +218,20 @@ def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFram
         out[known] = len(edges) - np.searchsorted(edges, ids[known].to_numpy(dtype=np.int64), side="left")
         return pd.Series(out.astype(np.int32))
 
-    dealt = rows.withColumn("bucket", bucket_of("id"))
     first = {r["bucket"]: r["first"] for r in rows.select("id").withColumn("bucket", bucket_of("id"))
              .groupBy("bucket").agg(F.max("id").alias("first")).collect()}  # one row per bucket
     if not first:
         return spark.createDataFrame([], "bucket int, guest boolean, id long, text string")
     order = sorted(first)
-    before = dict(zip(order, [order[-1], *order[:-1]]))  # the last is followed by the first
-    visits = F.create_map(*[F.lit(v) for b in order for v in (b, before[b])])
-    head = F.create_map(*[F.lit(v).cast(t) for b in order for v, t in ((b, "int"), (first[b], "long"))])
-    return (dealt.withColumn("at", F.explode(F.when(
-                F.col("id").eqNullSafe(head[F.col("bucket")]),
-                F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")),
-                        F.struct(visits[F.col("bucket")].alias("bucket"), F.lit(True).alias("guest"))))
-                .otherwise(F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))))))
+    heads = {first[b]: before for b, before in zip(order, [order[-1], *order[:-1]])}  # the last is followed by the first
+
+    @F.pandas_udf("array<struct<bucket:int,guest:boolean>>")
+    def places_of(ids: pd.Series, buckets: pd.Series) -> pd.Series:
+        return pd.Series([
+            [{"bucket": b, "guest": False}] + ([{"bucket": heads[i], "guest": True}] if i in heads else [])
+            for i, b in zip((None if pd.isna(i) else int(i) for i in ids), buckets)], dtype=object)
+
+    return (rows.withColumn("at", F.explode(places_of("id", bucket_of("id"))))
             .select("at.bucket", "at.guest", "id", "text")
             .repartition("bucket")
             .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), F.col("text").desc()))
