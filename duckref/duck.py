@@ -7,8 +7,7 @@ to the 14 raw tables, then staging, intermediate and mart CTEs follow.
 needs (found by scanning each CTE body for other CTE names).
 
 Conventions shared with the Spark side for comparison only: the run's
-"current date" is pinned to AS_OF and the run timestamp to RUN_TS,
-``mart_updated_at`` is left out of compared model output, and
+"current date" is pinned to AS_OF and the run timestamp to RUN_TS, and
 decimal columns are returned as DOUBLE. Decimal ratios are rounded
 exactly with integer arithmetic, because DuckDB divides decimals in
 floating point. Conditional counts are written ``count(CASE WHEN c THEN
@@ -26,8 +25,13 @@ M = "DECIMAL(20,9)"
 RAWM = "DECIMAL(18,2)"
 
 
+# The code points TRIM removes (Unicode white space).
+WHITE = " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                          0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def clean(x: str) -> str:
-    return f"lower(trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))"
+    return f"lower(trim({x}, {WHITE}))"
 
 
 def b(cond: str) -> str:
@@ -792,11 +796,10 @@ def with_ctes(body: str) -> str:
 
 def model_select(name: str) -> str:
     cols = MONEY_COLUMNS.get(name, [])
-    star = "* EXCLUDE (mart_updated_at)" if name.startswith("mart_") else "*"
     if cols:
         repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
-        return f"SELECT {star} REPLACE ({repl}) FROM {name}"
-    return f"SELECT {star} FROM {name}"
+        return f"SELECT * REPLACE ({repl}) FROM {name}"
+    return f"SELECT * FROM {name}"
 
 
 def sql_for(name: str) -> str:

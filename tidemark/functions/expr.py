@@ -9,18 +9,22 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, FractionalType
 
 # NUMERIC money. decimal(20,9) rather than (38,9): sums, rounding and
 # ratios keep 9 fractional digits without hitting the 38-digit ceiling
 # that makes Spark drop scale to 6.
 MONEY = DecimalType(20, 9)
 
-# Fixed value: characters the warehouse TRIM removes (all ASCII
-# whitespace, not only the space character).
-WHITESPACE = " \t\n\r\f\v"
+# Wide enough for sums of sums of money: 21 integer digits.
+WIDE_MONEY = DecimalType(30, 9)
+
+# Characters the warehouse TRIM removes (all Unicode white
+# space): ASCII, next line, no-break space and the separators.
+WHITESPACE = (" \t\n\r\f\v\u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+              + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def col(c: str | Column) -> Column:
@@ -61,7 +65,20 @@ def as_of_date(as_of: dt.date | None) -> Column:
 
 
 def run_timestamp(run_ts: dt.datetime | None) -> Column:
-    return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    """The build's instant. A value without a zone is UTC, whatever the
+    driver's own zone (a bare literal would be read in that one)."""
+    if run_ts is None:
+        return F.current_timestamp()
+    return F.lit(run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)).cast("timestamp")
+
+
+def whole(df: DataFrame, name: str) -> Column:
+    """The column as a whole number; a fractional one is rounded, half away
+    from zero (a plain cast would cut it off)."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, (FractionalType, DecimalType)):
+        c = F.round(c)
+    return c.cast("long")
 
 
 def elapsed(unit: str, start: Column, end: Column) -> Column:
@@ -74,15 +91,23 @@ def round2(c: Column) -> Column:
     return F.round(c, 2)
 
 
-def money_pct(num: Column, den: Column) -> Column:
-    """round(num / den * 100, 2) for money, with one rounding only.
+def exact_ratio(num: Column, den: Column, times: int = 1) -> Column:
+    """round(num / den * times, 2) of money, rounded once, for den > 0.
 
-    Both sides are brought to decimal(20,9) and multiplied before the
-    division, so the quotient keeps 14 fractional digits. Dividing two
-    wide decimals first would leave Spark only 7, and rounding 0.61554997
-    to 0.6155500 and then to 61.56 is a double-rounding error.
+    A decimal quotient keeps few digits of wide operands, and rounding it
+    again is a double rounding. So the nearest number of hundredths is
+    counted instead: (200 * times * num + den) divided by (2 * den) with
+    the remainder taken off first, which is exact for 21 integer digits.
     """
-    return round2(num.cast(MONEY) * dec(100) / den.cast(MONEY))
+    n, d = F.abs(num.cast(WIDE_MONEY)), den.cast(WIDE_MONEY)
+    twice, over = n * dec(200 * times) + d, d * dec(2)
+    hundredths = ((twice - twice % over) / over).cast("decimal(30,0)")
+    return (F.when(num < 0, -hundredths).otherwise(hundredths) / dec(100)).cast("decimal(32,2)")
+
+
+def money_pct(num: Column, den: Column) -> Column:
+    """round(num / den * 100, 2) for money."""
+    return exact_ratio(num, den, 100)
 
 
 def count_when(cond: Column) -> Column:

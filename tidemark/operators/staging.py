@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    MONEY, as_of_date, clean, elapsed, flag, money, money_pct, round2,
+    MONEY, as_of_date, clean, elapsed, flag, money, money_pct, round2, whole,
 )
 
 # Category lists the flags test against.
@@ -44,7 +44,7 @@ def stg_crm__accounts(raw: DataFrame) -> DataFrame:
         clean("country").alias("country"),
         clean("account_status").alias("account_status"),
         tier.alias("tier"),
-        F.col("employee_count").cast("long").alias("employee_count"),
+        whole(raw, "employee_count").alias("employee_count"),
         _ts("created_at").alias("created_at"),
         flag(clean("account_status") == "churned").alias("is_churned"),
         F.when(tier == "enterprise", 3).when(tier == "growth", 2)
@@ -119,7 +119,7 @@ def stg_crm__campaigns(raw: DataFrame, as_of: dt.date | None = None) -> DataFram
         clean("campaign_variant").alias("campaign_variant"),
         budget.alias("budget"),
         spend.alias("actual_spend"),
-        F.col("target_leads").cast("long").alias("target_leads"),
+        whole(raw, "target_leads").alias("target_leads"),
         _date("start_date").alias("start_date"),
         _date("end_date").alias("end_date"),
         flag(F.col("actual_spend").isNull()).alias("is_spend_missing"),
@@ -139,7 +139,7 @@ def stg_crm__activities(raw: DataFrame) -> DataFrame:
         clean("outcome").alias("outcome"),
         "assigned_rep",
         "notes",
-        F.col("duration_minutes").cast("long").alias("duration_minutes"),
+        whole(raw, "duration_minutes").alias("duration_minutes"),
         _date("activity_date").alias("activity_date"),
         _ts("created_at").alias("created_at"),
         flag(F.col("activity_date").isNull()).alias("is_date_missing"),
@@ -150,7 +150,7 @@ def stg_crm__activities(raw: DataFrame) -> DataFrame:
 
 def stg_crm__support_tickets(raw: DataFrame) -> DataFrame:
     status = clean("status")
-    csat = F.col("csat_score").cast("long")
+    csat = whole(raw, "csat_score")
     return raw.select(
         "ticket_id",
         "account_id",
@@ -194,7 +194,7 @@ def stg_erp__orders(raw: DataFrame) -> DataFrame:
         "product_id",
         "opportunity_id",
         status.alias("order_status"),
-        F.col("quantity").cast("long").alias("quantity"),
+        whole(raw, "quantity").alias("quantity"),
         price.alias("unit_price"),
         money("total_amount").alias("total_amount"),
         _date("order_date").alias("order_date"),
@@ -262,14 +262,14 @@ def stg_erp__payments(raw: DataFrame) -> DataFrame:
         "failure_reason",
         "gateway_ref",
         money("amount").alias("amount"),
-        F.col("retry_count").cast("long").alias("retry_count"),
+        whole(raw, "retry_count").alias("retry_count"),
         _date("payment_date").alias("payment_date"),
         _ts("created_at").alias("created_at"),
         flag((status == "successful") & F.col("payment_date").isNull())
         .alias("is_payment_date_missing"),
         flag(status == "successful").alias("is_successful"),
         flag(status == "failed").alias("is_failed"),
-        flag(F.col("retry_count").cast("long") >= 2).alias("is_repeat_failure"),
+        flag(whole(raw, "retry_count") >= 2).alias("is_repeat_failure"),
     )
 
 
@@ -295,8 +295,8 @@ def stg_web__web_events(raw: DataFrame) -> DataFrame:
 
 
 def stg_web__feature_usage(raw: DataFrame) -> DataFrame:
-    usage = F.col("usage_count").cast("long")
-    seconds = F.col("session_duration_seconds").cast("long")
+    usage = whole(raw, "usage_count")
+    seconds = whole(raw, "session_duration_seconds")
     return raw.select(
         "usage_id",
         "account_id",
@@ -332,8 +332,3 @@ STAGING = {
     "stg_web__web_events": ("web_events", stg_web__web_events, False),
     "stg_web__feature_usage": ("feature_usage", stg_web__feature_usage, False),
 }
-
-
-def stage(name: str, raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    _, fn, dated = STAGING[name]
-    return fn(raw, as_of) if dated else fn(raw)

@@ -3,8 +3,8 @@
 Each entry takes (spark, sf_dir) and returns a DataFrame. Model entries
 return the model over the whole fixture; query, rollup and check
 entries read the marts. For comparison with the SQL oracle the run date
-is pinned (``AS_OF``), decimals are returned as double and the
-non-deterministic ``mart_updated_at`` is left out.
+and the build's instant are pinned (``AS_OF``, ``RUN_TS``) and decimals
+are returned as double.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tidemark.session import configure
 from tidemark.sources.fixtures import raw_tables
 
 AS_OF = dt.date(2002, 1, 1)
-RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
+RUN_TS = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,29 +35,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(raw_tables(spark, sf_dir), as_of=AS_OF, run_ts=RUN_TS)
 
 
-_PLANS: dict[tuple, Warehouse] = {}
-
-
-def planned(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse for (session, sf_dir), reused across registered queries.
-
-    Only the lazy DataFrame plans are shared (building them is driver-side
-    work); no data is cached, so every query still reads its tables.
-    """
-    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if key not in _PLANS:
-        _PLANS.clear()
-        _PLANS[key] = warehouse(spark, sf_dir)
-    configure(spark)
-    return _PLANS[key]
-
-
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as double, without the run timestamp."""
+    """Decimals as double."""
     cols = []
     for f in df.schema.fields:
-        if f.name == "mart_updated_at":
-            continue
         c = F.col(f.name)
         cols.append(c.cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else c)
     return df.select(*cols)
@@ -65,7 +46,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _model_query(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(planned(spark, sf_dir).model(name))
+        return comparable(warehouse(spark, sf_dir).model(name))
     run.__name__ = name
     return run
 
@@ -77,7 +58,7 @@ QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name, m in MODELS.it
 # ------------------------------------------------ queries over the marts
 def _over(mart: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(fn(planned(spark, sf_dir).model(mart)))
+        return comparable(fn(warehouse(spark, sf_dir).model(mart)))
     return run
 
 
@@ -126,7 +107,7 @@ QUERIES.update({
 
 def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 95 checks over every model built from the test data."""
-    return run_checks(planned(spark, sf_dir).model)
+    return run_checks(warehouse(spark, sf_dir).model)
 
 
 QUERIES["v6_quality_suite"] = quality_suite

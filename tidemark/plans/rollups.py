@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import MONEY, dec, round2
+from tidemark.functions.expr import exact_ratio, money_pct
 from tidemark.plans.curated import DEFAULT_ROW_LIMIT, top
 
 
@@ -25,8 +25,7 @@ def _at_risk() -> Column:
 
 def money_ratio(num: Column, den: Column) -> Column:
     """round(num / den, 2) for money sums, rounded once; NULL if den is 0."""
-    return round2(num.cast("decimal(30,2)") / F.nullif(den.cast("decimal(30,2)"),
-                                                       F.lit(0).cast("decimal(30,2)")))
+    return exact_ratio(num, F.nullif(den, F.lit(0)))
 
 
 # ---------------------------------------------------------------- churn
@@ -74,8 +73,7 @@ def revenue_kpis(revenue: DataFrame) -> DataFrame:
         F.sum("total_mrr").alias("total_mrr"),
         F.sum("total_arr").alias("total_arr"),
         F.count(F.lit(1)).alias("accounts"),
-        round2(collected.cast(MONEY) * dec(100)
-               / F.nullif(billed, F.lit(0)).cast(MONEY)).alias("collection_rate_pct"),
+        money_pct(collected, F.nullif(billed, F.lit(0))).alias("collection_rate_pct"),
         F.sum("total_outstanding").alias("total_outstanding"),
     )
 
@@ -165,12 +163,15 @@ def conversion_by_source(funnel: DataFrame) -> DataFrame:
 
 
 def return_by_campaign(funnel: DataFrame) -> DataFrame:
-    """Leads, won revenue, spend and return per campaign."""
+    """Leads, won revenue, spend and return per campaign.
+
+    Name and channel depend on the campaign; grouping by them keeps the
+    aggregate's buffers of fixed width (a hash aggregate).
+    """
     return (
         funnel.where(F.col("campaign_id").isNotNull())
-        .groupBy("campaign_id")
-        .agg(F.max("campaign_name").alias("campaign_name"), F.max("channel").alias("channel"),
-             F.count(F.lit(1)).alias("leads"), F.count_if(F.col("is_won")).alias("won_deals"),
+        .groupBy("campaign_id", "campaign_name", "channel")
+        .agg(F.count(F.lit(1)).alias("leads"), F.count_if(F.col("is_won")).alias("won_deals"),
              _won_amount().alias("won_revenue"), F.max("campaign_spend").alias("total_spend"))
         .withColumn("revenue_per_spend", money_ratio(F.col("won_revenue"), F.col("total_spend")))
     )

@@ -25,6 +25,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tidemark.functions.expr import run_timestamp  # noqa: E402
 from tidemark.operators.quality import run_checks  # noqa: E402
 from tidemark.plans.models import Warehouse  # noqa: E402
 from tidemark.session import configure  # noqa: E402
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("tidemark").getOrCreate())
     raw = (read_parquet_tables(spark, args.raw_root) if args.raw_root
            else read_catalog_tables(spark, args.raw_database))
-    run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    run_ts = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     wh = Warehouse(raw, as_of=args.as_of, run_ts=run_ts)
     if not args.checks_only:
         for table in build_marts(spark, wh, database=args.database):
@@ -67,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
 
     wh.persist_shared()
     try:
-        run_checks(model).withColumn("checked_at", F.lit(run_ts)) \
+        run_checks(model).withColumn("checked_at", run_timestamp(run_ts)) \
             .write.mode("overwrite").saveAsTable(results)
     finally:
         wh.unpersist()
