@@ -48,6 +48,11 @@ def rdiv(num: str, den: str, mult: int = 1) -> str:
             f"// (2 * {cents(den)}) AS DOUBLE) / 100)")
 
 
+def round_double(x: str) -> str:
+    """round(x, 2) of a double by its shortest decimal form, half away from zero."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,14)), 2) AS DOUBLE)"
+
+
 def ravg(x: str) -> str:
     """round(avg(x), 2) exactly, for non-negative x with <= 2 decimals."""
     return (f"CASE WHEN count({x}) > 0 THEN CAST((CAST(round(sum({x}) * 100) AS HUGEINT) * 2 "
@@ -65,7 +70,8 @@ CTES: dict[str, str] = {}
 CTES["raw_accounts"] = f"""
 SELECT concat('A', c.c_custkey) AS account_id, c.c_name AS account_name,
   ' ' || c.c_mktsegment AS industry, n.n_name || ' ' AS country,
-  CASE c.c_custkey % 10 WHEN 0 THEN 'Churned' WHEN 1 THEN 'prospect' ELSE ' ACTIVE' END
+  CASE c.c_custkey % 10 WHEN 0 THEN 'Churned' WHEN 1 THEN 'prospect'
+    ELSE CASE WHEN c.c_custkey % 4 = 0 THEN chr(160) || 'ACTIVE' || chr(8195) ELSE ' ACTIVE' END END
     AS account_status,
   {pick('c.c_custkey % 3', ['Starter', 'GROWTH ', 'enterprise'])} AS tier,
   CAST(1 + c.c_custkey * 7 % 5000 AS BIGINT) AS employee_count,
@@ -90,18 +96,17 @@ SELECT concat('M', s_suppkey) AS campaign_id, s_name AS campaign_name,
   {pick('s_suppkey % 3', ['Search', 'Social ', 'Partner'])} AS channel,
   concat('owner', s_suppkey % 3) AS owner,
   {pick('s_suppkey % 3', ['Control', 'TREATMENT', None])} AS campaign_variant,
-  CAST(CASE WHEN s_suppkey = 7 THEN 0 ELSE 1000 * (s_suppkey + 1) END AS {RAWM}) AS budget,
-  CAST(CASE WHEN s_suppkey = 5 THEN NULL WHEN s_suppkey = 3 THEN 0
-            ELSE 800 * (s_suppkey + 1) END AS {RAWM}) AS actual_spend,
-  CAST(10 * s_suppkey AS BIGINT) AS target_leads,
-  DATE '1995-01-01' + CAST(200 * s_suppkey AS INTEGER) AS start_date,
-  CASE WHEN s_suppkey = 9 THEN DATE '2002-06-01'
-       ELSE DATE '1995-01-01' + CAST(200 * s_suppkey + 90 AS INTEGER) END AS end_date
-FROM supplier WHERE s_suppkey < 10"""
+  CAST(CASE WHEN k = 7 THEN 0 ELSE 1000 * (k + 1) END AS {RAWM}) AS budget,
+  CAST(CASE WHEN k = 5 THEN NULL WHEN k = 3 THEN 0 ELSE 800 * (k + 1) END AS {RAWM}) AS actual_spend,
+  CAST(10 * k AS BIGINT) AS target_leads,
+  DATE '1995-01-01' + CAST(200 * k AS INTEGER) AS start_date,
+  CASE WHEN k = 9 THEN DATE '2002-06-01'
+       ELSE DATE '1995-01-01' + CAST(200 * k + 90 AS INTEGER) END AS end_date
+FROM (SELECT *, s_suppkey % 10 AS k FROM supplier)"""
 
 CTES["raw_leads"] = f"""
 SELECT concat('L', o_orderkey) AS lead_id, concat('C', o_custkey) AS contact_id,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('M', o_orderkey % 10) END AS campaign_id,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('M', o_custkey // 15) END AS campaign_id,
   {pick('o_orderkey % 4', ['Web', 'referral ', 'EVENT', 'ads'])} AS lead_source,
   {pick('o_orderkey % 5', [' Converted', 'NEW', 'working', 'nurturing ', 'Disqualified'])}
     AS status,
@@ -127,7 +132,7 @@ SELECT concat('O', o_orderkey) AS opportunity_id, concat('A', o_custkey) AS acco
   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 13 <> 0
        THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 300 - 20 AS INTEGER) END AS close_date,
   o_orderdate AS created_at
-FROM orders WHERE o_orderkey % 8 < 5"""
+FROM orders"""
 
 CTES["raw_activities"] = f"""
 SELECT concat('V', event_id) AS activity_id, concat('C', user_id) AS contact_id,
@@ -141,26 +146,29 @@ SELECT concat('V', event_id) AS activity_id, concat('C', user_id) AS contact_id,
                          'declined'])} AS outcome,
   concat('rep', event_id % 4) AS assigned_rep, 'n' AS notes,
   CAST(5 + event_id % 55 AS BIGINT) AS duration_minutes,
-  CASE WHEN event_id % 11 = 0 OR (user_id % 7 = 2 AND event_id % 4 <> 0) THEN NULL
+  CASE WHEN event_id % 11 = 0 OR (user_id % 7 = 2 AND event_id % 4 <> 0)
+         OR (user_id % 4 = 1 AND event_id % 6 <> 0) THEN NULL
        ELSE CAST(ts AS DATE) END AS activity_date,
   ts AS created_at
-FROM events WHERE user_id % 4 <> 1 OR event_id % 6 = 0"""
+FROM events"""
 
 CTES["raw_support_tickets"] = f"""
-SELECT concat('T', event_id) AS ticket_id, concat('A', user_id) AS account_id,
+SELECT concat('T', event_id) AS ticket_id,
+  concat('A', CASE WHEN user_id % 5 = 0 THEN user_id + 1 ELSE user_id END) AS account_id,
   concat('C', user_id) AS contact_id,
   {pick('event_id % 2', ['Billing', 'bug '])} AS category,
-  {pick('event_id % 4', ['Low', 'medium', 'HIGH ', 'critical'])} AS priority,
-  {pick('event_id % 6', ['Escalated', 'open', 'resolved ', 'Closed', 'OPEN', 'resolved'])}
-    AS status,
+  CASE WHEN faulty THEN {pick('event_id % 4', ['Low', 'medium', 'HIGH ', 'critical'])}
+       ELSE 'Low' END AS priority,
+  CASE WHEN faulty THEN {pick('event_id % 6', ['Escalated', 'open', 'resolved ', 'Closed', 'OPEN', 'resolved'])}
+       ELSE 'CLOSED' END AS status,
   concat('agent', event_id % 5) AS agent,
-  CAST(CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 5 + 1 END AS BIGINT) AS csat_score,
+  CAST(CASE WHEN event_id % 7 = 0 THEN NULL WHEN faulty THEN event_id % 5 + 1 ELSE 5 END AS BIGINT)
+    AS csat_score,
   CAST(event_id % 48 AS DOUBLE) / 2 AS first_response_hours,
   ts AS created_at,
-  CASE WHEN event_id % 6 IN (2, 3, 5)
+  CASE WHEN NOT faulty OR event_id % 6 IN (2, 3, 5)
        THEN ts + to_minutes(CAST(90 * (event_id % 50) AS INTEGER)) END AS resolved_at
-FROM events
-WHERE event_type = 'error' AND event_id % 3 = user_id % 3 AND user_id % 5 <> 0"""
+FROM (SELECT *, event_type = 'error' AND event_id % 3 = user_id % 3 AS faulty FROM events)"""
 
 CTES["raw_feature_usage"] = f"""
 SELECT concat('F', event_id) AS usage_id, concat('A', user_id) AS account_id,
@@ -171,11 +179,10 @@ SELECT concat('F', event_id) AS usage_id, concat('A', user_id) AS account_id,
                  ELSE event_id % 20 END END AS BIGINT) AS usage_count,
   CAST(CASE WHEN event_id % 10 = 0 THEN NULL ELSE 30 * (event_id % 40) END AS BIGINT)
     AS session_duration_seconds,
-  CASE WHEN event_id % 12 = 5 THEN NULL ELSE CAST(ts AS DATE) END AS usage_date,
+  CASE WHEN event_id % 12 <> 5 AND event_type IN ('click', 'view') AND user_id % 9 <> 8
+        AND (user_id % 6 NOT IN (1, 2) OR event_id % 8 = 0) THEN CAST(ts AS DATE) END AS usage_date,
   ts AS created_at
-FROM events
-WHERE event_type IN ('click', 'view') AND user_id % 9 <> 8
-  AND (user_id % 6 NOT IN (1, 2) OR event_id % 8 = 0)"""
+FROM events"""
 
 CTES["raw_web_events"] = f"""
 SELECT concat('W', event_id) AS event_id, concat('C', user_id) AS contact_id,
@@ -198,7 +205,7 @@ FROM part"""
 
 CTES["raw_orders"] = f"""
 SELECT concat('D', o_orderkey) AS order_id, concat('A', o_custkey) AS account_id,
-  concat('R', o_orderkey % 200) AS product_id,
+  concat('R', 4 * o_custkey // 3) AS product_id,
   CASE WHEN o_orderkey % 8 < 5 THEN concat('O', o_orderkey) END AS opportunity_id,
   CASE o_orderstatus WHEN 'F' THEN 'Completed ' WHEN 'O' THEN 'pending'
        WHEN 'P' THEN 'CANCELLED' END AS order_status,
@@ -209,8 +216,9 @@ SELECT concat('D', o_orderkey) AS order_id, concat('A', o_custkey) AS account_id
 FROM (SELECT *, CASE WHEN o_orderkey % 12 = 0 THEN -1 ELSE 1 END AS sgn FROM orders)"""
 
 CTES["raw_subscriptions"] = f"""
-SELECT concat('S', o_orderkey) AS subscription_id, concat('A', o_custkey) AS account_id,
-  concat('R', o_orderkey % 200) AS product_id,
+SELECT concat('S', o_orderkey) AS subscription_id,
+  concat('A', CASE WHEN o_custkey % 13 = 5 THEN o_custkey - 1 ELSE o_custkey END) AS account_id,
+  concat('R', 4 * o_custkey // 3) AS product_id,
   CASE WHEN o_orderkey % 8 < 5 THEN concat('O', o_orderkey) END AS opportunity_id,
   CASE WHEN o_orderkey % 8 = 0 THEN 'Churned' WHEN o_orderkey % 20 = 4 THEN 'trial'
        WHEN o_orderkey % 12 = 4 THEN 'paused' ELSE ' ACTIVE' END AS status,
@@ -220,12 +228,13 @@ SELECT concat('S', o_orderkey) AS subscription_id, concat('A', o_custkey) AS acc
   CASE WHEN o_orderkey % 7 = 0 THEN NULL
        WHEN o_orderkey % 11 = 0 THEN CAST(o_orderdate AS DATE) - 5
        ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 700 AS INTEGER) END AS end_date
-FROM orders WHERE o_orderkey % 4 = 0 AND o_custkey % 13 <> 5"""
+FROM orders"""
 
 CTES["raw_invoices"] = f"""
 SELECT concat('I', o_orderkey) AS invoice_id,
   concat('S', o_orderkey - o_orderkey % 4) AS subscription_id,
-  concat('A', o_custkey) AS account_id, amount_due,
+  concat('A', CASE WHEN o_custkey % 17 = 4 THEN o_custkey - 1 ELSE o_custkey END) AS account_id,
+  amount_due,
   CAST(CASE st WHEN 'Paid ' THEN amount_due WHEN 'partial' THEN amount_due * 0.4 END AS {RAWM})
     AS amount_paid,
   d + 30 AS due_date, CASE WHEN st = 'Paid ' THEN d + 20 END AS paid_date,
@@ -236,27 +245,25 @@ FROM (
          WHEN (o_orderkey + o_custkey) % (2 + o_custkey % 5) = 0 THEN 'OVERDUE '
          WHEN o_orderkey % 5 = 1 THEN 'partial' WHEN o_orderkey % 9 = 2 THEN 'unpaid'
          ELSE 'Paid ' END AS st
-  FROM orders WHERE o_custkey % 17 <> 4)"""
+  FROM orders)"""
 
 CTES["raw_payments"] = f"""
-SELECT concat('P', o_orderkey) AS payment_id, concat('I', o_orderkey) AS invoice_id,
-  concat('A', o_custkey) AS account_id,
-  {pick('o_orderkey % 2', ['Card', 'bank '])} AS payment_method, st AS payment_status,
-  CASE WHEN st = 'FAILED' AND o_orderkey % 6 <> 0
-       THEN {pick('o_orderkey % 3', ['insufficient funds', 'expired card', 'fraud'])} END
-    AS failure_reason,
-  concat('g', o_orderkey) AS gateway_ref,
-  CAST(floor(o_totalprice / 10) AS {RAWM}) AS amount,
-  CAST(o_orderkey % 4 AS BIGINT) AS retry_count,
-  CASE WHEN st = 'pending' OR o_orderkey % 21 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END
-    AS payment_date,
-  o_orderdate AS created_at
+SELECT concat('P', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS payment_id,
+  concat('I', l_orderkey) AS invoice_id,
+  concat('A', CASE WHEN a % 19 = 6 THEN a - 1 ELSE a END) AS account_id,
+  {pick('x % 2', ['Card', 'bank '])} AS payment_method, st AS payment_status,
+  CASE WHEN st = 'FAILED' AND x % 6 <> 0
+       THEN {pick('x % 3', ['insufficient funds', 'expired card', 'fraud'])} END AS failure_reason,
+  concat('g', l_orderkey) AS gateway_ref,
+  CAST(floor(l_extendedprice / 10) AS {RAWM}) AS amount,
+  CAST(x % 4 AS BIGINT) AS retry_count,
+  CASE WHEN st = 'pending' OR x % 21 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS payment_date,
+  l_shipdate AS created_at
 FROM (
-  SELECT *, CASE WHEN (o_orderkey + 7 * o_custkey) % (2 + o_custkey % 9) = 0
-                   OR (o_custkey % 8 = 3 AND o_orderkey % 2 = 0) THEN 'FAILED'
-                 WHEN o_orderkey % 15 = 1 THEN 'refunded'
-                 WHEN o_orderkey % 15 = 2 THEN 'pending' ELSE 'Successful' END AS st
-  FROM orders WHERE o_custkey % 19 <> 6 AND (o_custkey % 4 <> 1 OR o_orderkey % 5 = 0))"""
+  SELECT *, CASE WHEN (x + 7 * a) % (2 + a % 9) = 0 OR (a % 8 = 3 AND x % 2 = 0) THEN 'FAILED'
+                 WHEN x % 15 = 1 THEN 'refunded'
+                 WHEN x % 15 = 2 THEN 'pending' ELSE 'Successful' END AS st
+  FROM (SELECT *, l_orderkey + l_linenumber AS x, 3 * l_partkey // 4 AS a FROM lineitem))"""
 
 # -------------------------------------------------------------- staging
 CTES["stg_crm__accounts"] = f"""
@@ -689,7 +696,7 @@ SELECT mr.account_id, mr.account_name, mr.industry, mr.country, mr.tier, mr.tier
   CASE WHEN mr.total_billed > 0 THEN {rdiv('mr.total_outstanding', 'mr.total_billed', 100)}
        ELSE 0 END AS outstanding_pct,
   CASE WHEN mr.avg_subscription_duration_days > 0
-       THEN round(CAST(mr.total_mrr AS DOUBLE) * (mr.avg_subscription_duration_days / 30.0), 2)
+       THEN {round_double('CAST(mr.total_mrr AS DOUBLE) * (mr.avg_subscription_duration_days / 30.0)')}
        ELSE 0 END AS estimated_clv,
   date_diff('day', mr.earliest_subscription_start, {AS_OF}) AS customer_tenure_days,
   date_diff('day', mr.latest_subscription_start, {AS_OF}) AS days_since_latest_subscription,
