@@ -605,8 +605,10 @@ LEFT JOIN (
   GROUP BY opportunity_id, account_id) oa ON o.opportunity_id = oa.opportunity_id
 LEFT JOIN stg_crm__accounts a ON o.account_id = a.account_id
 QUALIFY row_number() OVER (PARTITION BY o.opportunity_id
-  ORDER BY oa.latest_activity_date DESC NULLS LAST,
-           oa.activity_account_id DESC NULLS LAST) = 1"""
+  ORDER BY o.created_at NULLS FIRST, o.account_id NULLS FIRST, o.stage NULLS FIRST,
+           o.amount NULLS FIRST, oa.latest_activity_date DESC NULLS LAST,
+           oa.activity_account_id DESC NULLS LAST, a.account_name NULLS FIRST,
+           a.tier NULLS FIRST) = 1"""
 
 CTES["int_leads_with_campaigns"] = f"""
 SELECT l.lead_id, l.contact_id, l.campaign_id, l.lead_source, l.lead_status, l.assigned_rep,

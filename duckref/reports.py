@@ -10,7 +10,6 @@ with NULLs last on DESC (first on ASC), then the key.
 from __future__ import annotations
 
 from duckref.duck import FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
-from tidemark.operators.quality import CHECKS
 
 D = "AS DOUBLE)"
 
@@ -197,31 +196,135 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def check_sql(check) -> str:
-    m, c = check.model, check.column
-    head = f"SELECT {_q(m)} AS model, {_q(c)} AS column_name, {_q(check.test)} AS test, "
-    if check.test == "unique":
-        body = (f"count(*) AS failures FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
-                f"GROUP BY {c} HAVING count(*) > 1)")
-    elif check.test == "not_null":
-        body = f"count(*) AS failures FROM {m} WHERE {c} IS NULL"
-    elif check.test == "accepted_values":
-        vals = ", ".join(_q(v) for v in check.values)
-        body = f"count(*) AS failures FROM (SELECT DISTINCT {c} FROM {m}) WHERE {c} NOT IN ({vals})"
-    elif check.test == "relationships":
-        body = (f"count(*) AS failures FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {check.to_model} p WHERE p.{check.to_column} = ch.{c})")
-    elif check.test == "expression_is_true":
-        body = f"count(*) AS failures FROM {m} WHERE NOT ({check.expression})"
-    else:
-        raise ValueError(check.test)
-    return head + body
+# The declared checks, as text. U unique and not null, N not null,
+# V accepted values, R relationship, E expression.
+DECLARED = """
+stg_crm__accounts U account_id
+stg_crm__accounts V account_status active|churned|prospect
+stg_crm__accounts V tier starter|growth|enterprise
+stg_crm__contacts U contact_id
+stg_crm__contacts R account_id stg_crm__accounts.account_id
+stg_crm__leads U lead_id
+stg_crm__leads N contact_id
+stg_crm__leads R contact_id stg_crm__contacts.contact_id
+stg_crm__leads V lead_status new|working|nurturing|disqualified|converted
+stg_crm__opportunities U opportunity_id
+stg_crm__opportunities N account_id
+stg_crm__opportunities R account_id stg_crm__accounts.account_id
+stg_crm__opportunities V stage prospecting|qualification|proposal|negotiation|closed won|closed lost
+stg_crm__campaigns U campaign_id
+stg_crm__activities U activity_id
+stg_crm__activities N account_id
+stg_crm__support_tickets U ticket_id
+stg_crm__support_tickets N account_id
+stg_crm__support_tickets V priority low|medium|high|critical
+stg_erp__products U product_id
+stg_erp__products V billing_type subscription|one-time
+stg_erp__orders U order_id
+stg_erp__orders N account_id
+stg_erp__invoices U invoice_id
+stg_erp__invoices N account_id
+stg_erp__invoices V payment_status paid|unpaid|overdue|partial
+stg_erp__subscriptions U subscription_id
+stg_erp__subscriptions N account_id
+stg_erp__subscriptions R account_id stg_crm__accounts.account_id
+stg_erp__subscriptions V subscription_status active|churned|paused|trial
+stg_erp__payments U payment_id
+stg_erp__payments N account_id
+stg_erp__payments V payment_status successful|failed|refunded|pending
+stg_web__web_events U event_id
+stg_web__web_events V event_type page_view|form_submit|demo_request|pricing_view|blog_view|login|feature_use
+stg_web__feature_usage U usage_id
+stg_web__feature_usage N account_id
+stg_web__feature_usage V engagement_level power|regular|light|inactive
+int_accounts_with_subscriptions U account_id
+int_customer_health U account_id
+int_customer_health V churn_risk_band critical|high|medium|low
+int_leads_with_campaigns U lead_id
+int_leads_with_campaigns V lead_outcome closed_won|closed_lost|in_pipeline|not_converted
+int_payment_health U account_id
+int_payment_health V payment_health_band critical|poor|at_risk|healthy
+int_sales_activity U opportunity_id
+int_sales_activity V engagement_quality no_engagement|high|medium|low
+mart_customer_churn U account_id
+mart_customer_churn N account_name
+mart_customer_churn N churn_risk_score
+mart_customer_churn N churn_risk_band
+mart_customer_churn N recommended_action
+mart_customer_churn N mart_updated_at
+mart_customer_churn V tier starter|growth|enterprise
+mart_customer_churn V payment_health_band critical|poor|at_risk|healthy
+mart_customer_churn V churn_risk_band critical|high|medium|low
+mart_revenue U account_id
+mart_revenue N revenue_health_band
+mart_revenue N mart_updated_at
+mart_revenue V tier starter|growth|enterprise
+mart_revenue V payment_health_band critical|poor|at_risk|healthy
+mart_revenue V revenue_health_band healthy|stable|at_risk|critical|no_revenue
+mart_sales_funnel U lead_id
+mart_sales_funnel N attribution_type
+mart_sales_funnel N lead_outcome
+mart_sales_funnel N funnel_stage
+mart_sales_funnel N mart_updated_at
+mart_sales_funnel V attribution_type campaign|organic
+mart_sales_funnel V lead_outcome closed_won|closed_lost|in_pipeline|not_converted
+mart_sales_funnel V funnel_stage 1_lead|2_converted|3_in_pipeline|4_closed_won|4_closed_lost
+mart_sales_funnel V engagement_quality no_engagement|high|medium|low
+mart_sales_funnel E days_lead_to_close days_lead_to_close >= 0 OR days_lead_to_close IS NULL
+mart_sales_funnel E days_convert_to_close days_convert_to_close >= 0 OR days_convert_to_close IS NULL
+"""
+
+
+def check_sql() -> list[str]:
+    """One statement per declared check: model, column_name, test, failures."""
+    out = []
+    for line in DECLARED.strip().splitlines():
+        m, kind, c, *rest = line.split(" ", 3)
+        arg = rest[0] if rest else ""
+        head = f"SELECT {_q(m)} AS model, {_q(c)} AS column_name, "
+        if kind == "U":
+            out.append(f"{head}'unique' AS test, count(*) AS failures FROM (SELECT {c} FROM {m} "
+                       f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+        if kind in "UN":
+            out.append(f"{head}'not_null' AS test, count(*) AS failures FROM {m} WHERE {c} IS NULL")
+        elif kind == "V":
+            values = ", ".join(_q(v) for v in arg.split("|"))
+            out.append(f"{head}'accepted_values' AS test, count(*) AS failures FROM "
+                       f"(SELECT DISTINCT {c} FROM {m}) WHERE {c} NOT IN ({values})")
+        elif kind == "R":
+            parent, key = arg.split(".")
+            out.append(f"{head}'relationships' AS test, count(*) AS failures FROM {m} ch WHERE ch.{c} IS NOT NULL "
+                       f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = ch.{c})")
+        elif kind == "E":
+            out.append(f"{head}'expression_is_true' AS test, count(*) AS failures FROM {m} WHERE NOT ({arg})")
+    return out
 
 
 REPORTS["v6_quality_suite"] = (
     "SELECT model, column_name, test, failures, "
     "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
-    + "\nUNION ALL\n".join(check_sql(ch) for ch in CHECKS) + "\n)"
+    + "\nUNION ALL\n".join(check_sql()) + "\n)"
 )
 
+# Failing rows of single checks on raw tables.
+REPORTS["v1_unique"] = """
+SELECT contact_id, count(*) AS n_records FROM raw_leads
+WHERE contact_id IS NOT NULL GROUP BY contact_id HAVING count(*) > 1"""
+REPORTS["v2_not_null"] = "SELECT * FROM raw_contacts WHERE account_id IS NULL"
+REPORTS["v3_accepted_values"] = """
+SELECT account_status, count(*) AS n_records FROM raw_accounts
+WHERE account_status NOT IN ('active', 'churned', 'prospect') GROUP BY account_status"""
+REPORTS["v4_relationships"] = """
+SELECT account_id, count(*) AS n_records FROM raw_feature_usage u
+WHERE NOT EXISTS (SELECT 1 FROM raw_contacts c WHERE c.account_id = u.account_id) GROUP BY account_id"""
+REPORTS["v5_expression_is_true"] = """
+SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount)
+FROM raw_orders WHERE NOT (unit_price >= 0)"""
+
+# The written marts as the catalog describes them: all columns are documented.
+REPORTS["s5_described_marts"] = "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS table_name, (SELECT count(*) FROM {m}) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "
+    f"CAST({n} AS BIGINT) AS n_documented"
+    for m, n in (("mart_customer_churn", 55), ("mart_revenue", 49), ("mart_sales_funnel", 53)))
+
 FINAL.update(REPORTS)

@@ -15,15 +15,16 @@ ordering so ties resolve deterministically.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
-    MONEY, as_of_date, count_when, dec, least_strict, money_pct, round2,
+    MONEY, as_of_date, count_when, dec, exact_ratio, least_strict, money_pct, round2,
 )
-from tidemark.operators.sequence import adjacent_flag_pairs
+from tidemark.operators.sequence import across_chunks, chunk_pairs, mark_neighbours, total_pairs
 
 RATE = "decimal(18,2)"
 
@@ -53,32 +54,56 @@ def invoice_rollup(invoices: DataFrame) -> DataFrame:
 
 
 def payment_rollup(payments: DataFrame) -> DataFrame:
-    """Payment totals per account (read by D1 and D2).
-
-    ``total_cumulative_failures`` is the maximum of the running failure
-    count, which for non-negative increments is the final count.
-    ``last_failure`` is the newest failed payment (created_at, then
-    payment_id) with its reason kept even when NULL.
+    """Everything D1 and D2 take from payments, per account, in one pass.
+
+    Payments move once, by (account, day of creation), so a hot account is
+    spread over its days. Each day yields counts, sums, dates, the failure
+    flags at its borders and its newest failed payment (created_at, then
+    payment_id) with its reason kept even when NULL; the days of an account
+    are then put together. ``total_cumulative_failures`` is the maximum of
+    the running failure count, which for non-negative increments is the
+    final count.
     """
-    ok = F.col("is_successful")
-    return (
-        payments.where(F.col("account_id").isNotNull())
-        .groupBy("account_id")
+    ok, zero = F.col("is_successful"), F.lit(0).cast(MONEY)
+    paid = (payments.where(F.col("account_id").isNotNull())
+            .select("account_id", "payment_id", "created_at", "payment_date", "amount", "failure_reason",
+                    "is_successful", "is_failed", "is_repeat_failure",
+                    F.to_date("created_at").alias("_day")))
+    per_day = (
+        mark_neighbours(paid, "account_id", "_day", ["created_at", "payment_id"], "is_failed")
+        .groupBy("account_id", "_day")
         .agg(
-            F.count("payment_id").alias("total_payments"),
-            count_when(ok).alias("successful_payments"),
-            count_when(F.col("is_failed")).alias("failed_payments"),
-            count_when(F.col("is_repeat_failure")).alias("repeat_failures"),
-            round2(F.sum(F.when(ok, F.col("amount")).otherwise(F.lit(0).cast(MONEY))))
-            .alias("total_payment_amount"),
-            round2(F.avg(F.when(ok, F.col("amount")))).alias("avg_payment_amount"),
-            F.max("payment_date").alias("latest_payment_date"),
-            F.min("payment_date").alias("first_payment_date"),
+            F.count("payment_id").alias("n"), count_when(ok).alias("n_ok"),
+            count_when(F.col("is_failed")).alias("n_failed"),
+            count_when(F.col("is_repeat_failure")).alias("n_repeat"),
+            F.sum(F.when(ok, F.col("amount")).otherwise(zero)).alias("ok_amount"),
+            F.count(F.when(ok, F.col("amount"))).alias("n_amounts"),
+            F.max("payment_date").alias("latest"), F.min("payment_date").alias("first"),
             F.max(F.when(F.col("is_failed"),
-                         F.struct("created_at", "payment_id", "failure_reason")))
-            .alias("last_failure"),
+                         F.struct("created_at", "payment_id", "failure_reason"))).alias("failure"),
+            *chunk_pairs("is_failed"),
+        )
+    )
+    total = (
+        across_chunks(per_day, "account_id", "_day").groupBy("account_id").agg(
+            F.sum("n").alias("total_payments"),
+            F.sum("n_ok").alias("successful_payments"),
+            F.sum("n_failed").alias("failed_payments"),
+            F.sum("n_repeat").alias("repeat_failures"),
+            F.sum("ok_amount").alias("_ok_amount"), F.sum("n_amounts").alias("_n_amounts"),
+            F.max("latest").alias("latest_payment_date"),
+            F.min("first").alias("first_payment_date"),
+            F.max("failure").alias("last_failure"),
+            total_pairs().alias("consecutive_failure_count"),
         )
-        .withColumn("total_cumulative_failures", F.col("failed_payments"))
+    )
+    return total.select(
+        "account_id", "total_payments", "successful_payments", "failed_payments", "repeat_failures",
+        round2(F.col("_ok_amount")).alias("total_payment_amount"),
+        F.when(F.col("_n_amounts") > 0, exact_ratio(F.col("_ok_amount"), F.col("_n_amounts")))
+         .alias("avg_payment_amount"),
+        "latest_payment_date", "first_payment_date", "last_failure", "consecutive_failure_count",
+        F.col("failed_payments").alias("total_cumulative_failures"),
     )
 
 
@@ -87,9 +112,48 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
                                     invoices: DataFrame, payments: DataFrame,
                                     invoice_totals: DataFrame | None = None,
                                     payment_totals: DataFrame | None = None) -> DataFrame:
-    """D1. ``invoice_totals`` / ``payment_totals`` may be passed in when
-    the same rollups (``invoice_rollup``, ``payment_rollup``) are shared
-    with int_payment_health, so each fact table is aggregated once."""
+    """D1."""
+    return account_billing(accounts, subscriptions, invoices, payments, invoice_totals,
+                           payment_totals).drop(*HEALTH_COLS)
+
+
+# Columns of int_payment_health that the account marts read, as they come out
+# of ``account_billing``: NULL for an account without payments.
+HEALTH_COLS = [
+    "payment_health_score", "payment_health_band", "consecutive_failure_count",
+    "total_cumulative_failures", "most_recent_failure_reason", "latest_payment_date",
+    "first_payment_date", "avg_payment_amount", "health_total_payments",
+    "health_successful_payments", "health_failed_payments",
+]
+
+
+def payment_score() -> Column:
+    """Payment health score from an account's payment and invoice rollups."""
+    return round2(
+        F.lit(Decimal(100))
+        - F.least(F.col("failed_payments").cast(MONEY) * 5, dec(30))
+        - F.least(F.col("consecutive_failure_count").cast(MONEY) * 10, dec(30))
+        - least_strict(F.col("overdue_invoices").cast(MONEY) * 3, 20)
+        - least_strict(F.col("max_days_overdue").cast(MONEY) * dec("0.5"), 20)
+    )
+
+
+def payment_band() -> Column:
+    consec, failed = F.col("consecutive_failure_count"), F.col("failed_payments")
+    return (F.when(consec >= 3, "critical").when(failed >= 5, "poor")
+            .when(failed >= 2, "at_risk").otherwise("healthy"))
+
+
+def account_billing(accounts: DataFrame, subscriptions: DataFrame, invoices: DataFrame,
+                    payments: DataFrame, invoice_totals: DataFrame | None = None,
+                    payment_totals: DataFrame | None = None) -> DataFrame:
+    """D1 with the columns the marts take from D2 (``HEALTH_COLS``).
+
+    Both are left joins of the same rollups on the account, so one join
+    carries both and each fact table is scanned and shuffled once. The
+    rollups (``invoice_rollup``, ``payment_rollup``) may be passed in when
+    they are shared with int_payment_health.
+    """
     subs = (
         subscriptions.where(~F.col("is_date_inverted") & F.col("account_id").isNotNull())
         .groupBy("account_id")
@@ -105,9 +169,7 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
         )
     )
     inv = invoice_totals if invoice_totals is not None else invoice_rollup(invoices)
-    pay = (payment_totals if payment_totals is not None else payment_rollup(payments)).select(
-        "account_id", "total_payments", "successful_payments", "failed_payments",
-        "repeat_failures", "total_payment_amount")
+    pay = payment_totals if payment_totals is not None else payment_rollup(payments)
     inv = inv.select("account_id", "total_invoices", "paid_invoices", "overdue_invoices",
                      "total_billed", "total_collected", "total_outstanding", "max_days_overdue")
     a = accounts.select("account_id", "account_name", "industry", "country",
@@ -134,6 +196,14 @@ def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFram
                round2(F.coalesce(F.col("failed_payments"), F.lit(0))
                       / F.col("total_payments") * 100))
          .otherwise(F.lit(0.0)).alias("payment_failure_rate_pct"),
+        F.when(F.col("total_payments").isNotNull(), payment_score()).alias("payment_health_score"),
+        F.when(F.col("total_payments").isNotNull(), payment_band()).alias("payment_health_band"),
+        "consecutive_failure_count", "total_cumulative_failures",
+        F.col("last_failure.failure_reason").alias("most_recent_failure_reason"),
+        "latest_payment_date", "first_payment_date", "avg_payment_amount",
+        F.col("total_payments").alias("health_total_payments"),
+        F.col("successful_payments").alias("health_successful_payments"),
+        F.col("failed_payments").alias("health_failed_payments"),
     )
 
 
@@ -142,35 +212,21 @@ def int_payment_health(payments: DataFrame, invoices: DataFrame,
                        invoice_totals: DataFrame | None = None,
                        payment_totals: DataFrame | None = None) -> DataFrame:
     """D2; the optional rollups are shared with D1 as there."""
-    paid = payments.where(F.col("account_id").isNotNull())
-    roll = payment_totals if payment_totals is not None else payment_rollup(paid)
-    consecutive = adjacent_flag_pairs(
-        paid, "account_id", ["created_at", "payment_id"], "is_failed",
-        out="consecutive_failure_count")
+    roll = payment_totals if payment_totals is not None else payment_rollup(payments)
     inv = (invoice_totals if invoice_totals is not None else invoice_rollup(invoices)).select(
         "account_id", "total_invoices", "overdue_invoices", "total_billed",
         "total_outstanding", "max_days_overdue")
-    j = roll.join(consecutive, "account_id", "left").join(inv, "account_id", "left")
-    failed, consec = F.col("failed_payments"), F.col("consecutive_failure_count")
-    score = (
-        F.lit(Decimal(100))
-        - F.least(failed.cast(MONEY) * 5, dec(30))
-        - F.least(consec.cast(MONEY) * 10, dec(30))
-        - least_strict(F.col("overdue_invoices").cast(MONEY) * 3, 20)
-        - least_strict(F.col("max_days_overdue").cast(MONEY) * dec("0.5"), 20)
-    )
-    return j.select(
+    return roll.join(inv, "account_id", "left").select(
         "account_id", "total_payments", "successful_payments", "failed_payments",
         "repeat_failures", "total_cumulative_failures",
         F.col("total_payment_amount").alias("total_collected"),
         "avg_payment_amount", "latest_payment_date", "first_payment_date",
-        F.coalesce(consec, F.lit(0).cast("long")).alias("consecutive_failure_count"),
+        "consecutive_failure_count",
         F.col("last_failure.failure_reason").alias("most_recent_failure_reason"),
         "total_invoices", "overdue_invoices", "total_billed", "total_outstanding",
         "max_days_overdue",
-        round2(score).alias("payment_health_score"),
-        F.when(consec >= 3, "critical").when(failed >= 5, "poor")
-         .when(failed >= 2, "at_risk").otherwise("healthy").alias("payment_health_band"),
+        payment_score().alias("payment_health_score"),
+        payment_band().alias("payment_health_band"),
     )
 
 
@@ -203,23 +259,26 @@ BILLING_COLS = [
     "latest_subscription_start", "avg_subscription_duration_days", "total_billed",
     "total_collected", "total_outstanding", "max_days_overdue",
 ]
+CARRIED_COLS = [*BILLING_COLS, *HEALTH_COLS]
 
 
 def int_customer_health(accounts: DataFrame, support_tickets: DataFrame,
                         feature_usage: DataFrame, account_subscriptions: DataFrame) -> DataFrame:
     """D3."""
     return customer_health_with_billing(
-        accounts, support_tickets, feature_usage, account_subscriptions).drop(*BILLING_COLS)
+        accounts, support_tickets, feature_usage, account_subscriptions).drop(*CARRIED_COLS)
 
 
 def customer_health_with_billing(accounts: DataFrame, support_tickets: DataFrame,
                                  feature_usage: DataFrame,
                                  account_subscriptions: DataFrame) -> DataFrame:
-    """D3 plus ``BILLING_COLS`` taken from the same join with D1.
+    """D3 plus the columns of the account's billing that the input has
+    (``CARRIED_COLS`` of ``account_billing``), from the same join.
 
-    Lets the churn mart read D1 once instead of joining it a second time
+    Lets the churn mart read D1 and D2 once instead of joining them again
     (see ``marts.mart_customer_churn_shared``).
     """
+    carried = [c for c in CARRIED_COLS if c in account_subscriptions.columns]
     tickets = (
         support_tickets.where(F.col("account_id").isNotNull())
         .groupBy("account_id")
@@ -248,7 +307,7 @@ def customer_health_with_billing(accounts: DataFrame, support_tickets: DataFrame
     )
     s = account_subscriptions.select(
         "account_id", "total_mrr", "total_arr", "active_subscriptions", "collection_rate_pct",
-        "payment_failure_rate_pct", "overdue_invoices", "repeat_failures", *BILLING_COLS)
+        "payment_failure_rate_pct", "overdue_invoices", "repeat_failures", *carried)
     a = accounts.select("account_id", "account_name", "industry", "tier", "tier_rank",
                         "account_status", "is_churned")
     j = a.join(s, "account_id", "left").join(tickets, "account_id", "left") \
@@ -272,7 +331,7 @@ def customer_health_with_billing(accounts: DataFrame, support_tickets: DataFrame
         _zero("power_usage_days"), _zero("inactive_days"),
         "latest_usage_date", "avg_session_duration_minutes",
         score.alias("churn_risk_score"),
-        *BILLING_COLS,
+        *carried,
     ).withColumn("churn_risk_band", churn_band(F.col("churn_risk_score")))
 
 
@@ -285,10 +344,13 @@ OPP_ACTIVITY_COLS = [
 ]
 
 
-def int_sales_activity(activities: DataFrame, opportunities: DataFrame, accounts: DataFrame,
-                       as_of: dt.date | None = None) -> DataFrame:
-    acts = activities.where(~F.col("is_date_missing") & F.col("account_id").isNotNull())
-    kind = F.col("activity_type")
+def counted_activities(activities: DataFrame) -> DataFrame:
+    return activities.where(~F.col("is_date_missing") & F.col("account_id").isNotNull())
+
+
+def opportunity_activity(activities: DataFrame) -> DataFrame:
+    """One row per opportunity that has activities: ``OPP_ACTIVITY_COLS``."""
+    acts, kind = counted_activities(activities), F.col("activity_type")
     per_pair = (
         acts.where(F.col("opportunity_id").isNotNull())
         .groupBy("opportunity_id", "account_id")
@@ -313,25 +375,55 @@ def int_sales_activity(activities: DataFrame, opportunities: DataFrame, accounts
     # account with the latest activity (ties: the larger account id).
     best = F.max(F.struct(F.col("latest_activity_date").alias("k1"),
                           F.col("account_id").alias("k2"), *OPP_ACTIVITY_COLS))
-    per_opp = per_pair.groupBy("opportunity_id").agg(best.alias("b")) \
+    return per_pair.groupBy("opportunity_id").agg(best.alias("b")) \
         .select("opportunity_id", *[F.col(f"b.{c}").alias(c) for c in OPP_ACTIVITY_COLS])
+
+
+def one_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row per ``key``: the first by ``order``, then by the other columns.
+    An aggregate with a partial stage, so a repeated key stays balanced."""
+    rest = [*order, *[c for c in df.columns if c != key and c not in order]]
+    return (df.groupBy(key).agg(F.min(F.struct(*rest)).alias("b"))
+            .select(key, *[F.col(f"b.{c}").alias(c) for c in rest]))
+
+
+def engagement_columns(as_of: dt.date | None) -> list[Column]:
+    """What the activity of an opportunity says, for one without any as well."""
+    n_act, n_high = F.coalesce(F.col("total_activities"), F.lit(0)), \
+        F.coalesce(F.col("high_touch_activities"), F.lit(0))
+    return [
+        F.datediff(as_of_date(as_of), F.col("latest_activity_date")).cast("long")
+        .alias("days_since_last_activity"),
+        F.when(n_act == 0, "no_engagement").when(n_high >= 5, "high")
+         .when(n_high >= 2, "medium").otherwise("low").alias("engagement_quality"),
+    ]
+
+
+def int_sales_activity(activities: DataFrame, opportunities: DataFrame, accounts: DataFrame,
+                       as_of: dt.date | None = None) -> DataFrame:
+    """One row per opportunity, whatever repeats in the inputs.
+
+    A repeated opportunity keeps its earliest row (created_at, account_id,
+    then the other columns), a repeated account its first by name.
+    """
+    acts, per_opp = counted_activities(activities), opportunity_activity(activities)
     per_account = acts.groupBy("account_id").agg(
         F.count("activity_id").alias("total_account_activities"),
         count_when(F.col("is_high_touch")).alias("account_high_touch_count"),
         F.max("activity_date").alias("latest_account_activity_date"),
         F.count_distinct("assigned_rep").alias("total_reps_engaged"),
     )
-    a = accounts.select("account_id", "account_name", "tier", "tier_rank")
-    o = opportunities.select(
+    a = one_per_key(accounts.select("account_id", "account_name", "tier", "tier_rank"),
+                    "account_id", ["account_name"])
+    o = one_per_key(opportunities.select(
         "opportunity_id", "account_id", "stage",
         round2(F.col("amount")).alias("amount"),
         round2(F.col("weighted_amount").cast(MONEY)).alias("weighted_amount"),
         "probability", "is_won", "is_lost", "is_open", "close_date",
-        F.col("created_at").alias("opportunity_created_at"))
+        F.col("created_at").alias("opportunity_created_at")),
+        "opportunity_id", ["opportunity_created_at", "account_id"])
     j = o.join(per_account, "account_id", "left").join(per_opp, "opportunity_id", "left") \
          .join(a, "account_id", "left")
-    n_act, n_high = F.coalesce(F.col("total_activities"), F.lit(0)), \
-        F.coalesce(F.col("high_touch_activities"), F.lit(0))
     return j.select(
         "opportunity_id", "account_id", "stage", "amount", "weighted_amount", "probability",
         "is_won", "is_lost", "is_open", "close_date", "opportunity_created_at",
@@ -343,10 +435,7 @@ def int_sales_activity(activities: DataFrame, opportunities: DataFrame, accounts
         "first_activity_date",
         _zero("total_account_activities"), _zero("account_high_touch_count"),
         "latest_account_activity_date", _zero("total_reps_engaged"),
-        F.datediff(as_of_date(as_of), F.col("latest_activity_date")).cast("long")
-        .alias("days_since_last_activity"),
-        F.when(n_act == 0, "no_engagement").when(n_high >= 5, "high")
-         .when(n_high >= 2, "medium").otherwise("low").alias("engagement_quality"),
+        *engagement_columns(as_of),
     )
 
 
@@ -385,10 +474,37 @@ def best_opportunity_per_lead(opportunities: DataFrame) -> DataFrame:
     )
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, own: str) -> DataFrame:
+    """Left join on ``key``; left rows without a key match nothing, so they are
+    dealt out by ``own`` (their own id) instead of meeting in one partition."""
+    spread = F.coalesce(F.col(key), F.concat(F.lit("\u0000"), F.col(own)))
+    other = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_of")
+    return left.withColumn("_key", spread).join(other, F.col("_key") == F.col("_of"), "left").drop("_key", "_of")
+
+
+LEAD_COLS = [
+    "lead_id", "contact_id", "campaign_id", "lead_source", "lead_status", "assigned_rep",
+    "lead_created_at", "converted_at", "is_converted", "is_conversion_date_missing",
+    "days_to_convert", "campaign_name", "campaign_type", "campaign_status", "channel",
+    "campaign_variant", "budget", "actual_spend", "budget_utilisation_pct",
+    "is_spend_missing", "account_id", "is_decision_maker", "opportunity_id",
+]
+
+
 def int_leads_with_campaigns(leads: DataFrame, campaigns: DataFrame,
-                             opportunities: DataFrame, contacts: DataFrame) -> DataFrame:
+                             opportunities: DataFrame, contacts: DataFrame,
+                             with_contact: Callable[[DataFrame], DataFrame] | None = None,
+                             with_opportunity: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """D5. ``with_contact`` and ``with_opportunity`` may join more columns to
+    the contacts and to the chosen opportunities, which are smaller than the
+    leads; the columns are carried along."""
     ct = contacts.where(~F.col("is_orphaned")).select("contact_id", "account_id",
                                                      "is_decision_maker")
+    o = best_opportunity_per_lead(opportunities)
+    plain = set(ct.columns) | set(o.columns)
+    ct = with_contact(ct) if with_contact else ct
+    o = with_opportunity(o) if with_opportunity else o
+    more = [c for c in (*ct.columns, *o.columns) if c not in plain]
     c = campaigns.select(
         "campaign_id", "campaign_name", "campaign_type", "campaign_status", "channel",
         "campaign_variant", round2(F.col("budget")).alias("budget"),
@@ -398,15 +514,10 @@ def int_leads_with_campaigns(leads: DataFrame, campaigns: DataFrame,
         "lead_id", "contact_id", "campaign_id", "lead_source", "lead_status",
         "assigned_rep", F.col("created_at").alias("lead_created_at"), "converted_at",
         "is_converted", "is_conversion_date_missing", "days_to_convert")
-    o = best_opportunity_per_lead(opportunities)
-    j = l.join(c, "campaign_id", "left").join(ct, "contact_id", "left") \
-         .join(o, "lead_id", "left")
+    j = left_join_spread(left_join_spread(l, c, "campaign_id", "lead_id"), ct, "contact_id", "lead_id") \
+        .join(o, "lead_id", "left")
     return j.select(
-        "lead_id", "contact_id", "campaign_id", "lead_source", "lead_status", "assigned_rep",
-        "lead_created_at", "converted_at", "is_converted", "is_conversion_date_missing",
-        "days_to_convert", "campaign_name", "campaign_type", "campaign_status", "channel",
-        "campaign_variant", "budget", "actual_spend", "budget_utilisation_pct",
-        "is_spend_missing", "account_id", "is_decision_maker", "opportunity_id",
+        *LEAD_COLS,
         F.col("stage").alias("opportunity_stage"),
         round2(F.col("amount")).alias("opportunity_amount"),
         round2(F.col("weighted_amount").cast(MONEY)).alias("weighted_amount"),
@@ -416,4 +527,5 @@ def int_leads_with_campaigns(leads: DataFrame, campaigns: DataFrame,
         F.when(F.col("is_won"), "closed_won").when(F.col("is_lost"), "closed_lost")
          .when(F.col("is_converted"), "in_pipeline").otherwise("not_converted")
          .alias("lead_outcome"),
+        *more,
     )

@@ -1,9 +1,10 @@
 """Marts: the three wide result tables.
 
 All three are left joins of account- or opportunity-keyed rollups onto a
-driving table, then one projection. The intermediate frames arrive
-already hash-partitioned on account_id by their aggregates, so the joins
-add no exchange of their own beyond what AQE chooses.
+driving table, then one projection. Account marts read one frame that
+carries every account-grain rollup. The funnel joins what it can at contact
+and opportunity grain, so leads move for their campaign, their contact and
+their opportunity only.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import (
     MONEY, as_of_date, dec, flag, money_pct, round2, run_timestamp,
 )
-from tidemark.operators.intermediate import BILLING_COLS
+from tidemark.operators.intermediate import (
+    BILLING_COLS, engagement_columns, int_leads_with_campaigns, opportunity_activity,
+)
 
 # Recommended next action per churn risk band.
 RECOMMENDED_ACTION = {
@@ -52,25 +55,24 @@ def mart_customer_churn(customer_health: DataFrame, payment_health: DataFrame,
     return _churn_columns(j, as_of, run_ts)
 
 
-def mart_customer_churn_shared(health_with_billing: DataFrame, payment_health: DataFrame,
-                               accounts: DataFrame, as_of: dt.date | None = None,
+def mart_customer_churn_shared(health_with_billing: DataFrame, accounts: DataFrame,
+                               as_of: dt.date | None = None,
                                run_ts: dt.datetime | None = None) -> DataFrame:
-    """M1 with D1 read once: same rows and values as ``mart_customer_churn``.
-
-    The second join with D1 contributes only ``BILLING_COLS``, which are
-    rollups of the account key (equal on every D1 row of a key), and a
-    row multiplicity: the number of D1 rows per key, which is the number
-    of account rows per key. So the billing columns come from the D1 join
-    inside customer health (``customer_health_with_billing``) and the
-    multiplicity from a left join with the account key column alone: a
-    narrow scan of a dimension instead of re-aggregating subscriptions and
-    invoices. With unique account keys (a declared check) that join is
-    one-to-one; with duplicates it repeats rows exactly as the definition.
+    """M1 with D1 and D2 read once: same rows and values as ``mart_customer_churn``.
+
+    The joins with D2 and, again, with D1 contribute rollups of the account
+    key (equal on every row of a key), and D1 a row multiplicity: the number
+    of account rows per key. So the columns come from the join inside
+    customer health (``customer_health_with_billing`` over
+    ``account_billing``) and the multiplicity from a left join with the
+    account key column alone: a narrow scan of a dimension instead of
+    aggregating the fact tables again. With unique account keys (a declared
+    check) that join is one-to-one; with duplicates it repeats rows exactly
+    as the definition.
     """
     keys = accounts.select("account_id")
-    j = health_with_billing.join(payment_health.select(*PAYMENT_HEALTH_COLS), "account_id",
-                                 "left") \
-        .join(keys, "account_id", "left")
+    j = health_with_billing.join(keys, "account_id", "left").withColumnsRenamed(
+        {f"health_{c}": c for c in ("total_payments", "successful_payments", "failed_payments")})
     return _churn_columns(j, as_of, run_ts)
 
 
@@ -136,22 +138,32 @@ def revenue_band(active, rate, pay_band):
             .otherwise("critical"))
 
 
+REVENUE_HEALTH_COLS = [
+    "payment_health_score", "payment_health_band",
+    "consecutive_failure_count", "total_cumulative_failures",
+    "most_recent_failure_reason", "latest_payment_date", "first_payment_date",
+    "avg_payment_amount",
+]
+
+
 def mart_revenue(account_subscriptions: DataFrame, payment_health: DataFrame,
                  as_of: dt.date | None = None, run_ts: dt.datetime | None = None) -> DataFrame:
-    mr = account_subscriptions.select(*REVENUE_BASE_COLS)
-    ph = payment_health.select(
-        "account_id", "payment_health_score", "payment_health_band",
-        "consecutive_failure_count", "total_cumulative_failures",
-        "most_recent_failure_reason", "latest_payment_date", "first_payment_date",
-        "avg_payment_amount")
-    j = mr.join(ph, "account_id", "left")
+    """M2 as defined: D1, then payment health."""
+    ph = payment_health.select("account_id", *REVENUE_HEALTH_COLS)
+    return mart_revenue_shared(
+        account_subscriptions.select(*REVENUE_BASE_COLS).join(ph, "account_id", "left"), as_of, run_ts)
+
+
+def mart_revenue_shared(j: DataFrame, as_of: dt.date | None = None,
+                        run_ts: dt.datetime | None = None) -> DataFrame:
+    """M2 from one frame with the columns of both (``account_billing``)."""
     rate, arr = F.col("collection_rate_pct"), F.col("total_arr")
     billed, outstanding = F.col("total_billed"), F.col("total_outstanding")
     avg_days = F.col("avg_subscription_duration_days")
     today = as_of_date(as_of)
     return j.select(
         *REVENUE_BASE_COLS,
-        *[c for c in ph.columns if c != "account_id"],
+        *REVENUE_HEALTH_COLS,
         revenue_band(F.col("active_subscriptions"), rate, F.col("payment_health_band"))
         .alias("revenue_health_band"),
         F.when(rate < 50, arr).when(rate < 70, round2(arr * dec("0.50")))
@@ -183,18 +195,49 @@ def funnel_stage(is_won, is_lost, is_open, is_converted):
             .otherwise("1_lead"))
 
 
+FUNNEL_ACCOUNT_COLS = ["account_name", "tier", "tier_rank", "industry"]
+FUNNEL_ACTIVITY_COLS = [
+    "total_activities", "high_touch_activities", "positive_outcomes",
+    "total_calls", "total_meetings", "total_demos", "total_emails", "reps_involved",
+    "avg_activity_duration", "positive_outcome_rate", "engagement_quality",
+    "days_since_last_activity", "latest_activity_date", "first_activity_date",
+]
+
+
 def mart_sales_funnel(leads_with_campaigns: DataFrame, accounts: DataFrame,
                       sales_activity: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-    ls = leads_with_campaigns.withColumn(
+    """M3 as defined: leads, then activity by opportunity, then accounts."""
+    j = leads_with_campaigns \
+        .join(sales_activity.select("opportunity_id", *FUNNEL_ACTIVITY_COLS), "opportunity_id", "left") \
+        .join(accounts.select("account_id", *FUNNEL_ACCOUNT_COLS), "account_id", "left")
+    return _funnel_columns(j, run_ts)
+
+
+def mart_sales_funnel_shared(leads: DataFrame, campaigns: DataFrame, opportunities: DataFrame,
+                             contacts: DataFrame, accounts: DataFrame, activities: DataFrame,
+                             as_of: dt.date | None = None,
+                             run_ts: dt.datetime | None = None) -> DataFrame:
+    """M3 with the activity joined to the chosen opportunities and the accounts
+    to the contacts, before either meets the leads: the same rows, but three
+    quarters of the leads have no opportunity and would meet under NULL."""
+    activity = opportunity_activity(activities)
+
+    def with_activity(best: DataFrame) -> DataFrame:
+        return best.join(activity, "opportunity_id", "left").select(
+            "*", *engagement_columns(as_of))
+
+    def with_account(contact: DataFrame) -> DataFrame:
+        return contact.join(accounts.select("account_id", *FUNNEL_ACCOUNT_COLS), "account_id", "left")
+
+    j = int_leads_with_campaigns(leads, campaigns, opportunities, contacts,
+                                 with_contact=with_account, with_opportunity=with_activity)
+    return _funnel_columns(j, run_ts)
+
+
+def _funnel_columns(leads: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
+    j = leads.withColumn(
         "funnel_stage", funnel_stage(F.col("is_won"), F.col("is_lost"), F.col("is_open"),
                                      F.col("is_converted")))
-    acc = accounts.select("account_id", "account_name", "tier", "tier_rank", "industry")
-    oa = sales_activity.select(
-        "opportunity_id", "total_activities", "high_touch_activities", "positive_outcomes",
-        "total_calls", "total_meetings", "total_demos", "total_emails", "reps_involved",
-        "avg_activity_duration", "positive_outcome_rate", "engagement_quality",
-        "days_since_last_activity", "latest_activity_date", "first_activity_date")
-    j = ls.join(oa, "opportunity_id", "left").join(acc, "account_id", "left")
     won, close = F.col("is_won"), F.col("close_date")
     spend, amount = F.col("actual_spend"), F.col("opportunity_amount")
     lead_days = F.datediff(close, F.to_date("lead_created_at"))

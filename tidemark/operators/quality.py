@@ -10,13 +10,12 @@ query returns (0 passes):
 * relationships: non-NULL child rows whose key is missing in the parent;
 * expression_is_true: rows where the expression is false (NULL passes).
 
-The suite scans each model once for all its checks (``model_checks``:
-one generator and a two-level aggregate with partial stages; the child
-keys of a relationship come out of the same grouping and are
-anti-joined with the parent's keys, so a key that holds a large share
-of the rows reaches the join as one row with a count). Nothing is
-collected to the driver: per-model results are one-row DataFrames,
-exploded to one row per check and unioned.
+The suite (``run_checks``) counts the failing rows of the same functions: the
+keys of unique and relationship checks are grouped with a partial stage (a
+key that holds a large share of the rows reaches the join as one row with
+a count), everything one row decides is one aggregate per model. Nothing is
+collected to the driver: results are one-row DataFrames, exploded to one
+row per check and unioned.
 """
 
 from __future__ import annotations
@@ -192,79 +191,64 @@ def _row(check: Check, failures: Column) -> Column:
                     F.lit(check.test).alias("test"), failures.cast("long").alias("failures"))
 
 
-def _witness(check: Check) -> Column:
-    """Per row, the value a check looks at, or NULL when the row cannot fail it.
+def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -> DataFrame:
+    rows = F.array(*[_row(ch, F.col(a)) for ch, a in zip(checks, aliases)])
+    return one_row.select(F.inline(rows))
 
-    unique, relationships: the key (NULL keys are ignored); accepted_values: a value
-    outside the list; not_null / expression_is_true: a marker on a
-    failing row. Values are compared in text form.
-    """
-    c = F.col(check.column)
-    if check.test in ("unique", "relationships"):
-        return c.cast("string")
+
+def failures(df: DataFrame, check: Check, resolve: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """The failing rows (or values with counts) of one check."""
+    if check.test == "unique":
+        return unique_failures(df, check.column)
     if check.test == "not_null":
-        return F.when(c.isNull(), F.lit(""))
+        return not_null_failures(df, check.column)
     if check.test == "accepted_values":
-        return F.when(c.isNotNull() & ~c.isin(*check.values), c.cast("string"))
+        return accepted_values_failures(df, check.column, check.values)
     if check.test == "expression_is_true":
-        return F.when(~F.expr(check.expression), F.lit(""))
+        return expression_failures(df, check.expression)
+    if check.test == "relationships":
+        if resolve is None:
+            raise ValueError("relationships checks need a model resolver")
+        return relationships_failures(df, check.column, resolve(check.to_model), check.to_column)
     raise ValueError(check.test)
 
 
-# Failures of a check from its (value, rows) groups: duplicated values,
-# distinct bad values, or failing rows.
-_METRIC = {"unique": "dups", "accepted_values": "values", "not_null": "rows",
-           "expression_is_true": "rows"}
-
-
-def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -> DataFrame:
-    rows = F.array(*[_row(ch, F.col(a)) for ch, a in zip(checks, aliases)])
-    return one_row.select(F.inline(rows))
+def _row_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Checks that look at one row at a time, all in one aggregate of ``df``:
+    plain counts, and the set of bad values of a categorical column (at most
+    the distinct values the list leaves out)."""
+    aggregates, aliases = [], []
+    for i, ch in enumerate(checks):
+        c = F.col(ch.column)
+        if ch.test == "not_null":
+            n = F.count_if(c.isNull())
+        elif ch.test == "expression_is_true":
+            n = F.count_if(~F.expr(ch.expression))
+        else:
+            n = F.count_distinct(F.when(c.isNotNull() & ~c.isin(*ch.values), c))
+        aliases.append(f"_c{i}")
+        aggregates.append(n.alias(aliases[-1]))
+    return _explode_rows(df.agg(*aggregates), checks, aliases)
 
 
 def model_checks(df: DataFrame, checks: Sequence[Check],
                  resolve: Callable[[str], DataFrame] | None = None) -> list[DataFrame]:
-    """All checks of one model from one scan of it.
-
-    Each row emits (check, value) for every check it is relevant to (its
-    key for unique and relationships, a bad value, a failure marker);
-    rows that cannot fail a check emit nothing for it. Grouping by
-    (check, value) with a partial stage collapses repeats inside each
-    task, so only distinct keys and bad values are shuffled, and a hot key
-    travels as one row per task. A second aggregate turns the groups into
-    one failure count per check; for a relationship the distinct child
-    keys, with their row counts, are anti-joined with the parent's keys.
-    Both consumers read the same grouped shuffle (Spark reuses the
-    identical exchange), so the model is scanned once.
+    """All checks of one model.
+
+    What one row decides (not_null, expressions, accepted values) is counted
+    by one aggregate over the model. Keys (unique, relationships) need their
+    values grouped: each is its own failing-rows query, counted; its
+    aggregate has a partial stage, so a hot key travels as one row per task.
     """
-    checks = list(checks)
-    items = F.array(*[F.struct(F.lit(i).alias("i"), _witness(ch).alias("v"))
-                      for i, ch in enumerate(checks)])
-    pairs = df.select(F.inline(items)).where(F.col("v").isNotNull())
-    per_value = pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-
-    out = []
-    counted = [(i, ch) for i, ch in enumerate(checks) if ch.test != "relationships"]
-    if counted:
-        per_check = per_value.groupBy("i").agg(
-            F.count_if(F.col("n") > 1).alias("dups"),
-            F.count(F.lit(1)).alias("values"),
-            F.sum("n").alias("rows"),
-        )
-        aliases = [f"_c{i}" for i, _ in counted]
-        one = per_check.agg(*[
-            F.coalesce(F.max(F.when(F.col("i") == i, F.col(_METRIC[ch.test]))),
-                       F.lit(0)).alias(a)
-            for (i, ch), a in zip(counted, aliases)])
-        out.append(_explode_rows(one, [ch for _, ch in counted], aliases))
-    for i, ch in enumerate(checks):
-        if ch.test != "relationships":
+    per_row = [ch for ch in checks if ch.test not in ("unique", "relationships")]
+    out = [_row_counts(df, per_row)] if per_row else []
+    for ch in checks:
+        if ch.test == "unique":
+            n = failures(df, ch).agg(F.count(F.lit(1)).alias("_n"))
+        elif ch.test == "relationships":
+            n = failures(df, ch, resolve).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
+        else:
             continue
-        if resolve is None:
-            raise ValueError("relationships checks need a model resolver")
-        parent = resolve(ch.to_model).select(F.col(ch.to_column).cast("string").alias("v"))
-        missing = per_value.where(F.col("i") == i).join(parent, "v", "left_anti")
-        n = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_n"))
         out.append(_explode_rows(n, [ch], ["_n"]))
     return out
 
@@ -284,25 +268,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
-               checks: Sequence[Check] = CHECKS,
-               materialize: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """V6: one row per check: model, column_name, test, failures.
-
-    A model with checks of several shapes is read more than once (the
-    folded aggregate, a grouped count per unique column, anti joins).
-    ``materialize(name, df)`` may return a materialised copy (for example
-    a reliable checkpoint) so that an expensive model is computed once;
-    it is called once per model, including parents of relationships.
-    """
-    raw_resolve = models if callable(models) else models.__getitem__
-    cache: dict[str, DataFrame] = {}
-
-    def resolve(name: str) -> DataFrame:
-        if name not in cache:
-            df = raw_resolve(name)
-            cache[name] = materialize(name, df) if materialize else df
-        return cache[name]
+               checks: Sequence[Check] = CHECKS) -> DataFrame:
+    """V6: one row per check: model, column_name, test, failures, status.
 
+    A model is read once for its row checks and once per key check, so pass
+    models that are cheap to read: staging models are projections of a raw
+    scan, and ``Warehouse.write_checked`` evaluates the others once.
+    """
+    resolve = models if callable(models) else models.__getitem__
     by_model: dict[str, list[Check]] = {}
     for ch in checks:
         by_model.setdefault(ch.model, []).append(ch)

@@ -1,55 +1,57 @@
 """Order-dependent counts that stay balanced when one key is huge.
 
-``count rows where flag and previous row's flag`` needs the rows of a key
-in order. A window partitioned by the key puts every row of a hot key into
-one task; instead the rows are range-partitioned on (key, order...), so a
-hot key is cut into contiguous chunks across many tasks. Pairs inside a
-chunk come from a lag within the chunk; pairs that straddle two chunks are
-recovered from each chunk's first and last flag, a table with at most
-(#keys + #partitions) rows.
+``rows whose flag and whose previous row's flag are true`` needs the rows of
+a key in order, but a window over the key alone puts a hot key into one task.
+So the rows of a key are cut into chunks that are ranges of the order (here:
+calendar days), pairs inside a chunk come from a lag within it, and pairs
+across chunks from every chunk's first and last flag. The rows move once, by
+(key, chunk); after that there is one row per chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: What ``mark_neighbours`` adds and the per-chunk aggregates read.
+PREVIOUS, IS_FIRST, IS_LAST = "_previous", "_is_first", "_is_last"
+
+
+def mark_neighbours(df: DataFrame, key: str, chunk: str, order: Sequence[str], flag: str) -> DataFrame:
+    """``df`` with the previous row's flag within (key, chunk) and whether the
+    row is the chunk's first or last. ``order`` must be total within a key."""
+    inside = Window.partitionBy(key, chunk).orderBy(*order)
+    return df.withColumns({
+        PREVIOUS: F.lag(flag).over(inside),
+        IS_FIRST: F.lag(F.lit(1)).over(inside).isNull(),
+        IS_LAST: F.lead(F.lit(1)).over(inside).isNull(),
+    })
+
+
+def chunk_pairs(flag: str) -> list[Column]:
+    """Aggregates per (key, chunk): pairs inside it, its first and last flag."""
+    f = F.col(flag)
+    return [F.count_if(f & F.col(PREVIOUS)).alias("_inner"),
+            F.max(F.when(F.col(IS_FIRST), f)).alias("_first"),
+            F.max(F.when(F.col(IS_LAST), f)).alias("_last")]
 
-def adjacent_flag_pairs(df: DataFrame, key: str, order: Sequence[str], flag: str,
-                        out: str = "pairs", partitions: int | None = None) -> DataFrame:
-    """Per ``key``: number of rows whose flag and predecessor's flag are true.
 
-    ``order`` must be a total order within a key (append the primary key).
-    Keys with no qualifying pair get 0; every key of ``df`` appears once.
-    """
-    cols = [key, *order, flag]
-    narrow = df.select(*cols)
-    ranged = (narrow.repartitionByRange(partitions, key, *order) if partitions
-              else narrow.repartitionByRange(key, *order))
-    chunked = ranged.withColumn("_chunk", F.spark_partition_id())
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
-    # lag/lead of a constant are NULL exactly on a chunk's first/last row,
-    # so the first and last flags come out of the same window pass and the
-    # aggregate keeps fixed-width buffers (hash aggregation, no sort).
-    per_chunk = (
-        chunked.select(
-            key, "_chunk", F.col(flag).alias("_f"),
-            F.lag(flag).over(in_chunk).alias("_prev"),
-            F.lag(F.lit(1)).over(in_chunk).isNull().alias("_is_first"),
-            F.lead(F.lit(1)).over(in_chunk).isNull().alias("_is_last"))
-        .groupBy(key, "_chunk")
-        .agg(
-            F.count_if(F.col("_f") & F.col("_prev")).alias("_inner"),
-            F.max(F.when(F.col("_is_first"), F.col("_f"))).alias("_first"),
-            F.max(F.when(F.col("_is_last"), F.col("_f"))).alias("_last"),
-        )
-    )
-    across = Window.partitionBy(key).orderBy("_chunk")
-    return (
-        per_chunk.withColumn("_prev_last", F.lag("_last").over(across))
-        .groupBy(key)
-        .agg((F.sum("_inner") + F.count_if(F.col("_first") & F.col("_prev_last")))
-             .cast("long").alias(out))
-    )
+def across_chunks(per_chunk: DataFrame, key: str, chunk: str) -> DataFrame:
+    """``per_chunk`` with the flag that ended the chunk before (``_before``)."""
+    return per_chunk.withColumn("_before", F.lag("_last").over(Window.partitionBy(key).orderBy(chunk)))
+
+
+def total_pairs() -> Column:
+    """Aggregate per key, over ``across_chunks``: all adjacent pairs."""
+    return (F.sum("_inner") + F.count_if(F.col("_first") & F.col("_before"))).cast("long")
+
+
+def adjacent_flag_pairs(df: DataFrame, key: str, chunk: str, order: Sequence[str], flag: str,
+                        out: str = "pairs") -> DataFrame:
+    """Per ``key``: number of rows whose flag and predecessor's flag are true.
+    ``chunk``: a column that never falls along ``order``."""
+    per_chunk = (mark_neighbours(df.select(key, chunk, *order, flag), key, chunk, order, flag)
+                 .groupBy(key, chunk).agg(*chunk_pairs(flag)))
+    return across_chunks(per_chunk, key, chunk).groupBy(key).agg(total_pairs().alias(out))

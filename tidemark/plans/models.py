@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from tidemark.operators import intermediate as I
 from tidemark.operators import marts as M
 from tidemark.operators.staging import STAGING
+from tidemark.session import written
 
 
 @dataclass(frozen=True)
@@ -53,19 +54,22 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
           I.invoice_rollup),
     Model("account_payment_totals", "helper", ("helper",), ("stg_erp__payments",),
           I.payment_rollup),
-    Model("int_accounts_with_subscriptions", "intermediate", ("intermediate",),
+    # D1 with what the marts take from D2, from one join of the rollups.
+    Model("account_billing", "helper", ("helper",),
           ("stg_crm__accounts", "stg_erp__subscriptions", "stg_erp__invoices",
-           "stg_erp__payments"), I.int_accounts_with_subscriptions, shared=ROLLUPS,
+           "stg_erp__payments"), I.account_billing, shared=ROLLUPS),
+    Model("int_accounts_with_subscriptions", "intermediate", ("intermediate",),
+          ("account_billing",), lambda wide: wide.drop(*I.HEALTH_COLS),
           description="One row per account: subscription, invoice and payment rollups."),
     Model("int_payment_health", "intermediate", ("intermediate",),
           ("stg_erp__payments", "stg_erp__invoices"), I.int_payment_health, shared=ROLLUPS,
           description="One row per paying account: failure pattern, score and band."),
     Model("customer_health_with_billing", "helper", ("helper",),
           ("stg_crm__accounts", "stg_crm__support_tickets", "stg_web__feature_usage",
-           "int_accounts_with_subscriptions"), I.customer_health_with_billing),
+           "account_billing"), I.customer_health_with_billing),
     Model("int_customer_health", "intermediate", ("intermediate",),
           ("customer_health_with_billing",),
-          lambda wide: wide.drop(*I.BILLING_COLS),
+          lambda wide: wide.drop(*I.CARRIED_COLS),
           description="One row per account: support and usage signals, churn risk."),
     Model("int_sales_activity", "intermediate", ("intermediate",),
           ("stg_crm__activities", "stg_crm__opportunities", "stg_crm__accounts"),
@@ -76,23 +80,23 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
            "stg_crm__contacts"), I.int_leads_with_campaigns,
           description="One row per lead: campaign, contact and best opportunity."),
     Model("mart_customer_churn", "marts", ("core", "marts"),
-          ("customer_health_with_billing", "int_payment_health", "stg_crm__accounts"),
+          ("customer_health_with_billing", "stg_crm__accounts"),
           M.mart_customer_churn_shared, dated=True, stamped=True,
           description="One row per account: churn risk score, band, revenue at risk."),
     Model("mart_revenue", "marts", ("finance", "marts"),
-          ("int_accounts_with_subscriptions", "int_payment_health"),
-          M.mart_revenue, dated=True, stamped=True,
+          ("account_billing",),
+          M.mart_revenue_shared, dated=True, stamped=True,
           description="One row per account: billing health and revenue at risk."),
     Model("mart_sales_funnel", "marts", ("marketing", "marts"),
-          ("int_leads_with_campaigns", "stg_crm__accounts", "int_sales_activity"),
-          M.mart_sales_funnel, stamped=True,
+          ("stg_crm__leads", "stg_crm__campaigns", "stg_crm__opportunities",
+           "stg_crm__contacts", "stg_crm__accounts", "stg_crm__activities"),
+          M.mart_sales_funnel_shared, dated=True, stamped=True,
           description="One row per lead: funnel stage, deal and engagement."),
 ]}
 
 # Models read by more than one downstream model; persisted in build_all.
-# All four are one row per account, small next to the fact tables.
-SHARED = ("account_invoice_totals", "account_payment_totals",
-          "int_accounts_with_subscriptions", "int_payment_health")
+# All are one row per account, small next to the fact tables.
+SHARED = ("account_invoice_totals", "account_payment_totals", "account_billing")
 
 
 def by_tag(tag: str) -> list[str]:
@@ -121,6 +125,7 @@ class Warehouse:
     as_of: dt.date | None = None
     run_ts: dt.datetime | None = None
     _built: dict[str, DataFrame] = field(default_factory=dict)
+    _written: set[str] = field(default_factory=set)
 
     def model(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -141,11 +146,20 @@ class Warehouse:
     def persist_shared(self) -> None:
         """Cache the models several marts read, for a multi-mart build."""
         for name in SHARED:
-            self._built[name] = self.model(name).persist(StorageLevel.MEMORY_AND_DISK)
+            if name not in self._written:
+                self._built[name] = self.model(name).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def write_checked(self, layers: tuple[str, ...] = ("helper", "intermediate", "marts")) -> None:
+        """Evaluate every model of the layers once, in dependency order, into
+        the shared folder; later reads see the written rows."""
+        for name in (*SHARED, *[n for n, m in MODELS.items() if m.layer in layers]):
+            if name not in self._written:
+                self._built[name] = written(self.model(name), name)
+                self._written.add(name)
 
     def unpersist(self) -> None:
         for name in SHARED:
-            if name in self._built:
+            if name in self._built and name not in self._written:
                 self._built[name].unpersist()
 
     def register_views(self, layer: str | None = None) -> list[str]:

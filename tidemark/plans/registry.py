@@ -10,17 +10,19 @@ are returned as double.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tidemark.operators.quality import run_checks
+from tidemark.operators.quality import ACCOUNT_STATUS, Check, failures, run_checks, union_all
 from tidemark.plans import curated as Q
 from tidemark.plans import rollups as R
 from tidemark.plans.models import MODELS, Warehouse
 from tidemark.session import configure
+from tidemark.sources.catalog import build_marts, describe_table, list_tables
 from tidemark.sources.fixtures import raw_tables
 
 AS_OF = dt.date(2002, 1, 1)
@@ -107,7 +109,51 @@ QUERIES.update({
 
 def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 95 checks over every model built from the test data."""
-    return run_checks(warehouse(spark, sf_dir).model)
+    wh = warehouse(spark, sf_dir)
+    wh.write_checked()
+    return run_checks(wh.model)
 
 
 QUERIES["v6_quality_suite"] = quality_suite
+
+
+# The single checks, on raw tables whose rows do fail them.
+RAW_CHECKS = {
+    "v1_unique": ("leads", Check("leads", "contact_id", "unique")),
+    "v2_not_null": ("contacts", Check("contacts", "account_id", "not_null")),
+    "v3_accepted_values": ("accounts", Check("accounts", "account_status", "accepted_values",
+                                             values=ACCOUNT_STATUS)),
+    "v4_relationships": ("feature_usage", Check("feature_usage", "account_id", "relationships",
+                                                to_model="contacts", to_column="account_id")),
+    "v5_expression_is_true": ("orders", Check("orders", "unit_price", "expression_is_true",
+                                              expression="unit_price >= 0")),
+}
+
+
+def _raw_check(table: str, check: Check) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = warehouse(spark, sf_dir).raw
+        return comparable(failures(raw[table], check, raw.__getitem__))
+    return run
+
+
+QUERIES.update({name: _raw_check(*of) for name, of in RAW_CHECKS.items()})
+
+
+def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts written with comments, then listed from the catalog
+    with their rows, columns and documented columns."""
+    database = f"tidemark_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
+    build_marts(spark, warehouse(spark, sf_dir), database=database)
+    frames = []
+    for r in list_tables(spark, database).collect():  # the three marts
+        table = f"{database}.{r['table_name']}"
+        comments = [c["description"] for c in describe_table(spark, table).collect()]  # one row per column
+        frames.append(spark.table(table).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(r["table_name"]).alias("table_name"), "n_rows",
+            F.lit(len(comments)).cast("long").alias("n_columns"),
+            F.lit(sum(bool(c) for c in comments)).cast("long").alias("n_documented")))
+    return union_all(frames)
+
+
+QUERIES["s5_described_marts"] = described_tables

@@ -53,25 +53,23 @@ def main(argv: list[str] | None = None) -> int:
            else read_catalog_tables(spark, args.raw_database))
     run_ts = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     wh = Warehouse(raw, as_of=args.as_of, run_ts=run_ts)
+    checks = args.checks or args.checks_only
+    if checks:  # build and checks read the same evaluated models
+        wh.write_checked(("helper", "intermediate"))
     if not args.checks_only:
         for table in build_marts(spark, wh, database=args.database):
             print(f"built {table}")
-    if not (args.checks or args.checks_only):
+    if not checks:
         return 0
     ensure_database(spark, args.database)
     results = f"{args.database}.quality_results"
 
     def model(name: str):
-        # Marts are checked as published (the written tables); staging and
-        # intermediate models are views, evaluated from the raw tables.
+        # marts are checked as published, that is, the written tables
         return spark.table(f"{args.database}.{name}") if name in MART_KEYS else wh.model(name)
 
-    wh.persist_shared()
-    try:
-        run_checks(model).withColumn("checked_at", run_timestamp(run_ts)) \
-            .write.mode("overwrite").saveAsTable(results)
-    finally:
-        wh.unpersist()
+    run_checks(model).withColumn("checked_at", run_timestamp(run_ts)) \
+        .write.mode("overwrite").saveAsTable(results)
     failed = spark.table(results).where(F.col("failures") > 0)
     n_failed = failed.count()
     failed.orderBy("model", "column_name", "test").show(100, truncate=False)

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every model needs; applied to an existing session too.
 REQUIRED_CONF = {
@@ -51,6 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back:
+    computed once, and readable again after the loss of an executor."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidemark", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and local benchmarking (no UI, UTC, ANSI)."""
