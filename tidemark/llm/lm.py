@@ -292,9 +292,10 @@ def _token_blocks(trie: Trie, texts: list[str], rare: list[dict[str, int]] | Non
 def _kept(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys (ascending) and counts of the n-grams of ``least`` tokens or more:
     at most one over the share they have to reach."""
-    rows = (counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-            .sort_values("key"))
-    return rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    rows = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    keys, n = rows["key"].to_numpy(), rows["n"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
 
 
 @dataclass
@@ -315,9 +316,10 @@ def train(docs: DataFrame, *, text_col: str = "text", word_share: float = WORD_S
                          .groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).head()
     n_tokens, n_types = totals["n"] or 0, totals["v"] or 0
-    frequent = vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens)).toPandas()
-    frequent = frequent.sort_values("word", key=lambda s: s.map(str.encode))
-    words, counts = frequent["word"].tolist(), frequent["n"].to_numpy(np.int64)
+    frequent = vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens)).toArrow()
+    words, n_each = frequent["word"].to_pylist(), frequent["n"].to_numpy()
+    order = sorted(range(len(words)), key=lambda i: words[i].encode())
+    words, counts = [words[i] for i in order], n_each[order].astype(np.int64)
     least = max(MIN_COUNT, int(np.ceil(share * n_tokens)))
     none = np.zeros(0, dtype=np.int64)
     base = (words, counts, n_tokens, n_types)
