@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 
@@ -24,8 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where the package lies; workers on the same machine, or with the same layout, import it from there.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Hand Python workers small Arrow batches (kept if already smaller)."""
+    """Hand Python workers small Arrow batches (kept if already smaller), and
+    tell them where the package is, as a driver may have found it by its own
+    ``sys.path`` only. Elsewhere it is shipped with ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         if not 0 < _number(spark.conf.get(key)) <= most:

@@ -153,10 +153,13 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     (of repeated rows with that id, or of rows without one, one row each)."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col,
                             shingle_words=shingle_words, max_bits=max_bits)
-    keep = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")), "simhash-keep")
-    kept = docs.join(keep.select("__id"), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    if keep.where("__n > 1").head() is None:
+    # the ids to drop are the shorter list; Spark sends it to the documents
+    # where it is small, and shuffles both where it is not
+    ids = written(found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__n")), "simhash-ids")
+    drop = ids.where("__n = 0").select("__id")
+    kept = docs.join(drop, docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+    if ids.where("__n > 1").head() is None:
         return kept
     return kept.dropDuplicates([id_col])
 
