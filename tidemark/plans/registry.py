@@ -10,7 +10,7 @@ are returned as double.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,7 +143,7 @@ QUERIES.update({name: _raw_check(*of) for name, of in RAW_CHECKS.items()})
 def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marts written with comments, then listed from the catalog
     with their rows, columns and documented columns."""
-    database = f"tidemark_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
+    database = f"tidemark_{uuid.uuid4().hex[:12]}"  # a warehouse may keep the files of earlier sessions
     build_marts(spark, warehouse(spark, sf_dir), database=database)
     frames = []
     for r in list_tables(spark, database).collect():  # the three marts
