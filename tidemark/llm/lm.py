@@ -9,21 +9,26 @@ model is an interpolated trigram over training counts c:
 
 g(.) is the mass that the kept successors leave, so every context's
 probabilities sum to one, unknown words together counting as one. All counts
-are taken over the whole corpus by Spark; kept are n-grams of frequent words
-whose count is at least ``MIN_COUNT`` and at least ``SHARE`` of all tokens. So
-the trie has at most 1 / SHARE n-grams an order and 1 / WORD_SHARE words
-whatever the corpus, and grows with it up to there. All other words, however
-many, keep their exact counts: they are joined to the documents by Spark.
-
-The trie has three levels. A node of a level is the position of its n-gram.
-Below the words, level 2 holds for each word its successors, level 3 for each
-pair uv its successors w, given by the position of vw among the successors
-of v rather than by w. A level is one Elias-Fano sequence: successors are
-shifted by the start of their context's range, so the whole level ascends.
-Starts are monotone pointers, Elias-Fano too. To look a word up is a successor
-search in the context's range. Probabilities and weights of contexts are
-quantised to 256 values an order. All levels are sections of one file, which
-Spark ships to the executors and workers map into memory.
+are taken over the whole corpus by Spark; kept are words and n-grams with a
+count of at least ``MIN_COUNT``, the same at every size. All other words,
+however many, keep their exact counts: they are joined to the documents by Spark.
+
+The trie has three levels. A word's number is the rank of its 64-bit hash, so
+no task holds the words themselves (two words of one hash, of odds below 1e-4
+at 1e8 words, would count as one). A node of level 2 is the position of its
+pair. Level 2 holds for each word its successors, level 3 for each pair uv its
+successors w, given by the position of vw among the successors of v rather
+than by w. A level is an Elias-Fano sequence: successors are shifted by the
+start of their context's range, so the whole level ascends. Starts are monotone
+pointers, Elias-Fano too. To look a word up is a successor search in the
+context's range.
+
+Levels 2 and 3 are cut into shards: ranges of first words and of pairs, with
+about ``SHARD_GRAMS`` n-grams each. Spark tasks build them, each from the
+n-grams of its range, so the driver gathers the words' hashes and counts only.
+Probabilities and weights of contexts are quantised to 256 values a shard.
+Each shard is a file that Spark ships to the executors; workers map the files
+into memory and send every look-up to its shard.
 
 Defined results: a null text counts as empty and is one end; a null id is not
 held out; repeated rows count and are scored each; without training rows N
@@ -41,6 +46,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,9 +54,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, crc_remainder, shared_path, table, texts_of, written
 from tidemark.llm.eliasfano import EliasFano
 
-WORD_SHARE = 1e-6     # of all training tokens: words in the trie
-SHARE = 1e-7          # n-grams of two and three words in the trie
+WORD_SHARE = 0.0      # least share of all training tokens of words in the trie: no cut but MIN_COUNT
+SHARE = 0.0           # and of n-grams of two and three words
 MIN_COUNT = 2
+SHARD_GRAMS = 2_000_000   # n-grams of a shard, about
+CACHED_WORDS = 300_000    # words whose numbers a worker remembers
+HASH_SEED = 42            # Spark's
 DISCOUNT = 0.75
 LEVELS = 256
 FLUSH_WORDS = 200_000     # distinct words a counting task holds
@@ -108,78 +117,158 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, book.astype(np.float32)
 
 
-def build_trie(words: list[str], counts: np.ndarray, n_tokens: int, n_types: int,
-               pairs: np.ndarray, pair_counts: np.ndarray,
-               triples: np.ndarray, triple_counts: np.ndarray) -> dict[str, np.ndarray]:
-    """The file's arrays. ``words`` sorted; ``pairs``: u * F + v ascending;
-    ``triples``: (position of uv in ``pairs``) * F + w ascending, vw among them."""
-    size = len(words)
-    p1 = (counts + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-    out = {"words": np.frombuffer("\n".join(words).encode(), dtype=np.uint8), "counts": counts.astype(np.int64),
-           "totals": np.array([n_tokens, n_types], dtype=np.int64)}
-    first, last = pairs // max(size, 1), pairs % max(size, 1)
-    taken = (pair_counts - DISCOUNT) / counts[first] if len(pairs) else np.zeros(0)
-    left1 = 1 - np.bincount(first, taken, minlength=size)
-    p2 = taken + left1[first] * p1[last] if len(pairs) else taken
-    starts = np.searchsorted(pairs, np.arange(size + 1) * size)
-    n_after = np.diff(starts)
-
-    at_pair, third = triples // max(size, 1), triples % max(size, 1)
-    second = last[at_pair] if len(triples) else at_pair
-    back = np.searchsorted(pairs, second * size + third)          # position of vw
-    relative = back - starts[second] if len(triples) else back    # among the successors of v
-    taken3 = (triple_counts - DISCOUNT) / pair_counts[at_pair] if len(triples) else np.zeros(0)
-    left2 = 1 - np.bincount(at_pair, taken3, minlength=len(pairs))
-    p3 = taken3 + left2[at_pair] * p2[back] if len(triples) else taken3
-    # each pair's range at level 3 is as long as its second word's successors
-    ranges = np.concatenate([[0], np.cumsum(n_after[last])]) if len(pairs) else np.zeros(1, dtype=np.int64)
-
-    out |= EliasFano.build(pairs, max(1, size * size)).arrays("level2")
-    out |= EliasFano.build(starts, len(pairs) + 1).arrays("starts2")
-    out |= EliasFano.build(ranges[at_pair] + relative, int(ranges[-1]) + 1).arrays("level3")
-    out |= EliasFano.build(ranges, int(ranges[-1]) + 1).arrays("starts3")
-    for name, values in (("p2", p2), ("p3", p3), ("left1", left1), ("left2", left2)):
-        out[f"{name}.code"], out[f"{name}.book"] = quantised(np.log10(np.maximum(values, 1e-12)))
-    return out
-
-
-class Trie:
+def _with_codes(arrays: dict[str, np.ndarray], **values: np.ndarray) -> dict[str, np.ndarray]:
+    for name, v in values.items():
+        arrays[f"{name}.code"], arrays[f"{name}.book"] = quantised(np.log10(np.maximum(v, 1e-12)))
+    return arrays
+
+
+def pair_shard(trie: Trie, low: int, high: int, pairs: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Level 2 of the first words ``low`` to ``high``; ``pairs``: u * F + v ascending."""
+    size = trie.size
+    first, last = pairs // size - low, pairs % size
+    taken = (counts - DISCOUNT) / trie.counts[first + low]
+    left1 = 1 - np.bincount(first, taken, minlength=high - low)
+    p2 = taken + left1[first] * 10 ** trie.log_p1[last]
+    starts = np.searchsorted(first, np.arange(high - low + 1))
+    out = {"range": np.array([low, high, len(pairs)]), "n": counts.astype(np.min_scalar_type(counts.max()))}
+    out |= EliasFano.build(pairs - low * size, (high - low) * size).arrays("level")
+    out |= EliasFano.build(starts, len(pairs) + 1).arrays("starts")
+    return _with_codes(out, p=p2, left=left1)
+
+
+def triple_shard(trie: Trie, low: int, high: int, triples: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Level 3 of the pairs at nodes ``low`` to ``high``; ``triples``: node of uv * F + w
+    ascending, vw among the pairs."""
+    at_pair, third = triples // trie.size - low, triples % trie.size
+    last, pair_counts = trie.pairs_at(np.arange(low, high))
+    second = last[at_pair]
+    back = trie.pair_nodes(second, third)                  # position of vw
+    relative = back - trie.starts2(second)                 # among the successors of v
+    taken = (counts - DISCOUNT) / pair_counts[at_pair]
+    left2 = 1 - np.bincount(at_pair, taken, minlength=high - low)
+    p3 = taken + left2[at_pair] * 10 ** trie.value2("p", back)
+    # each pair's range is as long as its second word's successors
+    ranges = np.concatenate([[0], np.cumsum(trie.starts2(last, 1) - trie.starts2(last))])
+    values = ranges[at_pair] + relative
+    order = np.argsort(values, kind="stable")
+    out = {"range": np.array([low, high, len(triples)])}
+    out |= EliasFano.build(values[order], int(ranges[-1]) + 1).arrays("level")
+    out |= EliasFano.build(ranges, int(ranges[-1]) + 1).arrays("starts")
+    return _with_codes(out, p=p3[order], left=left2)
+
+
+class Shard:
     def __init__(self, arrays: dict[str, np.ndarray]):
-        words = arrays["words"].tobytes().split(b"\n") if len(arrays["counts"]) else []
-        self.ids = {w: i for i, w in enumerate(words)}
-        self.size = len(words)
-        self.counts = np.asarray(arrays["counts"])
-        self.n_tokens, self.n_types = (int(v) for v in arrays["totals"])
-        self.log_unit = float(np.log10(self.n_tokens + 0.5 * (self.n_types + 1)))
-        self.log_p1 = np.log10(self.counts + 0.5) - self.log_unit
-        self.level2, self.starts2, self.level3, self.starts3 = (
-            EliasFano.of(arrays, n) for n in ("level2", "starts2", "level3", "starts3"))
+        self.low, self.high, self.n = (int(v) for v in arrays["range"])
+        self.level, self.starts = EliasFano.of(arrays, "level"), EliasFano.of(arrays, "starts")
+        self.counts = arrays.get("n")
         self.codes = {n: (arrays[f"{n}.code"], np.asarray(arrays[f"{n}.book"], dtype=np.float64))
-                      for n in ("p2", "p3", "left1", "left2")}
+                      for n in ("p", "left")}
 
     def value(self, name: str, at: np.ndarray) -> np.ndarray:
         code, book = self.codes[name]
         return book[code[at]]
 
+
+def _parts(edges: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, places of the keys from edges[k] to below edges[k + 1])."""
+    which = np.searchsorted(edges, keys, side="right") - 1
+    for k in np.flatnonzero(np.bincount(which[(which >= 0) & (which < len(edges) - 1)], minlength=1)):
+        yield int(k), np.flatnonzero(which == k)
+
+
+class Trie:
+    """The words, and the shards of levels 2 and 3 there are so far. Ranges
+    without n-grams have no shard: nothing is found and all mass is left there."""
+
+    def __init__(self, words: dict[str, np.ndarray], shards2: list[dict], shards3: list[dict]):
+        self.hashes, self.counts = words["hashes"], np.asarray(words["counts"])
+        self.size = len(self.hashes)
+        self.n_tokens, self.n_types = (int(v) for v in words["totals"])
+        self.log_unit = float(np.log10(self.n_tokens + 0.5 * (self.n_types + 1)))
+        self.log_p1 = np.log10(self.counts + 0.5) - self.log_unit
+        self.cached: dict[bytes, int] = {}
+        self.two, self.three = (sorted(map(Shard, shards), key=lambda s: s.low) for shards in (shards2, shards3))
+        self.nodes = np.cumsum([0, *(s.n for s in self.two)])  # first node of each shard
+
+    def _by_range(self, shards: list[Shard], keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard's place, places of the keys in its range)."""
+        if not shards:
+            return
+        for k, at in _parts(np.array([*(s.low for s in shards), shards[-1].high]), keys):
+            yield k, at[keys[at] < shards[k].high]
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if not self.size:
+            return np.full(len(words), -1)
+        raw = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), dtype=np.uint64,
+                          count=len(words)).view(np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, raw), self.size - 1)
+        return np.where(self.hashes[at] == raw, at, -1)
+
     def tokens(self, words: list[bytes]) -> np.ndarray:
         """Trie numbers of the words (-1: not in the trie) and the end's."""
-        out = np.fromiter(map(self.ids.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        return np.append(out, self.ids.get(END.encode(), -1))
+        words = [*words, END.encode()]
+        out = np.fromiter(map(self.cached.get, words, repeat(-2)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(out == -2)
+        if len(missing):
+            new = list({words[i] for i in missing})
+            found = dict(zip(new, self.numbers(new).tolist()))
+            out[missing] = [found[words[i]] for i in missing]
+            if len(self.cached) + len(found) > CACHED_WORDS:
+                self.cached.clear()
+            if len(found) <= CACHED_WORDS:
+                self.cached |= found
+        return out
 
     def pair_nodes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Level-2 nodes of word pairs (-1: none, or a word not in the trie)."""
         out = np.full(len(first), -1)
         known = np.flatnonzero((first >= 0) & (last >= 0))
-        out[known] = self.level2.find(first[known] * self.size + last[known])
+        for k, at in self._by_range(self.two, first[known]):
+            at = known[at]
+            found = self.two[k].level.find((first[at] - self.two[k].low) * self.size + last[at])
+            out[at] = np.where(found >= 0, found + self.nodes[k], -1)
+        return out
+
+    def pairs_at(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Second words and counts of the pairs at the nodes."""
+        last, counts = np.zeros(len(nodes), dtype=np.int64), np.zeros(len(nodes), dtype=np.int64)
+        for k, at in _parts(self.nodes, nodes):
+            inside = nodes[at] - self.nodes[k]
+            last[at] = self.two[k].level[inside] % self.size
+            counts[at] = self.two[k].counts[inside]
+        return last, counts
+
+    def starts2(self, words: np.ndarray, after: int = 0) -> np.ndarray:
+        """First nodes of the words' successors (``after`` 1: first nodes after them)."""
+        out = np.zeros(len(words), dtype=np.int64)
+        for k, at in self._by_range(self.two, words):
+            out[at] = self.two[k].starts[words[at] - self.two[k].low + after] + self.nodes[k]
+        return out
+
+    def value2(self, name: str, nodes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(nodes))
+        for k, at in _parts(self.nodes, nodes):
+            out[at] = self.two[k].value(name, nodes[at] - self.nodes[k])
+        return out
+
+    def left(self, shards: list[Shard], contexts: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(contexts))
+        for k, at in self._by_range(shards, contexts):
+            out[at] = shards[k].value("left", contexts[at] - shards[k].low)
         return out
 
-    def triple_nodes(self, pair: np.ndarray, next_pair: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Level-3 nodes: from the nodes of uv and vw (-1: none) and the word v."""
-        out = np.full(len(pair), -1)
+    def triple_values(self, pair: np.ndarray, next_pair: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """log10 of p3 (NaN: not kept) from the nodes of uv and vw (-1: none) and the word v."""
+        out = np.full(len(pair), np.nan)
         known = np.flatnonzero((pair >= 0) & (next_pair >= 0))
-        if len(known):
-            relative = next_pair[known] - self.starts2[second[known]]
-            out[known] = self.level3.find(self.starts3[pair[known]] + relative)
+        for k, at in self._by_range(self.three, pair[known]):
+            shard, at = self.three[k], known[at]
+            relative = next_pair[at] - self.starts2(second[at])
+            found = shard.level.find(shard.starts[pair[at] - shard.low] + relative)
+            out[at[found >= 0]] = shard.value("p", found[found >= 0])
         return out
 
     def log_probs(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -190,33 +279,83 @@ class Trie:
         before = np.where(place > 0, before, -1)
         pair = self.pair_nodes(before, tokens)
         pair_before = np.where(place > 1, np.concatenate([[-1], pair[:-1]]), -1)
-        triple = self.triple_nodes(pair_before, pair, before)
         out = np.where(tokens >= 0, self.log_p1[np.maximum(tokens, 0)], 0.0) if self.size else np.zeros(len(tokens))
         context = np.flatnonzero(before >= 0)
-        out[context] += self.value("left1", before[context])
+        out[context] += self.left(self.two, before[context])
         found = np.flatnonzero(pair >= 0)
-        out[found] = self.value("p2", pair[found])
+        out[found] = self.value2("p", pair[found])
         context = np.flatnonzero(pair_before >= 0)
-        out[context] += self.value("left2", pair_before[context])
-        found = np.flatnonzero(triple >= 0)
-        out[found] = self.value("p3", triple[found])
+        out[context] += self.left(self.three, pair_before[context])
+        triple = self.triple_values(pair_before, pair, before)
+        found = np.flatnonzero(~np.isnan(triple))
+        out[found] = triple[found]
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def _mapped(name: str) -> Trie:
-    return Trie(map_file(SparkFiles.get(name)))
+Files = tuple[str, tuple[str, ...], tuple[str, ...]]  # names of words, level 2, level 3
 
 
-def _shipped(spark: SparkSession, arrays: dict[str, np.ndarray]) -> str:
-    """Writes the file to the shared folder and has Spark hand it to every
-    executor, present and later ones; its name there."""
+@functools.lru_cache(maxsize=1)
+def _mapped(files: Files) -> Trie:
+    words, two, three = files
+    of = lambda name: map_file(SparkFiles.get(name))
+    return Trie(of(words), [of(n) for n in two], [of(n) for n in three])
+
+
+def _shipped(contents: DataFrame) -> tuple[str, ...]:
+    """Writes each row's ``content`` as a file to the shared folder and has Spark hand
+    the files to every executor, present and later ones; their names there."""
+    spark = contents.sparkSession
     path = shared_path(spark, "lm-trie")
-    one = spark.createDataFrame([(bytearray(file_bytes(arrays)),)], "content binary").coalesce(1)
-    one.select(F.col("content").cast("string")).write.text(path)  # bytes as they are, and a line end
-    file = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").head()["path"]
-    spark.sparkContext.addFile(file)
-    return file.rsplit("/", 1)[-1]
+    # bytes as they are, and a line end
+    contents.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
+    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+             .where("length > 0").select("path").collect()]
+    for file in files:
+        spark.sparkContext.addFile(file)
+    return tuple(sorted(file.rsplit("/", 1)[-1] for file in files))
+
+
+def _edges(grams: DataFrame, size: int, n_contexts: int) -> np.ndarray:
+    """Ranges of contexts (key / size) with about SHARD_GRAMS n-grams, and at most
+    as many contexts, each."""
+    n = grams.count()
+    n_shards = n // SHARD_GRAMS + 1
+    cuts = []
+    if n_shards > 1:
+        at = [i / n_shards for i in range(1, n_shards)]
+        cuts = [k // size for k in grams.agg(F.percentile_approx("key", at, 100 * n_shards)).head()[0]]
+    return np.unique([0, *cuts, *range(0, n_contexts, SHARD_GRAMS), n_contexts]).astype(np.int64)
+
+
+def _level(grams: DataFrame, files: Files, size: int, n_contexts: int, build) -> tuple[str, ...]:
+    """Builds a level's shards in tasks, ships them and returns their names."""
+    edges = _edges(grams, size, n_contexts)
+
+    @F.pandas_udf("int")
+    def shard_of(keys: pd.Series) -> pd.Series:
+        return pd.Series((np.searchsorted(edges, keys.to_numpy() // size, side="right") - 1).astype(np.int32))
+
+    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, current = [], None
+
+        def content() -> pd.DataFrame:
+            keys, n = (np.concatenate([p[c].to_numpy(np.int64) for p in held]) for c in ("key", "n"))
+            low, high = int(edges[current]), int(edges[current + 1])
+            return pd.DataFrame({"content": [file_bytes(build(_mapped(files), low, high, keys, n))]})
+
+        for batch in batches:
+            for shard, part in batch.groupby("shard"):
+                if held and shard != current:
+                    yield content()
+                    held = []
+                current = int(shard)
+                held.append(part)
+        if held:
+            yield content()
+
+    return _shipped(grams.withColumn("shard", shard_of("key")).repartition("shard")
+                    .sortWithinPartitions("shard", "key").mapInPandas(shards, "content binary"))
 
 
 # ------------------------------------------------------------------ counting
@@ -233,12 +372,12 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": [w.decode() for w in counts], "n": list(counts.values())})
 
 
-def _count_grams(name: str, order: int):
+def _count_grams(files: Files, order: int):
     """A task's n-grams of trie words with their counts. Order 3: of kept pairs,
     numbered by the first pair's node."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie = _mapped(name)
+        trie = _mapped(files)
         held, n = [], 0
 
         def flush():
@@ -289,18 +428,9 @@ def _token_blocks(trie: Trie, texts: list[str], rare: list[dict[str, int]] | Non
             held, n = [], 0
 
 
-def _kept(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (ascending) and counts of the n-grams of ``least`` tokens or more:
-    at most one over the share they have to reach."""
-    rows = counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    keys, n = rows["key"].to_numpy(), rows["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
-
-
 @dataclass
 class Model:
-    file: str            # the trie's name among the shipped files
+    files: Files         # the trie's names among the shipped files
     vocabulary: DataFrame  # word, n: exact training counts of all words
     n_tokens: int
     n_types: int
@@ -316,28 +446,33 @@ def train(docs: DataFrame, *, text_col: str = "text", word_share: float = WORD_S
                          .groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).head()
     n_tokens, n_types = totals["n"] or 0, totals["v"] or 0
-    frequent = vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens)).toArrow()
-    words, n_each = frequent["word"].to_pylist(), frequent["n"].to_numpy()
-    order = sorted(range(len(words)), key=lambda i: words[i].encode())
-    words, counts = [words[i] for i in order], n_each[order].astype(np.int64)
-    least = max(MIN_COUNT, int(np.ceil(share * n_tokens)))
-    none = np.zeros(0, dtype=np.int64)
-    base = (words, counts, n_tokens, n_types)
-    name = _shipped(spark, build_trie(*base, none, none, none, none))
-    pairs = _kept(texts.mapInPandas(_count_grams(name, 2), "key long, n long"), least)
-    name = _shipped(spark, build_trie(*base, *pairs, none, none))
-    triples = _kept(texts.mapInPandas(_count_grams(name, 3), "key long, n long"), least)
-    return Model(_shipped(spark, build_trie(*base, *pairs, *triples)), vocabulary, n_tokens, n_types)
+    frequent = (vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens))
+                .select(F.xxhash64("word").alias("hash"), "n").toArrow())
+    hashes, counts = (frequent[c].to_numpy().astype(np.int64) for c in ("hash", "n"))
+    order = np.argsort(hashes)
+    words = file_bytes({"hashes": hashes[order], "counts": counts[order],
+                        "totals": np.array([n_tokens, n_types], dtype=np.int64)})
+    name = _shipped(spark.createDataFrame([(bytearray(words),)], "content binary").coalesce(1))[0]
+    size, least = max(1, len(hashes)), max(MIN_COUNT, int(np.ceil(share * n_tokens)))
+    files: Files = (name, (), ())
+    for order, build in ((2, pair_shard), (3, triple_shard)):
+        grams = written(texts.mapInPandas(_count_grams(files, order), "key long, n long").groupBy("key")
+                        .agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"lm-grams{order}")
+        n_contexts = len(hashes) if order == 2 else n_pairs
+        names = _level(grams, files, size, n_contexts, build)
+        n_pairs = grams.count()
+        files = (name, names, ()) if order == 2 else (*files[:2], names)
+    return Model(files, vocabulary, n_tokens, n_types)
 
 
 # ------------------------------------------------------------------ scoring
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, base_score, score."""
     bounded_batches(docs.sparkSession)
-    name = model.file
+    files = model.files
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie = _mapped(name)
+        trie = _mapped(files)
         for batch in batches:
             texts, rare = texts_of(batch["text"]), []
             out = {k: np.zeros(len(texts)) for k in ("tokens", "known", "base", "score")}
