@@ -101,3 +101,15 @@ def test_edge_rows(spark):
     one = editprint.fingerprints_with_next(docs.where("doc_id = 2")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     assert editprint.fingerprints_with_next(docs.limit(0)).count() == 0
+
+
+def test_query_finds_near_texts(spark, tmp_path):
+    rnd = random.Random(12)
+    texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(300)) for _ in range(8)]
+    rows = list(enumerate(texts)) + [(50 - i, t[:80] + "xy" + t[82:]) for i, t in enumerate(texts[:3])] + [(None, texts[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["component_id"], r["component_docs"])
+           for r in editprint.op8_editprint(spark, str(tmp_path)).collect()}
+    assert got == ({i: (i, 2 if i < 3 or i == 7 else 1) for i in range(8)}
+                   | {50 - i: (i, 2) for i in range(3)} | {None: (7, 2)})

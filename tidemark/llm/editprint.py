@@ -15,7 +15,8 @@ for texts of lengths m < n, equal with probability m / n. ``likeness`` is the
 share of equal digits, corrected for digits equal by chance.
 
 ``near_texts`` finds close documents: bands of sampled digits give candidate
-links, which are verified by likeness of the whole fingerprints.
+links, which are verified by likeness of the whole fingerprints. The query
+joins their components to its rows.
 
 Walks of a batch run side by side in numpy, texts of similar length together;
 the few longest ones are finished one by one.
@@ -281,13 +282,8 @@ def _digit_rows(prints: pd.Series) -> np.ndarray:
 
 def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                near: float = NEAR) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id (the smallest
-    doc_id reachable over links of likeness ``near`` or more).
-
-    Each of ``BANDS`` bands takes ``BAND_DIGITS`` sampled digits; texts that agree
-    in a band are compared by their whole fingerprints. Only distinct
-    fingerprints are compared, and tasks return spanning links.
-    """
+    """One row per document: doc_id, fingerprint, component_id, component_docs
+    (see ``near_prints``)."""
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
@@ -296,7 +292,22 @@ def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             yield pd.Series([shown(d) for d in digits_of([t if isinstance(t, str) else "" for t in batch])], dtype=object)
 
     prints = written(docs.select(F.col(id_col).alias("doc_id"), print_of(F.col(text_col)).alias("fingerprint")), "prints")
-    classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "print-classes")
+    return prints.join(near_prints(prints, near), "fingerprint").select(
+        "doc_id", "fingerprint", "component_id", "component_docs")
+
+
+def near_prints(prints: DataFrame, near: float = NEAR) -> DataFrame:
+    """One row per distinct fingerprint of ``prints`` (doc_id, fingerprint): fingerprint,
+    component_id (the smallest doc_id reachable over links of likeness ``near`` or
+    more) and component_docs (the number of documents reached, itself included).
+
+    Each of ``BANDS`` bands takes ``BAND_DIGITS`` sampled digits; texts that agree
+    in a band are compared by their whole fingerprints. Only distinct
+    fingerprints are compared, and tasks return spanning links. Bands move
+    numbers of fingerprints; the digits go to those that share a band only.
+    """
+    classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"))
+                      .withColumn("number", F.monotonically_increasing_id()), "print-classes")
     bands = _bands()
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -305,7 +316,7 @@ def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             digits = _digit_rows(batch["fingerprint"])
             for n, band in enumerate(bands):
                 yield pd.DataFrame({"band": np.int32(n), "key": (digits[:, band] * weights).sum(1).astype(np.int64),
-                                    "fingerprint": batch["fingerprint"]})
+                                    "number": batch["number"]})
 
     def compare(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         names = ["band", "key", "chunks"]
@@ -323,17 +334,24 @@ def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             texts = frame["fingerprint"].to_numpy()[rows]
             yield pd.DataFrame({"u": texts[tied], "v": texts[labels[tied]]})
 
-    dealt = cut_hot_groups(classes.select("fingerprint").mapInPandas(deal, "band int, key long, fingerprint string"),
-                           ["band", "key"], "fingerprint", GROUP_TEXTS)
+    keys = ["band", "key"]
+    dealt = classes.select("fingerprint", "number").mapInPandas(deal, "band int, key long, number long")
+    shared = written(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys), "shared-bands")
+    dealt = written(dealt.join(shared, keys, "left_semi"), "bands")
+    dealt = (cut_hot_groups(dealt, keys, "number", GROUP_TEXTS)
+             .join(classes.select("number", "fingerprint"), "number").drop("number"))
     links = (dealt.repartition("band", "key", "chunks").sortWithinPartitions("band", "key", "chunks")
              .mapInPandas(whole_groups(["band", "key", "chunks"], compare, BUFFER_TEXTS), "u string, v string"))
     found = components(written(links, "print-links"))
     rooted = written(classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
                      .withColumn("root", F.coalesce("root", "fingerprint")), "print-roots")
-    smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "print-least")
-    member = written(rooted.join(smallest, "root").select("fingerprint", "component_id"), "print-members")
-    return prints.join(member, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"),
+                                                  F.sum("docs").alias("component_docs")), "print-least")
+    return written(rooted.join(smallest, "root").select("fingerprint", "component_id", "component_docs"), "print-members")
 
 
 def op8_editprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints_with_next(table(spark, sf_dir, "documents"))
+    """The columns of ``fingerprints_with_next`` and of ``near_prints``, one row per document."""
+    rows = written(fingerprints_with_next(table(spark, sf_dir, "documents")), "prints")
+    return rows.join(near_prints(rows.select("doc_id", "fingerprint")), "fingerprint").select(
+        *rows.columns, "component_id", "component_docs")
