@@ -117,3 +117,18 @@ def test_edge_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 6, 7]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component(spark):
+    a, b, c, d = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white",
+                  "north south east west up down")
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, c), (9, a), (3, "x y z"), (4, "x y z"),
+            (4, "p q r s t"), (5, "p q r s t"), (None, "z z top of all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__n", F.lit(0))
+    got = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(docs).collect()]
+    # (4, "x y z") goes although another row with id 4 is the least of its own component
+    want = [(9, a), (None, b), (7, c), (7, d), (3, "x y z"), (4, "p q r s t"), (None, "z z top of all")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    null_first = [(None, "x", "p"), (None, "p", "x"), (None, None, "x"), (None, "x", None)]
+    docs = spark.createDataFrame(null_first, "doc_id long, text string, lang string")
+    assert sorted(str(r["text"]) for r in simhash.drop_near_duplicates(docs).collect()) == ["None", "p", "x"]

@@ -137,28 +137,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     bounded_batches(docs.sparkSession)
     prints = written(docs.select(F.col(id_col).alias("doc_id"),
                                  fingerprint_column(F.col(text_col), shingle_words).alias("code")), "simhash")
-    classes = written(prints.groupBy("code").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    found = components(written(links(classes, max_bits), "simhash-links"))
-    rooted = written(classes.join(found.withColumnRenamed("node", "code"), "code", "left")
-                     .withColumn("root", F.coalesce("root", "code")), "simhash-roots")
+    rooted = _rooted(prints, max_bits)
     smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     member = written(rooted.join(smallest, "root").select("code", "component_id"), "simhash-members")
     return (prints.join(member, "code")
             .select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(code, least, root) of each distinct code of ``prints`` (doc_id, code):
+    its smallest doc_id, and a code that names its component."""
+    classes = written(prints.groupBy("code").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    found = components(written(links(classes, max_bits), "simhash-links"))
+    return written(classes.join(found.withColumnRenamed("node", "code"), "code", "left")
+                   .withColumn("root", F.coalesce("root", "code")), "simhash-roots")
+
+
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                          shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id
-    (of repeated rows with that id, or of rows without one, one row each)."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col,
-                            shingle_words=shingle_words, max_bits=max_bits)
-    keep = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")), "simhash-keep")
-    kept = docs.join(keep.select("__id"), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    if keep.where("__n > 1").head() is None:
-        return kept
-    return kept.dropDuplicates([id_col])
+    """``docs`` with one row of each component: the one of the smallest id, rows
+    without one last, and among equal ids of the least hash of the whole row."""
+    bounded_batches(docs.sparkSession)
+    # 128 bits of all values and of which are null, as hashes pass over nulls
+    values = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashes = [F.xxhash64(*values).alias("__h1"), F.xxhash64(F.lit(1), *values).alias("__h2")]
+    prints = written(docs.select(F.col(id_col).alias("doc_id"), *hashes,
+                                 fingerprint_column(F.col(text_col), shingle_words).alias("code")), "simhash")
+    roots = _rooted(prints, max_bits).select("code", "root")
+    # rows of the same values, so of one root, are counted first
+    rows = written(prints.groupBy("doc_id", "__h1", "__h2", "code").agg(F.count(F.lit(1)).alias("__n")), "simhash-rows")
+    keep = written(rows.join(roots, "code").groupBy("root")
+                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__h1", "__h2", "__n")).alias("best"))
+                   .select("best.__h1", "best.__h2", "best.__n"), "simhash-keep")
+    kept = docs.select("*", *hashes).join(keep.select("__h1", "__h2"), ["__h1", "__h2"], "left_semi")
+    if keep.where("__n > 1").head() is not None:
+        kept = kept.dropDuplicates(["__h1", "__h2"])
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
