@@ -119,3 +119,16 @@ def test_edge_rows_and_damaged_files(spark, tmp_path):
     empty = str(tmp_path / "empty")
     warc.write_archives(pages.limit(0), empty)
     assert warc.read_archives(spark, empty).count() == 0
+
+
+def test_bad_record_inside_a_member():
+    parts = sample(6, compressed=False)
+    bad = bytearray(parts[2])
+    bad[bad.index(b"\r\n\r\n") + 8] ^= 0x55
+    data = gzip.compress(b"".join([*parts[:2], bytes(bad), *parts[3:]]))
+    found = list(warc.salvage(data))
+    begin = len(parts[0]) + len(parts[1])
+    assert ids(found) == [0, 1, 3, 4, 5]
+    gaps = [x for x in found if isinstance(x, warc.Gap)]
+    assert [(g.offset, g.length) for g in gaps] == [(0, len(data))]
+    assert gaps[0].reason.endswith(f"(inflated bytes {begin} to {begin + len(bad)})")

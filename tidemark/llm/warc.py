@@ -193,8 +193,8 @@ def _plain_record(data: bytes, at: int) -> Record:
     return record
 
 
-def _member(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the gzip member at ``at`` (none if it is empty) and its length."""
+def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int]:
+    """The records and gaps of the gzip member at ``at`` (none if it is empty) and its length."""
     inflate, out, size, fed = zlib.decompressobj(31), [], 0, at
     try:
         while not inflate.eof:
@@ -209,12 +209,31 @@ def _member(data: bytes, at: int) -> tuple[list[Record], int]:
     except zlib.error as e:
         raise Damaged(f"gzip: {e}") from None
     length = fed - len(inflate.unused_data) - at
-    content, records, inner = b"".join(out), [], 0
+    content, found, inner, broken, whole = b"".join(out), [], 0, None, 0
     while inner < len(content):
-        found = _plain_record(content, inner)
-        inner += found.length
-        records.append(Record(at, length, found.headers, found.block))
-    return records, length
+        try:
+            record = _plain_record(content, inner)
+        except Damaged as e:
+            broken = broken or (inner, str(e))
+            version = VERSION.search(content, inner + 1)
+            inner = version.start() if version else len(content)
+            continue
+        if broken:
+            found.append(_inner_gap(at, length, *broken, inner))
+            broken = None
+        inner += record.length
+        whole += 1
+        found.append(Record(at, length, record.headers, record.block))
+    if broken:
+        if not whole:
+            raise Damaged(broken[1])
+        found.append(_inner_gap(at, length, *broken, len(content)))
+    return found, length
+
+
+def _inner_gap(at: int, length: int, begin: int, reason: str, end: int) -> Gap:
+    """A gap inside the member at ``at``; the reason names its inflated bytes."""
+    return Gap(at, length, f"{reason} (inflated bytes {begin} to {end})")
 
 
 def _next_candidate(data: bytes, at: int) -> int:
