@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import ann, bpe, editprint, langid, lm, mixing, quality, secrets, simhash, warc
+from tidemark.llm import (alignment, ann, bpe, divergence, editprint, langid, linededup, lm, mixing, quality,
+                          secrets, simhash, warc)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,10 +17,15 @@ QUERIES = {
     "op8_editprint": editprint.op8_editprint,
     "op9_simhash": simhash.op9_simhash,
     "op10_mixing": mixing.op10_mixing,
+    "op11_linededup": linededup.op11_linededup,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_divergence": divergence.op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op1_warc": warc.OP1_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_linededup": linededup.OP11_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
