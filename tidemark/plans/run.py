@@ -3,9 +3,11 @@
     spark-submit tidemark/plans/run.py --raw-root s3://bucket/raw --database marts
     spark-submit tidemark/plans/run.py --raw-database raw --checks-only
 
-``build`` replaces the three mart tables (full refresh); ``--checks``
-then runs the 95 data-quality checks and exits with status 1 when any
-fails, so a scheduler can stop downstream work. The check results are
+Without ``--checks-only`` the three marts are built as new versions and then
+published (full refresh). With ``--checks`` the 95 data-quality checks run on
+those versions first: a failing check on a mart keeps the marts published
+before (``--gate`` widens or lifts that), and any failing check ends the job
+with status 1, so a scheduler can stop downstream work. The check results are
 also written as a table (``<database>.quality_results``) for inspection.
 The session's own settings (cluster size, shuffle partitions,
 checkpoint folder) are left as submitted; only the semantics the models
@@ -18,11 +20,12 @@ import argparse
 import datetime as dt
 import os
 import sys
+from collections.abc import Mapping
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.functions.expr import run_timestamp  # noqa: E402
@@ -30,6 +33,7 @@ from tidemark.operators.quality import run_checks  # noqa: E402
 from tidemark.plans.models import Warehouse  # noqa: E402
 from tidemark.session import configure  # noqa: E402
 from tidemark.sources.catalog import MART_KEYS, build_marts, ensure_database  # noqa: E402
+from tidemark.sources.publish import AuditFailed  # noqa: E402
 from tidemark.sources.raw import read_catalog_tables, read_parquet_tables  # noqa: E402
 
 
@@ -43,6 +47,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="run date for day counts (default: today)")
     p.add_argument("--checks", action="store_true", help="run the 95 checks after the build")
     p.add_argument("--checks-only", action="store_true", help="run the checks, skip the build")
+    p.add_argument("--gate", choices=("marts", "all", "none"), default="marts",
+                   help="whose failing checks keep a build from being published")
     return p.parse_args(argv)
 
 
@@ -53,23 +59,29 @@ def main(argv: list[str] | None = None) -> int:
            else read_catalog_tables(spark, args.raw_database))
     run_ts = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     wh = Warehouse(raw, as_of=args.as_of, run_ts=run_ts)
-    checks = args.checks or args.checks_only
-    if checks:  # build and checks read the same evaluated models
-        wh.write_checked(("helper", "intermediate"))
-    if not args.checks_only:
+    ensure_database(spark, args.database)
+    results = f"{args.database}.quality_results"
+    if not (args.checks or args.checks_only):
         for table in build_marts(spark, wh, database=args.database):
             print(f"built {table}")
-    if not checks:
         return 0
-    ensure_database(spark, args.database)
-    results = f"{args.database}.quality_results"
 
-    def model(name: str):
-        # marts are checked as published, that is, the written tables
-        return spark.table(f"{args.database}.{name}") if name in MART_KEYS else wh.model(name)
+    def checked(marts: Mapping[str, str]) -> DataFrame:
+        """Run all checks, the marts' on the given tables; the rows that gate a build."""
+        (run_checks(lambda name: spark.table(marts[name]) if name in marts else wh.model(name))
+         .withColumn("checked_at", run_timestamp(run_ts)).write.mode("overwrite").saveAsTable(results))
+        gate = {"marts": F.col("model").isin(*MART_KEYS), "all": F.lit(True), "none": F.lit(False)}[args.gate]
+        return spark.table(results).where(gate)
 
-    run_checks(model).withColumn("checked_at", run_timestamp(run_ts)) \
-        .write.mode("overwrite").saveAsTable(results)
+    wh.write_checked(("helper", "intermediate"))  # build and checks read the same evaluated models
+    if args.checks_only:
+        checked({name: f"{args.database}.{name}" for name in MART_KEYS})
+    else:
+        try:
+            for table in build_marts(spark, wh, database=args.database, audit=checked):
+                print(f"built {table}")
+        except AuditFailed as stopped:
+            print(stopped)
     failed = spark.table(results).where(F.col("failures") > 0)
     n_failed = failed.count()
     failed.orderBy("model", "column_name", "test").show(100, truncate=False)

@@ -2,8 +2,10 @@
 
 * View sink (staging, intermediate): ``Warehouse.register_views``
   exposes models as temp views; nothing is materialised.
-* Table sink (marts): ``write_mart`` replaces the table in full, then
-  stores the table and column comments with it.
+* Table sink (marts): ``build_marts`` writes every mart as a new version with
+  its table and column comments, audits the versions and then switches the
+  readers to them (``sources/publish.py``); ``write_mart`` replaces a single
+  table in place.
 * Discovery: ``list_tables`` and ``describe_table`` return DataFrames
   built from the session catalog, so a caller never needs to parse
   strings on the driver.
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.models import MODELS, SHARED, Warehouse
 from tidemark.sources.glossary import describe
+from tidemark.sources.publish import (
+    KEPT_VERSIONS, Audit, audited, new_build, prune, publish, sql_string, with_comments, write_version,
+)
 
 # Key of each mart (one row per key), used to sort rows within files.
 MART_KEYS = {
@@ -31,38 +36,45 @@ MART_KEYS = {
 }
 
 
-def _sql_str(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
+def _laid_out(df: DataFrame, name: str) -> DataFrame:
+    """The mart with its comments, by ranges of its key."""
+    documented = with_comments(df, {c: describe(name, c) for c in df.columns})
+    key = MART_KEYS.get(name)
+    return documented.repartitionByRange(key).sortWithinPartitions(key) if key else documented
+
+
+def _description(name: str) -> str:
+    return MODELS[name].description if name in MODELS else ""
+
+
 def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "marts",
                fmt: str = "parquet") -> str:
-    """S3 + S4: full-refresh ``database.name`` and store its comments.
+    """S3 + S4: full-refresh the table ``database.name`` in place, with its comments.
 
     Column comments travel as field metadata, so the table is created
     with them in one write; the table comment is one catalog call.
     """
     ensure_database(spark, database)
     table = f"{database}.{name}"
-    documented = df.select(*[
-        F.col(c).alias(c, metadata={"comment": describe(name, c)}) if describe(name, c)
-        else F.col(c) for c in df.columns])
-    key = MART_KEYS.get(name)
-    out = documented.repartitionByRange(key).sortWithinPartitions(key) if key else documented
-    out.write.mode("overwrite").format(fmt).saveAsTable(table)
-    description = MODELS[name].description if name in MODELS else ""
-    if description:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_sql_str(description)}")
+    _laid_out(df, name).write.mode("overwrite").format(fmt).saveAsTable(table)
+    if _description(name):
+        spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(_description(name))}")
     return table
 
 
 def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "marts",
-                names: tuple[str, ...] = tuple(MART_KEYS), threads: int = 3) -> list[str]:
-    """Build and write the marts; shared intermediates are computed once.
+                names: tuple[str, ...] = tuple(MART_KEYS), threads: int = 3,
+                audit: Audit | None = None, keep: int = KEPT_VERSIONS) -> list[str]:
+    """Build the marts as new versions, audit them, then publish them.
+
+    Readers of ``database.<mart>`` see the version before until all marts are
+    written and ``audit`` (mart name -> version table, to rows with
+    ``failures``) has found nothing; ``AuditFailed`` leaves it that way. The
+    newest ``keep`` versions stay.
 
     The account-grain frames read by both account marts (invoice and
     payment totals, D1, D2) are persisted for the duration of the build
@@ -73,14 +85,22 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "mart
     job is waited for, not recomputed, by another.
     """
     ensure_database(spark, database)
+    build = new_build()
     warehouse.persist_shared()
     try:
-        plans = {n: warehouse.model(n) for n in names}  # plan on one thread
+        plans = {n: _laid_out(warehouse.model(n), n) for n in names}  # plan on one thread
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            futures = [pool.submit(write_mart, spark, plans[n], n, database) for n in names]
-            return [f.result() for f in futures]
+            jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n))
+                    for n in names}
+            staged = {n: job.result() for n, job in jobs.items()}
     finally:
         warehouse.unpersist()
+    if audit is not None:
+        audited(audit, staged, build)
+    tables = [publish(spark, n, build, database) for n in names]
+    for n in names:
+        prune(spark, n, database, keep)
+    return tables
 
 
 def list_tables(spark: SparkSession, database: str = "marts") -> DataFrame:
