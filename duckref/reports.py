@@ -321,6 +321,13 @@ REPORTS["v5_expression_is_true"] = """
 SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount)
 FROM raw_orders WHERE NOT (unit_price >= 0)"""
 
+REPORTS["d2_payment_sequence"] = """
+SELECT payment_id, account_id, created_at, payment_status, is_failed,
+  CAST(sum(CASE WHEN is_failed THEN 1 ELSE 0 END) OVER (in_time ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_failures,
+  row_number() OVER in_time AS payment_sequence, lag(is_failed) OVER in_time AS previous_failed
+FROM stg_erp__payments WHERE account_id IS NOT NULL
+WINDOW in_time AS (PARTITION BY account_id ORDER BY created_at NULLS FIRST, payment_id)"""
+
 # The written marts as the catalog describes them: all columns are documented.
 REPORTS["s5_described_marts"] = "\nUNION ALL\n".join(
     f"SELECT '{m}' AS table_name, (SELECT count(*) FROM {m}) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "

@@ -22,12 +22,11 @@ def test_plan_properties(spark, name):
     ops = plan_summary(df)["operators"]
     # no cross joins, no nested-loop joins
     assert "CartesianProduct" not in ops and "BroadcastNestedLoopJoin" not in ops
-    # windows only appear in the consecutive-failure count, over days:
-    # partitioned by (account, day) over rows, or by account over the
-    # per-day summaries
+    # windows only appear in the running frames over payments: partitioned by
+    # (account, chunk) over rows, or by account over the chunks' summaries
     for args in re.findall(r"\(\d+\) Window\n(?:.*\n)*?Arguments: (.*)", text):
-        assert "_day" in args, args
-    if name in ("v6_quality_suite", "s5_described_marts"):
+        assert "_chunk" in args, args
+    if name in ("v6_quality_suite", "s5_described_marts", "d2_payment_sequence"):
         return  # they scan written models, as wide as the checks need
     # every scan is pruned to the columns it needs (sources have 4-11)
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", text):
@@ -46,6 +45,32 @@ def test_payments_are_read_once(spark, name):
     assert scans_of(QUERIES[name](spark, SF_SMALL), "lineitem") == 1
 
 
+@pytest.mark.parametrize("name", ["int_payment_health", "mart_revenue"])
+def test_payments_are_not_aggregated_by_sorting(spark, name):
+    assert "SortAggregate" not in plan_summary(QUERIES[name](spark, SF_SMALL))["operators"]
+
+
+def test_checks_move_their_keys_once(spark):
+    """Every model is read once, and one exchange groups the keys of all checks."""
+    from tidemark.operators.quality import CHECKS, run_checks
+
+    models = {}
+
+    def model(name):
+        assert name not in models, f"{name} is resolved twice"
+        columns = {c.column: "string" for c in CHECKS if c.model == name} | {
+            c.to_column: "string" for c in CHECKS if c.to_model == name}
+        columns |= {c: "long" for c in columns if c.startswith("days_")}
+        models[name] = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items())).repartition(2)
+        return models[name]
+
+    summary = plan_summary(run_checks(model))["operators"]
+    assert len(models) == 22
+    # one per model's stand-in here, one for the keys, one for the sums of a check (a row per check and task)
+    assert summary["Exchange"] - 22 <= 2
+    assert summary.get("SortMergeJoin", 0) == 0
+
+
 def test_funnel_moves_leads_by_full_keys_only(spark):
     """Without broadcasts, no join of the leads has a key that is often NULL."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -107,3 +107,36 @@ def test_single_pass_matches_one_check_at_a_time(spark):
     }
     assert got == want
     assert got[("k", "unique")] >= 1 and got[("v", "accepted_values")] == 2
+
+
+def test_relationships_share_their_parents_space(spark):
+    """Several children of one parent column, repeated and missing keys, a hot key."""
+    rng = random.Random(11)
+    keys = [None, "hot", "hot", "hot", *[f"k{i}" for i in range(30)]]
+    models = {n: spark.createDataFrame([(rng.choice(keys), rng.choice(keys)) for _ in range(400)], "a string, b string")
+              for n in ("child", "other")}
+    models["parent"] = spark.createDataFrame([(k,) for k in keys[1:20]] + [(None,)], "a string")
+    checks = [Check("child", "a", "relationships", to_model="parent", to_column="a"),
+              Check("child", "b", "relationships", to_model="parent", to_column="a"),
+              Check("other", "a", "relationships", to_model="parent", to_column="a"),
+              Check("other", "a", "relationships", to_model="child", to_column="b"),
+              Check("parent", "a", "unique"), Check("child", "b", "unique"), Check("other", "b", "not_null")]
+    got = [r.failures for r in run_checks(models, checks).collect()]
+    want = []
+    for c in checks:
+        if c.test == "relationships":
+            frame = relationships_failures(models[c.model], c.column, models[c.to_model], c.to_column)
+            want.append(sum(r.n_records for r in frame.collect()))
+        elif c.test == "unique":
+            want.append(unique_failures(models[c.model], c.column).count())
+        else:
+            want.append(not_null_failures(models[c.model], c.column).count())
+    assert got == want and want[0] > 0 and want[4] == 1
+
+
+def test_suite_over_empty_models(spark):
+    empty = {n: spark.createDataFrame([], "k string") for n in ("m", "p")}
+    checks = [Check("m", "k", "unique"), Check("m", "k", "not_null"),
+              Check("m", "k", "accepted_values", values=("x",)),
+              Check("m", "k", "relationships", to_model="p", to_column="k")]
+    assert [(r.failures, r.status) for r in run_checks(empty, checks).collect()] == [(0, "pass")] * 4

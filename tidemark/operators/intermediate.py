@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import (
     MONEY, as_of_date, count_when, dec, exact_ratio, least_strict, money_pct, round2,
 )
-from tidemark.operators.sequence import across_chunks, chunk_pairs, mark_neighbours, total_pairs
+from tidemark.operators.sequence import (
+    CHUNK, across_chunks, chunked, last_of, pair_columns, running_frame, with_previous,
+)
 
 RATE = "decimal(18,2)"
 
@@ -53,50 +55,51 @@ def invoice_rollup(invoices: DataFrame) -> DataFrame:
     )
 
 
+PAYMENT_ORDER = ("created_at", "payment_id")
+
+
+def payment_sequence(payments: DataFrame) -> DataFrame:
+    """D2b-D2d as columns: every payment of an account with its place in time
+    (``payment_sequence``), the failures up to it (``cumulative_failures``) and
+    whether the one before it failed (``previous_failed``)."""
+    rows = payments.where(F.col("account_id").isNotNull()).select(
+        "payment_id", "account_id", "created_at", "payment_status", "is_failed")
+    return running_frame(rows, "account_id", PAYMENT_ORDER, {"cumulative_failures": F.col("is_failed").cast("long")},
+                         number="payment_sequence", previous={"previous_failed": "is_failed"})
+
+
 def payment_rollup(payments: DataFrame) -> DataFrame:
     """Everything D1 and D2 take from payments, per account, in one pass.
 
-    Payments move once, by (account, day of creation), so a hot account is
-    spread over its days. Each day yields counts, sums, dates, the failure
-    flags at its borders and its newest failed payment (created_at, then
-    payment_id) with its reason kept even when NULL; the days of an account
-    are then put together. ``total_cumulative_failures`` is the maximum of
-    the running failure count, which for non-negative increments is the
-    final count.
+    Payments are cut into ranges of (account, time) of equal size, so a hot
+    account is spread, however few days it has. Each (account, range) yields
+    counts, sums, dates, the failure pairs inside it and its newest failure
+    (created_at, then payment_id) with its reason kept even when NULL, all as
+    running values whose last row stays; then the ranges of an account are put
+    together the same way. ``total_cumulative_failures`` is the maximum of the
+    running failure count, which for non-negative increments is the final one.
     """
-    ok, zero = F.col("is_successful"), F.lit(0).cast(MONEY)
+    ok, failed, zero = F.col("is_successful"), F.col("is_failed"), F.lit(0).cast(MONEY)
     paid = (payments.where(F.col("account_id").isNotNull())
             .select("account_id", "payment_id", "created_at", "payment_date", "amount", "failure_reason",
-                    "is_successful", "is_failed", "is_repeat_failure",
-                    F.to_date("created_at").alias("_day")))
-    per_day = (
-        mark_neighbours(paid, "account_id", "_day", ["created_at", "payment_id"], "is_failed")
-        .groupBy("account_id", "_day")
-        .agg(
-            F.count("payment_id").alias("n"), count_when(ok).alias("n_ok"),
-            count_when(F.col("is_failed")).alias("n_failed"),
-            count_when(F.col("is_repeat_failure")).alias("n_repeat"),
-            F.sum(F.when(ok, F.col("amount")).otherwise(zero)).alias("ok_amount"),
-            F.count(F.when(ok, F.col("amount"))).alias("n_amounts"),
-            F.max("payment_date").alias("latest"), F.min("payment_date").alias("first"),
-            F.max(F.when(F.col("is_failed"),
-                         F.struct("created_at", "payment_id", "failure_reason"))).alias("failure"),
-            *chunk_pairs("is_failed"),
-        )
-    )
-    total = (
-        across_chunks(per_day, "account_id", "_day").groupBy("account_id").agg(
-            F.sum("n").alias("total_payments"),
-            F.sum("n_ok").alias("successful_payments"),
-            F.sum("n_failed").alias("failed_payments"),
-            F.sum("n_repeat").alias("repeat_failures"),
-            F.sum("ok_amount").alias("_ok_amount"), F.sum("n_amounts").alias("_n_amounts"),
-            F.max("latest").alias("latest_payment_date"),
-            F.min("first").alias("first_payment_date"),
-            F.max("failure").alias("last_failure"),
-            total_pairs().alias("consecutive_failure_count"),
-        )
-    )
+                    "is_successful", "is_failed", "is_repeat_failure"))
+    rows = with_previous(chunked(paid, "account_id", PAYMENT_ORDER), "account_id", PAYMENT_ORDER,
+                         "is_failed", "_previous")
+    per_chunk = last_of(rows, ("account_id", CHUNK), PAYMENT_ORDER, {
+        "n": F.count("payment_id"), "n_ok": F.count_if(ok), "n_failed": F.count_if(failed),
+        "n_repeat": F.count_if(F.col("is_repeat_failure")),
+        "ok_amount": F.sum(F.when(ok, F.col("amount")).otherwise(zero)),
+        "n_amounts": F.count(F.when(ok, F.col("amount"))),
+        "latest": F.max("payment_date"), "first": F.min("payment_date"),
+        "failure": F.last(F.when(failed, F.struct("created_at", "payment_id", "failure_reason")), ignorenulls=True),
+        **pair_columns("is_failed", "_previous"),
+    }, carried=("is_failed",))
+    total = last_of(across_chunks(per_chunk, "account_id", "is_failed"), ("account_id",), (CHUNK,), {
+        "total_payments": F.sum("n"), "successful_payments": F.sum("n_ok"), "failed_payments": F.sum("n_failed"),
+        "repeat_failures": F.sum("n_repeat"), "_ok_amount": F.sum("ok_amount"), "_n_amounts": F.sum("n_amounts"),
+        "latest_payment_date": F.max("latest"), "first_payment_date": F.min("first"),
+        "last_failure": F.last("failure", ignorenulls=True), "consecutive_failure_count": F.sum("_pairs"),
+    })
     return total.select(
         "account_id", "total_payments", "successful_payments", "failed_payments", "repeat_failures",
         round2(F.col("_ok_amount")).alias("total_payment_amount"),

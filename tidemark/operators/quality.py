@@ -10,12 +10,16 @@ query returns (0 passes):
 * relationships: non-NULL child rows whose key is missing in the parent;
 * expression_is_true: rows where the expression is false (NULL passes).
 
-The suite (``run_checks``) counts the failing rows of the same functions: the
-keys of unique and relationship checks are grouped with a partial stage (a
-key that holds a large share of the rows reaches the join as one row with
-a count), everything one row decides is one aggregate per model. Nothing is
-collected to the driver: results are one-row DataFrames, exploded to one
-row per check and unioned.
+The suite (``run_checks``) counts the same failures in one pass. Every model is
+read once; a row gives one tagged entry for each key that some check needs
+grouped (its own key, a key it refers to, a value outside a list) and for each
+check it fails by itself. One exchange groups the entries of all models by
+(space, key), with a partial stage, so a key that holds a large share of the
+rows travels as one row per task; a second one adds up a few numbers per space.
+A parent's keys and the keys that refer to it share a space, which decides
+relationships without a join, and a unique check reads the same entries.
+A Bloom filter of the parents' keys would not save entries: keys that it lets
+through, nearly all, need the exact answer anyway.
 """
 
 from __future__ import annotations
@@ -186,16 +190,6 @@ def expression_failures(df: DataFrame, expression: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- suite
-def _row(check: Check, failures: Column) -> Column:
-    return F.struct(F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-                    F.lit(check.test).alias("test"), failures.cast("long").alias("failures"))
-
-
-def _explode_rows(one_row: DataFrame, checks: list[Check], aliases: list[str]) -> DataFrame:
-    rows = F.array(*[_row(ch, F.col(a)) for ch, a in zip(checks, aliases)])
-    return one_row.select(F.inline(rows))
-
-
 def failures(df: DataFrame, check: Check, resolve: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """The failing rows (or values with counts) of one check."""
     if check.test == "unique":
@@ -213,46 +207,6 @@ def failures(df: DataFrame, check: Check, resolve: Callable[[str], DataFrame] |
     raise ValueError(check.test)
 
 
-def _row_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Checks that look at one row at a time, all in one aggregate of ``df``:
-    plain counts, and the set of bad values of a categorical column (at most
-    the distinct values the list leaves out)."""
-    aggregates, aliases = [], []
-    for i, ch in enumerate(checks):
-        c = F.col(ch.column)
-        if ch.test == "not_null":
-            n = F.count_if(c.isNull())
-        elif ch.test == "expression_is_true":
-            n = F.count_if(~F.expr(ch.expression))
-        else:
-            n = F.count_distinct(F.when(c.isNotNull() & ~c.isin(*ch.values), c))
-        aliases.append(f"_c{i}")
-        aggregates.append(n.alias(aliases[-1]))
-    return _explode_rows(df.agg(*aggregates), checks, aliases)
-
-
-def model_checks(df: DataFrame, checks: Sequence[Check],
-                 resolve: Callable[[str], DataFrame] | None = None) -> list[DataFrame]:
-    """All checks of one model.
-
-    What one row decides (not_null, expressions, accepted values) is counted
-    by one aggregate over the model. Keys (unique, relationships) need their
-    values grouped: each is its own failing-rows query, counted; its
-    aggregate has a partial stage, so a hot key travels as one row per task.
-    """
-    per_row = [ch for ch in checks if ch.test not in ("unique", "relationships")]
-    out = [_row_counts(df, per_row)] if per_row else []
-    for ch in checks:
-        if ch.test == "unique":
-            n = failures(df, ch).agg(F.count(F.lit(1)).alias("_n"))
-        elif ch.test == "relationships":
-            n = failures(df, ch, resolve).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("_n"))
-        else:
-            continue
-        out.append(_explode_rows(n, [ch], ["_n"]))
-    return out
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union of same-schema frames as a balanced tree.
 
@@ -267,19 +221,80 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return level[0]
 
 
+class _Spaces:
+    """Which entries the checks need: a space for the keys of (model, column), for
+    the bad values of a check, or for the rows that fail it; relationships on one
+    parent column have a slot each in its space."""
+
+    def __init__(self, checks: Sequence[Check]):
+        self.numbers: dict[tuple, int] = {}
+        self.slots: dict[tuple, int] = {}   # parent space -> relationships on it
+        self.of: list[tuple[Check, int, int]] = []   # check, its space and slot
+        self.owned: dict[str, list[tuple[str, int]]] = {}   # model -> key columns and their spaces
+        for i, check in enumerate(checks):
+            slot = 0
+            if check.test == "unique":
+                space = self._keys(check.model, check.column)
+            elif check.test == "relationships":
+                space = self._keys(check.to_model, check.to_column)
+                slot = self.slots[space] = self.slots.get(space, -1) + 1
+            else:
+                space = self._number((check.test, i))
+            self.of.append((check, space, slot))
+        self.n_slots = max(self.slots.values(), default=0) + 1
+
+    def _number(self, name: tuple) -> int:
+        return self.numbers.setdefault(name, len(self.numbers))
+
+    def _keys(self, model: str, column: str) -> int:
+        space = self._number(("keys", model, column))
+        if (column, space) not in self.owned.setdefault(model, []):
+            self.owned[model].append((column, space))
+        return space
+
+    def _entry(self, when: Column, space: int, key: Column, slot: int | None = None) -> Column:
+        counts = [F.lit(int(s == slot)).cast("long").alias(f"refers_{s}") for s in range(self.n_slots)]
+        return F.when(when, F.struct(F.lit(space).alias("space"), key.cast("string").alias("key"),
+                                     F.lit(int(slot is None)).cast("long").alias("own"), *counts))
+
+    def entries(self, model: str) -> list[Column]:
+        """What each row of a model says; NULL where it says nothing."""
+        out = [self._entry(F.col(c).isNotNull(), space, F.col(c)) for c, space in self.owned.get(model, [])]
+        for check, space, slot in self.of:
+            if check.model != model or check.test == "unique":
+                continue
+            c = F.col(check.column)
+            if check.test == "relationships":
+                out.append(self._entry(c.isNotNull(), space, c, slot))
+            elif check.test == "accepted_values":
+                out.append(self._entry(c.isNotNull() & ~c.isin(*check.values), space, c))
+            else:
+                failing = c.isNull() if check.test == "not_null" else ~F.expr(check.expression)
+                out.append(self._entry(failing, space, F.lit(None)))
+        return out
+
+    def models(self) -> list[str]:
+        return list(dict.fromkeys([c.model for c, _, _ in self.of] + [c.to_model for c, _, _ in self.of if c.to_model]))
+
+
 def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
                checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """V6: one row per check: model, column_name, test, failures, status.
-
-    A model is read once for its row checks and once per key check, so pass
-    models that are cheap to read: staging models are projections of a raw
-    scan, and ``Warehouse.write_checked`` evaluates the others once.
-    """
+    """V6: one row per check: model, column_name, test, failures, status."""
     resolve = models if callable(models) else models.__getitem__
-    by_model: dict[str, list[Check]] = {}
-    for ch in checks:
-        by_model.setdefault(ch.model, []).append(ch)
-    frames: list[DataFrame] = []
-    for model, model_checks_ in by_model.items():
-        frames.extend(model_checks(resolve(model), model_checks_, resolve))
-    return union_all(frames).withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    spaces = _Spaces(checks)
+    frames = [resolve(m).select(F.inline(F.array_compact(F.array(*spaces.entries(m))))) for m in spaces.models()]
+    refers = [f"refers_{s}" for s in range(spaces.n_slots)]
+    keys = union_all(frames).groupBy("space", "key").agg(*[F.sum(c).alias(c) for c in ("own", *refers)])
+    counts = keys.groupBy("space").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("own") > 1).alias("n_repeated"),
+        F.sum("own").alias("n_rows"), *[F.sum(F.when(F.col("own") == 0, F.col(c)).otherwise(0)).alias(c) for c in refers])
+    listed = frames[0].sparkSession.createDataFrame(
+        [(c.model, c.column, c.test, space, slot) for c, space, slot in spaces.of],
+        "model string, column_name string, test string, of int, slot int")
+    found = (F.when(F.col("test") == "unique", F.col("n_repeated"))
+             .when(F.col("test") == "accepted_values", F.col("n_keys"))
+             .when(F.col("test") == "relationships", F.element_at(F.array(*refers), F.col("slot") + 1))
+             .otherwise(F.col("n_rows")))
+    return (listed.join(F.broadcast(counts), F.col("of") == F.col("space"), "left")   # a row per space
+            .select("model", "column_name", "test", F.coalesce(found, F.lit(0)).alias("failures"))
+            .withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail")))

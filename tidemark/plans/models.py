@@ -149,9 +149,10 @@ class Warehouse:
             if name not in self._written:
                 self._built[name] = self.model(name).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def write_checked(self, layers: tuple[str, ...] = ("helper", "intermediate", "marts")) -> None:
+    def write_checked(self, layers: tuple[str, ...] = ("helper",)) -> None:
         """Evaluate every model of the layers once, in dependency order, into
-        the shared folder; later reads see the written rows."""
+        the shared folder; later reads see the written rows. The checks read each
+        model once, so only helpers, which several models read, gain from it."""
         for name in (*SHARED, *[n for n, m in MODELS.items() if m.layer in layers]):
             if name not in self._written:
                 self._built[name] = written(self.model(name), name)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tidemark.operators.intermediate import payment_sequence
 from tidemark.operators.quality import ACCOUNT_STATUS, Check, failures, run_checks, union_all
 from tidemark.plans import curated as Q
 from tidemark.plans import rollups as R
@@ -57,6 +58,14 @@ QUERIES: dict[str, QueryFn] = {name: _model_query(name) for name, m in MODELS.it
                                if m.layer != "helper"}
 
 
+def payment_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2b-D2d: every payment with its running frame."""
+    return comparable(payment_sequence(warehouse(spark, sf_dir).model("stg_erp__payments")))
+
+
+QUERIES["d2_payment_sequence"] = payment_frames
+
+
 # ------------------------------------------------ queries over the marts
 def _over(mart: str, fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +119,7 @@ QUERIES.update({
 def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 95 checks over every model built from the test data."""
     wh = warehouse(spark, sf_dir)
-    wh.write_checked()
+    wh.write_checked(("helper",))
     return run_checks(wh.model)
 
 
