@@ -252,25 +252,26 @@ class _Spaces:
             self.owned[model].append((column, space))
         return space
 
-    def _entry(self, when: Column, space: int, key: Column, slot: int | None = None) -> Column:
-        counts = [F.lit(int(s == slot)).cast("long").alias(f"refers_{s}") for s in range(self.n_slots)]
-        return F.when(when, F.struct(F.lit(space).alias("space"), key.cast("string").alias("key"),
-                                     F.lit(int(slot is None)).cast("long").alias("own"), *counts))
-
-    def entries(self, model: str) -> list[Column]:
-        """What each row of a model says; NULL where it says nothing."""
-        out = [self._entry(F.col(c).isNotNull(), space, F.col(c)) for c, space in self.owned.get(model, [])]
+    def _entry(self, when: str, space: int, key: str, slot: int | None = None) -> str:
+        refers = ", ".join(f"'refers_{s}', {int(s == slot)}L" for s in range(self.n_slots))
+        return (f"if({when}, named_struct('space', {space}, 'key', cast({key} as string), "
+                f"'own', {int(slot is None)}L, {refers}), null)")
+
+    def entries(self, model: str) -> list[str]:
+        """What each row of a model says (SQL expressions); NULL where it says nothing."""
+        out = [self._entry(f"`{c}` is not null", space, f"`{c}`") for c, space in self.owned.get(model, [])]
         for check, space, slot in self.of:
             if check.model != model or check.test == "unique":
                 continue
-            c = F.col(check.column)
+            c = f"`{check.column}`"
             if check.test == "relationships":
-                out.append(self._entry(c.isNotNull(), space, c, slot))
+                out.append(self._entry(f"{c} is not null", space, c, slot))
             elif check.test == "accepted_values":
-                out.append(self._entry(c.isNotNull() & ~c.isin(*check.values), space, c))
+                values = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in check.values)
+                out.append(self._entry(f"{c} not in ({values})", space, c))
             else:
-                failing = c.isNull() if check.test == "not_null" else ~F.expr(check.expression)
-                out.append(self._entry(failing, space, F.lit(None)))
+                failing = f"{c} is null" if check.test == "not_null" else f"not ({check.expression})"
+                out.append(self._entry(failing, space, "null"))
         return out
 
     def models(self) -> list[str]:
@@ -282,7 +283,8 @@ def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
     """V6: one row per check: model, column_name, test, failures, status."""
     resolve = models if callable(models) else models.__getitem__
     spaces = _Spaces(checks)
-    frames = [resolve(m).select(F.inline(F.array_compact(F.array(*spaces.entries(m))))) for m in spaces.models()]
+    frames = [resolve(m).selectExpr(f"inline(array_compact(array({', '.join(spaces.entries(m))})))")
+              for m in spaces.models()]
     refers = [f"refers_{s}" for s in range(spaces.n_slots)]
     keys = union_all(frames).groupBy("space", "key").agg(*[F.sum(c).alias(c) for c in ("own", *refers)])
     counts = keys.groupBy("space").agg(
