@@ -9,7 +9,7 @@ with NULLs last on DESC (first on ASC), then the key.
 
 from __future__ import annotations
 
-from duckref.duck import FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
+from duckref.duck import CTES, FINAL, ravg, rdiv, sql_for  # noqa: F401  (sql_for re-exported)
 
 D = "AS DOUBLE)"
 
@@ -331,7 +331,25 @@ WINDOW in_time AS (PARTITION BY account_id ORDER BY created_at NULLS FIRST, paym
 # The written marts as the catalog describes them: all columns are documented.
 REPORTS["s5_described_marts"] = "\nUNION ALL\n".join(
     f"SELECT '{m}' AS table_name, (SELECT count(*) FROM {m}) AS n_rows, CAST({n} AS BIGINT) AS n_columns, "
-    f"CAST({n} AS BIGINT) AS n_documented"
-    for m, n in (("mart_customer_churn", 55), ("mart_revenue", 49), ("mart_sales_funnel", 53)))
+    f"CAST({n} AS BIGINT) AS n_documented, '{text}' AS description, '{key}' AS key_description"
+    for m, n, text, key in (
+        ("mart_customer_churn", 55, "One row per account: churn risk score, band, revenue at risk.",
+         "Account key; one row per account."),
+        ("mart_revenue", 49, "One row per account: billing health and revenue at risk.",
+         "Account key; one row per account."),
+        ("mart_sales_funnel", 53, "One row per lead: funnel stage, deal and engagement.",
+         "Lead key; one row per lead, so account columns repeat.")))
+
+# The raw tables with their numbers of columns.
+REPORTS["s1_raw_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM raw_{t}) AS n_rows, CAST({n} AS BIGINT) AS n_columns"
+    for t, n in (("accounts", 8), ("contacts", 7), ("leads", 8), ("opportunities", 9), ("campaigns", 12),
+                 ("activities", 11), ("support_tickets", 11), ("products", 5), ("orders", 9), ("invoices", 8),
+                 ("subscriptions", 9), ("payments", 11), ("web_events", 8), ("feature_usage", 9)))
+
+# Every stored view holds its model's rows.
+REPORTS["s2_stored_views"] = "\nUNION ALL\n".join(
+    f"SELECT '{v}' AS view_name, (SELECT count(*) FROM {v}) AS n_rows, true AS same"
+    for v in [c for c in CTES if c.startswith(("stg_", "int_"))])
 
 FINAL.update(REPORTS)

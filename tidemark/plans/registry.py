@@ -22,9 +22,12 @@ from tidemark.operators.quality import ACCOUNT_STATUS, Check, failures, run_chec
 from tidemark.plans import curated as Q
 from tidemark.plans import rollups as R
 from tidemark.plans.models import MODELS, Warehouse
-from tidemark.session import configure
-from tidemark.sources.catalog import build_marts, describe_table, list_tables
+from tidemark.session import checkpoint_dir, configure
+from tidemark.sources.catalog import MART_KEYS, build_marts, describe_table, list_tables
 from tidemark.sources.fixtures import raw_tables
+from tidemark.sources.publish import versions_database
+from tidemark.sources.raw import read_catalog_tables, read_parquet_tables, write_parquet_tables
+from tidemark.sources.views import LAYERS, create_views
 
 AS_OF = dt.date(2002, 1, 1)
 RUN_TS = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
@@ -149,20 +152,77 @@ def _raw_check(table: str, check: Check) -> QueryFn:
 QUERIES.update({name: _raw_check(*of) for name, of in RAW_CHECKS.items()})
 
 
-def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The marts written with comments, then listed from the catalog
-    with their rows, columns and documented columns."""
-    database = f"tidemark_{uuid.uuid4().hex[:12]}"  # a warehouse may keep the files of earlier sessions
-    build_marts(spark, warehouse(spark, sf_dir), database=database)
-    frames = []
-    for r in list_tables(spark, database).collect():  # the three marts
-        table = f"{database}.{r['table_name']}"
-        comments = [c["description"] for c in describe_table(spark, table).collect()]  # one row per column
-        frames.append(spark.table(table).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(r["table_name"]).alias("table_name"), "n_rows",
-            F.lit(len(comments)).cast("long").alias("n_columns"),
-            F.lit(sum(bool(c) for c in comments)).cast("long").alias("n_documented")))
-    return union_all(frames)
+class Scratch:
+    """Databases of one query's own, dropped when its rows are read (a warehouse
+    may keep the files of earlier sessions, so every call takes new names)."""
+
+    def __init__(self, spark: SparkSession, *roles: str):
+        tag = uuid.uuid4().hex[:12]
+        self.spark, self.names = spark, {r: f"tidemark_{r}_{tag}" for r in roles}
+
+    def __enter__(self) -> dict[str, str]:
+        return self.names
 
+    def __exit__(self, *_) -> None:
+        for name in self.names.values():
+            for database in (name, versions_database(name)):
+                self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
+
+def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts built, published and then read from the catalog: their
+    rows, columns, documented columns, and two of the descriptions."""
+    with Scratch(spark, "marts") as databases:
+        database = databases["marts"]
+        build_marts(spark, warehouse(spark, sf_dir), database=database)
+        rows = []
+        for r in list_tables(spark, database).collect():  # the three marts
+            name = r["table_name"]
+            columns = {c["column_name"]: c["description"]  # one row per column
+                       for c in describe_table(spark, f"{database}.{name}").collect()}
+            rows.append((name, spark.table(f"{database}.{name}").count(), len(columns),
+                         sum(map(bool, columns.values())), r["description"], columns[MART_KEYS[name]]))
+    return spark.createDataFrame(rows, "table_name string, n_rows long, n_columns long, n_documented long, "
+                                       "description string, key_description string")
+
+
+def landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw tables landed as parquet datasets and scanned by the raw reader."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-raw-{uuid.uuid4().hex[:12]}"
+    write_parquet_tables(warehouse(spark, sf_dir).raw, root)
+    return union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_columns"))
+        for name, df in read_parquet_tables(spark, root).items()])
+
+
+def _fingerprint(df: DataFrame, name: str, of: str) -> DataFrame:
+    """One row: number of rows and the sum of their hashes (averages to 6 places)."""
+    columns = [F.round(F.col(f.name), 6) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema]
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0)).alias("hash")).select(
+        F.lit(name).alias("view_name"), F.lit(of).alias("of"), "n_rows", "hash")
+
+
+def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw tables in the catalog, the stored views over them, and whether
+    each view's rows are its model's."""
+    with Scratch(spark, "raw", "staging", "intermediate") as databases:
+        wh = warehouse(spark, sf_dir)
+        spark.sql(f"CREATE DATABASE {databases['raw']}")
+        for table, df in wh.raw.items():
+            df.write.saveAsTable(f"{databases['raw']}.{table}")
+        create_views(spark, **databases, as_of=AS_OF)
+        models = Warehouse(read_catalog_tables(spark, databases["raw"]), as_of=AS_OF, run_ts=RUN_TS)
+        rows = []
+        for layer, names in LAYERS.items():
+            both = union_all([_fingerprint(df, n, of) for n in names for of, df in
+                              (("view", spark.table(f"{databases[layer]}.{n}")), ("model", models.model(n)))])
+            rows += (both.groupBy("view_name").agg(
+                F.max(F.when(F.col("of") == "view", F.col("n_rows"))).alias("n_rows"),
+                (F.count_distinct("n_rows", "hash") == 1).alias("same")).collect())  # a row per view
+    return spark.createDataFrame([tuple(r) for r in rows], "view_name string, n_rows long, same boolean")
+
+
+QUERIES["s1_raw_tables"] = landed_tables
+QUERIES["s2_stored_views"] = stored_views
 QUERIES["s5_described_marts"] = described_tables
