@@ -352,4 +352,28 @@ REPORTS["s2_stored_views"] = "\nUNION ALL\n".join(
     f"SELECT '{v}' AS view_name, (SELECT count(*) FROM {v}) AS n_rows, true AS same"
     for v in [c for c in CTES if c.startswith(("stg_", "int_"))])
 
+# The ranked lists and KPIs as the tables built with the marts give them.
+REPORTS["s3_served_lists"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS list_name, CAST(row_number() OVER (ORDER BY {order}, {key}) AS INTEGER) AS place, "
+    f"{key} AS key FROM ({REPORTS[of]}) AS shown"
+    for name, of, key, order in (
+        ("accounts_by_risk", "q2_list_high_risk_accounts", "account_id", "mrr_at_risk DESC NULLS LAST"),
+        ("accounts_by_health", "q4_list_accounts_by_revenue_health", "account_id", "arr_at_risk DESC NULLS LAST"),
+        ("leads_by_outcome", "q6_list_leads_by_outcome", "lead_id", "opportunity_amount DESC NULLS LAST"),
+        ("leads_any_attribution", "q6_list_leads_by_outcome_any_attribution", "lead_id",
+         "opportunity_amount DESC NULLS LAST"),
+        ("highest_risk", "r3_highest_risk_accounts", "account_id",
+         "churn_risk_score DESC NULLS LAST, mrr_at_risk DESC NULLS LAST"),
+        ("poor_collection", "r6_poor_collection_accounts", "account_id",
+         "collection_rate_pct NULLS FIRST, total_outstanding DESC NULLS LAST"),
+        ("won_deals", "r11_top_won_deals", "lead_id", "opportunity_amount DESC NULLS LAST")))
+
+REPORTS["s3_served_kpis"] = "\nUNION ALL\n".join(
+    f"SELECT '{page}' AS page, '{k}' AS kpi, CAST({k} AS DOUBLE) AS value FROM ({REPORTS[of]}) AS shown"
+    for page, of, kpis in (
+        ("churn", "r1_churn_kpis", "accounts accounts_at_risk total_mrr mrr_at_risk arr_at_risk"),
+        ("revenue", "r4_revenue_kpis", "total_mrr total_arr accounts collection_rate_pct total_outstanding"),
+        ("funnel", "r7_funnel_kpis", "leads won_deals won_revenue avg_days_lead_to_close total_spend revenue_per_spend"))
+    for k in kpis.split())
+
 FINAL.update(REPORTS)

@@ -49,6 +49,19 @@ def top(df: DataFrame, order: list[Column], row_limit: int) -> DataFrame:
     return df.orderBy(*order).limit(_row_limit(row_limit))
 
 
+# Orders of the ranked lists, each ending in the mart's key.
+def by_mrr_at_risk() -> list[Column]:
+    return [F.col("mrr_at_risk").desc_nulls_last(), F.col("account_id").asc()]
+
+
+def by_arr_at_risk() -> list[Column]:
+    return [F.col("arr_at_risk").desc_nulls_last(), F.col("account_id").asc()]
+
+
+def by_opportunity_amount() -> list[Column]:
+    return [F.col("opportunity_amount").desc_nulls_last(), F.col("lead_id").asc()]
+
+
 # ---------------------------------------------------------------- Q1, Q2
 CHURN_LOOKUP_COLS = ["account_id", "account_name", "tier", "churn_risk_score",
                      "churn_risk_band", "payment_health_band", "mrr_at_risk", "arr_at_risk",
@@ -66,7 +79,7 @@ def list_high_risk_accounts(churn: DataFrame, risk_band: str,
                             row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     band = _one_of("risk_band", risk_band, RISK_BANDS)
     return top(churn.where(F.col("churn_risk_band") == F.lit(band)).select(*CHURN_LIST_COLS),
-               [F.col("mrr_at_risk").desc_nulls_last(), F.col("account_id").asc()], row_limit)
+               by_mrr_at_risk(), row_limit)
 
 
 # ---------------------------------------------------------------- Q3, Q4
@@ -87,7 +100,7 @@ def list_accounts_by_revenue_health(revenue: DataFrame, health_band: str,
     band = _one_of("health_band", health_band, REVENUE_HEALTH_BANDS)
     return top(revenue.where(F.col("revenue_health_band") == F.lit(band))
                .select(*REVENUE_LIST_COLS),
-               [F.col("arr_at_risk").desc_nulls_last(), F.col("account_id").asc()], row_limit)
+               by_arr_at_risk(), row_limit)
 
 
 # ---------------------------------------------------------------- Q5, Q6
@@ -118,9 +131,7 @@ def list_leads_by_outcome(funnel: DataFrame, lead_outcome: str, attribution_type
     rows = funnel.where(F.col("lead_outcome") == F.lit(outcome))
     if attribution != "all":
         rows = rows.where(F.col("attribution_type") == F.lit(attribution))
-    return top(rows.select(*FUNNEL_LIST_COLS),
-               [F.col("opportunity_amount").desc_nulls_last(), F.col("lead_id").asc()],
-               row_limit)
+    return top(rows.select(*FUNNEL_LIST_COLS), by_opportunity_amount(), row_limit)
 
 
 # -------------------------------------------------------------------- Q7

@@ -22,6 +22,7 @@ from tidemark.operators.quality import ACCOUNT_STATUS, Check, failures, run_chec
 from tidemark.plans import curated as Q
 from tidemark.plans import rollups as R
 from tidemark.plans.models import MODELS, Warehouse
+from tidemark.plans.summaries import Serving, summaries_database
 from tidemark.session import checkpoint_dir, configure
 from tidemark.sources.catalog import MART_KEYS, build_marts, describe_table, list_tables
 from tidemark.sources.fixtures import raw_tables
@@ -165,7 +166,8 @@ class Scratch:
 
     def __exit__(self, *_) -> None:
         for name in self.names.values():
-            for database in (name, versions_database(name)):
+            for database in (name, versions_database(name), summaries_database(name),
+                             versions_database(summaries_database(name))):
                 self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
@@ -223,6 +225,42 @@ def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in rows], "view_name string, n_rows long, same boolean")
 
 
+SERVED_LISTS = {
+    "accounts_by_risk": lambda s: s.list_high_risk_accounts(RISK_BAND, ROW_LIMIT),
+    "accounts_by_health": lambda s: s.list_accounts_by_revenue_health(HEALTH_BAND, ROW_LIMIT),
+    "leads_by_outcome": lambda s: s.list_leads_by_outcome(LEAD_OUTCOME, ATTRIBUTION, ROW_LIMIT),
+    "leads_any_attribution": lambda s: s.list_leads_by_outcome("in_pipeline", "all", MAX_ROWS),
+    "highest_risk": lambda s: s.highest_risk_accounts(),
+    "poor_collection": lambda s: s.poor_collection_accounts(),
+    "won_deals": lambda s: s.top_won_deals(),
+}
+
+
+def served_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked lists (Q2, Q4, Q6, R3, R6, R11) read from the tables built with
+    the marts: list, place and key."""
+    with Scratch(spark, "marts") as databases:
+        build_marts(spark, warehouse(spark, sf_dir), database=databases["marts"])
+        serving, rows = Serving(spark, databases["marts"]), []
+        for name, of in SERVED_LISTS.items():   # at most 200 rows each
+            rows += [(name, k, r[0]) for k, r in enumerate(of(serving).collect(), 1)]
+    return spark.createDataFrame(rows, "list_name string, place int, key string")
+
+
+def served_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPIs (R1, R4, R7) observed while the marts were written, by name."""
+    with Scratch(spark, "marts") as databases:
+        build_marts(spark, warehouse(spark, sf_dir), database=databases["marts"])
+        serving = Serving(spark, databases["marts"])
+        rows = [(page, n, None if v is None else float(v))
+                for page, df in (("churn", serving.churn_kpis()), ("revenue", serving.revenue_kpis()),
+                                 ("funnel", serving.funnel_kpis()))
+                for n, v in comparable(df).first().asDict().items()]
+    return spark.createDataFrame(rows, "page string, kpi string, value double")
+
+
+QUERIES["s3_served_lists"] = served_lists
+QUERIES["s3_served_kpis"] = served_kpis
 QUERIES["s1_raw_tables"] = landed_tables
 QUERIES["s2_stored_views"] = stored_views
 QUERIES["s5_described_marts"] = described_tables

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import exact_ratio, money_pct
-from tidemark.plans.curated import DEFAULT_ROW_LIMIT, top
+from tidemark.plans.curated import DEFAULT_ROW_LIMIT, by_opportunity_amount, top
 
 
 def _at_risk() -> Column:
@@ -29,15 +29,18 @@ def money_ratio(num: Column, den: Column) -> Column:
 
 
 # ---------------------------------------------------------------- churn
+def _summed(df: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    return df.agg(*[c.alias(n) for n, c in sums.items()])
+
+
+def churn_sums() -> dict[str, Column]:
+    return {"accounts": F.count(F.lit(1)), "accounts_at_risk": F.count_if(_at_risk()), "total_mrr": F.sum("total_mrr"),
+            "mrr_at_risk": F.sum("mrr_at_risk"), "arr_at_risk": F.sum("arr_at_risk")}
+
+
 def churn_kpis(churn: DataFrame) -> DataFrame:
     """Accounts, accounts at risk, MRR and ARR at risk."""
-    return churn.agg(
-        F.count(F.lit(1)).alias("accounts"),
-        F.count_if(_at_risk()).alias("accounts_at_risk"),
-        F.sum("total_mrr").alias("total_mrr"),
-        F.sum("mrr_at_risk").alias("mrr_at_risk"),
-        F.sum("arr_at_risk").alias("arr_at_risk"),
-    )
+    return _summed(churn, churn_sums())
 
 
 def churn_by_band(churn: DataFrame) -> DataFrame:
@@ -50,13 +53,18 @@ def churn_by_band(churn: DataFrame) -> DataFrame:
     )
 
 
+HIGHEST_RISK_COLS = ["account_id", "account_name", "tier", "churn_risk_score", "churn_risk_band", "mrr_at_risk",
+                     "recommended_action"]
+
+
+def by_risk_score() -> list[Column]:
+    return [F.col("churn_risk_score").desc_nulls_last(), F.col("mrr_at_risk").desc_nulls_last(),
+            F.col("account_id").asc()]
+
+
 def highest_risk_accounts(churn: DataFrame, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """The riskiest accounts with their recommended action."""
-    return top(churn.select("account_id", "account_name", "tier", "churn_risk_score",
-                            "churn_risk_band", "mrr_at_risk", "recommended_action"),
-               [F.col("churn_risk_score").desc_nulls_last(),
-                F.col("mrr_at_risk").desc_nulls_last(), F.col("account_id").asc()],
-               row_limit)
+    return top(churn.select(*HIGHEST_RISK_COLS), by_risk_score(), row_limit)
 
 
 def risk_bubble(churn: DataFrame) -> DataFrame:
@@ -66,16 +74,22 @@ def risk_bubble(churn: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- revenue
+def revenue_sums() -> dict[str, Column]:
+    return {"total_mrr": F.sum("total_mrr"), "total_arr": F.sum("total_arr"), "accounts": F.count(F.lit(1)),
+            "billed": F.sum("total_billed"), "collected": F.sum("total_collected"),
+            "total_outstanding": F.sum("total_outstanding")}
+
+
+def finish_revenue(sums: DataFrame) -> DataFrame:
+    """The KPI row from one row of ``revenue_sums``."""
+    return sums.select("total_mrr", "total_arr", "accounts",
+                       money_pct(F.col("collected"), F.nullif(F.col("billed"), F.lit(0))).alias("collection_rate_pct"),
+                       "total_outstanding")
+
+
 def revenue_kpis(revenue: DataFrame) -> DataFrame:
     """MRR, ARR, accounts, collection rate and outstanding balance."""
-    billed, collected = F.sum("total_billed"), F.sum("total_collected")
-    return revenue.agg(
-        F.sum("total_mrr").alias("total_mrr"),
-        F.sum("total_arr").alias("total_arr"),
-        F.count(F.lit(1)).alias("accounts"),
-        money_pct(collected, F.nullif(billed, F.lit(0))).alias("collection_rate_pct"),
-        F.sum("total_outstanding").alias("total_outstanding"),
-    )
+    return finish_revenue(_summed(revenue, revenue_sums()))
 
 
 def revenue_by_health_band(revenue: DataFrame) -> DataFrame:
@@ -87,14 +101,22 @@ def revenue_by_health_band(revenue: DataFrame) -> DataFrame:
     )
 
 
+POOR_COLLECTION_COLS = ["account_id", "account_name", "tier", "collection_rate_pct", "total_billed",
+                        "total_outstanding", "revenue_health_band"]
+
+
+def is_billed() -> Column:
+    return F.col("total_billed") > 0
+
+
+def by_collection() -> list[Column]:
+    return [F.col("collection_rate_pct").asc_nulls_first(), F.col("total_outstanding").desc_nulls_last(),
+            F.col("account_id").asc()]
+
+
 def poor_collection_accounts(revenue: DataFrame, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """Billed accounts with the lowest collection rate."""
-    return top(revenue.where(F.col("total_billed") > 0)
-               .select("account_id", "account_name", "tier", "collection_rate_pct",
-                       "total_billed", "total_outstanding", "revenue_health_band"),
-               [F.col("collection_rate_pct").asc_nulls_first(),
-                F.col("total_outstanding").desc_nulls_last(), F.col("account_id").asc()],
-               row_limit)
+    return top(revenue.where(is_billed()).select(*POOR_COLLECTION_COLS), by_collection(), row_limit)
 
 
 # --------------------------------------------------------------- funnel
@@ -120,6 +142,29 @@ def _won_amount() -> Column:
     return F.sum(F.when(F.col("is_won"), F.col("opportunity_amount")))
 
 
+def funnel_sums() -> dict[str, Column]:
+    """Sums over leads; the spend of a campaign is not among them (``campaign_spend``)."""
+    won = F.when(F.col("is_won"), F.col("opportunity_amount"))
+    return {"leads": F.count(F.lit(1)), "won_deals": F.count_if(F.col("is_won")), "won_revenue": F.sum(won),
+            "days_sum": F.sum("days_lead_to_close"), "days_n": F.count("days_lead_to_close"),
+            "campaign_won_revenue": F.sum(F.when(F.col("campaign_id").isNotNull(), won))}
+
+
+def campaign_spend(funnel: DataFrame) -> DataFrame:
+    """One row: the spend of the campaigns that have leads, each counted once."""
+    return (funnel.groupBy("campaign_id").agg(F.max("campaign_spend").alias("spend"))
+            .agg(F.sum("spend").alias("total_spend")))
+
+
+def finish_funnel(sums: DataFrame) -> DataFrame:
+    """The KPI row from one row of ``funnel_sums`` and ``total_spend``."""
+    return sums.select(
+        "leads", "won_deals", "won_revenue",
+        (F.col("days_sum").cast("double") / F.nullif(F.col("days_n"), F.lit(0)).cast("double"))
+        .alias("avg_days_lead_to_close"),
+        "total_spend", money_ratio(F.col("campaign_won_revenue"), F.col("total_spend")).alias("revenue_per_spend"))
+
+
 def funnel_kpis(funnel: DataFrame) -> DataFrame:
     """Leads, won deals, won revenue, days to close, revenue per spend.
 
@@ -128,20 +173,14 @@ def funnel_kpis(funnel: DataFrame) -> DataFrame:
     """
     per = _per_campaign(funnel)
     campaign = F.col("campaign_id").isNotNull()
-    total = per.agg(
-        F.sum("leads").alias("leads"),
-        F.sum("won_deals").alias("won_deals"),
+    return finish_funnel(per.agg(
+        F.coalesce(F.sum("leads"), F.lit(0)).alias("leads"),
+        F.coalesce(F.sum("won_deals"), F.lit(0)).alias("won_deals"),
         F.sum("won_revenue").alias("won_revenue"),
-        (F.sum("days_sum").cast("double") / F.sum("days_n").cast("double"))
-        .alias("avg_days_lead_to_close"),
+        F.sum("days_sum").alias("days_sum"), F.sum("days_n").alias("days_n"),
         F.sum(F.when(campaign, F.col("won_revenue"))).alias("campaign_won_revenue"),
         F.sum("spend").alias("total_spend"),
-    )
-    return total.select(
-        "leads", "won_deals", "won_revenue", "avg_days_lead_to_close", "total_spend",
-        money_ratio(F.col("campaign_won_revenue"), F.col("total_spend"))
-        .alias("revenue_per_spend"),
-    )
+    ))
 
 
 def leads_per_month(funnel: DataFrame) -> DataFrame:
@@ -193,10 +232,14 @@ def return_by_source(funnel: DataFrame) -> DataFrame:
         _won_amount().alias("won_revenue"))
 
 
+WON_DEAL_COLS = ["lead_id", "opportunity_id", "account_name", "lead_source", "channel", "opportunity_amount",
+                 "close_date", "days_lead_to_close"]
+
+
+def is_won() -> Column:
+    return F.col("is_won")
+
+
 def top_won_deals(funnel: DataFrame, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
     """Largest closed-won opportunities."""
-    return top(funnel.where(F.col("is_won"))
-               .select("lead_id", "opportunity_id", "account_name", "lead_source", "channel",
-                       "opportunity_amount", "close_date", "days_lead_to_close"),
-               [F.col("opportunity_amount").desc_nulls_last(), F.col("lead_id").asc()],
-               row_limit)
+    return top(funnel.where(is_won()).select(*WON_DEAL_COLS), by_opportunity_amount(), row_limit)

@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.models import MODELS, SHARED, Warehouse
+from tidemark.plans.summaries import KPIS, RANKINGS, kpi_row, observed_sums, ranked, summaries_database
 from tidemark.sources.glossary import describe
 from tidemark.sources.publish import (
-    KEPT_VERSIONS, Audit, audited, new_build, prune, publish, sql_string, with_comments, write_version,
+    KEPT_VERSIONS, Audit, audited, new_build, prune, publish, sql_string, version_table,
+    with_comments, write_version,
 )
 
 # Key of each mart (one row per key), used to sort rows within files.
@@ -68,13 +70,14 @@ def write_mart(spark: SparkSession, df: DataFrame, name: str, database: str = "m
 
 def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "marts",
                 names: tuple[str, ...] = tuple(MART_KEYS), threads: int = 3,
-                audit: Audit | None = None, keep: int = KEPT_VERSIONS) -> list[str]:
+                audit: Audit | None = None, keep: int = KEPT_VERSIONS, summaries: bool = True) -> list[str]:
     """Build the marts as new versions, audit them, then publish them.
 
     Readers of ``database.<mart>`` see the version before until all marts are
     written and ``audit`` (mart name -> version table, to rows with
     ``failures``) has found nothing; ``AuditFailed`` leaves it that way. The
-    newest ``keep`` versions stay.
+    newest ``keep`` versions stay. With ``summaries`` the top-k tables and KPIs
+    (``plans/summaries.py``) are part of the build.
 
     The account-grain frames read by both account marts (invoice and
     payment totals, D1, D2) are persisted for the duration of the build
@@ -90,19 +93,38 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "mart
     try:
         plans = {n: _laid_out(warehouse.model(n), n) for n in names}  # plan on one thread
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n))
-                    for n in names}
-            staged = {n: job.result() for n, job in jobs.items()}
+            jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n),
+                                   observed=observed_sums(n) if summaries else None) for n in names}
+            sums = {n: job.result() for n, job in jobs.items()}
     finally:
         warehouse.unpersist()
+    staged = {n: version_table(n, build, database) for n in names}
     if audit is not None:
         audited(audit, staged, build)
+    made = _write_summaries(spark, staged, sums, build, database, threads) if summaries else []
     tables = [publish(spark, n, build, database) for n in names]
-    for n in names:
-        prune(spark, n, database, keep)
+    for s in made:
+        publish(spark, s, build, summaries_database(database))
+    for n, of in [*[(n, database) for n in names], *[(s, summaries_database(database)) for s in made]]:
+        prune(spark, n, of, keep)
     return tables
 
 
+def _write_summaries(spark: SparkSession, staged: dict[str, str], sums: dict[str, dict], build: str,
+                     database: str, threads: int) -> list[str]:
+    """The ranked tables and KPI rows of a build's marts, as versions of their own."""
+    frames = {n: ranked(spark.table(staged[r.mart]), r) for n, r in RANKINGS.items() if r.mart in staged}
+    for name, kpis in KPIS.items():
+        if kpis.mart in staged:
+            frames[name] = kpi_row(spark, kpis, sums[kpis.mart], spark.table(staged[kpis.mart]))
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        jobs = [pool.submit(write_version, spark, df.coalesce(1), n, build, summaries_database(database))
+                for n, df in frames.items()]
+        for job in jobs:
+            job.result()
+    return list(frames)
+
+
 def list_tables(spark: SparkSession, database: str = "marts") -> DataFrame:
     """Tables in ``database`` with their descriptions."""
     rows = [(t.name, t.tableType, t.description) for t in spark.catalog.listTables(database) if not t.isTemporary]

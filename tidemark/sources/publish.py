@@ -18,7 +18,7 @@ import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -52,15 +52,22 @@ def version_table(name: str, build: str, database: str) -> str:
 
 
 def write_version(spark: SparkSession, documented: DataFrame, name: str, build: str, database: str,
-                  description: str = "", fmt: str = "parquet") -> str:
-    """Write one mart of a build; nobody reads it before it is published."""
+                  description: str = "", fmt: str = "parquet", observed: Mapping[str, Column] | None = None) -> dict:
+    """Write one table of a build; nobody reads it before it is published.
+
+    ``observed``: sums to be taken while the rows are written, returned by name.
+    They are taken in the writing tasks, behind every shuffle, so a task that
+    runs again is counted once.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {versions_database(database)}")
     table = version_table(name, build, database)
-    documented.write.format(fmt).saveAsTable(table)
+    seen = Observation()
+    rows = documented.observe(seen, *[c.alias(n) for n, c in observed.items()]) if observed else documented
+    rows.write.format(fmt).saveAsTable(table)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUILD}' = '{build}')")
     if description:
         spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(description)}")
-    return table
+    return dict(seen.get) if observed else {}
 
 
 def versions(spark: SparkSession, name: str, database: str) -> list[str]:
