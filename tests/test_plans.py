@@ -9,7 +9,7 @@ import __spark_entry__ as entry_module
 from conftest import SF_SMALL
 from tidemark.plans.explain import formatted_plan, plan_summary
 
-from tidemark.plans.registry import QUERIES as REGISTERED
+from tidemark.plans.registry import QUERIES as REGISTERED, warehouse
 
 QUERIES = {name: entry_module.queries()[name] for name in REGISTERED}
 TOP_K = [n for n in QUERIES if n.startswith(("q2_", "q4_", "q6_", "r3_highest", "r6_", "r11_"))]
@@ -84,3 +84,51 @@ def test_funnel_moves_leads_by_full_keys_only(spark):
     keys = [k for k in (re.sub(r"#\d+L?", "", k) for k in left) if k != "c_nationkey"]
     # leads: the two spread keys and their own id; the others are dimensions'
     assert sorted(keys) == ["_key", "_key", "account_id", "lead_id", "opportunity_id"]
+
+
+def exchanges_above(plan, path_part):
+    """Scans of a path in a tree string, and how many reach a join through an exchange."""
+    lines, scans, moved = plan.splitlines(), 0, 0
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if path_part not in line:
+            continue
+        scans += 1
+        at = depth(line)
+        for above in reversed(lines[:i]):
+            if depth(above) < at:
+                at = depth(above)
+                if "Join" in above:
+                    break
+                if "Exchange" in above:
+                    moved += 1
+                    break
+    return scans, moved
+
+
+def test_account_helpers_are_colocated(spark):
+    """With broadcasts off, a build's account joins read the written helpers
+    without moving or sorting them again."""
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.maxMetadataStringLength")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        wh = warehouse(spark, SF_SMALL)
+        wh.write_shared()
+        wh._write("customer_health_with_billing")
+        plans = {n: wh.model(n)._jdf.queryExecution().executedPlan().toString()
+                 for n in ("int_payment_health", "mart_customer_churn")}
+        fresh = warehouse(spark, SF_SMALL)
+        fresh.write_shared()
+        plans["customer_health_with_billing"] = (fresh.model("customer_health_with_billing")
+                                                 ._jdf.queryExecution().executedPlan().toString())
+        rows = wh.model("mart_customer_churn").count()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert rows == warehouse(spark, SF_SMALL).model("mart_customer_churn").count()
+    for name, helper, n in (("int_payment_health", "account_payment_totals", 1),
+                            ("int_payment_health", "account_invoice_totals", 1),
+                            ("customer_health_with_billing", "account_billing", 1),
+                            ("mart_customer_churn", "customer_health_with_billing", 1)):
+        assert exchanges_above(plans[name], f"tidemark_{helper}_") == (n, 0), (name, helper, plans[name])

@@ -34,10 +34,7 @@ class Marts:
     def model(self, name):
         return self.df
 
-    def persist_shared(self):
-        pass
-
-    def unpersist(self):
+    def write_shared(self):
         pass
 
 

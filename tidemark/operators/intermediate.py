@@ -425,7 +425,8 @@ def int_sales_activity(activities: DataFrame, opportunities: DataFrame, accounts
         "probability", "is_won", "is_lost", "is_open", "close_date",
         F.col("created_at").alias("opportunity_created_at")),
         "opportunity_id", ["opportunity_created_at", "account_id"])
-    j = o.join(per_account, "account_id", "left").join(per_opp, "opportunity_id", "left") \
+    # by opportunity first, as ``o`` is grouped by it; then both by account
+    j = o.join(per_opp, "opportunity_id", "left").join(per_account, "account_id", "left") \
          .join(a, "account_id", "left")
     return j.select(
         "opportunity_id", "account_id", "stage", "amount", "weighted_amount", "probability",

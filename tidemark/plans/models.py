@@ -12,13 +12,12 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tidemark.operators import intermediate as I
 from tidemark.operators import marts as M
 from tidemark.operators.staging import STAGING
-from tidemark.session import written
+from tidemark.session import colocated, written
 
 
 @dataclass(frozen=True)
@@ -94,8 +93,9 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
           description="One row per lead: funnel stage, deal and engagement."),
 ]}
 
-# Models read by more than one downstream model; persisted in build_all.
-# All are one row per account, small next to the fact tables.
+# Models read by more than one downstream model; written once in a build, in
+# buckets of their account. All are one row per account, small next to the
+# fact tables.
 SHARED = ("account_invoice_totals", "account_payment_totals", "account_billing")
 
 
@@ -143,25 +143,24 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         return self.model(name)
 
-    def persist_shared(self) -> None:
-        """Cache the models several marts read, for a multi-mart build."""
+    def write_shared(self) -> None:
+        """Evaluate the models several marts read once, co-located by account."""
         for name in SHARED:
-            if name not in self._written:
-                self._built[name] = self.model(name).persist(StorageLevel.MEMORY_AND_DISK)
+            self._write(name)
 
     def write_checked(self, layers: tuple[str, ...] = ("helper",)) -> None:
         """Evaluate every model of the layers once, in dependency order, into
         the shared folder; later reads see the written rows. The checks read each
         model once, so only helpers, which several models read, gain from it."""
         for name in (*SHARED, *[n for n, m in MODELS.items() if m.layer in layers]):
-            if name not in self._written:
-                self._built[name] = written(self.model(name), name)
-                self._written.add(name)
-
-    def unpersist(self) -> None:
-        for name in SHARED:
-            if name in self._built and name not in self._written:
-                self._built[name].unpersist()
+            self._write(name)
+
+    def _write(self, name: str) -> None:
+        if name not in self._written:
+            df = self.model(name)
+            self._built[name] = (colocated(df, name, "account_id") if MODELS[name].layer == "helper"
+                                 else written(df, name))
+            self._written.add(name)
 
     def register_views(self, layer: str | None = None) -> list[str]:
         """Expose models as temp views (the view sink)."""

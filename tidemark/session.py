@@ -60,6 +60,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def colocated(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``written``, in one sorted bucket per shuffle partition of ``key``: joins and
+    groupings by ``key`` read it without another exchange or sort.
+
+    Spark knows of buckets through a catalog table only, so one is made over the
+    folder and dropped again once the frame is resolved; the files stay.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tidemark_{label}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+     .option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidemark", warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and local benchmarking (no UI, UTC, ANSI)."""

@@ -22,7 +22,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.models import MODELS, SHARED, Warehouse
+from tidemark.plans.models import MODELS, Warehouse
 from tidemark.plans.summaries import KPIS, RANKINGS, kpi_row, observed_sums, ranked, summaries_database
 from tidemark.sources.glossary import describe
 from tidemark.sources.publish import (
@@ -79,25 +79,20 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "mart
     newest ``keep`` versions stay. With ``summaries`` the top-k tables and KPIs
     (``plans/summaries.py``) are part of the build.
 
-    The account-grain frames read by both account marts (invoice and
-    payment totals, D1, D2) are persisted for the duration of the build
-    (recomputed from lineage if an executor is lost) and released
-    afterwards. The marts are written by ``threads`` concurrent jobs (the
-    original builds with 4 threads), so their independent stages share
-    the cluster instead of queueing; a cached block being computed by one
-    job is waited for, not recomputed, by another.
+    The account-grain frames that several marts read (invoice and payment
+    totals, billing) are written once, in sorted buckets of their account, so
+    the marts join them without moving them again. The marts are written by
+    ``threads`` concurrent jobs (the original builds with 4 threads), so their
+    independent stages share the cluster instead of queueing.
     """
     ensure_database(spark, database)
     build = new_build()
-    warehouse.persist_shared()
-    try:
-        plans = {n: _laid_out(warehouse.model(n), n) for n in names}  # plan on one thread
-        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-            jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n),
-                                   observed=observed_sums(n) if summaries else None) for n in names}
-            sums = {n: job.result() for n, job in jobs.items()}
-    finally:
-        warehouse.unpersist()
+    warehouse.write_shared()
+    plans = {n: _laid_out(warehouse.model(n), n) for n in names}  # plan on one thread
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n),
+                               observed=observed_sums(n) if summaries else None) for n in names}
+        sums = {n: job.result() for n, job in jobs.items()}
     staged = {n: version_table(n, build, database) for n in names}
     if audit is not None:
         audited(audit, staged, build)
@@ -139,4 +134,4 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
                     F.col("comment").alias("description")))
 
 
-__all__ = ["build_marts", "describe_table", "list_tables", "write_mart", "SHARED"]
+__all__ = ["build_marts", "describe_table", "list_tables", "write_mart"]
