@@ -132,3 +132,10 @@ def test_one_row_of_each_component(spark):
     null_first = [(None, "x", "p"), (None, "p", "x"), (None, None, "x"), (None, "x", None)]
     docs = spark.createDataFrame(null_first, "doc_id long, text string, lang string")
     assert sorted(str(r["text"]) for r in simhash.drop_near_duplicates(docs).collect()) == ["None", "p", "x"]
+
+
+def test_dropping_keeps_any_column_names(spark):
+    rows = [(k, "five words of one text " * 3 + "x" * (k % 2), 1, 2, 3) for k in range(6)]
+    docs = spark.createDataFrame(rows, "`doc.id` long, row string, __h1 long, code long, best long")
+    out = simhash.drop_near_duplicates(docs, id_col="doc.id", text_col="row")
+    assert out.columns == docs.columns and [r[0] for r in out.collect()][0] == 0

@@ -135,8 +135,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits) and
     component_id, the smallest doc_id reachable over links."""
     bounded_batches(docs.sparkSession)
-    prints = written(docs.select(F.col(id_col).alias("doc_id"),
-                                 fingerprint_column(F.col(text_col), shingle_words).alias("code")), "simhash")
+    prints = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                                 fingerprint_column(F.col(f"`{text_col}`"), shingle_words).alias("code")), "simhash")
     rooted = _rooted(prints, max_bits)
     smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     member = written(rooted.join(smallest, "root").select("code", "component_id"), "simhash-members")
@@ -160,19 +160,19 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     bounded_batches(docs.sparkSession)
     # 128 bits of all values and of which are null, as hashes pass over nulls
     values = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    hashes = [F.xxhash64(*values).alias("__h1"), F.xxhash64(F.lit(1), *values).alias("__h2")]
-    prints = written(docs.select(F.col(id_col).alias("doc_id"), *hashes,
-                                 fingerprint_column(F.col(text_col), shingle_words).alias("code")), "simhash")
+    hashes = [F.xxhash64(*values).alias("h1"), F.xxhash64(F.lit(1), *values).alias("h2")]
+    prints = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), *hashes,
+                                 fingerprint_column(F.col(f"`{text_col}`"), shingle_words).alias("code")), "simhash")
     roots = _rooted(prints, max_bits).select("code", "root")
     # rows of the same values, so of one root, are counted first
-    rows = written(prints.groupBy("doc_id", "__h1", "__h2", "code").agg(F.count(F.lit(1)).alias("__n")), "simhash-rows")
+    rows = written(prints.groupBy("doc_id", "h1", "h2", "code").agg(F.count(F.lit(1)).alias("n")), "simhash-rows")
     keep = written(rows.join(roots, "code").groupBy("root")
-                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__h1", "__h2", "__n")).alias("best"))
-                   .select("best.__h1", "best.__h2", "best.__n"), "simhash-keep")
-    kept = docs.select("*", *hashes).join(keep.select("__h1", "__h2"), ["__h1", "__h2"], "left_semi")
-    if keep.where("__n > 1").head() is not None:
-        kept = kept.dropDuplicates(["__h1", "__h2"])
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2", "n")).alias("best"))
+                   .select("best.h1", "best.h2", "best.n"), "simhash-keep")
+    kept = docs.select(F.struct("*").alias("row"), *hashes).join(keep.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    if keep.where("n > 1").head() is not None:
+        kept = kept.dropDuplicates(["h1", "h2"])
+    return kept.select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
