@@ -113,3 +113,55 @@ def test_query_finds_near_texts(spark, tmp_path):
            for r in editprint.op8_editprint(spark, str(tmp_path)).collect()}
     assert got == ({i: (i, 2 if i < 3 or i == 7 else 1) for i in range(8)}
                    | {50 - i: (i, 2) for i in range(3)} | {None: (7, 2)})
+
+
+def test_packed_digits():
+    rnd = np.random.default_rng(3)
+    digits = rnd.integers(0, 16, (50, editprint.SAMPLES), dtype=np.uint8)
+    digits[25:, :40] = digits[:25, :40]
+    prints = [editprint.packed(d).tobytes() for d in digits]
+    assert (editprint.unpacked(prints) == digits).all()
+    assert editprint.shown(digits[0]) == "".join("0123456789abcdef"[d] for d in digits[0])
+    words = np.frombuffer(b"".join(prints), dtype=np.uint64).reshape(50, -1)
+    assert (editprint.differing(words[:, None], words[None]) == (digits[:, None] != digits[None]).sum(axis=-1)).all()
+
+
+def test_band_shape_follows_the_number_of_prints():
+    agree = editprint.NEAR * 15 / 16 + 1 / 16
+    before = 0
+    for n in (0, 1, 10_000, 250_000, 4_000_000, 10**9, 10**12):
+        digits, bands = editprint.band_shape(n)
+        assert 1 - (1 - agree ** digits) ** bands >= editprint.CAUGHT and digits >= before
+        assert n * bands * editprint.CHANCE ** digits <= editprint.CANDIDATES
+        before = digits
+
+
+def test_neighbours_over_batches():
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    for _ in range(100):
+        keys = sorted(rnd.randrange(30) for _ in range(rnd.randrange(40)))
+        cuts = sorted(rnd.randrange(len(keys) + 1) for _ in range(4))
+        batches = [pa.RecordBatch.from_pydict({"key": pa.array(keys[a:b], pa.int64()), "number": pa.array(range(a, b), pa.int64())})
+                   for a, b in zip([0, *cuts], [*cuts, len(keys)])]
+        got = [n for out in editprint._with_neighbours(batches) for n in out.column("number").to_pylist()]
+        assert got == [i for i, k in enumerate(keys) if keys.count(k) > 1 or i in (0, len(keys) - 1)]
+
+
+def test_link_recall_on_documents(spark):
+    """Of all pairs of distinct fingerprints of likeness NEAR or more, nearly all end in one component."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = editprint.near_texts(docs).toPandas().drop_duplicates("fingerprint")
+    digits = editprint.unpacked([bytes.fromhex(p) for p in got["fingerprint"]])
+    component = got["component_id"].to_numpy()
+    found = total = 0
+    for k in range(0, len(digits), 64):
+        near = editprint.likeness(digits[k:k + 64, None], digits[None]) >= editprint.NEAR
+        a, b = np.nonzero(near)
+        keep = b > a + k
+        total += keep.sum()
+        found += (component[a[keep] + k] == component[b[keep]]).sum()
+    assert total > 50 and found >= 0.95 * total
+    # unrelated texts stay apart
+    assert len(set(component)) > 0.5 * len(component)

@@ -16,7 +16,12 @@ share of equal digits, corrected for digits equal by chance.
 
 ``near_texts`` finds close documents: bands of sampled digits give candidate
 links, which are verified by likeness of the whole fingerprints. The query
-joins their components to its rows.
+joins their components to its rows. The digits of a band follow the number of
+distinct fingerprints, so that unrelated texts share few bands at any size, and
+the number of bands follows its digits, so that texts of likeness ``NEAR`` share
+one with a probability of ``CAUGHT`` or more.
+
+Tables hold a fingerprint as 64 bytes, two digits each; rows show it in hex.
 
 Walks of a batch run side by side in numpy, texts of similar length together;
 the few longest ones are finished one by one.
@@ -33,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +51,10 @@ SAMPLES = 128
 LANES = 1024          # walks advanced together
 FEW_LANES = 48        # below this walks are finished one by one
 BLOCK_STEPS = 64
-BAND_DIGITS = 6        # sampled digits of a band
-BANDS = 40
+CHANCE = 0.15          # unrelated texts' share of equal digits (letters are not uniform; measured)
+CANDIDATES = 2         # unrelated texts that a text may share a band with, about
+CAUGHT = 0.998         # probability that texts of likeness NEAR share a band
+LEAST_DIGITS = 6       # sampled digits of a band, at least
 GROUP_TEXTS = 2000     # fingerprints of one band compared together at most
 BUFFER_TEXTS = 20_000
 NEAR = 0.8            # likeness at which two texts are linked
@@ -180,7 +188,26 @@ def digits_of(texts: list[str]) -> np.ndarray:
 
 
 def shown(digits: np.ndarray) -> str:
-    return "".join(map("0123456789abcdef".__getitem__, digits.tolist()))
+    return packed(digits).tobytes().hex()
+
+
+def packed(digits: np.ndarray) -> np.ndarray:
+    """Two digits a byte, along the last axis."""
+    return digits[..., 0::2] << 4 | digits[..., 1::2]
+
+
+def unpacked(prints: pd.Series) -> np.ndarray:
+    """(prints, SAMPLES) digits of packed fingerprints."""
+    raw = np.frombuffer(b"".join(prints), dtype=np.uint8).reshape(-1, SAMPLES // 2)
+    return np.stack([raw >> 4, raw & 15], axis=-1).reshape(-1, SAMPLES)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of differing digits of packed fingerprints (as 64-bit words, along the last axis)."""
+    x = a ^ b
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=-1, dtype=np.int64)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -238,9 +265,19 @@ def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFram
             .sortWithinPartitions("bucket", "guest", F.col("id").desc_nulls_last(), F.col("text").desc()))
 
 
+def in_hex(rows: DataFrame) -> DataFrame:
+    """Binary columns as lower-case hexadecimal text."""
+    return rows.select(*[F.lower(F.hex(f.name)).alias(f.name) if f.dataType.typeName() == "binary" else F.col(f.name)
+                         for f in rows.schema])
+
+
 def fingerprints_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next."""
+    return in_hex(_with_next(docs, id_col, text_col))
+
+
+def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,26 +295,45 @@ def fingerprints_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({
                 "doc_id": pd.array([a[2] for a, _ in pairs], dtype="Int64"),
                 "n_chars": np.array([len(a[3]) for a, _ in pairs], dtype=np.int64),
-                "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                "fingerprint": [shown(a[4]) for a, _ in pairs],
-                "edited_fingerprint": [shown(d) for d in after],
+                "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in changed],
+                "fingerprint": [packed(a[4]).tobytes() for a, _ in pairs],
+                "edited_fingerprint": [packed(d).tobytes() for d in after],
                 "near_edited": [float(likeness(a[4], d)) for (a, _), d in zip(pairs, after)],
                 "near_next": [float(likeness(a[4], b[4])) for a, b in pairs]})
 
     return in_descending_order(docs, id_col, text_col).mapInPandas(
-        compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-                 "edited_fingerprint string, near_edited double, near_next double")
+        compare, "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+                 "edited_fingerprint binary, near_edited double, near_next double")
 
 
 # ------------------------------------------------------------------ near texts
-def _bands() -> np.ndarray:
+def band_shape(n_prints: int, near: float = NEAR) -> tuple[int, int]:
+    """Digits of a band and number of bands for so many distinct fingerprints.
+
+    A band's digits are the fewest that leave a text about ``CANDIDATES`` unrelated
+    ones over all bands; its bands are as many as catch likeness ``near`` with a
+    probability of ``CAUGHT``, digits taken as independent.
+    """
+    agree = near * 15 / 16 + 1 / 16
+    digits = LEAST_DIGITS - 1
+    while True:
+        digits += 1
+        bands = int(np.ceil(np.log(1 - CAUGHT) / np.log1p(-agree ** digits)))
+        if n_prints * bands * CHANCE ** digits <= CANDIDATES or digits == SAMPLES // 4:
+            return digits, bands
+
+
+def _bands(digits: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sampled digits of each band, and odd multipliers that hash them."""
     rnd = np.random.default_rng(88)
-    return np.array([rnd.choice(SAMPLES, BAND_DIGITS, replace=False) for _ in range(BANDS)])
+    picked = np.array([rnd.choice(SAMPLES, digits, replace=False) for _ in range(bands)])
+    return picked, _mix(np.arange(1, picked.size + 1, dtype=np.uint64).reshape(picked.shape)) | np.uint64(1)
 
 
-def _digit_rows(prints: pd.Series) -> np.ndarray:
-    raw = np.frombuffer("".join(prints).encode(), dtype=np.uint8).reshape(-1, SAMPLES)
-    return np.where(raw >= 97, raw - 87, raw - 48).astype(np.uint8)
+def band_keys(digits: np.ndarray, picked: np.ndarray, factors: np.ndarray) -> Iterator[np.ndarray]:
+    """For each band, a 64-bit hash of every text's digits in it (bands differ in their factors)."""
+    for band, factor in zip(picked, factors):
+        yield _mix(((digits[:, band].astype(np.uint64) + np.uint64(1)) * factor).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
 def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -286,65 +342,87 @@ def near_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     (see ``near_prints``)."""
     bounded_batches(docs.sparkSession)
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("binary")
     def print_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([shown(d) for d in digits_of([t if isinstance(t, str) else "" for t in batch])], dtype=object)
+            digits = digits_of([t if isinstance(t, str) else "" for t in batch])
+            yield pd.Series([packed(d).tobytes() for d in digits], dtype=object)
 
     prints = written(docs.select(F.col(id_col).alias("doc_id"), print_of(F.col(text_col)).alias("fingerprint")), "prints")
-    return prints.join(near_prints(prints, near), "fingerprint").select(
-        "doc_id", "fingerprint", "component_id", "component_docs")
+    return in_hex(prints.join(near_prints(prints, near), "fingerprint").select(
+        "doc_id", "fingerprint", "component_id", "component_docs"))
+
+
+def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, number) sorted by key: those whose key the row before or after
+    has, and a task's first and last row, whose neighbour may be in another task."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        shared = np.append(False, same) | np.append(same, False)
+        if held is None:
+            shared[0] = True
+        elif held[0].column("key")[0].as_py() == key[0]:
+            shared[0] = True
+            yield held[0]
+        elif held[1]:
+            yield held[0]
+        held = batch.slice(batch.num_rows - 1), bool(shared[-1])
+        shared[-1] = False
+        yield batch.filter(pa.array(shared))
+    if held is not None:
+        yield held[0]
 
 
 def near_prints(prints: DataFrame, near: float = NEAR) -> DataFrame:
-    """One row per distinct fingerprint of ``prints`` (doc_id, fingerprint): fingerprint,
-    component_id (the smallest doc_id reachable over links of likeness ``near`` or
-    more) and component_docs (the number of documents reached, itself included).
-
-    Each of ``BANDS`` bands takes ``BAND_DIGITS`` sampled digits; texts that agree
-    in a band are compared by their whole fingerprints. Only distinct
-    fingerprints are compared, and tasks return spanning links. Bands move
-    numbers of fingerprints; the digits go to those that share a band only.
+    """One row per distinct fingerprint of ``prints`` (doc_id, fingerprint: packed):
+    fingerprint, component_id (the smallest doc_id reachable over links of likeness
+    ``near`` or more) and component_docs (the documents reached, itself included).
+
+    Texts that agree in a band are compared by their whole fingerprints. Only
+    distinct fingerprints are compared, and tasks return spanning links. All bands
+    move once, as a hash and a number, into ranges of (hash, number), so that a
+    band that very many texts share is spread; only rows that share their hash
+    with a neighbour go on, and only these are joined by the fingerprints.
     """
     classes = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"))
                       .withColumn("number", F.monotonically_increasing_id()), "print-classes")
-    bands = _bands()
+    picked, factors = _bands(*band_shape(classes.count(), near))
+    most = int(np.floor(SAMPLES * (1 - near) * 15 / 16 + 1e-9))   # differing digits at that likeness
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = np.uint64(16) ** np.arange(BAND_DIGITS, dtype=np.uint64)
         for batch in batches:
-            digits = _digit_rows(batch["fingerprint"])
-            for n, band in enumerate(bands):
-                yield pd.DataFrame({"band": np.int32(n), "key": (digits[:, band] * weights).sum(1).astype(np.int64),
-                                    "number": batch["number"]})
+            for keys in band_keys(unpacked(batch["fingerprint"]), picked, factors):
+                yield pd.DataFrame({"key": keys, "number": batch["number"]})
 
     def compare(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        names = ["band", "key", "chunks"]
         frame = frame.reset_index(drop=True)
-        digits = _digit_rows(frame["fingerprint"])
-        for _, rows in frame.groupby(names, sort=False).indices.items():
+        words = np.frombuffer(b"".join(frame["fingerprint"]), dtype=np.uint64).reshape(-1, SAMPLES // 16)
+        number = frame["number"].to_numpy()
+        for _, rows in frame.groupby(["key", "chunks"], sort=False).indices.items():
             if len(rows) < 2:
                 continue
-            own = digits[rows]
+            own = words[rows]
             labels = np.arange(len(rows))
             for k in range(0, len(rows), 64):
-                a, b = np.nonzero(likeness(own[k:k + 64, None, :], own[None, :, :]) >= near)
+                a, b = np.nonzero(differing(own[k:k + 64, None, :], own[None, :, :]) <= most)
                 labels = joined(labels, a + k, b)
             tied = labels != np.arange(len(rows))
-            texts = frame["fingerprint"].to_numpy()[rows]
-            yield pd.DataFrame({"u": texts[tied], "v": texts[labels[tied]]})
-
-    keys = ["band", "key"]
-    dealt = classes.select("fingerprint", "number").mapInPandas(deal, "band int, key long, number long")
-    shared = written(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys), "shared-bands")
-    dealt = written(dealt.join(shared, keys, "left_semi"), "bands")
-    dealt = (cut_hot_groups(dealt, keys, "number", GROUP_TEXTS)
-             .join(classes.select("number", "fingerprint"), "number").drop("number"))
-    links = (dealt.repartition("band", "key", "chunks").sortWithinPartitions("band", "key", "chunks")
-             .mapInPandas(whole_groups(["band", "key", "chunks"], compare, BUFFER_TEXTS), "u string, v string"))
+            yield pd.DataFrame({"u": number[rows[tied]], "v": number[rows[labels[tied]]]})
+
+    dealt = (classes.select("fingerprint", "number").mapInPandas(deal, "key long, number long")
+             .repartitionByRange("key", "number").sortWithinPartitions("key", "number"))
+    dealt = written(dealt.mapInArrow(_with_neighbours, "key long, number long"), "bands")
+    dealt = (cut_hot_groups(dealt, ["key"], "number", GROUP_TEXTS)
+             .join(classes.select("number", "fingerprint"), "number"))
+    links = (dealt.repartition("key", "chunks").sortWithinPartitions("key", "chunks")
+             .mapInPandas(whole_groups(["key", "chunks"], compare, BUFFER_TEXTS), "u long, v long"))
     found = components(written(links, "print-links"))
-    rooted = written(classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-                     .withColumn("root", F.coalesce("root", "fingerprint")), "print-roots")
+    rooted = written(classes.join(found.withColumnRenamed("node", "number"), "number", "left")
+                     .withColumn("root", F.coalesce("root", "number")), "print-roots")
     smallest = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"),
                                                   F.sum("docs").alias("component_docs")), "print-least")
     return written(rooted.join(smallest, "root").select("fingerprint", "component_id", "component_docs"), "print-members")
@@ -352,6 +430,6 @@ def near_prints(prints: DataFrame, near: float = NEAR) -> DataFrame:
 
 def op8_editprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of ``fingerprints_with_next`` and of ``near_prints``, one row per document."""
-    rows = written(fingerprints_with_next(table(spark, sf_dir, "documents")), "prints")
-    return rows.join(near_prints(rows.select("doc_id", "fingerprint")), "fingerprint").select(
-        *rows.columns, "component_id", "component_docs")
+    rows = written(_with_next(table(spark, sf_dir, "documents"), "doc_id", "text"), "prints")
+    return in_hex(rows.join(near_prints(rows.select("doc_id", "fingerprint")), "fingerprint").select(
+        *rows.columns, "component_id", "component_docs"))
