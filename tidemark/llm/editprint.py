@@ -402,7 +402,8 @@ def near_prints(prints: DataFrame, near: float = NEAR) -> DataFrame:
         frame = frame.reset_index(drop=True)
         words = np.frombuffer(b"".join(frame["fingerprint"]), dtype=np.uint64).reshape(-1, SAMPLES // 16)
         number = frame["number"].to_numpy()
-        for _, rows in frame.groupby(["key", "chunks"], sort=False).indices.items():
+        tied_to: list[tuple[np.ndarray, np.ndarray]] = []
+        for rows in frame.groupby(["key", "chunks"], sort=False).indices.values():
             if len(rows) < 2:
                 continue
             own = words[rows]
@@ -411,7 +412,10 @@ def near_prints(prints: DataFrame, near: float = NEAR) -> DataFrame:
                 a, b = np.nonzero(differing(own[k:k + 64, None, :], own[None, :, :]) <= most)
                 labels = joined(labels, a + k, b)
             tied = labels != np.arange(len(rows))
-            yield pd.DataFrame({"u": number[rows[tied]], "v": number[rows[labels[tied]]]})
+            tied_to.append((number[rows[tied]], number[rows[labels[tied]]]))
+        if tied_to:   # one frame of many groups' links
+            u, v = (np.concatenate(x) for x in zip(*tied_to))
+            yield pd.DataFrame({"u": u, "v": v}).drop_duplicates()
 
     dealt = (classes.select("fingerprint", "number").mapInPandas(deal, "key long, number long")
              .repartitionByRange("key", "number").sortWithinPartitions("key", "number"))
