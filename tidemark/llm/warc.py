@@ -17,8 +17,16 @@ quarantined gap (file, offset, length, reason). So damage costs the records
 it hits, not those after it. A record found inside the remains of a damaged
 uncompressed record cannot be told from a record of its own.
 
-A file is one row of Spark's binary reader, so files have to fit a task;
-the writer starts a new one after ``RECORDS_PER_FILE`` records.
+A member that is cut or damaged is searched too, as far as it can be inflated:
+its records whose digest holds are read, from a cut one those without a digest
+as well, and the member is logged as a gap, with the inflated offset at which
+the loss begins. (Bytes inflated before an error may be wrong, so without a
+digest nothing vouches for them. Header lines have no digest at all: behind the
+damage one may be wrong and still parse.)
+
+A file is one row of Spark's binary reader, so files have to fit a task; the
+writer starts a new one after ``FILE_BYTES``. Records and members above
+``RECORD_BYTES`` are not read but logged as gaps.
 
 Defined results: a null html is the empty payload; a null url leaves the
 target out; equal page_ids with equal payloads are all responses if theirs
@@ -36,6 +44,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +52,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, shared_path, table, written
 
 MIN_SHARED = 100
-RECORDS_PER_FILE = 10_000
+FILE_BYTES = 256 << 20     # a task begins another file behind so many bytes
 RECORD_BYTES = 1 << 30     # longest record read
 CHUNK_BYTES = 1 << 16
 BATCH_BYTES = 4 << 20      # payload bytes in one batch of rows read
@@ -52,6 +61,7 @@ ID_PREFIX = "urn:x-page:"
 # The revisit profile of the standard, gzip's magic, version lines.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
+DIGESTS = ("sha1", "sha256", "md5")
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _CONTROL = re.compile("[\x00-\x08\x0a-\x1f\x7f\ufffd]")  # never in a header line
 _EMPTY_MEMBER = zlib.compress(b"", 6, 31)
@@ -85,7 +95,8 @@ def member_bytes(record: bytes) -> bytes:
 
 def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html") -> None:
-    """Writes one record per row of ``pages`` to files below ``path``."""
+    """Writes one record per row of ``pages`` to files below ``path``, in folders
+    of a task's first, second, ... ``FILE_BYTES``."""
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
@@ -99,21 +110,28 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = lambda v: None if pd.isna(v) else int(v)
+        size = 0
         for batch in batches:
-            yield pd.DataFrame({"member": [
-                member_bytes(record_bytes(known(i), url, bytes(payload), digest, known(to)))[:-1]
-                for i, url, payload, digest, to in
-                zip(batch["id"], batch["url"], batch["payload"], batch["digest"], batch["refers_to"])]})
+            made = [member_bytes(record_bytes(known(i), url, bytes(payload), digest, known(to)))[:-1]
+                    for i, url, payload, digest, to in
+                    zip(batch["id"], batch["url"], batch["payload"], batch["digest"], batch["refers_to"])]
+            before = size + np.cumsum([0, *map(len, made)])
+            yield pd.DataFrame({"volume": before[:-1] // FILE_BYTES, "member": made})
+            size = int(before[-1])
 
     (joined.select(F.col("id").cast("string").alias("id"), "url", "payload", "digest",
                    F.col("refers_to").cast("string").alias("refers_to"))
-     .mapInPandas(members, "member binary").select(F.col("member").cast("string"))
-     .write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .mapInPandas(members, "volume long, member binary").select("volume", F.col("member").cast("string"))
+     .write.partitionBy("volume").option("lineSep", "\0").text(path))
 
 
 # ------------------------------------------------------------------ reader
 class Damaged(ValueError):
-    """A check failed; the message is the reason logged."""
+    """A check failed; the message is the reason logged, ``found`` what could be read all the same."""
+
+    def __init__(self, reason: str, found: tuple = ()):
+        super().__init__(reason)
+        self.found = found
 
 
 @dataclass
@@ -130,6 +148,10 @@ class Record:
         head, mark, body = self.block.partition(b"\r\n\r\n")
         return (head, body) if mark else None
 
+    def has_digest(self) -> bool:
+        """Whether a digest that is checked covers the whole block."""
+        return self.headers.get("warc-block-digest", "").partition(":")[0].lower() in DIGESTS
+
     @property
     def payload(self) -> bytes:
         parts = self.http()
@@ -155,7 +177,7 @@ class Gap:
 def _digest_holds(declared: str, data: bytes) -> bool:
     """Whether the data has the digest (unknown algorithms: no check)."""
     kind, _, value = declared.partition(":")
-    if kind.lower() not in ("sha1", "sha256", "md5"):
+    if kind.lower() not in DIGESTS:
         return True
     made = hashlib.new(kind.lower(), data)
     return value.lower() == made.hexdigest() or value.upper().rstrip("=") == base64.b32encode(
@@ -193,26 +215,39 @@ def _plain_record(data: bytes, at: int) -> Record:
     return record
 
 
-def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int]:
-    """The records and gaps of the gzip member at ``at`` (none if it is empty) and its length."""
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` inflates to, its length, and why it ends early (None: it does not)."""
     inflate, out, size, fed = zlib.decompressobj(31), [], 0, at
-    try:
-        while not inflate.eof:
-            chunk = data[fed:fed + CHUNK_BYTES]
-            if not chunk:
-                raise Damaged("member without end")
-            fed += len(chunk)
+    while not inflate.eof:
+        chunk = data[fed:fed + CHUNK_BYTES]
+        if not chunk:
+            return b"".join(out), fed - at, "member without end"
+        before = inflate.copy()
+        try:
             out.append(inflate.decompress(chunk))
-            size += len(out[-1])
-            if size > RECORD_BYTES:
-                raise Damaged("length beyond the limit")
-    except zlib.error as e:
-        raise Damaged(f"gzip: {e}") from None
-    length = fed - len(inflate.unused_data) - at
-    content, found, inner, broken, whole = b"".join(out), [], 0, None, 0
+        except zlib.error as e:
+            for n in range(len(chunk)):   # again byte by byte, up to the error
+                try:
+                    out.append(before.decompress(chunk[n:n + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), fed + n - at, f"gzip: {e}"
+        fed += len(chunk)
+        size += len(out[-1])
+        if size > RECORD_BYTES:
+            raise Damaged("length beyond the limit")
+    return b"".join(out), fed - len(inflate.unused_data) - at, None
+
+
+def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int]:
+    """The records and gaps of the gzip member at ``at`` (none if it is empty) and its length."""
+    content, length, cut = _inflated(data, at)
+    found, inner, broken, whole = [], 0, None, 0
     while inner < len(content):
         try:
             record = _plain_record(content, inner)
+            if cut and cut.startswith("gzip") and not record.has_digest():
+                raise Damaged("no digest in a damaged member")
         except Damaged as e:
             broken = broken or (inner, str(e))
             version = VERSION.search(content, inner + 1)
@@ -224,6 +259,9 @@ def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int]:
         inner += record.length
         whole += 1
         found.append(Record(at, length, record.headers, record.block))
+    if cut:
+        lost = broken[0] if broken else len(content)
+        raise Damaged(f"{cut} (inflated bytes from {lost} on)" if whole else cut, tuple(found if whole else ()))
     if broken:
         if not whole:
             raise Damaged(broken[1])
@@ -256,6 +294,11 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                 found = _plain_record(data, at)
                 records, length = [found], found.length
         except Damaged as e:
+            if e.found:
+                if broken:
+                    yield Gap(broken[0], at - broken[0], broken[1])
+                yield from e.found
+                broken = at, str(e)
             broken = broken or (at, str(e))
             at = _next_candidate(data, at + 1)
             if at < 0:
@@ -274,8 +317,9 @@ READ_SCHEMA = ("file string, offset long, length long, gap string, warc_type str
                "refers_to string, target_uri string, payload_digest string, payload_bytes long, payload binary")
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per record or quarantined gap of the archives below ``path``.
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True, names: str = "*") -> DataFrame:
+    """One row per record or quarantined gap of the archives below ``path``, in
+    folders of any depth; ``names`` is a pattern of file names.
 
     ``gap`` is the reason for a gap, null for a record. ``payload_digest`` is
     the SHA-256 of the payload, for a revisit the one it declares, in bare
@@ -284,7 +328,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     bounded_batches(spark)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in READ_SCHEMA.split(", ")]
+        columns = [c.split()[0] for c in READ_SCHEMA.split(", ")]
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"]):
                 rows, held = [], 0
@@ -301,12 +345,13 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                                  payload if with_payload and not revisit else None))
                     held += len(payload) + 500
                     if held >= BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield pd.DataFrame(rows, columns=columns)
                         rows, held = [], 0
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield pd.DataFrame(rows, columns=columns)
 
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", names)
+            .option("recursiveFileLookup", True).load(path).select("path", "content")
             .mapInPandas(read, READ_SCHEMA))
 
 
