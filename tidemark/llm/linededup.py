@@ -66,7 +66,8 @@ def dropped_positions(docs: DataFrame, id_col: str, text_col: str,
     hash) and gone, the positions of its dropped lines."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = written(
-        docs.select(F.col(id_col).alias("doc"), *_hashes(text, "t"), F.posexplode(_lines(text)).alias("pos", "line"))
+        docs.select(F.col(id_col).alias("doc"), *_hashes(text, "t"), text.alias("text"))   # hashed once a text, not a line
+        .select("doc", "t1", "t2", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
         .withColumn("key", line_key(F.col("line"))).where(F.char_length("key") >= min_chars)
         .select("doc", "t1", "t2", "pos", *_hashes(F.col("key"), "h")), "lines")
     total = lines.count()
