@@ -2,30 +2,43 @@
 
 A sorted sequence of n numbers below u keeps the low bits of each number as
 they are and the high parts as a bit vector in unary: about 2 + log2(u / n)
-bits a number. The arrays may be memory-mapped; look-ups touch a few words.
+bits a number. Directories give the word of every ``EVERY``-th set and clear
+bit. The arrays may be memory-mapped; look-ups touch a few words.
 """
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 import numpy as np
 
 _U = np.uint64
+EVERY = 64   # one in so many set and clear bits has its word in the directories
+STEPS = 6    # words walked on from there before a binary search
+
+
+_ONES, _HIGHS = _U(0x0101010101010101), _U(0x8080808080808080)
+_PAIRS, _FOURS, _NIBBLES = _U(0x5555555555555555), _U(0x3333333333333333), _U(0x0F0F0F0F0F0F0F0F)
+#: Place of the k-th set bit of a byte, at byte * 8 + k.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[:8] for byte in range(256)],
+                    dtype=np.uint8).ravel()
 
 
 def _select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Position of the k-th set bit of each word (k from 0)."""
-    at = np.zeros(len(words), dtype=np.int64)
-    words, k = words.copy(), k.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        ones = np.bitwise_count(words & _U((1 << width) - 1)).astype(np.int64)
-        right = k >= ones
-        k -= np.where(right, ones, 0)
-        at += np.where(right, width, 0)
-        words = np.where(right, words >> _U(width), words)
-    return at
+    """Position of the k-th set bit of each word (k from 0, below the number of set bits)."""
+    k = k.astype(np.uint64)
+    sums = words - ((words >> _U(1)) & _PAIRS)
+    sums = (sums & _FOURS) + ((sums >> _U(2)) & _FOURS)
+    sums = ((sums + (sums >> _U(4))) & _NIBBLES) * _ONES  # byte i: set bits of bytes 0 to i
+    place = np.bitwise_count((k * _ONES | _HIGHS) - sums & _HIGHS).astype(np.uint64) << _U(3)
+    k -= (sums << _U(8)) >> place & _U(0xFF)
+    byte = words >> place & _U(0xFF)
+    return place.astype(np.int64) + _IN_BYTE[(byte << _U(3) | k).astype(np.int64)]
+
+
+def _directory(before: np.ndarray, total: int) -> np.ndarray:
+    """Word of every ``EVERY``-th bit of a kind, of which ``before`` lie before each word."""
+    return (np.searchsorted(before, np.arange(0, max(total, 1), EVERY), side="right") - 1).astype(np.uint32)
 
 
 @dataclass
@@ -35,6 +48,8 @@ class EliasFano:
     low: np.ndarray      # packed low parts
     high: np.ndarray     # unary high parts, 64 bits a word
     before: np.ndarray   # set bits before each word
+    ones: np.ndarray     # word of every EVERY-th set bit
+    zeros: np.ndarray    # and clear bit
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -54,7 +69,8 @@ class EliasFano:
         high = np.zeros((n + (universe >> low_bits) + 2) // 64 + 1, dtype=np.uint64)
         np.bitwise_or.at(high, top >> 6, _U(1) << (top & 63).astype(np.uint64))
         before = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))])
-        return cls(n, low_bits, low, high, before)
+        clear = np.arange(len(before)) * 64 - before
+        return cls(n, low_bits, low, high, before, _directory(before, n), _directory(clear, int(clear[-1])))
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -66,37 +82,60 @@ class EliasFano:
         second = (self.low[word + 1] << (_U(63) - off)) << _U(1)
         return (first | second) & _U((1 << self.low_bits) - 1)
 
+    def _word(self, k: np.ndarray, clear: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Word of the k-th set (or clear) bit, and its place among the word's set (clear) bits."""
+        at = (lambda w: w * 64 - self.before[w]) if clear else (lambda w: self.before[w])
+        word = (self.zeros if clear else self.ones)[k // EVERY].astype(np.int64)
+        open_ = np.flatnonzero(at(word + 1) <= k)
+        for _ in range(STEPS):
+            if not len(open_):
+                break
+            word[open_] += 1
+            open_ = open_[at(word[open_] + 1) <= k[open_]]
+        low, want = word[open_], k[open_]
+        high = np.full(len(open_), len(self.high))  # far away: halve
+        while len(open_):
+            middle = (low + high) >> 1
+            after = at(middle) <= want
+            low, high = np.where(after, middle, low), np.where(after, high, middle)
+            if (high - low <= 1).all():
+                word[open_] = low
+                break
+        return word, k - at(word)
+
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """The i-th values (0 <= i < n)."""
         i = np.asarray(i, dtype=np.int64)
-        word = np.searchsorted(self.before, i, side="right") - 1
-        at = word * 64 + _select_in_word(self.high[word], i - self.before[word])
+        word, k = self._word(i, clear=False)
+        at = word * 64 + _select_in_word(self.high[word], k)
         return (((at - i).astype(np.uint64) << _U(self.low_bits)) | self._lows(i)).astype(np.int64)
 
-    @functools.cached_property
-    def _zeros(self) -> np.ndarray:
-        """Clear bits before each word."""
-        return np.arange(len(self.before)) * 64 - self.before
-
     def _starts(self, top: np.ndarray) -> np.ndarray:
         """Number of values whose high part is below ``top``."""
         out = np.zeros(len(top), dtype=np.int64)
-        some = top > 0
-        k = top[some] - 1  # the zero that ends the run of high part top - 1
-        zeros = self._zeros
-        word = np.minimum(np.searchsorted(zeros, k, side="right") - 1, len(self.high) - 1)
-        at = word * 64 + _select_in_word(~self.high[word], k - zeros[word])
-        out[some] = at - k
+        some = np.flatnonzero(top > 0)
+        zero = top[some] - 1  # the clear bit that ends the run of high part top - 1
+        word, k = self._word(zero, clear=True)
+        out[some] = word * 64 + _select_in_word(~self.high[word], k) - zero
         return out
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first value not below x."""
-        x = np.asarray(x, dtype=np.int64)
-        if not self.n:
-            return np.zeros(len(x), dtype=np.int64)
+    def _runs(self, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First index of the values with high part ``top``, and the index after them."""
+        first = self._starts(top)
+        bit = first + top  # the run's set bits begin here
+        rest = ~(self.high[bit >> 6] >> (bit & 63).astype(np.uint64))
+        length = np.bitwise_count((rest & -rest) - _U(1)).astype(np.int64)
+        end = first + length
+        over = np.flatnonzero((bit & 63) + length >= 64)  # up to the word's end, and perhaps beyond
+        end[over] = self._starts(top[over] + 1)
+        return first, end
+
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the first value not below x, the end of the values with x's high part, x's low part."""
         top = x >> self.low_bits
         want = x.astype(np.uint64) & _U((1 << self.low_bits) - 1)
-        first, end = self._starts(top), self._starts(top + 1)
+        first, stop = self._runs(top)
+        end = stop.copy()
         open_ = np.flatnonzero(first < end)
         while len(open_):  # halve the runs of equal high part
             middle = (first[open_] + end[open_]) >> 1
@@ -104,22 +143,30 @@ class EliasFano:
             first[open_] = np.where(below, middle + 1, first[open_])
             end[open_] = np.where(below, end[open_], middle)
             open_ = open_[first[open_] < end[open_]]
-        return first
+        return first, stop, want
+
+    def successor(self, x: np.ndarray) -> np.ndarray:
+        """Index of the first value not below x (0 <= x < universe)."""
+        x = np.asarray(x, dtype=np.int64)
+        return self._search(x)[0] if self.n else np.zeros(len(x), dtype=np.int64)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Index of each x, -1 where it is not in the sequence."""
-        at = self.successor(x)
-        inside = np.flatnonzero(at < self.n)
-        out = np.full(len(at), -1)
-        same = self[at[inside]] == np.asarray(x, dtype=np.int64)[inside]
-        out[inside[same]] = at[inside[same]]
+        x = np.asarray(x, dtype=np.int64)
+        out = np.full(len(x), -1)
+        if self.n:
+            first, stop, want = self._search(x)
+            inside = np.flatnonzero(first < stop)
+            same = inside[self._lows(first[inside]) == want[inside]]
+            out[same] = first[same]
         return out
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.size": np.array([self.n, self.low_bits]), f"{name}.low": self.low,
-                f"{name}.high": self.high, f"{name}.before": self.before}
+                f"{name}.high": self.high, f"{name}.before": self.before,
+                f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
 
     @classmethod
     def of(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         n, low_bits = (int(v) for v in arrays[f"{name}.size"])
-        return cls(n, low_bits, arrays[f"{name}.low"], arrays[f"{name}.high"], arrays[f"{name}.before"])
+        return cls(n, low_bits, *(arrays[f"{name}.{part}"] for part in ("low", "high", "before", "ones", "zeros")))

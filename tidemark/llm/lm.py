@@ -23,9 +23,9 @@ start of their context's range, so the whole level ascends. Starts are monotone
 pointers, Elias-Fano too. To look a word up is a successor search in the
 context's range.
 
-Levels 2 and 3 are cut into shards: ranges of first words and of pairs, with
-about ``SHARD_GRAMS`` n-grams each. Spark tasks build them, each from the
-n-grams of its range, so the driver gathers the words' hashes and counts only.
+All levels are cut into shards: ranges of word hashes, of first words and of
+pairs, with about ``SHARD_GRAMS`` words or n-grams each. Spark tasks build them,
+each from the rows of its range; the driver gathers totals, cuts and names only.
 Probabilities and weights of contexts are quantised to 256 values a shard.
 Each shard is a file that Spark ships to the executors; workers map the files
 into memory and send every look-up to its shard.
@@ -39,14 +39,13 @@ from __future__ import annotations
 
 import functools
 import json
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,20 +56,38 @@ from tidemark.llm.eliasfano import EliasFano
 WORD_SHARE = 0.0      # least share of all training tokens of words in the trie: no cut but MIN_COUNT
 SHARE = 0.0           # and of n-grams of two and three words
 MIN_COUNT = 2
-SHARD_GRAMS = 2_000_000   # n-grams of a shard, about
-CACHED_WORDS = 300_000    # words whose numbers a worker remembers
-HASH_SEED = 42            # Spark's
+SHARD_GRAMS = 2_000_000   # n-grams (or words) of a shard, about
 DISCOUNT = 0.75
 LEVELS = 256
-FLUSH_WORDS = 200_000     # distinct words a counting task holds
+FLUSH_WORDS = 1_500_000   # words that a task counts together, about
 FLUSH_TOKENS = 2_000_000  # tokens whose n-grams a counting task holds
-SCORE_TOKENS = 500_000    # tokens scored together
-END = ""                  # the end token among words, which are never empty
+SCORE_TOKENS = 500_000    # tokens scored together, about
+CHARS_A_TOKEN = 6         # which is how much text holds so many tokens, about
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words in UTF-8: bytes are lower-cased and split in ASCII only."""
-    return text.encode().lower().split()
+def words_of(texts: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(each token's place among the distinct words, these, tokens of each text).
+    Letters are lower-cased and words split in ASCII only; every text has an end."""
+    low = pc.ascii_trim_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    # a space behind the last word leaves an empty string there, which is the end
+    space, none = (pa.scalar(t, pa.large_string()) for t in (" ", ""))
+    ended = pc.if_else(pc.equal(low, none), low, pc.binary_join_element_wise(low, space, none))
+    words = pc.ascii_split_whitespace(ended)
+    coded = words.flatten().dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary, np.diff(words.offsets.to_numpy())
+
+
+def _together(texts: Iterable[str], tokens: int) -> Iterator[list[str]]:
+    """Consecutive whole texts of about so many tokens in all."""
+    held, n = [], 0
+    for text in texts:
+        held.append(text)
+        n += len(text) + 1
+        if n >= tokens * CHARS_A_TOKEN:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 # ------------------------------------------------------------------ file
@@ -90,7 +107,7 @@ def map_file(path: str) -> dict[str, np.ndarray]:
     with open(path, "rb") as f:
         size = int.from_bytes(f.read(8), "little")
         header = json.loads(f.read(size))
-    data = np.memmap(path, dtype=np.uint8, mode="r", offset=0)
+    data = np.asarray(np.memmap(path, dtype=np.uint8, mode="r", offset=0))  # plain views are quicker
     out = {}
     for name, (at, dtype, shape) in header.items():
         n = int(np.prod(shape)) * np.dtype(dtype).itemsize
@@ -123,13 +140,28 @@ def _with_codes(arrays: dict[str, np.ndarray], **values: np.ndarray) -> dict[str
     return arrays
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes, signed."""
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False).view(np.int64)
+
+
+def word_shard_of(hashes: np.ndarray, n_shards: int) -> np.ndarray:
+    """Shards of equal ranges of hashes, in their order."""
+    high = (hashes.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+    return (high * np.uint64(n_shards) >> np.uint64(32)).astype(np.int32)
+
+
+def word_shard(shard: int, hashes: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    return {"shard": np.array([shard]), "hashes": hashes, "n": counts.astype(np.min_scalar_type(counts.max()))}
+
+
 def pair_shard(trie: Trie, low: int, high: int, pairs: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Level 2 of the first words ``low`` to ``high``; ``pairs``: u * F + v ascending."""
     size = trie.size
     first, last = pairs // size - low, pairs % size
-    taken = (counts - DISCOUNT) / trie.counts[first + low]
+    taken = (counts - DISCOUNT) / trie.counts(np.arange(low, high))[first]
     left1 = 1 - np.bincount(first, taken, minlength=high - low)
-    p2 = taken + left1[first] * 10 ** trie.log_p1[last]
+    p2 = taken + left1[first] * 10 ** trie.log_p1(last)
     starts = np.searchsorted(first, np.arange(high - low + 1))
     out = {"range": np.array([low, high, len(pairs)]), "n": counts.astype(np.min_scalar_type(counts.max()))}
     out |= EliasFano.build(pairs - low * size, (high - low) * size).arrays("level")
@@ -172,26 +204,36 @@ class Shard:
 
 
 def _parts(edges: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(k, places of the keys from edges[k] to below edges[k + 1])."""
-    which = np.searchsorted(edges, keys, side="right") - 1
-    for k in np.flatnonzero(np.bincount(which[(which >= 0) & (which < len(edges) - 1)], minlength=1)):
-        yield int(k), np.flatnonzero(which == k)
+    """(k, places of the keys from edges[k] to below edges[k + 1], by key)."""
+    order = np.arange(len(keys)) if (keys[1:] >= keys[:-1]).all() else np.argsort(keys)
+    cuts = np.searchsorted(keys[order], edges)
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k]:cuts[k + 1]]
 
 
 class Trie:
-    """The words, and the shards of levels 2 and 3 there are so far. Ranges
+    """The shards of words and of levels 2 and 3 there are so far. Ranges
     without n-grams have no shard: nothing is found and all mass is left there."""
 
-    def __init__(self, words: dict[str, np.ndarray], shards2: list[dict], shards3: list[dict]):
-        self.hashes, self.counts = words["hashes"], np.asarray(words["counts"])
-        self.size = len(self.hashes)
-        self.n_tokens, self.n_types = (int(v) for v in words["totals"])
-        self.log_unit = float(np.log10(self.n_tokens + 0.5 * (self.n_types + 1)))
-        self.log_p1 = np.log10(self.counts + 0.5) - self.log_unit
-        self.cached: dict[bytes, int] = {}
+    def __init__(self, words: list[dict], shards2: list[dict], shards3: list[dict], n_tokens: int, n_types: int):
+        words = sorted(words, key=lambda w: int(w["shard"][0]))
+        self.words = [(w["hashes"], w["n"]) for w in words]
+        self.firsts = np.array([h[0] for h, _ in self.words], dtype=np.int64)
+        self.bases = np.cumsum([0, *(len(h) for h, _ in self.words)])  # first word's number of each shard
+        self.size = int(self.bases[-1])
+        self.log_unit = float(np.log10(n_tokens + 0.5 * (n_types + 1)))
         self.two, self.three = (sorted(map(Shard, shards), key=lambda s: s.low) for shards in (shards2, shards3))
         self.nodes = np.cumsum([0, *(s.n for s in self.two)])  # first node of each shard
 
+    def counts(self, words: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(words), dtype=np.int64)
+        for k, at in _parts(self.bases, words):
+            out[at] = self.words[k][1][words[at] - self.bases[k]]
+        return out
+
+    def log_p1(self, words: np.ndarray) -> np.ndarray:
+        return np.log10(self.counts(words) + 0.5) - self.log_unit
+
     def _by_range(self, shards: list[Shard], keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(shard's place, places of the keys in its range)."""
         if not shards:
@@ -199,38 +241,37 @@ class Trie:
         for k, at in _parts(np.array([*(s.low for s in shards), shards[-1].high]), keys):
             yield k, at[keys[at] < shards[k].high]
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        if not self.size:
-            return np.full(len(words), -1)
-        raw = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in words), dtype=np.uint64,
-                          count=len(words)).view(np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, raw), self.size - 1)
-        return np.where(self.hashes[at] == raw, at, -1)
-
-    def tokens(self, words: list[bytes]) -> np.ndarray:
-        """Trie numbers of the words (-1: not in the trie) and the end's."""
-        words = [*words, END.encode()]
-        out = np.fromiter(map(self.cached.get, words, repeat(-2)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(out == -2)
-        if len(missing):
-            new = list({words[i] for i in missing})
-            found = dict(zip(new, self.numbers(new).tolist()))
-            out[missing] = [found[words[i]] for i in missing]
-            if len(self.cached) + len(found) > CACHED_WORDS:
-                self.cached.clear()
-            if len(found) <= CACHED_WORDS:
-                self.cached |= found
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Trie numbers of words (-1: not in the trie)."""
+        out = np.full(len(words), -1)
+        wanted = word_hashes(words)
+        order = np.argsort(wanted)
+        cuts = np.append(np.searchsorted(wanted[order], self.firsts), len(order))
+        for k, (hashes, _) in enumerate(self.words):
+            at = order[cuts[k]:cuts[k + 1]]
+            found = np.minimum(np.searchsorted(hashes, wanted[at]), len(hashes) - 1)
+            out[at] = np.where(hashes[found] == wanted[at], found + self.bases[k], -1)
         return out
 
     def pair_nodes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Level-2 nodes of word pairs (-1: none, or a word not in the trie)."""
         out = np.full(len(first), -1)
+        places, nodes = self.kept_pairs(first, last)
+        out[places] = nodes
+        return out
+
+    def kept_pairs(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the kept pairs, their nodes), by node. Pairs are looked up in
+        ascending order, so the look-ups go through the mapped files once."""
         known = np.flatnonzero((first >= 0) & (last >= 0))
+        known = known[np.argsort(first[known] * self.size + last[known])]
+        places, nodes = [known[:0]], [known[:0]]
         for k, at in self._by_range(self.two, first[known]):
             at = known[at]
             found = self.two[k].level.find((first[at] - self.two[k].low) * self.size + last[at])
-            out[at] = np.where(found >= 0, found + self.nodes[k], -1)
-        return out
+            places.append(at[found >= 0])
+            nodes.append(found[found >= 0] + self.nodes[k])
+        return np.concatenate(places), np.concatenate(nodes)
 
     def pairs_at(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Second words and counts of the pairs at the nodes."""
@@ -260,46 +301,52 @@ class Trie:
             out[at] = shards[k].value("left", contexts[at] - shards[k].low)
         return out
 
-    def triple_values(self, pair: np.ndarray, next_pair: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """log10 of p3 (NaN: not kept) from the nodes of uv and vw (-1: none) and the word v."""
+    def triple_values(self, pair: np.ndarray, relative: np.ndarray) -> np.ndarray:
+        """log10 of p3 (NaN: not kept) from the nodes of uv and the places of vw among v's successors."""
         out = np.full(len(pair), np.nan)
-        known = np.flatnonzero((pair >= 0) & (next_pair >= 0))
-        for k, at in self._by_range(self.three, pair[known]):
-            shard, at = self.three[k], known[at]
-            relative = next_pair[at] - self.starts2(second[at])
-            found = shard.level.find(shard.starts[pair[at] - shard.low] + relative)
+        for k, at in self._by_range(self.three, pair):
+            shard = self.three[k]
+            found = shard.level.find(shard.starts[pair[at] - shard.low] + relative[at])
             out[at[found >= 0]] = shard.value("p", found[found >= 0])
         return out
 
-    def log_probs(self, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """log10 probability of each token given the two before it in its text
-        (``place``: position in the text). For a word not in the trie without
-        its own p1, which is added where its count is known."""
-        before = np.concatenate([[-1], tokens[:-1]])
-        before = np.where(place > 0, before, -1)
-        pair = self.pair_nodes(before, tokens)
-        pair_before = np.where(place > 1, np.concatenate([[-1], pair[:-1]]), -1)
-        out = np.where(tokens >= 0, self.log_p1[np.maximum(tokens, 0)], 0.0) if self.size else np.zeros(len(tokens))
-        context = np.flatnonzero(before >= 0)
-        out[context] += self.left(self.two, before[context])
-        found = np.flatnonzero(pair >= 0)
-        out[found] = self.value2("p", pair[found])
-        context = np.flatnonzero(pair_before >= 0)
-        out[context] += self.left(self.three, pair_before[context])
-        triple = self.triple_values(pair_before, pair, before)
+    def log_probs(self, numbers: np.ndarray, word: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of p1 of each token, and of its probability given the two before it
+        in its text. ``numbers``: of the distinct words, ``word``: each token's place
+        among them, ``place``: its position in the text. A word not in the trie is
+        without its own p1, which is added where its count is known."""
+        known = numbers >= 0
+        p1, left, starts = np.zeros(len(numbers)), np.zeros(len(numbers)), np.zeros(len(numbers), dtype=np.int64)
+        p1[known], left[known] = self.log_p1(numbers[known]), self.left(self.two, numbers[known])
+        starts[known] = self.starts2(numbers[known])
+        tokens, alone = numbers[word], p1[word]
+        out = alone.copy()
+        out[1:] += np.where(place[1:] > 0, left[word[:-1]], 0.0)
+        first = np.where(place[1:] > 0, tokens[:-1], -1)
+        at, node = self.kept_pairs(first, tokens[1:])
+        out[at + 1] = self.value2("p", node)
+        nodes = np.full(len(tokens), -1)
+        nodes[at + 1] = node
+        third = at + 2
+        inside = np.flatnonzero(third < len(tokens))
+        inside = inside[place[third[inside]] > 1]
+        third, node = third[inside], node[inside]              # by node, as the pairs are
+        out[third] += self.left(self.three, node)
+        both = np.flatnonzero(nodes[third] >= 0)
+        third, node = third[both], node[both]
+        triple = self.triple_values(node, nodes[third] - starts[word[third - 1]])
         found = np.flatnonzero(~np.isnan(triple))
-        out[found] = triple[found]
-        return out
+        out[third[found]] = triple[found]
+        return alone, out
 
 
-Files = tuple[str, tuple[str, ...], tuple[str, ...]]  # names of words, level 2, level 3
+#: Names of the shards of words, level 2 and level 3; tokens and different words in all.
+Files = tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...], int, int]
 
 
 @functools.lru_cache(maxsize=1)
 def _mapped(files: Files) -> Trie:
-    words, two, three = files
-    of = lambda name: map_file(SparkFiles.get(name))
-    return Trie(of(words), [of(n) for n in two], [of(n) for n in three])
+    return Trie(*([map_file(SparkFiles.get(name)) for name in names] for names in files[:3]), *files[3:])
 
 
 def _shipped(contents: DataFrame) -> tuple[str, ...]:
@@ -336,40 +383,55 @@ def _level(grams: DataFrame, files: Files, size: int, n_contexts: int, build) ->
     def shard_of(keys: pd.Series) -> pd.Series:
         return pd.Series((np.searchsorted(edges, keys.to_numpy() // size, side="right") - 1).astype(np.int32))
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def content(shard: int, part: pd.DataFrame) -> dict[str, np.ndarray]:
+        return build(_mapped(files), int(edges[shard]), int(edges[shard + 1]),
+                     *(part[c].to_numpy(np.int64) for c in ("key", "n")))
+
+    return _shipped(_sharded(grams.withColumn("shard", shard_of("key")), "key", content))
+
+
+def _sharded(rows: DataFrame, key: str, content) -> DataFrame:
+    """A file's bytes for each ``shard``, from ``content(shard, its rows by key)``."""
+    def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, current = [], None
 
-        def content() -> pd.DataFrame:
-            keys, n = (np.concatenate([p[c].to_numpy(np.int64) for p in held]) for c in ("key", "n"))
-            low, high = int(edges[current]), int(edges[current + 1])
-            return pd.DataFrame({"content": [file_bytes(build(_mapped(files), low, high, keys, n))]})
+        def file() -> pd.DataFrame:
+            return pd.DataFrame({"content": [file_bytes(content(current, pd.concat(held, ignore_index=True)))]})
 
         for batch in batches:
             for shard, part in batch.groupby("shard"):
                 if held and shard != current:
-                    yield content()
+                    yield file()
                     held = []
                 current = int(shard)
                 held.append(part)
         if held:
-            yield content()
+            yield file()
+
+    return rows.repartition("shard").sortWithinPartitions("shard", key).mapInPandas(files, "content binary")
 
-    return _shipped(grams.withColumn("shard", shard_of("key")).repartition("shard")
-                    .sortWithinPartitions("shard", "key").mapInPandas(shards, "content binary"))
+
+def _word_level(frequent: DataFrame, n_words: int) -> tuple[str, ...]:
+    """Builds the words' shards in tasks, ships them and returns their names."""
+    n_shards = n_words // SHARD_GRAMS + 1
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes = word_hashes(pa.array(batch["word"], pa.large_string()))
+            yield pd.DataFrame({"hash": hashes, "n": batch["n"], "shard": word_shard_of(hashes, n_shards)})
+
+    def content(shard: int, part: pd.DataFrame) -> dict[str, np.ndarray]:
+        return word_shard(shard, part["hash"].to_numpy(np.int64), part["n"].to_numpy(np.int64))
+
+    rows = frequent.select("word", "n").mapInPandas(hashed, "hash long, n long, shard int")
+    return _shipped(_sharded(rows, "hash", content))
 
 
 # ------------------------------------------------------------------ counting
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter = Counter()
-    for batch in batches:
-        for text in texts_of(batch["text"]):
-            counts.update(words_of(text))
-            counts[b""] += 1
-            if len(counts) > FLUSH_WORDS:
-                yield pd.DataFrame({"word": [w.decode() for w in counts], "n": list(counts.values())})
-                counts.clear()
-    if counts:
-        yield pd.DataFrame({"word": [w.decode() for w in counts], "n": list(counts.values())})
+    for texts in _together((t for batch in batches for t in texts_of(batch["text"])), FLUSH_WORDS):
+        at, words, _ = words_of(texts)
+        yield pd.DataFrame({"word": words.to_numpy(zero_copy_only=False), "n": np.bincount(at)})
 
 
 def _count_grams(files: Files, order: int):
@@ -386,17 +448,17 @@ def _count_grams(files: Files, order: int):
 
         def keys_of(tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
             inner = place[1:] > 0
-            u, v = tokens[:-1], tokens[1:]
+            u, v = np.where(inner, tokens[:-1], -1), tokens[1:]
             if order == 2:
-                ok = inner & (u >= 0) & (v >= 0)
+                ok = (u >= 0) & (v >= 0)
                 return u[ok] * trie.size + v[ok]
-            pair = np.where(inner, trie.pair_nodes(u, v), -1)
+            pair = trie.pair_nodes(u, v)
             ok = (pair[:-1] >= 0) & (pair[1:] >= 0)
             return pair[:-1][ok] * trie.size + tokens[2:][ok]
 
         for batch in batches:
-            for tokens, place, _ in _token_blocks(trie, texts_of(batch["text"])):
-                held.append(keys_of(tokens, place))
+            for numbers, word, place, _ in _token_blocks(trie, texts_of(batch["text"])):
+                held.append(keys_of(numbers[word], place))
                 n += len(held[-1])
                 if n >= FLUSH_TOKENS:
                     yield flush()
@@ -407,25 +469,25 @@ def _count_grams(files: Files, order: int):
     return run
 
 
-def _token_blocks(trie: Trie, texts: list[str], rare: list[dict[str, int]] | None = None):
-    """(tokens, place in the text, text's number) of about SCORE_TOKENS tokens;
-    texts stay whole. ``rare`` gets each text's words that are not in the trie."""
-    held, n = [], 0
-    for i, text in enumerate(texts):
-        words = words_of(text)
-        tokens = trie.tokens(words)
+def _token_blocks(trie: Trie, texts: list[str], rare: list[list[dict]] | None = None):
+    """(numbers of distinct words, each token's place among them, its place in the text,
+    its text's number) of about SCORE_TOKENS tokens; texts stay whole. ``rare`` gets each
+    text's words that are not in the trie, and how often."""
+    first = 0
+    for block in _together(texts, SCORE_TOKENS):
+        at, words, sizes = words_of(block)
+        numbers = trie.numbers(words)
+        owner = np.repeat(np.arange(len(block)), sizes)
         if rare is not None:
-            own = Counter(words[k].decode() for k in np.flatnonzero(tokens[:-1] < 0))
-            if tokens[-1] < 0:
-                own[END] += 1
-            rare.append(own)
-        held.append((i, tokens))
-        n += len(tokens)
-        if n >= SCORE_TOKENS or i == len(texts) - 1:
-            sizes = [len(t) for _, t in held]
-            yield (np.concatenate([t for _, t in held]), np.concatenate([np.arange(k) for k in sizes]),
-                   np.repeat([k for k, _ in held], sizes))
-            held, n = [], 0
+            unknown = np.flatnonzero(numbers[at] < 0)
+            keys, times = np.unique(owner[unknown] * len(words) + at[unknown], return_counts=True)
+            found = words.take(pa.array(keys % len(words))).to_pylist()
+            own: list[list[dict]] = [[] for _ in block]
+            for i, word, n in zip((keys // len(words)).tolist(), found, times.tolist()):
+                own[i].append({"word": word, "times": n})
+            rare.extend(own)
+        yield numbers, at, np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes), owner + first
+        first += len(block)
 
 
 @dataclass
@@ -446,22 +508,17 @@ def train(docs: DataFrame, *, text_col: str = "text", word_share: float = WORD_S
                          .groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).head()
     n_tokens, n_types = totals["n"] or 0, totals["v"] or 0
-    frequent = (vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens))
-                .select(F.xxhash64("word").alias("hash"), "n").toArrow())
-    hashes, counts = (frequent[c].to_numpy().astype(np.int64) for c in ("hash", "n"))
-    order = np.argsort(hashes)
-    words = file_bytes({"hashes": hashes[order], "counts": counts[order],
-                        "totals": np.array([n_tokens, n_types], dtype=np.int64)})
-    name = _shipped(spark.createDataFrame([(bytearray(words),)], "content binary").coalesce(1))[0]
-    size, least = max(1, len(hashes)), max(MIN_COUNT, int(np.ceil(share * n_tokens)))
-    files: Files = (name, (), ())
+    frequent = vocabulary.where(F.col("n") >= max(MIN_COUNT, word_share * n_tokens))
+    n_words = frequent.count()
+    size, least = max(1, n_words), max(MIN_COUNT, int(np.ceil(share * n_tokens)))
+    files: Files = (_word_level(frequent, n_words), (), (), n_tokens, n_types)
     for order, build in ((2, pair_shard), (3, triple_shard)):
         grams = written(texts.mapInPandas(_count_grams(files, order), "key long, n long").groupBy("key")
                         .agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"lm-grams{order}")
-        n_contexts = len(hashes) if order == 2 else n_pairs
+        n_contexts = n_words if order == 2 else n_pairs
         names = _level(grams, files, size, n_contexts, build)
         n_pairs = grams.count()
-        files = (name, names, ()) if order == 2 else (*files[:2], names)
+        files = (*files[:order - 1], names, *files[order:])
     return Model(files, vocabulary, n_tokens, n_types)
 
 
@@ -476,18 +533,17 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts, rare = texts_of(batch["text"]), []
             out = {k: np.zeros(len(texts)) for k in ("tokens", "known", "base", "score")}
-            for tokens, place, owner in _token_blocks(trie, texts, rare):
+            for numbers, word, place, owner in _token_blocks(trie, texts, rare):
                 total = functools.partial(np.bincount, owner, minlength=len(texts))
-                known = tokens >= 0
+                alone, given = trie.log_probs(numbers, word, place)
                 out["tokens"] += total()
-                out["known"] += total(known)
-                if trie.size:
-                    out["base"] += total(np.where(known, trie.log_p1[np.maximum(tokens, 0)], 0.0))
-                out["score"] += total(trie.log_probs(tokens, place))
+                out["known"] += total((numbers >= 0)[word])
+                out["base"] += total(alone)
+                out["score"] += total(given)
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": out["tokens"].astype(np.int64),
                 "n_known": out["known"].astype(np.int64), "base_score": out["base"], "score": out["score"],
-                "rare": [[{"word": w, "times": n} for w, n in own.items()] for own in rare]})
+                "rare": rare})
 
     scored = written(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
