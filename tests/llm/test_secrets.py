@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,15 @@ def test_edge_rows_and_redaction(spark):
     assert [len(r["found"]) for r in out] == [0, 0, 1, 1, 2]
     assert [r["clean"] for r in out] == [None, "", "é <access> end", "é <access> end", "<assign>"]
     assert docs.limit(0).withColumn("found", secrets.spans_column(F.col("text"))).count() == 0
+
+
+def test_long_runs_take_little_memory():
+    scan, run = secrets.scanner(), b"0123456789abcdef" * 20_000
+    data = run + b" password=" + run
+    tracemalloc.start()
+    spans = scan.byte_spans(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    kinds = [scan.rules[n].kind for _, n, _ in spans]
+    assert (0, len(run)) in {(a, b) for a, _, b in spans} and {"assign", "hex"} <= set(kinds)
+    assert peak < 4 * len(data)

@@ -104,24 +104,29 @@ class Scanner:
         self.longest = [_Longest(r.expression, r.ignore_case) for r in rules]
         self.heads = [_Longest(r.head, r.ignore_case) if r.head else None for r in rules]
 
-    def _starts(self, data: bytes) -> list[tuple[int, int]]:
-        """(offset, rules' mask) of all match beginnings, last one first."""
+    def _starts(self, data: bytes) -> list[list[int]]:
+        """[first offset, last offset, rules' mask] of the runs of adjacent match
+        beginnings with the same mask, last one first."""
         found, state, size = [], self.start, len(data)
         for stop in range(size, 0, -BLOCK_BYTES):
             block = data[max(0, stop - BLOCK_BYTES):stop].translate(self.automaton.byte_class)[::-1]
             for n, column in enumerate(block):
                 state = state[column]
                 if state[-1]:
-                    found.append((stop - 1 - n, state[-1]))
+                    at = stop - 1 - n
+                    if found and found[-1][0] == at + 1 and found[-1][2] == state[-1]:
+                        found[-1][0] = at
+                    else:
+                        found.append([at, at, state[-1]])
         return found
 
     def byte_spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule's number, end) in bytes, in order."""
         starts = self._starts(data)
         spans, free = [], [0] * len(self.rules)
-        for at, mask in reversed(starts):
+        for first, last, mask in reversed(starts):
             for n, rule in enumerate(self.rules):
-                if mask >> n & 1 and at >= free[n]:
+                while mask >> n & 1 and (at := max(first, free[n])) <= last:
                     end = free[n] = self.longest[n].end(data, at)
                     value = self.heads[n].end(data, at) if self.heads[n] else at
                     if end - value >= rule.least:
