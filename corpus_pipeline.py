@@ -32,9 +32,11 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its text redacted and n_chars counted anew; a null text stays
+    null, as does its n_chars. Repeated rows stay, extra columns pass through."""
     bounded_batches(spark)
     clean = docs.withColumn("text", secrets.redacted_column(F.col("text")))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
