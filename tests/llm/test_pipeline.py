@@ -94,3 +94,12 @@ def test_stages_keep_columns_and_edge_rows(spark):
     out = corpus_pipeline.tokens_stage(spark, docs, SF).collect()
     assert len(out) == len(rows) and all(r["exact"] for r in out)
     assert np.sum([r["n_tokens"] for r in out]) == sum(len(r["ids"]) for r in out)
+
+
+def test_secrets_stage_edge_rows(spark):
+    rows = [(1, "password=abcdefgh x", 19, "p"), (2, None, None, "q"), (2, None, None, "q"), (3, "", 0, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, `a.b` string")
+    out = corpus_pipeline.secrets_stage(spark, docs, "")
+    assert out.schema.names == docs.schema.names
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "<assign> x", 10, "p"), *rows[1:]]
+    assert corpus_pipeline.secrets_stage(spark, docs.limit(0), "").count() == 0
