@@ -24,6 +24,61 @@ def test_held_out_accuracy(spark):
         assert np.mean(right) > 0.97
 
 
+def plain_score(parameters, text):
+    """The module's formula, passage by passage, with numbers of double precision."""
+    p = {k: v.astype(np.float64) for k, v in parameters.items()}
+    data = text.encode()
+    x = quality.passage_inputs(data).astype(np.float64)
+    h = [np.tanh(row @ p["W"] + p["b"]) for row in x]
+    logit = [float(np.sum(p["w"] * np.tanh(v @ p["V"]) / (1 + np.exp(-(v @ p["U"]))))) for v in h]
+    weight = [np.exp(e - max(logit)) for e in logit]
+    z = sum(w * v for w, v in zip(weight, h)) / sum(weight)
+    return float(1 / (1 + np.exp(-(z @ p["c"] + p["d"][0]))))
+
+
+def test_query_by_the_formula(spark):
+    """Every row of the query against the formula, the model learned as the query learns it."""
+    small = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    model = quality.learned(spark, spark.read.parquet(f"{small}/documents.parquet"), small)
+    got = quality.op5_quality(spark, small).collect()
+    assert len(got) == len(docs) and model.parameters is not None
+    for r in got:
+        want = plain_score(model.parameters, docs[r["doc_id"]] or "")
+        assert r["score"] == pytest.approx(want, abs=1e-3) and r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_learns_from_every_passage(spark):
+    """Long texts whose last passage alone tells the label."""
+    plain = "some plain words that all of them share " * 2560   # 100 KB
+    end = {1: "a quiet end of the words " * 40, 0: "$$$ *** ### 000 " * 60}
+    rows = [(i, plain[:len(plain) if i < 4 else 3000] + end[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    taken = quality.sampled_rows(docs, labels)
+    (bags,) = [list(quality.bags_of([taken.where("id = 2").toPandas()]))]
+    x = np.frombuffer(bags[0]["x"][0], dtype=np.float16).reshape(-1, quality.N_INPUTS)
+    data = rows[2][1].encode()
+    assert len(x) == -(-len(data) // quality.PASSAGE_BYTES) > 200
+    assert np.allclose(x, quality.passage_inputs(data), atol=1e-3)
+    model = quality.train(docs, labels)
+    good, bad = (model.scores([t for i, t in rows if i % 2 == k and i >= 4]) for k in (1, 0))
+    assert bad.max() < 0.5 < good.min()
+
+
+def test_sample_is_bounded_and_whole(spark):
+    rows = [(i, "words " * 100 * (i % 3 + 1)) for i in range(50)] + [(7, "words " * 200)] * 500 + [(None, "x")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("clash"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, quality int")
+    every = quality.sampled_rows(docs, labels).collect()
+    assert sorted(r["id"] for r in every) == list(range(50))
+    assert sorted(r["id"] for r in quality.sampled_rows(docs, labels, max_docs=20).collect()) == sorted(
+        r["id"] for r in quality.sampled_rows(docs.repartition(5), labels.repartition(3), max_docs=20).collect())
+    few = quality.sampled_rows(docs, labels, max_passages=30).collect()
+    n = [-(-len(r["text"]) // quality.PASSAGE_BYTES) for r in few]
+    assert 25 <= sum(n) <= 30 and all(r["text"] == dict(rows)[r["id"]] for r in few)
+
+
 def test_gradients():
     rnd = np.random.default_rng(0)
     p = {"W": rnd.normal(size=(quality.N_INPUTS, 3)), "b": rnd.normal(size=3), "V": rnd.normal(size=(3, 2)),

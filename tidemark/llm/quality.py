@@ -13,15 +13,17 @@ gated attention weighs the passages of a bag, and the weighted mean is scored:
     score = sigmoid(c . sum(a h) + d)
 
 All parameters are learned together from document labels (Adam on the mean
-log loss, in numpy on the driver) from a bounded sample: at most about
-``MAX_DOCS`` labelled documents, chosen by a hash of the id, and
-``MAX_PASSAGES`` evenly spaced passages of each. Scoring reads whole texts in
-blocks, with a running softmax, so memory is bounded for any text length.
+log loss, in numpy on the driver) from a bounded sample of labelled documents,
+every passage of each: the ``MAX_DOCS`` of least hash of the id, in that order
+as long as their passages come to ``MAX_PASSAGES`` at most (a document that
+would go over it is passed over). Scoring reads whole texts in blocks, with a
+running softmax, so memory is bounded for any text length.
 
 Defined results: a null text counts as empty; an empty text is a bag of one
 passage without bytes; labels that are null or of unknown documents are left
-out, of several labels of a document the smallest counts; without training
-labels of both kinds every score is the share of label 1 (0.5 without any).
+out, of several labels of a document the smallest counts; equal rows of a
+document are learned from once, different texts of one id one by one; without
+training labels of both kinds every score is the share of label 1 (0.5 without any).
 """
 
 from __future__ import annotations
@@ -34,12 +36,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, crc_remainder, table
+from tidemark.llm.common import bounded_batches, crc_remainder, table, written
 
 PASSAGE_BYTES = 512
 BLOCK_PASSAGES = 1024     # passages encoded at a time
-MAX_DOCS = 4000           # labelled documents learned from, about
-MAX_PASSAGES = 48         # passages of each of them
+MAX_DOCS = 4000           # labelled documents learned from, at most
+MAX_PASSAGES = 100_000    # their passages together, at most
 HIDDEN, GATE = 24, 16
 EPOCHS, BATCH_DOCS, RATE, DECAY = 24, 128, 0.01, 1e-4
 SEED = 11
@@ -164,33 +166,51 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     return Model({k: x.astype(np.float32) for k, x in p.items()}, float(labels.mean()))
 
 
+def sampled_rows(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
+                 text_col: str = "text", max_docs: int = MAX_DOCS, max_passages: int = MAX_PASSAGES) -> DataFrame:
+    """The rows learned from: id, label, text (see the module). The driver sees
+    ids, label and length of at most ``max_docs`` rows."""
+    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("label"))
+             .withColumn("place", F.xxhash64("id", F.lit("quality sample"))))
+    # documents without a row may be labelled: only ids with one count
+    present = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    chosen = known.join(present, "id", "left_semi").orderBy("place", "id").limit(max_docs)
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+            .join(chosen, "id").withColumn("hash", F.xxhash64("text")).dropDuplicates(["id", "hash"]))
+    rows = written(rows, "quality-sample")
+    listed = (rows.select("id", "hash", "place", F.octet_length("text").alias("size"))
+              .orderBy("place", "id", "hash").limit(max_docs).collect())
+    taken, held = [], 0
+    for row in listed:
+        passages = max(1, -(-row["size"] // PASSAGE_BYTES))
+        if held + passages <= max_passages:
+            held += passages
+            taken.append((row["id"], row["hash"]))
+    taken = docs.sparkSession.createDataFrame(taken, "id long, hash long")
+    return rows.join(F.broadcast(taken), ["id", "hash"]).select("id", "label", "text")  # at most max_docs rows
+
+
+def bags_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (id, label, text) -> (id, label, x), x the inputs of all passages of the text, 16-bit."""
+    for batch in batches:
+        for doc_id, label, text in zip(batch["id"], batch["label"], batch["text"]):
+            data = text.encode()
+            x = [passage_inputs(data[i:i + PASSAGE_BYTES * BLOCK_PASSAGES]).astype(np.float16)
+                 for i in range(0, max(1, len(data)), PASSAGE_BYTES * BLOCK_PASSAGES)]
+            yield pd.DataFrame({"id": [doc_id], "label": [label], "x": [np.concatenate(x).tobytes()]})
+
+
 def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
-          text_col: str = "text", max_docs: int = MAX_DOCS) -> Model:
+          text_col: str = "text", max_docs: int = MAX_DOCS, max_passages: int = MAX_PASSAGES) -> Model:
     """Fits a model to the labelled documents (all rows of ``labels`` are for
     learning; leave the held-out ones away). Only ids, labels and the passage
     inputs of the bounded sample reach the driver."""
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("__label")))
-    n = known.count()
-    share = min(1.0, max_docs / max(n, 1))
-    chosen = known.where(F.pmod(F.xxhash64("__id", F.lit("quality sample")), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = (docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-             .join(chosen, "__id"))
-
-    def inputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text, label in zip(batch["__id"], batch["__text"], batch["__label"]):
-                data = text.encode()
-                n_passages = max(1, -(-len(data) // PASSAGE_BYTES))
-                at = np.unique(np.linspace(0, n_passages - 1, min(n_passages, MAX_PASSAGES)).astype(int))
-                x = np.concatenate([passage_inputs(data[i * PASSAGE_BYTES:(i + 1) * PASSAGE_BYTES]) for i in at])
-                rows.append((doc_id, label, x.astype(np.float16).tobytes()))
-            yield pd.DataFrame(rows, columns=["id", "label", "x"])
-
+    rows = sampled_rows(docs, labels, label_col=label_col, id_col=id_col, text_col=text_col,
+                        max_docs=max_docs, max_passages=max_passages)
     found = sorted((r["id"], bytes(r["x"]), r["label"]) for r in
-                   texts.mapInPandas(inputs, "id long, label int, x binary").collect())
-    bags = [np.frombuffer(x, dtype=np.float16).reshape(-1, N_INPUTS).astype(np.float32) for _, x, _ in found]
+                   rows.mapInPandas(bags_of, "id long, label int, x binary").collect())
+    bags = [np.frombuffer(x, dtype=np.float16).reshape(-1, N_INPUTS) for _, x, _ in found]
     return fit(bags, np.array([label for _, _, label in found], dtype=np.float64))
 
 
