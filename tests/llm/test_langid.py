@@ -106,6 +106,50 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_query_by_the_formula(spark, tmp_path):
+    """Every row of the query against models from string counts: the winner, its entropy and its score."""
+    small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", F.substring(
+        "text", 1, 120).alias("text"))
+    small.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = small.collect()
+    learn = small.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).where("lang is not null")
+    model = langid.train(learn)
+    h = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language sample")), F.lit(1 << 30))
+    hashed = learn.where("text is not null").withColumn("h", h).collect()
+    least = {lang: min(r["h"] for r in hashed if r["lang"] == lang and r["text"]) for lang in model.languages}
+    counted = [(r["text"], r["lang"]) for r in hashed if r["h"] % langid.CALIBRATION or r["h"] == least[r["lang"]]]
+    alphabet = max(2, len({c for t, _ in counted for c in letters(t)[1:]}) + 1)
+    p = [by_hand([t for t, x in counted if x == lang], alphabet) for lang in model.languages]
+    got = {r["doc_id"]: r for r in langid.op2_langid(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for r in rows[::7] + [r for r in rows if not r["text"]]:   # the plain counts are slow
+        s, row = letters(r["text"] or ""), got[r["doc_id"]]
+        if len(s) < 2:
+            assert row["lang_pred"] == "und" and row["score"] == 0
+            continue
+        entropy = np.array([-sum(np.log10(q(s[i], s[max(0, i - langid.ORDER + 1):i])) for i in range(1, len(s)))
+                            / (len(s) - 1) for q in p])
+        weight = np.exp(-(entropy - entropy.min()) * min(len(s) - 1, langid.SPAN) / model.temperature)
+        assert row["lang_pred"] == model.languages[int(entropy.argmin())]
+        assert row["entropy"] == pytest.approx(entropy.min() / np.log10(2), rel=1e-3)
+        assert row["score"] == pytest.approx(weight.max() / weight.sum(), abs=5e-3)
+
+
+def test_every_language_has_counts(spark):
+    """One document a language, and a language whose only documents are above the sample's size."""
+    words = {"aa": "bada gada ", "bb": "zilo mixu ", "cc": "threnk splort "}
+    for base in range(0, 40, 8):   # whatever their hashes
+        rows = [(base + i, words[lang] * (5000 if lang == "cc" else 20), lang) for i, lang in enumerate(words)]
+        model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=500)
+        assert [r[0] for r in model.predict([w * 3 for w in words.values()])] == list(words)
+
+
+def test_no_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.train(none).predict(["words", None]) == [("und", 0.0, None, False)] * 2
+    assert none.withColumn("p", langid.predictions(spark, langid.train(none), F.col("text"))).count() == 0
+
+
 def test_edge_rows(spark, model):
     rows = [(1, None), (2, ""), (3, "123 ... !!"), (4, "the cat"), (4, "the cat"), (None, "le chat " * 30_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))

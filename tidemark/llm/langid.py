@@ -24,7 +24,10 @@ entropy is above the winner's ``QUANTILE`` over the same documents.
 
 Learning reads all labelled rows to count characters per language; counts
 come from a hash sample of about ``SAMPLE_CHARS`` characters per language,
-whole texts. That bounds the model, so it is broadcast.
+whole texts; a language's documents of least hash are always counted, so every
+language has counts. That bounds the model, so it is broadcast. The documents
+put aside are measured in tasks; of each only its language, length and
+entropies reach the driver.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0 and not rejected; rows with a null language teach nothing; repeated rows
@@ -273,18 +276,17 @@ def estimate(counts: pd.DataFrame, languages: list[str]) -> Model:
     return Model(languages, grams, backoffs, floor)
 
 
-def calibrate(model: Model, texts: list[tuple[int, str]]) -> None:
-    """Fits the temperature and the rejection limits to (language, text) pairs."""
+def calibrate(model: Model, found: list[tuple[int, int, np.ndarray]]) -> None:
+    """Fits the temperature and the rejection limits to texts put aside: (number
+    of the language, characters, entropies under each language)."""
     model.limits = np.full(len(model.languages), np.inf)
-    measured = model.entropies([text for _, text in texts])
-    found = [(lang, entropy, n) for (lang, _), (entropy, n) in zip(texts, measured) if n]
     if not found:
         return
-    gaps = [(e - e.min()) * min(n, SPAN) for _, e, n in found]
+    gaps = [(e - e.min()) * min(n, SPAN) for _, n, e in found]
     loss = lambda t: sum((g[lang] / t) + np.log(np.exp(-g / t).sum()) for (lang, _, _), g in zip(found, gaps))
     model.temperature = float(min(np.geomspace(0.05, 20, 40), key=loss))
     for lang in range(len(model.languages)):
-        own = [e[lang] for k, e, n in found if k == lang and n >= 20]
+        own = [e[lang] for k, n, e in found if k == lang and n >= 20]
         if own:
             model.limits[lang] = np.quantile(own, QUANTILE) * 1.05
 
@@ -295,14 +297,19 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("language sample")), F.lit(1 << 30)).alias("h"))
-    sizes = {r["lang"]: r["chars"] for r in known.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).collect()}
+    found = known.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"),
+                                      F.min(F.when(F.length("text") > 0, F.col("h"))).alias("least")).collect()
+    sizes = {r["lang"]: r["chars"] for r in found}
+    least = {r["lang"]: -1 if r["least"] is None else r["least"] for r in found}
     languages = sorted(sizes)
     if not languages:
         return Model([], [], [], 0.0)
     number = {lang: i for i, lang in enumerate(languages)}
     below = {lang: int(min(1.0, sample_chars / max(sizes[lang], 1)) * (1 << 30)) for lang in languages}
-    limit = F.create_map(*[F.lit(x) for lang in languages for x in (lang, below[lang])])
-    sample = known.where(F.col("h") < limit[F.col("lang")]).withColumn("keep", F.col("h") % CALIBRATION == 0)
+    limit, first = (F.create_map(*[F.lit(x) for lang in languages for x in (lang, of[lang])]) for of in (below, least))
+    is_first = F.col("h") == first[F.col("lang")]
+    sample = (known.where(is_first | (F.col("h") < limit[F.col("lang")]))
+              .withColumn("keep", ~is_first & (F.col("h") % CALIBRATION == 0)))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -330,8 +337,17 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
     for name in ("gram", "context", "shorter"):
         counted[name] = counted[name].to_numpy(np.int64).view(np.uint64)
     model = estimate(counted.sort_values(["lang", "n", "gram"], ignore_index=True), languages)
-    aside = sample.where("keep").select("lang", "text")
-    calibrate(model, sorted((number[r["lang"]], r["text"]) for r in aside.collect()))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            measured = shared.value.entropies(batch["text"].tolist())
+            kept = [(number[lang], n, e) for lang, (e, n) in zip(batch["lang"], measured) if n]
+            yield pd.DataFrame(kept, columns=["lang", "n", "entropies"])
+
+    aside = sample.where("keep").select("lang", "text").mapInPandas(measure, "lang int, n long, entropies array<double>")
+    calibrate(model, [(lang, n, np.array(e)) for lang, n, e in sorted(tuple(r) for r in aside.collect())])
+    shared.destroy()
     return model
 
 
