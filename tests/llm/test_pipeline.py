@@ -103,3 +103,29 @@ def test_secrets_stage_edge_rows(spark):
     assert out.schema.names == docs.schema.names
     assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "<assign> x", 10, "p"), *rows[1:]]
     assert corpus_pipeline.secrets_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_clashing_columns(spark):
+    """Names that stages use themselves, and one with a dot, pass through with their values."""
+    extra = ["id", "label", "place", "hash", "score", "row", "code", "root", "h1", "key", "__id", "__key", "copies",
+             "result", "size", "a.b"]
+    texts = {1: "plain words of a document that says something", 2: None, 3: "", 4: "api_key=abcdef123456 and more words",
+             5: "other words entirely, on a subject of their own " * 3}
+    rows = [(i, t, "en", "ab"[i % 2], len(t or "")) + tuple(f"{c}{i}" for c in extra) for i, t in texts.items()]
+    names = COLUMNS + extra
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(
+        f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame(rows + rows[:1], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == names, name
+        got = out.collect()
+        for r in got:
+            assert tuple(r)[5:] == tuple(f"{c}{r['doc_id']}" for c in extra), name
+        ids = [r["doc_id"] for r in got]
+        if name == "near_dups":
+            assert sorted(ids) == [1, 2, 4, 5]   # null and empty texts are near duplicates
+        if name == "secrets":
+            assert sorted(ids) == [1, 1, 2, 3, 4, 5]
+        assert stage(spark, docs.limit(0), SF).columns == names
+    assert corpus_pipeline.tokens_stage(spark, docs, SF).count() == 6
