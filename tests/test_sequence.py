@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import intermediate as I
-from tidemark.operators.sequence import CHUNK, adjacent_flag_pairs, chunked, running_frame
+from tidemark.operators.sequence import CHUNK, adjacent_flag_pairs, chunked, last_of, running_frame
 
 SCHEMA = "key string, t timestamp, id string, f boolean, n long"
 
@@ -113,3 +113,23 @@ def test_empty_and_single_rows(spark):
     assert adjacent_flag_pairs(empty, "key", None, ["t", "id"], "f").count() == 0
     one = framed(spark.createDataFrame([(None, None, "x", None, None)], SCHEMA)).first()
     assert (one["place"], one["failures"], one["total"], one["f_before"]) == (1, 0, 0, None)
+
+
+def test_totals_of_a_key_are_made_once(spark):
+    """No running frame: the values of a key come from one frame over all its rows."""
+    df = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("b", 1, True)], "key string, t int, f boolean")
+    out = last_of(df, ("key",), ("t",), {"n": F.count("t"), "last": F.last("f")}, carried=("f",))
+    assert sorted(map(tuple, out.collect())) == [("a", False, 2, False), ("b", True, 1, True)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing$()" in plan and "currentrow$()" not in plan
+
+
+def test_leads_move_while_they_are_narrow(spark):
+    """The campaign, with the most columns, is joined after both moves of the leads."""
+    from conftest import SF_SMALL
+    from tidemark.plans.registry import warehouse
+
+    plan = warehouse(spark, SF_SMALL).model("int_leads_with_campaigns")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]  # outermost first
+    assert len(joins) == 3
+    assert "_key" in joins[0] and "lead_id" in joins[1] and "_key" in joins[2]

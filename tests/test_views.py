@@ -5,8 +5,9 @@ import uuid
 import pytest
 
 from conftest import SF_SMALL
-from tidemark.plans.models import MODELS
-from tidemark.plans.registry import AS_OF, warehouse
+from tidemark.operators.quality import union_all
+from tidemark.plans.models import MODELS, Warehouse
+from tidemark.plans.registry import AS_OF, RUN_TS, _fingerprint, warehouse
 from tidemark.session import configure
 from tidemark.sources.raw import read_catalog_tables
 from tidemark.sources.views import LAYERS, create_views, view_sql
@@ -54,3 +55,31 @@ def test_views_without_a_fixed_date_use_the_readers(spark, databases):
     assert "current_date()" in view_sql("stg_erp__invoices") and "{" not in view_sql("int_sales_activity")
     plan = spark.table(f"{databases['intermediate']}.int_payment_health")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan and "SortAggregate" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["int_accounts_with_subscriptions", "int_customer_health"])
+def test_accounts_take_payments_without_their_order(spark, databases, name):
+    """Counts and sums of payments are combined in the tasks: no payment moves for them."""
+    models = Warehouse(read_catalog_tables(spark, databases["raw"]), as_of=AS_OF, run_ts=RUN_TS)
+    for df in (spark.table(f"{databases['intermediate']}.{name}"), models.model(name)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["int_payment_health", "int_sales_activity", "int_leads_with_campaigns"])
+def test_view_and_model_move_the_rows_once(spark, databases, name):
+    models = Warehouse(read_catalog_tables(spark, databases["raw"]), as_of=AS_OF, run_ts=RUN_TS)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = spark.table(f"{databases['intermediate']}.{name}")
+        plan = union_all([_fingerprint(view, name, "view"), _fingerprint(models.model(name), name, "model")]) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    table = {"int_payment_health": "payments", "int_sales_activity": "opportunities",
+             "int_leads_with_campaigns": "leads"}[name]
+    assert "ReusedExchange" in plan
+    assert plan.count(f"FileScan parquet spark_catalog.{databases['raw']}.{table}[") == 1

@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, FractionalType
+from pyspark.sql.types import DecimalType, NumericType
 
 # NUMERIC money. decimal(20,9) rather than (38,9): sums, rounding and
 # ratios keep 9 fractional digits without hitting the 38-digit ceiling
@@ -74,9 +74,11 @@ def run_timestamp(run_ts: dt.datetime | None) -> Column:
 
 def whole(df: DataFrame, name: str) -> Column:
     """The column as a whole number; a fractional one is rounded, half away
-    from zero (a plain cast would cut it off)."""
+    from zero (a plain cast would cut it off). Whole ones are left as they are
+    by ``round``, which the stored views write for any type: one expression in
+    both lets Spark see equal plans."""
     c = F.col(name)
-    if isinstance(df.schema[name].dataType, (FractionalType, DecimalType)):
+    if isinstance(df.schema[name].dataType, NumericType):
         c = F.round(c)
     return c.cast("long")
 

@@ -74,10 +74,10 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     Payments are cut into ranges of (account, time) of equal size, so a hot
     account is spread, however few days it has. Each (account, range) yields
     counts, sums, dates, the failure pairs inside it and its newest failure
-    (created_at, then payment_id) with its reason kept even when NULL, all as
-    running values whose last row stays; then the ranges of an account are put
-    together the same way. ``total_cumulative_failures`` is the maximum of the
-    running failure count, which for non-negative increments is the final one.
+    (created_at, then payment_id) with its reason kept even when NULL, on its
+    last row; then the ranges of an account are put together the same way.
+    ``total_cumulative_failures`` is the maximum of the running failure count,
+    which for non-negative increments is the final one.
     """
     ok, failed, zero = F.col("is_successful"), F.col("is_failed"), F.lit(0).cast(MONEY)
     paid = (payments.where(F.col("account_id").isNotNull())
@@ -110,14 +110,33 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     )
 
 
+def payment_counts(payments: DataFrame) -> DataFrame:
+    """What D1 takes from payments, as ``payment_rollup`` has it: none of it needs
+    their order, so one aggregate is combined in the tasks before anything moves."""
+    ok = F.col("is_successful")
+    spent = F.sum(F.when(ok, F.col("amount")).otherwise(F.lit(0).cast(MONEY))).cast("decimal(38,9)")
+    return (
+        payments.where(F.col("account_id").isNotNull())
+        .groupBy("account_id")
+        .agg(
+            F.count("payment_id").alias("total_payments"),
+            F.count_if(ok).alias("successful_payments"),
+            F.count_if(F.col("is_failed")).alias("failed_payments"),
+            F.count_if(F.col("is_repeat_failure")).alias("repeat_failures"),
+            round2(spent).alias("total_payment_amount"),
+        )
+    )
+
+
 # ------------------------------------------------------------------- D1
 def int_accounts_with_subscriptions(accounts: DataFrame, subscriptions: DataFrame,
                                     invoices: DataFrame, payments: DataFrame,
                                     invoice_totals: DataFrame | None = None,
                                     payment_totals: DataFrame | None = None) -> DataFrame:
     """D1."""
+    pay = payment_totals if payment_totals is not None else payment_counts(payments)
     return account_billing(accounts, subscriptions, invoices, payments, invoice_totals,
-                           payment_totals).drop(*HEALTH_COLS)
+                           pay).drop(*HEALTH_COLS)
 
 
 # Columns of int_payment_health that the account marts read, as they come out
@@ -155,7 +174,8 @@ def account_billing(accounts: DataFrame, subscriptions: DataFrame, invoices: Dat
     Both are left joins of the same rollups on the account, so one join
     carries both and each fact table is scanned and shuffled once. The
     rollups (``invoice_rollup``, ``payment_rollup``) may be passed in when
-    they are shared with int_payment_health.
+    they are shared with int_payment_health; payment totals without the newest
+    failure (``payment_counts``) leave ``HEALTH_COLS`` out.
     """
     subs = (
         subscriptions.where(~F.col("is_date_inverted") & F.col("account_id").isNotNull())
@@ -181,6 +201,16 @@ def account_billing(accounts: DataFrame, subscriptions: DataFrame, invoices: Dat
               .join(pay, "account_id", "left")
     billed = F.coalesce(F.col("total_billed"), F.lit(0).cast(MONEY))
     collected = F.coalesce(F.col("total_collected"), F.lit(0).cast(MONEY))
+    health = [
+        F.when(F.col("total_payments").isNotNull(), payment_score()).alias("payment_health_score"),
+        F.when(F.col("total_payments").isNotNull(), payment_band()).alias("payment_health_band"),
+        F.col("consecutive_failure_count"), F.col("total_cumulative_failures"),
+        F.col("last_failure.failure_reason").alias("most_recent_failure_reason"),
+        F.col("latest_payment_date"), F.col("first_payment_date"), F.col("avg_payment_amount"),
+        F.col("total_payments").alias("health_total_payments"),
+        F.col("successful_payments").alias("health_successful_payments"),
+        F.col("failed_payments").alias("health_failed_payments"),
+    ] if "last_failure" in pay.columns else []
     return joined.select(
         "account_id", "account_name", "industry", "country", "account_status", "tier",
         "tier_rank", "is_churned", "created_at",
@@ -199,14 +229,7 @@ def account_billing(accounts: DataFrame, subscriptions: DataFrame, invoices: Dat
                round2(F.coalesce(F.col("failed_payments"), F.lit(0))
                       / F.col("total_payments") * 100))
          .otherwise(F.lit(0.0)).alias("payment_failure_rate_pct"),
-        F.when(F.col("total_payments").isNotNull(), payment_score()).alias("payment_health_score"),
-        F.when(F.col("total_payments").isNotNull(), payment_band()).alias("payment_health_band"),
-        "consecutive_failure_count", "total_cumulative_failures",
-        F.col("last_failure.failure_reason").alias("most_recent_failure_reason"),
-        "latest_payment_date", "first_payment_date", "avg_payment_amount",
-        F.col("total_payments").alias("health_total_payments"),
-        F.col("successful_payments").alias("health_successful_payments"),
-        F.col("failed_payments").alias("health_failed_payments"),
+        *health,
     )
 
 
@@ -501,7 +524,9 @@ def int_leads_with_campaigns(leads: DataFrame, campaigns: DataFrame,
                              with_opportunity: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """D5. ``with_contact`` and ``with_opportunity`` may join more columns to
     the contacts and to the chosen opportunities, which are smaller than the
-    leads; the columns are carried along."""
+    leads; the columns are carried along. The contact adds the fewest columns
+    and comes first, the campaign adds the most and comes last, so that the
+    leads move while they are narrow."""
     ct = contacts.where(~F.col("is_orphaned")).select("contact_id", "account_id",
                                                      "is_decision_maker")
     o = best_opportunity_per_lead(opportunities)
@@ -518,8 +543,8 @@ def int_leads_with_campaigns(leads: DataFrame, campaigns: DataFrame,
         "lead_id", "contact_id", "campaign_id", "lead_source", "lead_status",
         "assigned_rep", F.col("created_at").alias("lead_created_at"), "converted_at",
         "is_converted", "is_conversion_date_missing", "days_to_convert")
-    j = left_join_spread(left_join_spread(l, c, "campaign_id", "lead_id"), ct, "contact_id", "lead_id") \
-        .join(o, "lead_id", "left")
+    j = left_join_spread(left_join_spread(l, ct, "contact_id", "lead_id").join(o, "lead_id", "left"),
+                         c, "campaign_id", "lead_id")
     return j.select(
         *LEAD_COLS,
         F.col("stage").alias("opportunity_stage"),

@@ -32,18 +32,19 @@ def chunked(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def last_of(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            running: Mapping[str, Column], carried: Sequence[str] = ()) -> DataFrame:
-    """One row per ``keys``: the aggregates ``running`` over all its rows and the
-    columns ``carried`` of its last row by ``order``.
+            totals: Mapping[str, Column], carried: Sequence[str] = ()) -> DataFrame:
+    """One row per ``keys``: the aggregates ``totals`` over all its rows in
+    ``order`` and the columns ``carried`` of its last row.
 
-    Written as running values of which the last row is kept, so values of any
+    Written as window values of which the last row is kept, so values of any
     type (a text, a struct) cost no sort-based aggregation beside the sort that
-    the order needs anyway.
+    the order needs anyway. The frame is the whole key: its values are made once
+    a key, not once a row.
     """
     inside = Window.partitionBy(*keys).orderBy(*order)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_rows = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (df.select(*keys, *carried, F.lead(F.lit(1)).over(inside).isNull().alias("_end"),
-                      *[c.over(so_far).alias(n) for n, c in running.items()])
+                      *[c.over(all_rows).alias(n) for n, c in totals.items()])
             .where("_end").drop("_end"))
 
 
@@ -98,7 +99,7 @@ def adjacent_flag_pairs(df: DataFrame, key: str, chunk: str | None, order: Seque
 
 
 def pair_columns(flag: str, previous: str) -> dict[str, Column]:
-    """Running values per chunk: pairs inside it and its first flag."""
+    """Totals per chunk: pairs inside it and its first flag."""
     return {"_inner": F.count_if(F.col(flag) & F.col(previous)), "_first": F.first(flag)}
 
 

@@ -31,6 +31,7 @@ class Model:
     stamped: bool = False  # takes run_ts
     description: str = ""
     shared: tuple[tuple[str, str], ...] = ()  # (keyword, helper model) passed in
+    alone: "Model | None" = None  # how it is built while its helper is not written
 
 
 def _staging_models() -> list[Model]:
@@ -59,7 +60,10 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
            "stg_erp__payments"), I.account_billing, shared=ROLLUPS),
     Model("int_accounts_with_subscriptions", "intermediate", ("intermediate",),
           ("account_billing",), lambda wide: wide.drop(*I.HEALTH_COLS),
-          description="One row per account: subscription, invoice and payment rollups."),
+          description="One row per account: subscription, invoice and payment rollups.",
+          alone=Model("int_accounts_with_subscriptions", "intermediate", (),
+                      ("stg_crm__accounts", "stg_erp__subscriptions", "stg_erp__invoices",
+                       "stg_erp__payments"), I.int_accounts_with_subscriptions)),
     Model("int_payment_health", "intermediate", ("intermediate",),
           ("stg_erp__payments", "stg_erp__invoices"), I.int_payment_health, shared=ROLLUPS,
           description="One row per paying account: failure pattern, score and band."),
@@ -69,7 +73,10 @@ MODELS: dict[str, Model] = {m.name: m for m in _staging_models() + [
     Model("int_customer_health", "intermediate", ("intermediate",),
           ("customer_health_with_billing",),
           lambda wide: wide.drop(*I.CARRIED_COLS),
-          description="One row per account: support and usage signals, churn risk."),
+          description="One row per account: support and usage signals, churn risk.",
+          alone=Model("int_customer_health", "intermediate", (),
+                      ("stg_crm__accounts", "stg_crm__support_tickets", "stg_web__feature_usage",
+                       "int_accounts_with_subscriptions"), I.int_customer_health)),
     Model("int_sales_activity", "intermediate", ("intermediate",),
           ("stg_crm__activities", "stg_crm__opportunities", "stg_crm__accounts"),
           I.int_sales_activity, dated=True,
@@ -130,6 +137,8 @@ class Warehouse:
     def model(self, name: str) -> DataFrame:
         if name not in self._built:
             m = MODELS[name]
+            # its own columns cost less than a helper's, unless the helper is there
+            m = m.alone if m.alone and not self._written.intersection(m.inputs) else m
             args = [self.raw[d[4:]] if d.startswith("raw.") else self.model(d)
                     for d in m.inputs]
             kwargs = {kw: self.model(helper) for kw, helper in m.shared}

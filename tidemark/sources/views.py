@@ -5,7 +5,9 @@ over catalog tables, in databases of their own, so any session that shares the
 catalog reads ``intermediate.int_payment_health`` by name. Nothing is
 materialised; a view is planned like the DataFrame model of its name, which
 stays the source the marts are built from. Both give the same rows and types
-(tests, and the registered entry ``s2_stored_views``).
+(tests, and the registered entry ``s2_stored_views``). The texts move rows in the
+same columns as the models do, so a query that reads a view and its model shuffles
+the rows of the large tables once (Spark reuses equal exchanges).
 
 The texts use the session's UTC zone and ANSI mode as the models do
 (``session.configure``); "today" is the reader's date, or a fixed one if the
@@ -185,7 +187,15 @@ _INVOICES = """
          round(sum(outstanding_amount), 2) as total_outstanding, max(days_overdue) as max_days_overdue
   from {staging}.stg_erp__invoices where account_id is not null group by account_id"""
 
-# Payments in equal ranges of (account, time): running values per range, of which the last row stays.
+# What needs no order of the payments: one aggregate, combined in the tasks before anything moves.
+_PAYMENT_COUNTS = """
+  select account_id, count(payment_id) as total_payments, count_if(is_successful) as successful_payments,
+         count_if(is_failed) as failed_payments, count_if(is_repeat_failure) as repeat_failures,
+         round(cast(sum(case when is_successful then amount else cast(0 as decimal(20,9)) end) as decimal(38,9)), 2)
+           as total_payment_amount
+  from {staging}.stg_erp__payments where account_id is not null group by account_id"""
+
+# Payments in equal ranges of (account, time): values of a whole range, of which the last row stays.
 _RANGES = """
   select *, spark_partition_id() as chunk from (
     select /*+ REPARTITION_BY_RANGE(account_id, created_at, payment_id) */ account_id, payment_id, created_at,
@@ -197,17 +207,18 @@ _IN_RANGE = """
 _RANGE_TOTALS = """
   select * from (
     select account_id, chunk, is_failed as last_failed, lead(1) over in_time is null as at_end,
-           count(payment_id) over so_far as n, count_if(is_successful) over so_far as n_ok,
-           count_if(is_failed) over so_far as n_failed, count_if(is_repeat_failure) over so_far as n_repeat,
-           sum(case when is_successful then amount else cast(0 as decimal(20,9)) end) over so_far as ok_amount,
-           count(case when is_successful then amount end) over so_far as n_amounts,
-           max(payment_date) over so_far as latest, min(payment_date) over so_far as earliest,
-           last(case when is_failed then struct(failure_reason) end) ignore nulls over so_far as failure,
-           count_if(is_failed and previous_failed) over so_far as inner_pairs,
-           first(is_failed) over so_far as first_failed
+           count(payment_id) over all_rows as n, count_if(is_successful) over all_rows as n_ok,
+           count_if(is_failed) over all_rows as n_failed, count_if(is_repeat_failure) over all_rows as n_repeat,
+           sum(case when is_successful then amount else cast(0 as decimal(20,9)) end) over all_rows as ok_amount,
+           count(case when is_successful then amount end) over all_rows as n_amounts,
+           max(payment_date) over all_rows as latest, min(payment_date) over all_rows as earliest,
+           last(case when is_failed then struct(failure_reason) end) ignore nulls over all_rows as failure,
+           count_if(is_failed and previous_failed) over all_rows as inner_pairs,
+           first(is_failed) over all_rows as first_failed
     from in_range
     window in_time as (partition by account_id, chunk order by created_at, payment_id),
-           so_far as (partition by account_id, chunk order by created_at, payment_id rows unbounded preceding))
+           all_rows as (partition by account_id, chunk order by created_at, payment_id
+                        rows between unbounded preceding and unbounded following))
   where at_end"""
 _PAIRED = """
   select *, inner_pairs + coalesce(cast(first_failed and lag(last_failed) over (partition by account_id order by chunk)
@@ -220,20 +231,21 @@ _PAYMENTS = """
          earliest as first_payment_date, failure.failure_reason as most_recent_failure_reason,
          pairs as consecutive_failure_count
   from (select account_id, lead(1) over (partition by account_id order by chunk) is null as at_end,
-               sum(n) over so_far as n, sum(n_ok) over so_far as n_ok, sum(n_failed) over so_far as n_failed,
-               sum(n_repeat) over so_far as n_repeat, sum(ok_amount) over so_far as ok_amount,
-               sum(n_amounts) over so_far as n_amounts, max(latest) over so_far as latest,
-               min(earliest) over so_far as earliest, last(failure) ignore nulls over so_far as failure,
-               sum(pairs) over so_far as pairs
+               sum(n) over all_rows as n, sum(n_ok) over all_rows as n_ok, sum(n_failed) over all_rows as n_failed,
+               sum(n_repeat) over all_rows as n_repeat, sum(ok_amount) over all_rows as ok_amount,
+               sum(n_amounts) over all_rows as n_amounts, max(latest) over all_rows as latest,
+               min(earliest) over all_rows as earliest, last(failure) ignore nulls over all_rows as failure,
+               sum(pairs) over all_rows as pairs
         from paired
-        window so_far as (partition by account_id order by chunk rows unbounded preceding))
+        window all_rows as (partition by account_id order by chunk
+                            rows between unbounded preceding and unbounded following))
   where at_end"""
 _PAYMENT_PARTS = [("invoices", _INVOICES), ("ranges", _RANGES), ("in_range", _IN_RANGE),
                   ("range_totals", _RANGE_TOTALS), ("paired", _PAIRED), ("payments", _PAYMENTS)]
 
 # Intermediate: CTEs and the final select.
 _INTERMEDIATE: dict[str, tuple[list[tuple[str, str]], str]] = {
-    "int_accounts_with_subscriptions": ([*_PAYMENT_PARTS, ("subscriptions", """
+    "int_accounts_with_subscriptions": ([("invoices", _INVOICES), ("payments", _PAYMENT_COUNTS), ("subscriptions", """
   select account_id, count(subscription_id) as total_subscriptions, count_if(is_active) as active_subscriptions,
          count_if(is_churned) as churned_subscriptions, round(sum(mrr), 2) as total_mrr, round(sum(arr), 2) as total_arr,
          max(start_date) as latest_subscription_start, min(start_date) as earliest_subscription_start,
@@ -333,12 +345,14 @@ from scored"""),
   from counted group by account_id"""), ("account", """
   select account_id, min(struct(account_name, tier, tier_rank)) as b
   from {staging}.stg_crm__accounts group by account_id"""), ("opportunity", """
-  select opportunity_id, min(struct(created_at, account_id, stage, round(amount, 2) as amount,
-           round(cast(weighted_amount as decimal(20,9)), 2) as weighted_amount, probability, is_won, is_lost, is_open,
-           close_date)) as b
-  from {staging}.stg_crm__opportunities group by opportunity_id""")], """
+  select opportunity_id, min(struct(opportunity_created_at, account_id, stage, amount, weighted_amount, probability,
+           is_won, is_lost, is_open, close_date)) as b
+  from (select opportunity_id, account_id, stage, round(amount, 2) as amount,
+               round(cast(weighted_amount as decimal(20,9)), 2) as weighted_amount, probability, is_won, is_lost,
+               is_open, close_date, created_at as opportunity_created_at
+        from {staging}.stg_crm__opportunities) group by opportunity_id""")], """
 select o.opportunity_id, o.b.account_id, o.b.stage, o.b.amount, o.b.weighted_amount, o.b.probability, o.b.is_won,
-       o.b.is_lost, o.b.is_open, o.b.close_date, o.b.created_at as opportunity_created_at, a.b.account_name, a.b.tier,
+       o.b.is_lost, o.b.is_open, o.b.close_date, o.b.opportunity_created_at, a.b.account_name, a.b.tier,
        a.b.tier_rank, coalesce(p.b.total_activities, 0) as total_activities,
        coalesce(p.b.high_touch_activities, 0) as high_touch_activities,
        coalesce(p.b.positive_outcomes, 0) as positive_outcomes, coalesce(p.b.total_calls, 0) as total_calls,
@@ -361,24 +375,29 @@ left join account a on o.b.account_id = a.account_id"""),
     "int_leads_with_campaigns": ([("chosen", """
   select lead_id, min(struct({priority} as k1, amount is null as k2, -amount as k3, opportunity_id, stage, amount,
            weighted_amount, is_won, is_lost, is_open, close_date, probability)) as b
-  from {staging}.stg_crm__opportunities where lead_id is not null group by lead_id""")], """
+  from {staging}.stg_crm__opportunities where lead_id is not null group by lead_id"""), ("with_contact", """
+  select * from (
+    select lead_id, contact_id, campaign_id, lead_source, lead_status, assigned_rep, created_at as lead_created_at,
+           converted_at, is_converted, is_conversion_date_missing, days_to_convert,
+           coalesce(contact_id, concat('\\u0000', lead_id)) as own_contact
+    from {staging}.stg_crm__leads) l
+  left join (select contact_id as known, account_id, is_decision_maker from {staging}.stg_crm__contacts
+             where not is_orphaned and contact_id is not null) t on own_contact = t.known"""), ("with_opportunity", """
+  select l.*, o.b, coalesce(l.campaign_id, concat('\\u0000', l.lead_id)) as own_campaign
+  from with_contact l left join chosen o on l.lead_id = o.lead_id""")], """
 select l.lead_id, l.contact_id, l.campaign_id, l.lead_source, l.lead_status, l.assigned_rep,
-       l.created_at as lead_created_at, l.converted_at, l.is_converted, l.is_conversion_date_missing, l.days_to_convert,
+       l.lead_created_at, l.converted_at, l.is_converted, l.is_conversion_date_missing, l.days_to_convert,
        c.campaign_name, c.campaign_type, c.campaign_status, c.channel, c.campaign_variant,
        round(c.budget, 2) as budget, round(c.actual_spend, 2) as actual_spend, c.budget_utilisation_pct,
-       c.is_spend_missing, t.account_id, t.is_decision_maker, o.b.opportunity_id, o.b.stage as opportunity_stage,
-       round(o.b.amount, 2) as opportunity_amount,
-       round(cast(o.b.weighted_amount as decimal(20,9)), 2) as weighted_amount, o.b.is_won, o.b.is_lost, o.b.is_open,
-       o.b.close_date, o.b.probability,
+       c.is_spend_missing, l.account_id, l.is_decision_maker, l.b.opportunity_id, l.b.stage as opportunity_stage,
+       round(l.b.amount, 2) as opportunity_amount,
+       round(cast(l.b.weighted_amount as decimal(20,9)), 2) as weighted_amount, l.b.is_won, l.b.is_lost, l.b.is_open,
+       l.b.close_date, l.b.probability,
        case when l.campaign_id is not null then 'campaign' else 'organic' end as attribution_type,
-       case when o.b.is_won then 'closed_won' when o.b.is_lost then 'closed_lost' when l.is_converted then 'in_pipeline'
+       case when l.b.is_won then 'closed_won' when l.b.is_lost then 'closed_lost' when l.is_converted then 'in_pipeline'
             else 'not_converted' end as lead_outcome
-from {staging}.stg_crm__leads l
-left join {staging}.stg_crm__campaigns c
-  on coalesce(l.campaign_id, concat('\\u0000', l.lead_id)) = c.campaign_id
-left join (select contact_id, account_id, is_decision_maker from {staging}.stg_crm__contacts where not is_orphaned) t
-  on coalesce(l.contact_id, concat('\\u0000', l.lead_id)) = t.contact_id
-left join chosen o on l.lead_id = o.lead_id"""),
+from with_opportunity l
+left join {staging}.stg_crm__campaigns c on l.own_campaign = c.campaign_id"""),
 }
 
 LAYERS = {"staging": tuple(STAGING), "intermediate": tuple(_INTERMEDIATE)}
