@@ -140,3 +140,21 @@ def test_suite_over_empty_models(spark):
               Check("m", "k", "accepted_values", values=("x",)),
               Check("m", "k", "relationships", to_model="p", to_column="k")]
     assert [(r.failures, r.status) for r in run_checks(empty, checks).collect()] == [(0, "pass")] * 4
+
+
+def test_relationships_on_one_parent_keep_two_numbers_an_entry(spark):
+    """Three children of one parent: each has its own count, and an entry stays as
+    narrow as with one child (the memory of a grouping task is entries x width)."""
+    from tidemark.operators.quality import Check, _Spaces, run_checks
+
+    checks = (Check("p", "k", "unique"), *[Check(c, "k", "relationships", to_model="p", to_column="k") for c in "abc"])
+    models = {n: spark.createDataFrame([(k,) for k in keys], "k string") for n, keys in {
+        "p": ["1", "2", "2", None], "a": ["1", "9", "9", None], "b": ["2"], "c": ["7", "8", "1", "9"]}.items()}
+    assert {(r["model"], r["test"]): r["failures"] for r in run_checks(models, checks).collect()} == {
+        ("p", "unique"): 1, ("a", "relationships"): 2, ("b", "relationships"): 0, ("c", "relationships"): 3}
+    spaces = _Spaces(checks)
+    assert len({space for _, space in spaces.of}) == 3 and len(spaces.entries("p")) == 3
+    for model in models:
+        for entry in spaces.entries(model):
+            assert spark.sql(f"select {entry} as e from values ('1') as t(k)").schema["e"].dataType.names == [
+                "space", "key", "own", "refers"]

@@ -223,49 +223,48 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 class _Spaces:
     """Which entries the checks need: a space for the keys of (model, column), for
-    the bad values of a check, or for the rows that fail it; relationships on one
-    parent column have a slot each in its space."""
+    the bad values of a check, or for the rows that fail it. Relationships on one
+    parent column have a space each, the first that of its keys: the parent says
+    its few keys more often, so that an entry of the large models has two numbers."""
 
     def __init__(self, checks: Sequence[Check]):
         self.numbers: dict[tuple, int] = {}
-        self.slots: dict[tuple, int] = {}   # parent space -> relationships on it
-        self.of: list[tuple[Check, int, int]] = []   # check, its space and slot
+        self.of: list[tuple[Check, int]] = []   # check and its space
         self.owned: dict[str, list[tuple[str, int]]] = {}   # model -> key columns and their spaces
+        referred: dict[tuple[str, str], int] = {}   # parent column -> relationships on it
         for i, check in enumerate(checks):
-            slot = 0
             if check.test == "unique":
                 space = self._keys(check.model, check.column)
             elif check.test == "relationships":
-                space = self._keys(check.to_model, check.to_column)
-                slot = self.slots[space] = self.slots.get(space, -1) + 1
+                parent = check.to_model, check.to_column
+                space = self._keys(*parent, referred.get(parent, 0))
+                referred[parent] = referred.get(parent, 0) + 1
             else:
                 space = self._number((check.test, i))
-            self.of.append((check, space, slot))
-        self.n_slots = max(self.slots.values(), default=0) + 1
+            self.of.append((check, space))
 
     def _number(self, name: tuple) -> int:
         return self.numbers.setdefault(name, len(self.numbers))
 
-    def _keys(self, model: str, column: str) -> int:
-        space = self._number(("keys", model, column))
+    def _keys(self, model: str, column: str, which: int = 0) -> int:
+        space = self._number(("keys", model, column, which))
         if (column, space) not in self.owned.setdefault(model, []):
             self.owned[model].append((column, space))
         return space
 
-    def _entry(self, when: str, space: int, key: str, slot: int | None = None) -> str:
-        refers = ", ".join(f"'refers_{s}', {int(s == slot)}L" for s in range(self.n_slots))
+    def _entry(self, when: str, space: int, key: str, own: bool = True) -> str:
         return (f"if({when}, named_struct('space', {space}, 'key', cast({key} as string), "
-                f"'own', {int(slot is None)}L, {refers}), null)")
+                f"'own', {int(own)}L, 'refers', {int(not own)}L), null)")
 
     def entries(self, model: str) -> list[str]:
         """What each row of a model says (SQL expressions); NULL where it says nothing."""
         out = [self._entry(f"`{c}` is not null", space, f"`{c}`") for c, space in self.owned.get(model, [])]
-        for check, space, slot in self.of:
+        for check, space in self.of:
             if check.model != model or check.test == "unique":
                 continue
             c = f"`{check.column}`"
             if check.test == "relationships":
-                out.append(self._entry(f"{c} is not null", space, c, slot))
+                out.append(self._entry(f"{c} is not null", space, c, own=False))
             elif check.test == "accepted_values":
                 values = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in check.values)
                 out.append(self._entry(f"{c} not in ({values})", space, c))
@@ -275,7 +274,7 @@ class _Spaces:
         return out
 
     def models(self) -> list[str]:
-        return list(dict.fromkeys([c.model for c, _, _ in self.of] + [c.to_model for c, _, _ in self.of if c.to_model]))
+        return list(dict.fromkeys([c.model for c, _ in self.of] + [c.to_model for c, _ in self.of if c.to_model]))
 
 
 def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
@@ -285,17 +284,16 @@ def run_checks(models: Mapping[str, DataFrame] | Callable[[str], DataFrame],
     spaces = _Spaces(checks)
     frames = [resolve(m).selectExpr(f"inline(array_compact(array({', '.join(spaces.entries(m))})))")
               for m in spaces.models()]
-    refers = [f"refers_{s}" for s in range(spaces.n_slots)]
-    keys = union_all(frames).groupBy("space", "key").agg(*[F.sum(c).alias(c) for c in ("own", *refers)])
+    keys = union_all(frames).groupBy("space", "key").agg(F.sum("own").alias("own"), F.sum("refers").alias("refers"))
     counts = keys.groupBy("space").agg(
         F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("own") > 1).alias("n_repeated"),
-        F.sum("own").alias("n_rows"), *[F.sum(F.when(F.col("own") == 0, F.col(c)).otherwise(0)).alias(c) for c in refers])
+        F.sum("own").alias("n_rows"), F.sum(F.when(F.col("own") == 0, F.col("refers")).otherwise(0)).alias("n_missing"))
     listed = frames[0].sparkSession.createDataFrame(
-        [(c.model, c.column, c.test, space, slot) for c, space, slot in spaces.of],
-        "model string, column_name string, test string, of int, slot int")
+        [(c.model, c.column, c.test, space) for c, space in spaces.of],
+        "model string, column_name string, test string, of int")
     found = (F.when(F.col("test") == "unique", F.col("n_repeated"))
              .when(F.col("test") == "accepted_values", F.col("n_keys"))
-             .when(F.col("test") == "relationships", F.element_at(F.array(*refers), F.col("slot") + 1))
+             .when(F.col("test") == "relationships", F.col("n_missing"))
              .otherwise(F.col("n_rows")))
     return (listed.join(F.broadcast(counts), F.col("of") == F.col("space"), "left")   # a row per space
             .select("model", "column_name", "test", F.coalesce(found, F.lit(0)).alias("failures"))
