@@ -112,3 +112,19 @@ def test_whole_build_with_gate(spark, database):
         lambda n: spark.table(staged[n]), [Check(m, k, "unique") for m, k in catalog.MART_KEYS.items()]))
     assert {r.table_name for r in list_tables(spark, database).collect()} == set(catalog.MART_KEYS)
     assert len(tables) == 3 and len({publish.published_build(spark, m, database) for m in catalog.MART_KEYS}) == 1
+
+
+def test_a_mart_without_shared_frames_does_not_wait_for_them(spark, database):
+    """The funnel reads no account frame: its job begins before those are written."""
+    asked = []
+
+    class Ordered(Marts):
+        def model(self, name):
+            asked.append(name)
+            return self.df.withColumn("lead_id", F.col("account_id"))
+
+        def write_shared(self):
+            asked.append("shared")
+
+    build_marts(spark, Ordered(spark, "x"), database, ("mart_revenue", "mart_sales_funnel"), summaries=False)
+    assert asked == ["mart_sales_funnel", "shared", "mart_revenue"]

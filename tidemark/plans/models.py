@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -153,7 +154,13 @@ class Warehouse:
         return self.model(name)
 
     def write_shared(self) -> None:
-        """Evaluate the models several marts read once, co-located by account."""
+        """Evaluate the models several marts read once, co-located by account.
+        The totals read different fact tables and are written side by side."""
+        totals = [helper for _, helper in ROLLUPS]
+        for name in totals:
+            self.model(name)  # plan on one thread
+        with ThreadPoolExecutor(max_workers=len(totals)) as pool:
+            list(pool.map(self._write, totals))
         for name in SHARED:
             self._write(name)
 
@@ -161,7 +168,8 @@ class Warehouse:
         """Evaluate every model of the layers once, in dependency order, into
         the shared folder; later reads see the written rows. The checks read each
         model once, so only helpers, which several models read, gain from it."""
-        for name in (*SHARED, *[n for n, m in MODELS.items() if m.layer in layers]):
+        self.write_shared()
+        for name in [n for n, m in MODELS.items() if m.layer in layers]:
             self._write(name)
 
     def _write(self, name: str) -> None:

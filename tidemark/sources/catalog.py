@@ -22,12 +22,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.models import MODELS, Warehouse
+from tidemark.plans.models import MODELS, SHARED, Warehouse, upstream
 from tidemark.plans.summaries import KPIS, RANKINGS, kpi_row, observed_sums, ranked, summaries_database
 from tidemark.sources.glossary import describe
 from tidemark.sources.publish import (
     KEPT_VERSIONS, Audit, audited, new_build, prune, publish, sql_string, version_table,
-    with_comments, write_version,
+    versions_database, with_comments, write_version,
 )
 
 # Key of each mart (one row per key), used to sort rows within files.
@@ -83,16 +83,22 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, database: str = "mart
     totals, billing) are written once, in sorted buckets of their account, so
     the marts join them without moving them again. The marts are written by
     ``threads`` concurrent jobs (the original builds with 4 threads), so their
-    independent stages share the cluster instead of queueing.
+    independent stages share the cluster instead of queueing; a mart that reads
+    none of those frames begins before they are written.
     """
     ensure_database(spark, database)
+    ensure_database(spark, versions_database(database))
     build = new_build()
-    warehouse.write_shared()
-    plans = {n: _laid_out(warehouse.model(n), n) for n in names}  # plan on one thread
+    waiting = [n for n in names if n in MODELS and set(SHARED).intersection(upstream(n))]
+    jobs = {}
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        jobs = {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n),
-                               observed=observed_sums(n) if summaries else None) for n in names}
-        sums = {n: job.result() for n, job in jobs.items()}
+        for group in ([n for n in names if n not in waiting], waiting):
+            if group is waiting:
+                warehouse.write_shared()
+            plans = {n: _laid_out(warehouse.model(n), n) for n in group}  # plan on one thread
+            jobs |= {n: pool.submit(write_version, spark, plans[n], n, build, database, _description(n),
+                                    observed=observed_sums(n) if summaries else None) for n in group}
+        sums = {n: jobs[n].result() for n in names}
     staged = {n: version_table(n, build, database) for n in names}
     if audit is not None:
         audited(audit, staged, build)
