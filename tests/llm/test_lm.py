@@ -137,3 +137,47 @@ def test_repeats_are_kept_at_every_size(spark, monkeypatch):
     for i in range(4):
         assert got[i]["score"] == pytest.approx(score(texts[i]), rel=1e-4)
         assert got[i]["score"] > got[i]["base_score"] + 3
+
+
+def test_look_ups_are_shared_and_bounded(monkeypatch):
+    """Equal neighbours and those of one high part are looked up once, in pieces of bounded size."""
+    values = np.arange(0, 2_000_000, 2)
+    ef, sizes = EliasFano.build(values, 1 << 40), []
+    starts = EliasFano._starts
+    monkeypatch.setattr(EliasFano, "_starts", lambda self, top: sizes.append(len(top)) or starts(self, top))
+    asked = np.repeat(values[:100_000], 3)
+    assert (ef.find(asked) == asked // 2).all() and (ef.find(asked + 1) == -1).all()
+    assert sum(sizes) < 1_000  # before: one or two for each of 600,000
+    sizes.clear()
+    assert (ef.find(values[::-1]) == values[::-1] // 2).all() and max(sizes) <= 1 << 15
+    assert (ef.successor(asked + 1) == asked // 2 + 1).all() and (ef[np.arange(len(values))] == values).all()
+
+
+def test_counts_reach_the_shuffle_by_bucket(spark, monkeypatch):
+    """One row for each bucket, not each n-gram, and the same trie for one bucket or many."""
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(200)) for i in range(60)] + ["w1 w2 " * 3_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shuffled, seen = lm._count_grams, []
+
+    def watched(files, order, n_buckets):
+        run = shuffled(files, order, n_buckets)
+        seen.append((docs.select("text").mapInPandas(run, "bucket long, keys binary, many binary").count(), n_buckets))
+        return run
+
+    monkeypatch.setattr(lm, "_count_grams", watched)
+    got = []
+    for tokens in (1_000_000, 500):
+        monkeypatch.setattr(lm, "BUCKET_TOKENS", tokens)
+        got.append({r["doc_id"]: r["score"] for r in lm.score(docs, lm.train(docs)).collect()})
+    parts = docs.rdd.getNumPartitions()
+    assert got[0] == got[1] and all(rows <= parts * n for rows, n in seen)
+    assert [n for _, n in seen] == [1, 1, 37, 37]
+    _, _, _, score, _ = plain_model(texts)
+    assert all(got[1][i] == pytest.approx(score(t), abs=0.01 * (len(plain_tokens(t)) + 1)) for i, t in enumerate(texts))
+
+
+def test_packed_numbers():
+    for numbers in (np.zeros(0, dtype=np.int64), np.array([0, 1, 255, 256, 2**62, -1]), np.arange(1000)):
+        assert (lm.unpacked(lm.packed(numbers)) == numbers).all()
+    many = np.bincount(lm.bucket_of(np.arange(100_000) + 7 * 10**12, 37), minlength=37)
+    assert len(many) == 37 and many.max() < 1.2 * many.mean()

@@ -61,6 +61,7 @@ DISCOUNT = 0.75
 LEVELS = 256
 FLUSH_WORDS = 1_500_000   # words that a task counts together, about
 FLUSH_TOKENS = 2_000_000  # tokens whose n-grams a counting task holds
+BUCKET_TOKENS = 1_000_000  # training tokens for each bucket of n-grams, which a task sums up together
 SCORE_TOKENS = 500_000    # tokens scored together, about
 CHARS_A_TOKEN = 6         # which is how much text holds so many tokens, about
 
@@ -163,6 +164,7 @@ def pair_shard(trie: Trie, low: int, high: int, pairs: np.ndarray, counts: np.nd
     left1 = 1 - np.bincount(first, taken, minlength=high - low)
     p2 = taken + left1[first] * 10 ** trie.log_p1(last)
     starts = np.searchsorted(first, np.arange(high - low + 1))
+    del first, last, taken
     out = {"range": np.array([low, high, len(pairs)]), "n": counts.astype(np.min_scalar_type(counts.max()))}
     out |= EliasFano.build(pairs - low * size, (high - low) * size).arrays("level")
     out |= EliasFano.build(starts, len(pairs) + 1).arrays("starts")
@@ -172,22 +174,30 @@ def pair_shard(trie: Trie, low: int, high: int, pairs: np.ndarray, counts: np.nd
 def triple_shard(trie: Trie, low: int, high: int, triples: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Level 3 of the pairs at nodes ``low`` to ``high``; ``triples``: node of uv * F + w
     ascending, vw among the pairs."""
-    at_pair, third = triples // trie.size - low, triples % trie.size
+    at_pair = triples // trie.size - low
     last, pair_counts = trie.pairs_at(np.arange(low, high))
-    second = last[at_pair]
-    back = trie.pair_nodes(second, third)                  # position of vw
-    relative = back - trie.starts2(second)                 # among the successors of v
-    taken = (counts - DISCOUNT) / pair_counts[at_pair]
-    left2 = 1 - np.bincount(at_pair, taken, minlength=high - low)
-    p3 = taken + left2[at_pair] * 10 ** trie.value2("p", back)
     # each pair's range is as long as its second word's successors
     ranges = np.concatenate([[0], np.cumsum(trie.starts2(last, 1) - trie.starts2(last))])
-    values = ranges[at_pair] + relative
+    values, p3 = np.zeros(len(triples), dtype=np.int64), np.zeros(len(triples))
+    for at in range(0, len(triples), SCORE_TOKENS):  # look-ups in blocks, which bounds their memory
+        block = slice(at, at + SCORE_TOKENS)
+        second = last[at_pair[block]]
+        back = trie.pair_nodes(second, triples[block] % trie.size)                  # position of vw
+        values[block] = ranges[at_pair[block]] + (back - trie.starts2(second))      # among the successors of v
+        p3[block] = 10 ** trie.value2("p", back)
+    taken = (counts - DISCOUNT) / pair_counts[at_pair]
+    left2 = 1 - np.bincount(at_pair, taken, minlength=high - low)
+    p3 *= left2[at_pair]
+    p3 += taken
+    del at_pair, taken, last, pair_counts
     order = np.argsort(values, kind="stable")
+    values, p3 = values[order], p3[order]
+    del order
     out = {"range": np.array([low, high, len(triples)])}
-    out |= EliasFano.build(values[order], int(ranges[-1]) + 1).arrays("level")
+    out |= EliasFano.build(values, int(ranges[-1]) + 1).arrays("level")
     out |= EliasFano.build(ranges, int(ranges[-1]) + 1).arrays("starts")
-    return _with_codes(out, p=p3[order], left=left2)
+    del values, ranges
+    return _with_codes(out, p=p3, left=left2)
 
 
 class Shard:
@@ -396,13 +406,14 @@ def _sharded(rows: DataFrame, key: str, content) -> DataFrame:
         held, current = [], None
 
         def file() -> pd.DataFrame:
-            return pd.DataFrame({"content": [file_bytes(content(current, pd.concat(held, ignore_index=True)))]})
+            rows = pd.concat(held, ignore_index=True)
+            held.clear()
+            return pd.DataFrame({"content": [file_bytes(content(current, rows))]})
 
         for batch in batches:
             for shard, part in batch.groupby("shard"):
                 if held and shard != current:
                     yield file()
-                    held = []
                 current = int(shard)
                 held.append(part)
         if held:
@@ -434,9 +445,25 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": words.to_numpy(zero_copy_only=False), "n": np.bincount(at)})
 
 
-def _count_grams(files: Files, order: int):
-    """A task's n-grams of trie words with their counts. Order 3: of kept pairs,
-    numbered by the first pair's node."""
+def packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers as all their first bytes, then all second ones and so on: of
+    ascending or small numbers most bytes are alike, which Spark's compression sees."""
+    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(content: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(content, dtype=np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets by the high bits of a product, so that a word's n-grams are dealt over all."""
+    high = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return (high * np.uint64(n_buckets) >> np.uint64(32)).astype(np.min_scalar_type(n_buckets))
+
+
+def _count_grams(files: Files, order: int, n_buckets: int):
+    """A task's n-grams of trie words with their counts, one row for each bucket of
+    them. Order 3: of kept pairs, numbered by the first pair's node."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = _mapped(files)
@@ -444,7 +471,13 @@ def _count_grams(files: Files, order: int):
 
         def flush():
             keys, many = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"key": keys, "n": many})
+            buckets = bucket_of(keys, n_buckets)
+            by_bucket = np.argsort(buckets, kind="stable")
+            cuts = np.searchsorted(buckets[by_bucket], np.arange(n_buckets + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            at = [by_bucket[cuts[b]:cuts[b + 1]] for b in some]
+            return pd.DataFrame({"bucket": some, "keys": [packed(keys[a]) for a in at],
+                                 "many": [packed(many[a]) for a in at]})
 
         def keys_of(tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
             inner = place[1:] > 0
@@ -469,6 +502,24 @@ def _count_grams(files: Files, order: int):
     return run
 
 
+def _grams(texts: DataFrame, files: Files, order: int, least: int) -> DataFrame:
+    """key, n: the n-grams of all texts that occur ``least`` times. They are hashed to
+    buckets, whose number follows the tokens of all texts, and summed up a bucket at a
+    time, so neither a row nor a task is needed for each and none holds many."""
+    n_buckets = files[3] // BUCKET_TOKENS + 1
+
+    def summed(bucket: pd.DataFrame) -> pd.DataFrame:
+        keys, many = (np.concatenate([unpacked(c) for c in bucket[name]]) for name in ("keys", "many"))
+        by_key = np.argsort(keys)
+        keys = keys[by_key]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.add.reduceat(many[by_key], first)
+        return pd.DataFrame({"key": keys[first][n >= least], "n": n[n >= least]})
+
+    return written(texts.mapInPandas(_count_grams(files, order, n_buckets), "bucket long, keys binary, many binary")
+                   .groupBy("bucket").applyInPandas(summed, "key long, n long"), f"lm-grams{order}")
+
+
 def _token_blocks(trie: Trie, texts: list[str], rare: list[list[dict]] | None = None):
     """(numbers of distinct words, each token's place among them, its place in the text,
     its text's number) of about SCORE_TOKENS tokens; texts stay whole. ``rare`` gets each
@@ -513,8 +564,7 @@ def train(docs: DataFrame, *, text_col: str = "text", word_share: float = WORD_S
     size, least = max(1, n_words), max(MIN_COUNT, int(np.ceil(share * n_tokens)))
     files: Files = (_word_level(frequent, n_words), (), (), n_tokens, n_types)
     for order, build in ((2, pair_shard), (3, triple_shard)):
-        grams = written(texts.mapInPandas(_count_grams(files, order), "key long, n long").groupBy("key")
-                        .agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"lm-grams{order}")
+        grams = _grams(texts, files, order, least)
         n_contexts = n_words if order == 2 else n_pairs
         names = _level(grams, files, size, n_contexts, build)
         n_pairs = grams.count()
