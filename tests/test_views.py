@@ -1,5 +1,6 @@
 """Stored views: every view against its model, from a session of its own."""
 
+import time
 import uuid
 
 import pytest
@@ -7,8 +8,8 @@ import pytest
 from conftest import SF_SMALL
 from tidemark.operators.quality import union_all
 from tidemark.plans.models import MODELS, Warehouse
-from tidemark.plans.registry import AS_OF, RUN_TS, _fingerprint, warehouse
-from tidemark.session import configure
+from tidemark.plans.registry import AS_OF, RUN_TS, _fingerprint, stored_views, warehouse
+from tidemark.session import configure, shuffles_released
 from tidemark.sources.raw import read_catalog_tables
 from tidemark.sources.views import LAYERS, create_views, view_sql
 
@@ -83,3 +84,46 @@ def test_view_and_model_move_the_rows_once(spark, databases, name):
              "int_leads_with_campaigns": "leads"}[name]
     assert "ReusedExchange" in plan
     assert plan.count(f"FileScan parquet spark_catalog.{databases['raw']}.{table}[") == 1
+
+
+@pytest.mark.parametrize("name, own", [("int_payment_health", 0), ("int_sales_activity", 1),
+                                       ("int_leads_with_campaigns", 1)])
+def test_a_view_adds_no_exchange_to_its_model(spark, databases, name, own):
+    """All exchanges are shared but ``own``, the one above a final sort-based aggregate."""
+    models = Warehouse(read_catalog_tables(spark, databases["raw"]), as_of=AS_OF, run_ts=RUN_TS)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def moves(df):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        return sum("Exchange " in x and "ReusedExchange" not in x and "SinglePartition" not in x for x in lines)
+
+    try:
+        view = _fingerprint(spark.table(f"{databases['intermediate']}.{name}"), name, "view")
+        model = _fingerprint(models.model(name), name, "model")
+        assert moves(union_all([view, model])) == moves(model) + own
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_of_an_ended_query_are_released(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name)
+    with shuffles_released(spark):
+        df = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, df.collect()))  # made again
+    rows = stored_views(spark, SF_SMALL).collect()
+    assert len(rows) == 19 and all(r["same"] for r in rows)
+    for _ in range(100):  # files go a little after the query
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(name) == setting

@@ -23,7 +23,7 @@ from tidemark.plans import curated as Q
 from tidemark.plans import rollups as R
 from tidemark.plans.models import MODELS, Warehouse
 from tidemark.plans.summaries import Serving, summaries_database
-from tidemark.session import checkpoint_dir, configure
+from tidemark.session import checkpoint_dir, configure, shuffles_released
 from tidemark.sources.catalog import MART_KEYS, build_marts, describe_table, list_tables
 from tidemark.sources.fixtures import raw_tables
 from tidemark.sources.publish import versions_database
@@ -208,17 +208,20 @@ def _fingerprint(df: DataFrame, name: str, of: str) -> DataFrame:
 def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw tables in the catalog, the stored views over them, and whether
     each view's rows are its model's."""
-    with Scratch(spark, "raw", "staging", "intermediate") as databases:
+    with Scratch(spark, "raw", "staging", "intermediate") as databases, shuffles_released(spark):
         wh = warehouse(spark, sf_dir)
         spark.sql(f"CREATE DATABASE {databases['raw']}")
         for table, df in wh.raw.items():
-            df.write.saveAsTable(f"{databases['raw']}.{table}")
+            df.write.option("compression", "zstd").saveAsTable(f"{databases['raw']}.{table}")
         create_views(spark, **databases, as_of=AS_OF)
         models = Warehouse(read_catalog_tables(spark, databases["raw"]), as_of=AS_OF, run_ts=RUN_TS)
+        # the staging views move no rows and are read together; of the others one query's
+        # shuffles lie on disk at a time
+        together = [LAYERS["staging"], *[(n,) for n in LAYERS["intermediate"]]]
         rows = []
-        for layer, names in LAYERS.items():
+        for names in together:
             both = union_all([_fingerprint(df, n, of) for n in names for of, df in
-                              (("view", spark.table(f"{databases[layer]}.{n}")), ("model", models.model(n)))])
+                              (("view", spark.table(f"{databases[MODELS[n].layer]}.{n}")), ("model", models.model(n)))])
             rows += (both.groupBy("view_name").agg(
                 F.max(F.when(F.col("of") == "view", F.col("n_rows"))).alias("n_rows"),
                 (F.count_distinct("n_rows", "hash") == 1).alias("same")).collect())  # a row per view

@@ -6,8 +6,9 @@ catalog reads ``intermediate.int_payment_health`` by name. Nothing is
 materialised; a view is planned like the DataFrame model of its name, which
 stays the source the marts are built from. Both give the same rows and types
 (tests, and the registered entry ``s2_stored_views``). The texts move rows in the
-same columns as the models do, so a query that reads a view and its model shuffles
-the rows of the large tables once (Spark reuses equal exchanges).
+same columns and order as the models do, so a query that reads a view and its model
+shuffles the rows of the large tables once (Spark reuses equal exchanges, unless a
+final sort-based aggregate lies below: then view and model each have their own).
 
 The texts use the session's UTC zone and ANSI mode as the models do
 (``session.configure``); "today" is the reader's date, or a fixed one if the
@@ -206,13 +207,14 @@ _IN_RANGE = """
   from ranges"""
 _RANGE_TOTALS = """
   select * from (
-    select account_id, chunk, is_failed as last_failed, lead(1) over in_time is null as at_end,
+    select account_id, chunk, is_failed, lead(1) over in_time is null as at_end,
            count(payment_id) over all_rows as n, count_if(is_successful) over all_rows as n_ok,
            count_if(is_failed) over all_rows as n_failed, count_if(is_repeat_failure) over all_rows as n_repeat,
            sum(case when is_successful then amount else cast(0 as decimal(20,9)) end) over all_rows as ok_amount,
            count(case when is_successful then amount end) over all_rows as n_amounts,
            max(payment_date) over all_rows as latest, min(payment_date) over all_rows as earliest,
-           last(case when is_failed then struct(failure_reason) end) ignore nulls over all_rows as failure,
+           last(case when is_failed then struct(created_at, payment_id, failure_reason) end) ignore nulls
+             over all_rows as failure,
            count_if(is_failed and previous_failed) over all_rows as inner_pairs,
            first(is_failed) over all_rows as first_failed
     from in_range
@@ -221,7 +223,7 @@ _RANGE_TOTALS = """
                         rows between unbounded preceding and unbounded following))
   where at_end"""
 _PAIRED = """
-  select *, inner_pairs + coalesce(cast(first_failed and lag(last_failed) over (partition by account_id order by chunk)
+  select *, inner_pairs + coalesce(cast(first_failed and lag(is_failed) over (partition by account_id order by chunk)
                                         as bigint), 0) as pairs
   from range_totals"""
 _PAYMENTS = """
@@ -328,54 +330,62 @@ select *, case when churn_risk_score >= 60 then 'critical' when churn_risk_score
 from scored"""),
     "int_sales_activity": ([("counted", """
   select * from {staging}.stg_crm__activities where not is_date_missing and account_id is not null"""), ("per_pair", """
-  select opportunity_id, account_id, count(activity_id) as total_activities,
-         count_if(is_high_touch) as high_touch_activities, count_if(is_positive_outcome) as positive_outcomes,
-         count_if(activity_type = 'call') as total_calls, count_if(activity_type = 'meeting') as total_meetings,
-         count_if(activity_type = 'demo') as total_demos, count_if(activity_type = 'email') as total_emails,
-         count(distinct assigned_rep) as reps_involved, avg(duration_minutes) as avg_activity_duration,
-         max(activity_date) as latest_activity_date, min(activity_date) as first_activity_date
-  from counted where opportunity_id is not null group by opportunity_id, account_id"""), ("per_opportunity", """
-  select opportunity_id, max(struct(latest_activity_date as k1, account_id as k2, total_activities,
-           high_touch_activities, positive_outcomes, total_calls, total_meetings, total_demos, total_emails,
-           reps_involved, avg_activity_duration, latest_activity_date, first_activity_date)) as b
-  from per_pair group by opportunity_id"""), ("per_account", """
+  select *, round(positive_outcomes / nullif(total_activities, 0) * 100, 2) as positive_outcome_rate
+  from (select opportunity_id, account_id, count(activity_id) as total_activities,
+               count_if(is_high_touch) as high_touch_activities, count_if(is_positive_outcome) as positive_outcomes,
+               count_if(activity_type = 'call') as total_calls, count_if(activity_type = 'meeting') as total_meetings,
+               count_if(activity_type = 'demo') as total_demos, count_if(activity_type = 'email') as total_emails,
+               count(distinct assigned_rep) as reps_involved, avg(duration_minutes) as avg_activity_duration,
+               max(activity_date) as latest_activity_date, min(activity_date) as first_activity_date
+        from counted where opportunity_id is not null group by opportunity_id, account_id)"""), ("per_opportunity", """
+  select opportunity_id, b.total_activities, b.high_touch_activities, b.positive_outcomes, b.total_calls,
+         b.total_meetings, b.total_demos, b.total_emails, b.reps_involved, b.avg_activity_duration,
+         b.positive_outcome_rate, b.latest_activity_date, b.first_activity_date
+  from (select opportunity_id, max(struct(latest_activity_date as k1, account_id as k2, total_activities,
+                 high_touch_activities, positive_outcomes, total_calls, total_meetings, total_demos, total_emails,
+                 reps_involved, avg_activity_duration, positive_outcome_rate, latest_activity_date,
+                 first_activity_date)) as b
+        from per_pair group by opportunity_id)"""), ("per_account", """
   select account_id, count(activity_id) as total_account_activities,
          count_if(is_high_touch) as account_high_touch_count, max(activity_date) as latest_account_activity_date,
          count(distinct assigned_rep) as total_reps_engaged
   from counted group by account_id"""), ("account", """
-  select account_id, min(struct(account_name, tier, tier_rank)) as b
-  from {staging}.stg_crm__accounts group by account_id"""), ("opportunity", """
-  select opportunity_id, min(struct(opportunity_created_at, account_id, stage, amount, weighted_amount, probability,
-           is_won, is_lost, is_open, close_date)) as b
-  from (select opportunity_id, account_id, stage, round(amount, 2) as amount,
-               round(cast(weighted_amount as decimal(20,9)), 2) as weighted_amount, probability, is_won, is_lost,
-               is_open, close_date, created_at as opportunity_created_at
-        from {staging}.stg_crm__opportunities) group by opportunity_id""")], """
-select o.opportunity_id, o.b.account_id, o.b.stage, o.b.amount, o.b.weighted_amount, o.b.probability, o.b.is_won,
-       o.b.is_lost, o.b.is_open, o.b.close_date, o.b.opportunity_created_at, a.b.account_name, a.b.tier,
-       a.b.tier_rank, coalesce(p.b.total_activities, 0) as total_activities,
-       coalesce(p.b.high_touch_activities, 0) as high_touch_activities,
-       coalesce(p.b.positive_outcomes, 0) as positive_outcomes, coalesce(p.b.total_calls, 0) as total_calls,
-       coalesce(p.b.total_meetings, 0) as total_meetings, coalesce(p.b.total_demos, 0) as total_demos,
-       coalesce(p.b.total_emails, 0) as total_emails, coalesce(p.b.reps_involved, 0) as reps_involved,
-       p.b.avg_activity_duration,
-       round(p.b.positive_outcomes / nullif(p.b.total_activities, 0) * 100, 2) as positive_outcome_rate,
-       p.b.latest_activity_date, p.b.first_activity_date,
+  select account_id, b.account_name, b.tier, b.tier_rank
+  from (select account_id, min(struct(account_name, tier, tier_rank)) as b
+        from {staging}.stg_crm__accounts group by account_id)"""), ("opportunity", """
+  select opportunity_id, b.opportunity_created_at, b.account_id, b.stage, b.amount, b.weighted_amount,
+         b.probability, b.is_won, b.is_lost, b.is_open, b.close_date
+  from (select opportunity_id, min(struct(opportunity_created_at, account_id, stage, amount, weighted_amount,
+                 probability, is_won, is_lost, is_open, close_date)) as b
+        from (select opportunity_id, account_id, stage, round(amount, 2) as amount,
+                     round(cast(weighted_amount as decimal(20,9)), 2) as weighted_amount, probability, is_won, is_lost,
+                     is_open, close_date, created_at as opportunity_created_at
+              from {staging}.stg_crm__opportunities) group by opportunity_id)""")], """
+select o.opportunity_id, o.account_id, o.stage, o.amount, o.weighted_amount, o.probability, o.is_won,
+       o.is_lost, o.is_open, o.close_date, o.opportunity_created_at, a.account_name, a.tier,
+       a.tier_rank, coalesce(p.total_activities, 0) as total_activities,
+       coalesce(p.high_touch_activities, 0) as high_touch_activities,
+       coalesce(p.positive_outcomes, 0) as positive_outcomes, coalesce(p.total_calls, 0) as total_calls,
+       coalesce(p.total_meetings, 0) as total_meetings, coalesce(p.total_demos, 0) as total_demos,
+       coalesce(p.total_emails, 0) as total_emails, coalesce(p.reps_involved, 0) as reps_involved,
+       p.avg_activity_duration, p.positive_outcome_rate, p.latest_activity_date, p.first_activity_date,
        coalesce(t.total_account_activities, 0) as total_account_activities,
        coalesce(t.account_high_touch_count, 0) as account_high_touch_count, t.latest_account_activity_date,
        coalesce(t.total_reps_engaged, 0) as total_reps_engaged,
-       cast(datediff({today}, p.b.latest_activity_date) as bigint) as days_since_last_activity,
-       case when coalesce(p.b.total_activities, 0) = 0 then 'no_engagement'
-            when p.b.high_touch_activities >= 5 then 'high' when p.b.high_touch_activities >= 2 then 'medium'
+       cast(datediff({today}, p.latest_activity_date) as bigint) as days_since_last_activity,
+       case when coalesce(p.total_activities, 0) = 0 then 'no_engagement'
+            when p.high_touch_activities >= 5 then 'high' when p.high_touch_activities >= 2 then 'medium'
             else 'low' end as engagement_quality
 from opportunity o
-left join per_account t on o.b.account_id = t.account_id
 left join per_opportunity p on o.opportunity_id = p.opportunity_id
-left join account a on o.b.account_id = a.account_id"""),
+left join per_account t on o.account_id = t.account_id
+left join account a on o.account_id = a.account_id"""),
     "int_leads_with_campaigns": ([("chosen", """
-  select lead_id, min(struct({priority} as k1, amount is null as k2, -amount as k3, opportunity_id, stage, amount,
-           weighted_amount, is_won, is_lost, is_open, close_date, probability)) as b
-  from {staging}.stg_crm__opportunities where lead_id is not null group by lead_id"""), ("with_contact", """
+  select lead_id, b.opportunity_id, b.stage, b.amount, b.weighted_amount, b.is_won, b.is_lost, b.is_open,
+         b.close_date, b.probability
+  from (select lead_id, min(struct({priority} as k1, amount is null as k2, -amount as k3, opportunity_id, stage,
+                 amount, weighted_amount, is_won, is_lost, is_open, close_date, probability)) as b
+        from {staging}.stg_crm__opportunities where lead_id is not null group by lead_id)"""), ("with_contact", """
   select * from (
     select lead_id, contact_id, campaign_id, lead_source, lead_status, assigned_rep, created_at as lead_created_at,
            converted_at, is_converted, is_conversion_date_missing, days_to_convert,
@@ -383,21 +393,24 @@ left join account a on o.b.account_id = a.account_id"""),
     from {staging}.stg_crm__leads) l
   left join (select contact_id as known, account_id, is_decision_maker from {staging}.stg_crm__contacts
              where not is_orphaned and contact_id is not null) t on own_contact = t.known"""), ("with_opportunity", """
-  select l.*, o.b, coalesce(l.campaign_id, concat('\\u0000', l.lead_id)) as own_campaign
-  from with_contact l left join chosen o on l.lead_id = o.lead_id""")], """
+  select l.*, o.opportunity_id, o.stage, o.amount, o.weighted_amount, o.is_won, o.is_lost, o.is_open, o.close_date,
+         o.probability, coalesce(l.campaign_id, concat('\\u0000', l.lead_id)) as own_campaign
+  from with_contact l left join chosen o on l.lead_id = o.lead_id"""), ("campaign", """
+  select campaign_id as known, campaign_name, campaign_type, campaign_status, channel, campaign_variant,
+         round(budget, 2) as budget, round(actual_spend, 2) as actual_spend, budget_utilisation_pct, is_spend_missing
+  from {staging}.stg_crm__campaigns where campaign_id is not null""")], """
 select l.lead_id, l.contact_id, l.campaign_id, l.lead_source, l.lead_status, l.assigned_rep,
        l.lead_created_at, l.converted_at, l.is_converted, l.is_conversion_date_missing, l.days_to_convert,
        c.campaign_name, c.campaign_type, c.campaign_status, c.channel, c.campaign_variant,
-       round(c.budget, 2) as budget, round(c.actual_spend, 2) as actual_spend, c.budget_utilisation_pct,
-       c.is_spend_missing, l.account_id, l.is_decision_maker, l.b.opportunity_id, l.b.stage as opportunity_stage,
-       round(l.b.amount, 2) as opportunity_amount,
-       round(cast(l.b.weighted_amount as decimal(20,9)), 2) as weighted_amount, l.b.is_won, l.b.is_lost, l.b.is_open,
-       l.b.close_date, l.b.probability,
+       c.budget, c.actual_spend, c.budget_utilisation_pct, c.is_spend_missing, l.account_id, l.is_decision_maker,
+       l.opportunity_id, l.stage as opportunity_stage, round(l.amount, 2) as opportunity_amount,
+       round(cast(l.weighted_amount as decimal(20,9)), 2) as weighted_amount, l.is_won, l.is_lost, l.is_open,
+       l.close_date, l.probability,
        case when l.campaign_id is not null then 'campaign' else 'organic' end as attribution_type,
-       case when l.b.is_won then 'closed_won' when l.b.is_lost then 'closed_lost' when l.is_converted then 'in_pipeline'
+       case when l.is_won then 'closed_won' when l.is_lost then 'closed_lost' when l.is_converted then 'in_pipeline'
             else 'not_converted' end as lead_outcome
 from with_opportunity l
-left join {staging}.stg_crm__campaigns c on l.own_campaign = c.campaign_id"""),
+left join campaign c on l.own_campaign = c.known"""),
 }
 
 LAYERS = {"staging": tuple(STAGING), "intermediate": tuple(_INTERMEDIATE)}
